@@ -1,9 +1,12 @@
 """Classifier evaluation.
 
-Every metric is derived from one tiny table: ``groupBy(y_true, y_pred).count()``
-over the valid rows. That aggregation combines map-side, so however many
-rows (or however hot one class is) the shuffle carries at most
-|labels|^2 rows per map task; everything after it is label-sized.
+Every metric comes from ONE pass over the predictions: a global aggregate of
+``count_if`` counters (per label: true positives, predictions, support; per
+label pair: confusion cells; plus the hallucination count). A global
+aggregate has no grouping key, so no class — however hot — lands in one
+task: each task folds its rows into one small row and only those rows are
+merged. The per-label table is then unfolded from that single row with
+``inline`` (no join, no second scan).
 
 Semantics follow the usual weighted multi-class metrics with a fixed label
 list and ``zero_division = 0``:
@@ -64,7 +67,7 @@ def hallucination_truth(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def pair_counts(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """(y_true, y_pred, n) over valid rows — the one shuffle of evaluation."""
+    """(y_true, y_pred, n) over valid rows (for inspection; metrics use ``_stats``)."""
     return (pairs.filter(_is_valid(labels))
             .groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n")))
 
@@ -75,16 +78,28 @@ def label_table(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
         F.posexplode(_labels_col(labels)).alias("label_order", "label"))
 
 
+def _stats(pairs: DataFrame, labels: Sequence[str], confusion: bool = False) -> DataFrame:
+    """The single aggregation pass: one row of counters."""
+    v = _is_valid(labels)
+    t, p = F.col("y_true"), F.col("y_pred")
+    aggs = [F.count_if(~v).alias("n_h")]
+    for i, lab in enumerate(labels):
+        aggs += [F.count_if(v & (t == lab) & (p == lab)).alias(f"tp_{i}"),
+                 F.count_if(p == lab).alias(f"ps_{i}"),
+                 F.count_if(v & (t == lab)).alias(f"ts_{i}")]
+        if confusion:
+            aggs += [F.count_if((t == lab) & (p == other)).alias(f"cm_{i}_{j}")
+                     for j, other in enumerate(labels)]
+    return pairs.agg(*aggs)
+
+
 def per_class(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """(label, label_order, tp, pred_sum, support, precision, recall, f1_score)."""
-    pc = pair_counts(pairs, labels)
-    tp = pc.filter(F.col("y_true") == F.col("y_pred")).select(
-        F.col("y_true").alias("label"), F.col("n").alias("tp"))
-    pred_sum = pc.groupBy(F.col("y_pred").alias("label")).agg(F.sum("n").alias("pred_sum"))
-    true_sum = pc.groupBy(F.col("y_true").alias("label")).agg(F.sum("n").alias("support"))
-    t = (label_table(pairs, labels)
-         .join(tp, "label", "left").join(pred_sum, "label", "left").join(true_sum, "label", "left")
-         .na.fill(0, ["tp", "pred_sum", "support"]))
+    """(label, label_order, tp, pred_sum, support, precision, recall, f1_score, n_h)."""
+    rows = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(i).alias("label_order"),
+                              F.col(f"tp_{i}").alias("tp"), F.col(f"ps_{i}").alias("pred_sum"),
+                              F.col(f"ts_{i}").alias("support"), F.col("n_h").alias("n_h"))
+                     for i, lab in enumerate(labels)])
+    t = _stats(pairs, labels).select(F.inline(rows))
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pred_sum")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     t = t.withColumn("precision", p).withColumn("recall", r)
@@ -102,6 +117,7 @@ def _weighted_row(pc: DataFrame) -> DataFrame:
         F.sum(F.col("f1_score") * F.col("support")).alias("wf"),
         F.sum("tp").alias("n_correct"),
         F.sum("pred_sum").alias("n_valid"),
+        F.max("n_h").alias("n_h"),
     )
 
 
@@ -110,63 +126,60 @@ def weighted_metrics(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
 
     Accuracy is over valid rows only; null when every prediction is invalid.
     Every valid row predicts some label, so n_valid = sum of pred_sum and
-    n_correct = sum of tp; the hallucination count is a scalar subquery.
+    n_correct = sum of tp.
     """
-    n_h = pairs.filter(~_is_valid(labels)).agg(F.count(F.lit(1))).scalar()
     z = lambda c: _r(F.coalesce(F.try_divide(F.col(c), F.col("w")), F.lit(0.0)))
     return _weighted_row(per_class(pairs, labels)).select(
         _r(F.try_divide(F.col("n_correct").cast("double"), F.col("n_valid"))).alias("accuracy"),
         z("wp").alias("precision"), z("wr").alias("recall"), z("wf").alias("f1_score"),
-        F.col("n_valid"), n_h.alias("n_hallucinated"))
+        F.col("n_valid"), F.col("n_h").alias("n_hallucinated"))
 
 
 def confusion_long(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Dense (y_true, y_pred, n) over labels x labels, zeros kept.
+    """Dense (y_true, y_pred, true_order, pred_order, n) over labels x labels, zeros kept.
 
-    The grid is generated from the label literal by two explodes (no join
-    of tables), then left-joined to the label-sized counts.
+    Every cell is a counter of the single aggregation pass, unfolded with
+    ``inline``: the grid never needs a join.
     """
-    lab = _labels_col(labels)
-    grid = (pairs.sparkSession.range(1)
-            .select(F.posexplode(lab).alias("true_order", "y_true"))
-            .select("true_order", "y_true", F.posexplode(lab).alias("pred_order", "y_pred")))
-    pc = pair_counts(pairs, labels)
-    return (grid.join(pc, ["y_true", "y_pred"], "left")
-            .select("y_true", "y_pred", "true_order", "pred_order",
-                    F.coalesce(F.col("n"), F.lit(0)).alias("n")))
+    cells = F.array(*[F.struct(F.lit(a).alias("y_true"), F.lit(b).alias("y_pred"),
+                               F.lit(i).alias("true_order"), F.lit(j).alias("pred_order"),
+                               F.col(f"cm_{i}_{j}").alias("n"))
+                      for i, a in enumerate(labels) for j, b in enumerate(labels)])
+    return _stats(pairs, labels, confusion=True).select(F.inline(cells))
 
 
 def confusion_wide(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     """A7 wide: one row per true label, one column per predicted label."""
-    long = confusion_long(pairs, labels)
-    return (long.groupBy("y_true", "true_order").pivot("y_pred", list(labels)).sum("n")
-            .na.fill(0))
+    rows = F.array(*[F.struct(F.lit(a).alias("y_true"), F.lit(i).alias("true_order"),
+                              *[F.col(f"cm_{i}_{j}").alias(b) for j, b in enumerate(labels)])
+                     for i, a in enumerate(labels)])
+    return _stats(pairs, labels, confusion=True).select(F.inline(rows))
 
 
 def class_report(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Per class (precision, recall, f1_score, support) + accuracy, macro avg, weighted avg.
 
     The accuracy row carries accuracy in the three score columns and the
-    total support, as in the usual text report.
+    total support, as in the usual text report. All rows come from one
+    aggregate over the (label-sized) per-class table, so the predictions are
+    read once.
     """
-    pc = per_class(pairs, labels)
-    body = pc.select(F.col("label").alias("name"), F.col("label_order").alias("row_order"),
-                     _r(F.col("precision")).alias("precision"), _r(F.col("recall")).alias("recall"),
-                     _r(F.col("f1_score")).alias("f1_score"), F.col("support"))
     n = len(labels)
-    macro = pc.agg(F.lit("macro avg").alias("name"), F.lit(n + 1).alias("row_order"),
-                   _r(F.avg("precision")).alias("precision"), _r(F.avg("recall")).alias("recall"),
-                   _r(F.avg("f1_score")).alias("f1_score"), F.sum("support").alias("support"))
-    z = lambda c: _r(F.coalesce(F.try_divide(F.col(c), F.col("w")), F.lit(0.0)))
-    wrow = _weighted_row(pc)
-    accv = _r(F.try_divide(F.col("n_correct").cast("double"), F.col("n_valid")))
-    acc = wrow.select(F.lit("accuracy").alias("name"), F.lit(n).alias("row_order"),
-                      accv.alias("precision"), accv.alias("recall"), accv.alias("f1_score"),
-                      F.col("w").alias("support"))
-    weighted = wrow.select(F.lit("weighted avg").alias("name"), F.lit(n + 2).alias("row_order"),
-                           z("wp").alias("precision"), z("wr").alias("recall"),
-                           z("wf").alias("f1_score"), F.col("w").alias("support"))
-    return body.unionByName(acc).unionByName(macro).unionByName(weighted)
+    pc = per_class(pairs, labels)
+    row = lambda name, order, p, r, f, sup: F.struct(
+        name.alias("name"), order.alias("row_order"), p.alias("precision"), r.alias("recall"),
+        f.alias("f1_score"), sup.cast("long").alias("support"))
+    body = F.collect_list(row(F.col("label"), F.col("label_order"), _r(F.col("precision")),
+                              _r(F.col("recall")), _r(F.col("f1_score")), F.col("support")))
+    w = F.sum("support")
+    wavg = lambda c: _r(F.coalesce(F.try_divide(F.sum(F.col(c) * F.col("support")), w), F.lit(0.0)))
+    acc = _r(F.try_divide(F.sum("tp").cast("double"), F.sum("pred_sum")))
+    tail = F.array(
+        row(F.lit("accuracy"), F.lit(n), acc, acc, acc, w),
+        row(F.lit("macro avg"), F.lit(n + 1), _r(F.avg("precision")), _r(F.avg("recall")),
+            _r(F.avg("f1_score")), w),
+        row(F.lit("weighted avg"), F.lit(n + 2), wavg("precision"), wavg("recall"), wavg("f1_score"), w))
+    return pc.agg(F.concat(body, tail).alias("_rows")).select(F.inline("_rows"))
 
 
 def class_report_body(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
