@@ -1,0 +1,40 @@
+"""Spread CPU-heavy narrow work over all cores when the input is small.
+
+A scan gets one task per file split, but a parquet row group cannot be
+split: a small table written as one big row group is read by ONE task (the
+other splits come up empty), and every other core idles while it
+tokenises. ``spread`` round-robins such an input over the default
+parallelism. It only does so below ``max_bytes`` of input files: a large
+input (many files / row groups) is already read in parallel, and
+reshuffling terabytes of text just to spread it would be waste.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files behind ``df`` (driver-side listing; None if unknown)."""
+    files = df.inputFiles()
+    if not files:
+        return None
+    spark = df.sparkSession
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        if total > SPREAD_MAX_BYTES:
+            break
+    return total
+
+
+def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    n = input_bytes(df)
+    if n is not None and n <= max_bytes:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.parallel import spread
 from quire.functions.text import col_, count_in, tokens
 
 # Function-word rules per language class, in label order.
@@ -37,9 +38,11 @@ LANG_LABELS = list(LANG_RULES)
 UNKNOWN = "unknown"
 
 
-def keyword_scores(text, rules: Mapping[str, Sequence[str]]) -> dict[str, Column]:
-    tok = tokens(text)
-    return {label: count_in(tok, words) for label, words in rules.items()}
+def _best(scores: dict[str, Column]) -> Column:
+    return F.greatest(*[
+        F.struct(s.alias("hits"), F.lit(-i).alias("neg_order"), F.lit(label).alias("label"))
+        for i, (label, s) in enumerate(scores.items())
+    ])
 
 
 def keyword_predict(text, rules: Mapping[str, Sequence[str]] = LANG_RULES,
@@ -48,12 +51,11 @@ def keyword_predict(text, rules: Mapping[str, Sequence[str]] = LANG_RULES,
 
     ``greatest`` over structs compares (hits, -order) so the earliest class
     wins a tie. Null text -> null prediction (an error row upstream).
+    A single Column for small inputs; ``keyword_classify`` is the scan-scale
+    form (it tokenises each text exactly once).
     """
-    scores = keyword_scores(text, rules)
-    best = F.greatest(*[
-        F.struct(s.alias("hits"), F.lit(-i).alias("neg_order"), F.lit(label).alias("label"))
-        for i, (label, s) in enumerate(scores.items())
-    ])
+    tok = tokens(text)
+    best = _best({label: count_in(tok, words) for label, words in rules.items()})
     return (F.when(col_(text).isNull(), F.lit(None).cast("string"))
             .when(best["hits"] == 0, F.lit(unknown))
             .otherwise(best["label"]))
@@ -62,13 +64,22 @@ def keyword_predict(text, rules: Mapping[str, Sequence[str]] = LANG_RULES,
 def keyword_classify(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                      rules: Mapping[str, Sequence[str]] = LANG_RULES,
                      unknown: str = UNKNOWN, keep: Sequence[str] = ()) -> DataFrame:
-    """(id, prediction, error) — narrow projection, no shuffle."""
-    pred = keyword_predict(text_col, rules, unknown)
-    return df.select(
-        F.col(id_col), *[F.col(k) for k in keep],
-        pred.alias("prediction"),
-        F.when(F.col(text_col).isNull(), F.lit("empty input")).alias("error"),
-    )
+    """(id, prediction, error) — narrow projections, no shuffle.
+
+    Three stacked projections: tokens once, then per-class hit counts over
+    the token column, then the arg-max. Catalyst keeps them apart because
+    the token array is expensive and referenced once per class.
+    """
+    keep = list(keep)
+    d = spread(df.select(id_col, text_col, *keep))
+    t = d.select(id_col, *keep, F.col(text_col).isNull().alias("_null"), tokens(text_col).alias("_tok"))
+    h = t.select(id_col, *keep, "_null",
+                 *[count_in(F.col("_tok"), ws).alias(f"_h{i}") for i, ws in enumerate(rules.values())])
+    best = _best({label: F.col(f"_h{i}") for i, label in enumerate(rules)})
+    pred = (F.when(F.col("_null"), F.lit(None).cast("string"))
+            .when(best["hits"] == 0, F.lit(unknown)).otherwise(best["label"]))
+    return h.select(F.col(id_col), *[F.col(k) for k in keep], pred.alias("prediction"),
+                    F.when(F.col("_null"), F.lit("empty input")).alias("error"))
 
 
 BATCH_OUT = T.StructType([

@@ -48,7 +48,9 @@ SQL_LABELS = f"(VALUES {', '.join(f'({i}, {chr(39)}{x}{chr(39)})' for i, x in en
 
 def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, y_true, y_pred) over all documents; J5 keeps pairs with both sides."""
-    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
+    # the prediction is null exactly when the text is: filter on the raw
+    # columns so no predicate over the classifier output is pushed into the scan
+    docs = (Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
+            .filter(F.col("lang").isNotNull() & F.col("text").isNotNull()))
     pred = keyword_classify(docs, keep=["lang"])
-    return (pred.select("doc_id", F.col("lang").alias("y_true"), F.col("prediction").alias("y_pred"))
-            .filter(F.col("y_true").isNotNull() & F.col("y_pred").isNotNull()))
+    return pred.select("doc_id", F.col("lang").alias("y_true"), F.col("prediction").alias("y_pred"))
