@@ -125,7 +125,7 @@ def _field_cols_sql():
     out = []
     for f in I.INVOICE_FIELDS:
         if f in _FIELD_SRC:
-            out.append(f"{_FIELD_SRC[f]} AS {f}_content, 0.95 AS {f}_confidence")
+            out.append(f"{_FIELD_SRC[f]} AS {f}_content, CAST(0.95 AS DOUBLE) AS {f}_confidence")
         else:
             out.append(f"NULL::VARCHAR AS {f}_content, NULL::DOUBLE AS {f}_confidence")
     return ", ".join(out)

@@ -33,7 +33,7 @@ def _split(spark, sf_dir):
 
 @register("stratified_sample", oracle="""
 SELECT doc_id, lang, source, rn FROM (
-  SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents)
+  SELECT doc_id, lang, source, CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS INTEGER) AS rn FROM documents)
 WHERE rn <= 100
 """)
 def stratified_sample(spark, sf_dir):
@@ -42,7 +42,7 @@ def stratified_sample(spark, sf_dir):
 
 @register("head_per_label", oracle="""
 SELECT doc_id, lang, source, rn FROM (
-  SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents)
+  SELECT doc_id, lang, source, CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS INTEGER) AS rn FROM documents)
 WHERE rn <= 10
 """)
 def head_per_label(spark, sf_dir):
