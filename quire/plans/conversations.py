@@ -94,7 +94,16 @@ def message_valid(spark, sf_dir):
     return req.select("conv_id", M.messages_valid(F.col("messages")).alias("valid"))
 
 
-@register("request_body")
+_BODY_SQL = f"""
+WITH {_LAST},
+m AS ({" UNION ALL ".join([_HIST, _SYS_AFTER, _USER])})
+SELECT conv_id, '{{"messages":' || to_json(list(struct_pack(role := role, content := content) ORDER BY o, sub))::VARCHAR
+       || ',"temperature":0.0,"max_tokens":4000,"top_p":0.95}}' AS body
+FROM m GROUP BY conv_id
+"""
+
+
+@register("request_body", oracle=_BODY_SQL)
 def request_body(spark, sf_dir):
     req = M.messages_async(M.split_last_turn(_conv(spark, sf_dir)), SYSTEM)
     return req.select("conv_id", M.request_body(F.col("messages")).alias("body"))

@@ -105,7 +105,9 @@ def invoice_missing_ref(spark, sf_dir):
     return rej.select("o_orderkey", "reason")
 
 
-@register("invoice_parse")
+@register("invoice_parse", oracle="""
+SELECT o_orderkey, o_orderstatus <> 'P' AS valid FROM orders
+""")
 def invoice_parse(spark, sf_dir):
     inv = invoices(spark, sf_dir)
     js = inv.select("o_orderkey", F.to_json(F.struct(*[c for c in inv.columns if c != "o_orderkey"])).alias("js"))
