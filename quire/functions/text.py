@@ -45,3 +45,29 @@ def render(template_head: str, body, template_tail: str) -> Column:
     """Prompt text = head + body + tail via concat (never format strings:
     the body may contain ``%`` or braces)."""
     return F.concat(F.lit(template_head), F.coalesce(col_(body), F.lit("")), F.lit(template_tail))
+
+
+def strip_spaces(c: Column, dtype) -> Column:
+    """Remove every space from every string value at any depth.
+
+    Typed recursion over the schema: structs rebuild their fields, arrays
+    ``transform``, maps ``transform_values`` (keys untouched). No JSON
+    round trip, no Python.
+    """
+    from pyspark.sql import types as T
+
+    if isinstance(dtype, T.StringType):
+        return F.translate(c, " ", "")
+    if isinstance(dtype, T.StructType):
+        return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*[
+            strip_spaces(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: strip_spaces(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(c, lambda k, v: strip_spaces(v, dtype.valueType))
+    return c
+
+
+def strip_spaces_df(df):
+    """P8 over every column of a DataFrame."""
+    return df.select(*[strip_spaces(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])

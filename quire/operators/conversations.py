@@ -158,3 +158,18 @@ def request_body(messages: Column, temperature: float = 0.0, max_tokens: int = 4
     """P20: JSON request body with fixed sampling parameters."""
     return F.to_json(F.struct(messages.alias("messages"), F.lit(temperature).alias("temperature"),
                               F.lit(max_tokens).alias("max_tokens"), F.lit(top_p).alias("top_p")))
+
+
+def image_parts_newest_first(parts: DataFrame, key: str, order: str, url: str) -> DataFrame:
+    """Image parts of a conversation, newest message first (rank from 1);
+    a conversation without any image gets one row with an error."""
+    from pyspark.sql import Window
+
+    imgs = parts.filter(F.col(url).isNotNull())
+    w = Window.partitionBy(key).orderBy(F.col(order).desc())
+    ranked = imgs.select(key, F.row_number().over(w).alias("rank"), F.col(url).alias("url"),
+                         F.lit(None).cast("string").alias("error"))
+    none = (parts.select(key).distinct().join(imgs.select(key), key, "left_anti")
+            .select(key, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("url"),
+                    F.lit("no images found").alias("error")))
+    return ranked.unionByName(none)

@@ -247,3 +247,20 @@ def usage_extract(spark, sf_dir):
     body = F.concat(F.lit('{"usage": {"prompt_tokens": '), F.get_json_object("props", "$.k"),
                     F.lit(', "total_tokens": '), F.get_json_object("props", "$.k"), F.lit("}}"))
     return ev.select("event_id", *TK.usage_fields(body))
+
+
+@register("image_parts", oracle="""
+WITH img AS (SELECT conv_id, turn, 'conv/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) || '.png' AS url
+             FROM conversations WHERE role = 'user')
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS INTEGER) AS rank, url,
+       NULL::VARCHAR AS error FROM img
+UNION ALL
+SELECT DISTINCT conv_id, NULL::INTEGER, NULL::VARCHAR, 'no images found' FROM conversations
+WHERE conv_id NOT IN (SELECT conv_id FROM img)
+""")
+def image_parts(spark, sf_dir):
+    """User turns carry a page image; collect them newest first."""
+    c = _conv(spark, sf_dir)
+    url = F.when(F.col("role") == "user", F.concat(F.lit("conv/"), F.col("conv_id").cast("string"), F.lit("/"),
+                                                   F.col("turn").cast("string"), F.lit(".png")))
+    return M.image_parts_newest_first(c.withColumn("url", url), "conv_id", "turn", "url")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions import text as X
 from quire.operators import invoices as I
 from quire.plans.registry import register
 from quire.sources.tables import Tables
@@ -196,3 +197,29 @@ def invoice_index_record(spark, sf_dir):
     rec = I.index_record(invoices(spark, sf_dir))
     return rec.withColumn("content_vector", F.to_json("content_vector")).withColumn(
         "items_purchased", F.to_json("items_purchased"))
+
+
+@register("strip_spaces_nested", oracle=f"""
+WITH {_INV_SQL}
+SELECT o_orderkey,
+       to_json(list_transform(items, lambda x: struct_pack(name := replace(x.name, ' ', ''), price := x.price,
+                                                           quantity := x.quantity)))::VARCHAR AS items_json,
+       replace(signature_on_document, ' ', '') AS signature_on_document,
+       replace(summary, ' ', '') AS summary
+FROM inv
+""")
+def strip_spaces_nested(spark, sf_dir):
+    """P8 on the typed invoice: every string leaf (item names included) loses its spaces."""
+    inv = X.strip_spaces_df(invoices(spark, sf_dir).select("o_orderkey", "items", "signature_on_document",
+                                                           "summary"))
+    return inv.select("o_orderkey", F.to_json("items").alias("items_json"), "signature_on_document", "summary")
+
+
+@register("embed_first_five")
+def embed_first_five(spark, sf_dir):
+    """K7 + E14: the first five index records (by id) get a content vector."""
+    from quire.operators.retrieval import hashed_embedding
+
+    rec = I.index_record(invoices(spark, sf_dir)).filter(F.col("id").isNotNull())
+    first = rec.orderBy("id").limit(5)
+    return first.select("id", hashed_embedding("content").alias("content_vector"))
