@@ -9,10 +9,10 @@ aggregate, so a key holding a third of all updates is reduced map-side to
 one row per task before any shuffle (a ``row_number`` window would pull the
 whole key into one task). The merge is one anti join plus a union.
 
-Storage: ``<root>/version=<n>/bucket=<b>/*.parquet``. A version is visible
-only once its ``_SUCCESS`` marker exists, so a failed or half-written job
-never becomes current; a retried job simply rewrites the same version
-directory. Buckets (``pmod(xxhash64(key), n)``) let point lookups prune.
+Storage: per-bucket versions plus a commit log (see below). A commit
+reads and rewrites only the buckets its updates hash to, so its cost
+follows the size of the update, not of the collection; a version becomes
+visible only when its commit record exists.
 """
 
 from __future__ import annotations
@@ -67,51 +67,123 @@ def unwrap_fields(df: DataFrame, id_cols: Sequence[str] = ("id", "primary_key"))
 
 
 # ---- versioned storage -----------------------------------------------------------
+#
+# <root>/quire_bucket=<b>/quire_version=<n>/part-*.parquet   bucket b as of commit n
+# <root>/_commits/<n>.json                 {"version": n, "buckets": [...]} written last
+#
+# A commit rewrites only the buckets its updates hash to; every other bucket
+# keeps pointing at its older version. The commit record is written after the
+# data job succeeded, so readers never see a half-written version, and a retry
+# of a failed commit overwrites exactly its own partitions (dynamic partition
+# overwrite) before writing the record.
 
-def _fs(spark: SparkSession, path: str):
+import json as _json
+
+BUCKET, VERSION = "quire_bucket", "quire_version"
+
+
+def _path(spark: SparkSession, *parts: str):
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+    p = jvm.org.apache.hadoop.fs.Path(parts[0])
+    for x in parts[1:]:
+        p = jvm.org.apache.hadoop.fs.Path(p, x)
+    return p
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
+def _fs(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def commits(spark: SparkSession, root: str) -> list[dict]:
+    """Committed versions in order, each ``{"version": n, "buckets": [...]}``."""
+    d = _path(spark, root, "_commits")
+    fs = _fs(spark, d)
+    if not fs.exists(d):
         return []
     out = []
-    for st in fs.listStatus(p):
+    for st in fs.listStatus(d):
         name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(
-                spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+        if name.endswith(".json"):
+            stream = fs.open(st.getPath())
+            try:
+                out.append(_json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            finally:
+                stream.close()
+    return sorted(out, key=lambda c: c["version"])
+
 
+def _write_commit(spark: SparkSession, root: str, version: int, buckets: list[int]) -> None:
+    p = _path(spark, root, "_commits", f"{version}.json")
+    out = _fs(spark, p).create(p, True)
+    try:
+        out.write(bytearray(_json.dumps({"version": version, "buckets": sorted(buckets)}).encode()))
+    finally:
+        out.close()
 
-def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    vs = committed_versions(spark, root)
-    if not vs:
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    return [c["version"] for c in commits(spark, root)]
+
+
+def bucket_versions(spark: SparkSession, root: str) -> dict[int, int]:
+    """Current version of every bucket."""
+    cur: dict[int, int] = {}
+    for c in commits(spark, root):
+        for b in c["buckets"]:
+            cur[b] = c["version"]
+    return cur
+
+
+def _read_buckets(spark: SparkSession, root: str, versions: dict[int, int]) -> DataFrame | None:
+    if not versions:
         return None
-    df = spark.read.parquet(f"{root}/version={vs[-1]}")
-    return df.drop("bucket")
+    paths = [f"{root}/{BUCKET}={b}/{VERSION}={v}" for b, v in sorted(versions.items())]
+    return spark.read.option("basePath", root).parquet(*paths).drop(BUCKET, VERSION)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The collection as of the last commit (latest version of every bucket)."""
+    return _read_buckets(spark, root, bucket_versions(spark, root))
+
+
+def bucket_of(key_col: Column, n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key_col), F.lit(n_buckets)).cast("int")
 
 
 def upsert_table(spark: SparkSession, root: str, updates: DataFrame, key: str, seq: Sequence[str],
-                 n_buckets: int = 64) -> int:
-    """Apply ``updates`` to the collection at ``root``; returns the new version number."""
-    vs = committed_versions(spark, root)
-    cur = read_current(spark, root)
-    base = cur if cur is not None else updates.limit(0)
-    state = merge(base, updates.select(*base.columns), key, seq)
-    new = (vs[-1] + 1) if vs else 0
-    (state.withColumn("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)))
-     .hint("rebalance", "bucket")  # AQE sizes the write tasks, keeping buckets clustered
-     .write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/version={new}"))
+                 n_buckets: int = 1024) -> int:
+    """Merge ``updates`` into the collection at ``root``; returns the new version.
+
+    Reads and rewrites only the buckets the update touches, so the cost of a
+    commit follows the update, not the collection. Size ``n_buckets`` so a
+    bucket holds about a gigabyte; it is fixed for the life of a collection.
+    """
+    good = updates.filter(valid_key(key))
+    touched = [r[0] for r in good.select(bucket_of(F.col(key), n_buckets).alias("b")).distinct().collect()]
+    cs = commits(spark, root)
+    new = (cs[-1]["version"] + 1) if cs else 0
+    if not touched:
+        return cs[-1]["version"] if cs else -1
+    cur = bucket_versions(spark, root)
+    base = _read_buckets(spark, root, {b: cur[b] for b in touched if b in cur})
+    if base is None:
+        base = good.limit(0)
+    state = merge(base, good.select(*base.columns), key, seq)
+    (state.withColumn(BUCKET, bucket_of(F.col(key), n_buckets)).withColumn(VERSION, F.lit(new))
+     .hint("rebalance", BUCKET)  # AQE sizes write tasks, buckets stay clustered
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET, VERSION).parquet(root))
+    _write_commit(spark, root, new, touched)
     return new
 
 
-def lookup(spark: SparkSession, root: str, key: str, value, n_buckets: int = 64) -> DataFrame:
-    """Point read that prunes to one bucket directory."""
-    vs = committed_versions(spark, root)
-    df = spark.read.parquet(f"{root}/version={vs[-1]}")
-    b = F.pmod(F.xxhash64(F.lit(value).cast(df.schema[key].dataType)), F.lit(n_buckets))
-    return df.filter((F.col("bucket") == b) & (F.col(key) == value)).drop("bucket")
+def lookup(spark: SparkSession, root: str, key: str, value, n_buckets: int = 1024) -> DataFrame:
+    """Point read of one key: only its bucket's current directory is scanned."""
+    cur = bucket_versions(spark, root)
+    probe = spark.range(1).select(F.lit(value).alias("k"))
+    some = _read_buckets(spark, root, {next(iter(cur)): cur[next(iter(cur))]})
+    kt = some.schema[key].dataType
+    b = probe.select(bucket_of(F.col("k").cast(kt), n_buckets)).first()[0]
+    if b not in cur:
+        return some.limit(0)
+    return _read_buckets(spark, root, {b: cur[b]}).filter(F.col(key) == F.lit(value).cast(kt))
