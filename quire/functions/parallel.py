@@ -34,7 +34,10 @@ def input_bytes(df: DataFrame) -> int | None:
 
 
 def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= par:
+        return df  # at least one split per core already: no size probing, no shuffle
     n = input_bytes(df)
     if n is not None and n <= max_bytes:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        return df.repartition(par)
     return df
