@@ -87,6 +87,12 @@ def messages_valid(messages: Column) -> Column:
                     lambda m: m["role"].isNotNull() & m["content"].isNotNull())
 
 
+def parts_valid(parts: Column) -> Column:
+    """P18 for multimodal content: every part has a ``type`` or a ``text``."""
+    return F.forall(F.coalesce(parts, F.array().cast(f"array<{PART}>")),
+                    lambda p: p["type"].isNotNull() | p["text"].isNotNull())
+
+
 def assemble_deltas(deltas: DataFrame, key: str, order: str, delta: str) -> DataFrame:
     """Reply text = ordered concatenation of non-null deltas."""
     d = deltas.filter(F.col(delta).isNotNull())

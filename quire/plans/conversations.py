@@ -72,9 +72,10 @@ def append_reply(spark, sf_dir):
 
 
 @register("content_parts", oracle="""
-SELECT conv_id, turn, 0 AS pos, 'text' AS type, text, NULL::VARCHAR AS url FROM conversations
+SELECT conv_id, turn, 0 AS pos, 'text' AS type, text, NULL::VARCHAR AS url, true AS parts_valid FROM conversations
 UNION ALL
-SELECT conv_id, turn, 1, 'image_url', NULL, 'conv/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) || '.png'
+SELECT conv_id, turn, 1, 'image_url', NULL, 'conv/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) || '.png',
+       true
 FROM conversations
 """)
 def content_parts(spark, sf_dir):
@@ -82,8 +83,9 @@ def content_parts(spark, sf_dir):
     url = F.concat(F.lit("conv/"), F.col("conv_id").cast("string"), F.lit("/"),
                    F.col("turn").cast("string"), F.lit(".png"))
     parts = M.content_parts(F.col("text"), F.array(url))
-    return (c.select("conv_id", "turn", F.posexplode(parts).alias("pos", "p"))
-            .select("conv_id", "turn", "pos", "p.type", "p.text", "p.url"))
+    return (c.select("conv_id", "turn", M.parts_valid(parts).alias("parts_valid"),
+                     F.posexplode(parts).alias("pos", "p"))
+            .select("conv_id", "turn", "pos", "p.type", "p.text", "p.url", "parts_valid"))
 
 
 @register("message_valid", oracle="""

@@ -210,3 +210,48 @@ def status_split(spark, sf_dir):
     good, bad = C.status_split(calls)
     return (good.select("event_id", "status", F.lit(True).alias("accepted"))
             .unionByName(bad.select("event_id", "status", F.lit(False).alias("accepted"))))
+
+
+@register("eval_sampled", oracle=f"""
+WITH s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents)
+           WHERE rn <= 10 AND lang IS NOT NULL AND text IS NOT NULL),
+pairs AS (SELECT doc_id, lang AS y_true, {sql_keyword_predict('text')} AS y_pred FROM s),
+pc AS (SELECT * FROM pairs WHERE {VALID})
+SELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 10) AS accuracy,
+       count(*) AS n_valid, (SELECT count(*) FROM pairs WHERE NOT ({VALID})) AS n_hallucinated
+FROM pc
+""")
+def eval_sampled(spark, sf_dir):
+    """The evaluation flow of the reference: 10 documents per class (first by id),
+    classified, then scored (the sample is the feature: a K2 head-per-label)."""
+    from quire.operators.sampling import first_k_per_group
+
+    docs = (Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
+            .filter(F.col("lang").isNotNull() & F.col("text").isNotNull()))
+    sample = first_k_per_group(docs, "lang", ["doc_id"], 10).drop("rn")
+    pred = C.keyword_classify(sample, keep=["lang"])
+    pairs = pred.select("doc_id", F.col("lang").alias("y_true"), F.col("prediction").alias("y_pred"))
+    return E.weighted_metrics(pairs, LABELS).select("accuracy", "n_valid", "n_hallucinated")
+
+
+def _python_keyword_model(row):
+    """A stand-in remote model: the same keyword rules, called once per document."""
+    import re
+
+    toks = [t for t in re.split(r"[^\w]+", str(row["text"].iloc[0]).lower()) if t and not t.isdigit()]
+    best, label = 0, None
+    for lab, words in C.LANG_RULES.items():
+        hits = sum(1 for t in toks if t in words)
+        if hits > best:
+            best, label = hits, lab
+    return label if label is not None else C.UNKNOWN
+
+
+@register("classify_batch_latency")
+def classify_batch_latency(spark, sf_dir):
+    """E1 + E16 + A10 through the pluggable model path: every document goes
+    through ``model_fn`` in ``mapInPandas``; errors and latencies are kept
+    per row and summarised (latencies vary per run: rows-only check)."""
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    calls = C.batch_classify(docs, _python_keyword_model, "doc_id", ["text"])
+    return E.latency_stats(calls)

@@ -37,4 +37,5 @@ def stream_upsert(spark, sf_dir):
     d, schema = _landed(spark, sf_dir, "upsert")
     S.upsert_stream(spark, d["source"], schema, d["table"], d["checkpoint"], "user_id", SEQ,
                     max_files_per_trigger=10)
-    return U.read_current(spark, d["table"]).select(*COLS)
+    cur = U.read_current(spark, d["table"])
+    return cur.select(F.col("user_id").cast("string").alias("id"), *COLS)

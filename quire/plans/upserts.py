@@ -16,9 +16,10 @@ from quire.sources.tables import Tables
 
 CUTOFF = "2024-01-15 00:00:00"
 COLS = ["user_id", "event_id", "ts", "event_type", "value"]
+OUT = ["id"] + COLS
 SEQ = ["ts", "event_id"]
 LAST_WINS_SQL = """
-SELECT user_id, event_id, ts, event_type, value FROM (
+SELECT CAST(user_id AS VARCHAR) AS id, user_id, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events WHERE user_id IS NOT NULL)
 WHERE rn = 1
@@ -31,7 +32,9 @@ def upsert_last_wins(spark, sf_dir):
     early = ev.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp"))
     late = ev.filter(F.col("ts") >= F.lit(CUTOFF).cast("timestamp"))
     target = U.latest_per_key(early.filter(U.valid_key("user_id")), "user_id", SEQ)
-    return U.merge(target, late, "user_id", SEQ).select(*COLS)
+    merged = U.merge(target, late, "user_id", SEQ)
+    # the stored item carries its key as the string ``id``
+    return merged.select(F.col("user_id").cast("string").alias("id"), *COLS)
 
 
 @register("unwrap_fields", oracle="""
