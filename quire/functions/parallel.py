@@ -41,3 +41,16 @@ def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
     if n is not None and n <= max_bytes:
         return df.repartition(par)
     return df
+
+
+MAX_BROADCAST_ROWS = 5_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when the row count is proven to be at most ``max_rows``
+    (a ``limit(max_rows + 1).count()`` probe); otherwise the join is left to a
+    shuffle, where AQE may still pick a broadcast from measured sizes."""
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

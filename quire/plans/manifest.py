@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.functions import urls as U
+from quire.functions.parallel import bounded_broadcast
 from quire.operators import pairing as J
 from quire.operators import sampling as S
 from quire.operators.classify import keyword_predict
@@ -111,8 +112,8 @@ SELECT class, class || '.jsonl' AS list_file, path AS file FROM c JOIN q USING (
 def class_files(spark, sf_dir):
     p = J.paired(_docs(spark, sf_dir), _done(spark, sf_dir), "doc_id").withColumn("class", _class_col())
     q = FS.qualifying_classes(p, "class", 5).select("class")
-    # the qualifying-class table is bounded by the number of classes
-    return (p.join(F.broadcast(q), "class")
+    # the qualifying-class table has one row per class: broadcast after a size check
+    return (p.join(bounded_broadcast(q), "class")
             .select("class", F.concat("class", F.lit(".jsonl")).alias("list_file"), F.col("path").alias("file")))
 
 
