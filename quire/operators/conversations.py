@@ -166,15 +166,21 @@ def request_body(messages: Column, temperature: float = 0.0, max_tokens: int = 4
                               F.lit(max_tokens).alias("max_tokens"), F.lit(top_p).alias("top_p")))
 
 
-def image_parts_newest_first(parts: DataFrame, key: str, order: str, url: str) -> DataFrame:
+def image_parts_newest_first(parts: DataFrame, key: str, order: str, url: str,
+                             bucket_width: int = 1024) -> DataFrame:
     """Image parts of a conversation, newest message first (rank from 1);
-    a conversation without any image gets one row with an error."""
-    from pyspark.sql import Window
+    a conversation without any image gets one row with an error.
 
-    imgs = parts.filter(F.col(url).isNotNull())
-    w = Window.partitionBy(key).orderBy(F.col(order).desc())
-    ranked = imgs.select(key, F.row_number().over(w).alias("rank"), F.col(url).alias("url"),
-                         F.lit(None).cast("string").alias("error"))
+    The newest-first rank is a ``bucketed_rank`` over turn ranges, so even a
+    conversation holding a third of all rows is ranked by many tasks.
+    """
+    from quire.operators.sampling import bucketed_rank
+
+    imgs = parts.filter(F.col(url).isNotNull()).select(key, order, url)
+    ranked = bucketed_rank(imgs, [key], [F.col(order).desc()],
+                           F.floor(-F.col(order) / F.lit(bucket_width)), out="_r")
+    ranked = ranked.select(key, (F.col("_r") + 1).cast("int").alias("rank"), F.col(url).alias("url"),
+                           F.lit(None).cast("string").alias("error"))
     none = (parts.select(key).distinct().join(imgs.select(key), key, "left_anti")
             .select(key, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("url"),
                     F.lit("no images found").alias("error")))

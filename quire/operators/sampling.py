@@ -30,11 +30,19 @@ def order_hash(key: str, seed: str) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def hash_rank(df: DataFrame, group_cols: Sequence[str], key: str, seed: str,
-              out: str = "rank0", with_total: str | None = None) -> DataFrame:
-    """0-based rank of each row inside its group in md5(key:seed) order (ties by key)."""
+def bucketed_rank(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], bucket: Column,
+                  out: str = "rank0", with_total: str | None = None) -> DataFrame:
+    """0-based rank of each row inside its group by ``order``, without one big window.
+
+    ``bucket`` must be monotone in ``order`` (rows of a lower bucket sort
+    before rows of a higher one). Counts per (group, bucket) are a partial
+    aggregate; a window over that small table gives each bucket's offset;
+    the final ``row_number`` runs per (group, bucket), so a hot group is
+    ranked by many tasks. Equal to ``row_number() over (partition by group
+    order by order) - 1`` when ``order`` is a total order.
+    """
     g = list(group_cols)
-    d = df.withColumn("_h", order_hash(key, seed)).withColumn("_b", F.substring("_h", 1, BUCKET_HEX))
+    d = df.withColumn("_b", bucket)
     bc = d.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wg = Window.partitionBy(*g).orderBy("_b")
     bc = bc.withColumn("_before", F.coalesce(
@@ -42,10 +50,20 @@ def hash_rank(df: DataFrame, group_cols: Sequence[str], key: str, seed: str,
     if with_total:
         bc = bc.withColumn(with_total, F.sum("_cnt").over(Window.partitionBy(*g)))
     bc = bc.drop("_cnt")
-    inb = F.row_number().over(Window.partitionBy(*g, "_b").orderBy("_h", key))
+    inb = F.row_number().over(Window.partitionBy(*g, "_b").orderBy(*order))
     return (d.join(bc, g + ["_b"])
             .withColumn(out, F.col("_before") + inb - 1)
-            .drop("_h", "_b", "_before"))
+            .drop("_b", "_before"))
+
+
+def hash_rank(df: DataFrame, group_cols: Sequence[str], key: str, seed: str,
+              out: str = "rank0", with_total: str | None = None) -> DataFrame:
+    """0-based rank of each row inside its group in md5(key:seed) order (ties by key);
+    buckets are the first hex digits of the md5, so they are uniform."""
+    d = df.withColumn("_h", order_hash(key, seed))
+    r = bucketed_rank(d, group_cols, [F.col("_h"), F.col(key)], F.substring("_h", 1, BUCKET_HEX),
+                      out=out, with_total=with_total)
+    return r.drop("_h")
 
 
 def first_k_per_group(df: DataFrame, group_col: str, order_cols: Sequence[str], k: int,

@@ -44,3 +44,12 @@ def test_batches_have_at_most_batch_size(spark):
     b = S.add_batches(df, "k", batch_size=100)
     sizes = [r["count"] for r in b.groupBy("bucket", "batch_id").count().collect()]
     assert max(sizes) <= 100 and sum(sizes) == 1000
+
+
+def test_bucketed_rank_descending_in_hot_group(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(0, 5000).select((F.col("id") % 2).alias("g"), F.col("id").alias("t"))
+    got = S.bucketed_rank(df, ["g"], [F.col("t").desc()], F.floor(-F.col("t") / 64), out="r")
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.col("t").desc())) - 1)
+    assert got.select("g", "t", "r").exceptAll(want.select("g", "t", "r")).count() == 0
