@@ -189,30 +189,35 @@ def class_report_body(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def latency_stats(df: DataFrame, seconds: str = "seconds", error: str = "error",
-                  group_cols: Sequence[str] = (), approx: bool = False,
+                  group_cols: Sequence[str] = (), method: str = "bounded",
                   accuracy: int = 100000) -> DataFrame:
     """A10 + A17: mean, median, min, max, p95, p99 over successes (4 decimals) + errors.
 
-    One aggregation pass. ``percentile`` is exact with linear interpolation
-    and merges per-task value->count maps, so its state is bounded by the
-    number of distinct latencies; ``approx=True`` switches to the
-    fixed-memory ``percentile_approx`` sketch for very high-cardinality
-    groups.
+    ``method``:
+    * ``"bounded"`` (default) — exact, linear interpolation, state bounded
+      independently of the data (``quantiles.exact_quantiles``, two passes);
+    * ``"exact"`` — Spark's ``percentile`` in the same single pass (its
+      state is a map of distinct values per group);
+    * ``"approx"`` — ``percentile_approx`` sketch, one pass, fixed memory.
     """
+    from quire.operators.quantiles import exact_quantiles
+
     ok = F.col(error).isNull() & F.col(seconds).isNotNull()
     v = F.when(ok, F.col(seconds).cast("double"))
-    if approx:
-        q = F.percentile_approx(v, [0.5, 0.95, 0.99], accuracy)
-    else:
-        q = F.percentile(v, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    aggs = [
-        F.round(F.avg(v), 4).alias("mean"),
-        F.round(q[0], 4).alias("median"),
-        F.round(F.min(v), 4).alias("min"),
-        F.round(F.max(v), 4).alias("max"),
-        F.round(q[1], 4).alias("p95"),
-        F.round(q[2], 4).alias("p99"),
-        F.count(v).alias("n_ok"),
-        F.count_if(F.col(error).isNotNull()).alias("errors"),
-    ]
-    return df.groupBy(*group_cols).agg(*aggs)
+    base = [F.round(F.avg(v), 4).alias("mean"), F.round(F.min(v), 4).alias("min"),
+            F.round(F.max(v), 4).alias("max"), F.count(v).alias("n_ok"),
+            F.count_if(F.col(error).isNotNull()).alias("errors")]
+    cols = list(group_cols) + ["mean", "median", "min", "max", "p95", "p99", "n_ok", "errors"]
+    if method in ("exact", "approx"):
+        q = (F.percentile(v, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))) if method == "exact"
+             else F.percentile_approx(v, [0.5, 0.95, 0.99], accuracy))
+        qs = [F.round(q[0], 4).alias("median"), F.round(q[1], 4).alias("p95"), F.round(q[2], 4).alias("p99")]
+        return df.groupBy(*group_cols).agg(*base, *qs).select(*cols)
+    if method != "bounded":
+        raise ValueError(f"unknown method {method!r}")
+    g = list(group_cols) or ["_g"]
+    src = df if group_cols else df.withColumn("_g", F.lit(0))
+    stats = src.groupBy(*g).agg(*base)
+    q = exact_quantiles(src.filter(ok), seconds, [0.5, 0.95, 0.99], g, ["median", "p95", "p99"], accuracy)
+    q = q.select(*g, *[F.round(c, 4).alias(c) for c in ("median", "p95", "p99")])
+    return stats.join(q, g, "left").select(*cols)

@@ -82,5 +82,7 @@ def test_latency_stats_match_numpy(spark):
     assert r.p95 == round(float(np.percentile(vals, 95)), 4)
     assert r.p99 == round(float(np.percentile(vals, 99)), 4)
     assert (r.min, r.max, r.n_ok, r.errors) == (0.5, 10.0, 7, 2)
-    approx = E.latency_stats(df, approx=True).collect()[0]
-    assert approx.min == 0.5 and approx.errors == 2
+    for method in ("exact", "approx"):
+        other = E.latency_stats(df, method=method).collect()[0]
+        assert other.min == 0.5 and other.errors == 2
+    assert E.latency_stats(df, method="exact").collect()[0].p95 == r.p95
