@@ -72,3 +72,55 @@ def test_stream_ingest_restart_processes_nothing(spark, tmp_dir):
     S.land_files(spark.range(100, 110).select(F.col("id"), F.lit(9).alias("day")), src, "day")
     assert S.ingest_available(spark, src, schema, sink, ck) == 10
     assert spark.read.parquet(sink).count() == 110
+
+
+def test_image_classify_with_fake_multimodal_model(spark):
+    from quire.functions.text import data_uri
+
+    df = spark.createDataFrame([(1, bytearray(b"\x89PNG-invoice")), (2, bytearray(b"\x89PNG-memo"))],
+                               "id long, content binary")
+    req = df.select("id", data_uri(F.col("content")).alias("uri"))
+
+    def model(row):
+        import base64
+
+        body = base64.b64decode(row["uri"].iloc[0].split(",", 1)[1])
+        return "invoice" if b"invoice" in body else "memo"
+
+    out = {r.id: r.prediction for r in C.batch_classify(req, model, "id", ["uri"]).collect()}
+    assert out == {1: "invoice", 2: "memo"}
+    assert req.first().uri.startswith("data:image/jpeg;base64,")
+
+
+def test_embed_with_retries_then_succeeds(spark):
+    from quire.operators.retrieval import embed_with
+
+    calls = {"n": 0}
+
+    def flaky(texts):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise TimeoutError("busy")
+        return [[float(len(t)), 1.0] for t in texts]
+
+    df = spark.createDataFrame([(1, "abc"), (2, None)], "id long, text string").coalesce(1)
+    got = {r.id: r.embedding for r in embed_with(df, "text", flaky, 2, "id").collect()}
+    assert got == {1: [3.0, 1.0], 2: [0.0, 1.0]}
+
+
+def test_cache_computes_each_missing_key_once(spark):
+    from quire.operators import pairing as J
+
+    req = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c")], "rid long, prompt string")
+    cache = req.filter("prompt = 'c'").select(J.cache_key(["prompt"]).alias("key"),
+                                              F.lit("cached").alias("response"))
+    seen = []
+
+    def compute(keys):
+        seen.append(keys)
+        return keys.select("key", F.concat(F.lit("new:"), "prompt").alias("response"))
+
+    answers, fresh = J.cached_apply(req, cache, ["prompt"], compute)
+    got = {r.rid: r.response for r in answers.collect()}
+    assert got == {1: "new:a", 2: "new:a", 3: "new:b", 4: "cached"}
+    assert fresh.count() == 2
