@@ -163,9 +163,16 @@ def doc_vector_search(spark, sf_dir):
     return _doc_vector_hits(spark, sf_dir)
 
 
-def _fused(spark, sf_dir):
-    kw = R.top_k(R.bm25_scores(_docs(spark, sf_dir), "doc_id", "text", _queries(spark, sf_dir),
-                               "item_id", "text"), "item_id", "doc_id", FUSE_DEPTH)
+def _index(spark, sf_dir):
+    """One BM25 index (one pass over the text) shared by ranking, rerank and snippets."""
+    from quire.functions.text import snippet
+
+    return R.bm25_index(_docs(spark, sf_dir), "doc_id", "text", _queries(spark, sf_dir), "item_id", "text",
+                        {"snippet": snippet("text")})
+
+
+def _fused(spark, sf_dir, idx):
+    kw = R.top_k(R.bm25_scores(idx, "doc_id", "item_id"), "item_id", "doc_id", FUSE_DEPTH)
     vec = _doc_vector_hits(spark, sf_dir).withColumnRenamed("vid", "doc_id")
     return R.rrf(kw.withColumnRenamed("item_id", "qid"), vec)
 
@@ -175,12 +182,12 @@ WITH {_FUSE_CTE}
 SELECT qid, rank, doc_id, score FROM ({_rank_sql('fused', 'qid', 'doc_id', HYBRID_TOP)})
 """)
 def hybrid_rrf(spark, sf_dir):
-    return R.top_k(_fused(spark, sf_dir), "qid", "doc_id", HYBRID_TOP).select("qid", "rank", "doc_id", "score")
+    fused = _fused(spark, sf_dir, _index(spark, sf_dir))
+    return R.top_k(fused, "qid", "doc_id", HYBRID_TOP).select("qid", "rank", "doc_id", "score")
 
 
-def _reranked(spark, sf_dir):
-    return R.coverage_rerank(_fused(spark, sf_dir), _docs(spark, sf_dir), "doc_id", "text",
-                             _queries(spark, sf_dir), "item_id", "text", top=RERANK_TOP)
+def _reranked(spark, sf_dir, idx):
+    return R.coverage_rerank(_fused(spark, sf_dir, idx), idx, "doc_id", "item_id", top=RERANK_TOP)
 
 
 @register("rerank_topk", oracle=f"""
@@ -188,7 +195,7 @@ WITH {_RERANK_CTE}
 SELECT qid, rank, doc_id, score, rerank_score FROM rtop
 """)
 def rerank_topk(spark, sf_dir):
-    return _reranked(spark, sf_dir)
+    return _reranked(spark, sf_dir, _index(spark, sf_dir))
 
 
 @register("rag_prompt", oracle=f"""
@@ -200,8 +207,9 @@ SELECT item_id AS qid, {_sql_lit(R.RAG_HEAD)} || coalesce(context, '') || {_sql_
 FROM benchmark LEFT JOIN ctx ON ctx.qid = benchmark.item_id
 """)
 def rag_prompt(spark, sf_dir):
-    return R.rag_prompt(_reranked(spark, sf_dir), _docs(spark, sf_dir), "doc_id", "text",
-                        _queries(spark, sf_dir), "item_id", "text")
+    idx = _index(spark, sf_dir)
+    return R.rag_prompt(_reranked(spark, sf_dir, idx), idx.docs, "doc_id", _queries(spark, sf_dir),
+                        "item_id", "text")
 
 
 @register("index_validate", oracle="""
