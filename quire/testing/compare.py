@@ -12,7 +12,9 @@ def norm(v, digits: int = 6):
     if isinstance(v, bool):
         return v
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, digits) + 0.0
+        if math.isnan(v):
+            return "nan"
+        return v + 0.0 if digits is None else round(v, digits) + 0.0
     if isinstance(v, (list, tuple)):
         return tuple(norm(x, digits) for x in v)
     if isinstance(v, dict):
