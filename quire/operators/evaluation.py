@@ -41,6 +41,20 @@ def _labels_col(labels: Sequence[str]) -> Column:
     return F.array(*[F.lit(x) for x in labels])
 
 
+def normalise_labels(pairs: DataFrame, labels: Sequence[str], cols: Sequence[str] = ("y_true", "y_pred")):
+    """Compare labels the way model output is cleaned (spaces and quotes removed):
+    returns (pairs with cleaned ``cols``, cleaned label list). Without it a
+    cleaned prediction such as 'filefolder' never matches 'file folder' and
+    counts as a hallucination."""
+    from quire.functions.text import clean_label
+
+    clean = [x.replace(" ", "").replace('"', "") for x in labels]
+    out = pairs
+    for c in cols:
+        out = out.withColumn(c, clean_label(c))
+    return out, clean
+
+
 def mark_hallucinations(pairs: DataFrame, labels: Sequence[str],
                         pred: str = "y_pred", out: str = "y_mapped") -> DataFrame:
     """A2: prediction outside the label list -> 'hallucination'."""
@@ -122,7 +136,7 @@ def _weighted_row(pc: DataFrame) -> DataFrame:
 
 
 def weighted_metrics(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """A5 + A6: one row (accuracy, precision, recall, f1_score, n_valid, n_hallucinated).
+    """A5 + A6: one row (accuracy, precision, recall, f1_score, n_valid, n_hallucinated, coverage).
 
     Accuracy is over valid rows only; null when every prediction is invalid.
     Every valid row predicts some label, so n_valid = sum of pred_sum and
@@ -132,7 +146,9 @@ def weighted_metrics(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     return _weighted_row(per_class(pairs, labels)).select(
         _r(F.try_divide(F.col("n_correct").cast("double"), F.col("n_valid"))).alias("accuracy"),
         z("wp").alias("precision"), z("wr").alias("recall"), z("wf").alias("f1_score"),
-        F.col("n_valid"), F.col("n_h").alias("n_hallucinated"))
+        F.col("n_valid"), F.col("n_h").alias("n_hallucinated"),
+        # accuracy leaves hallucinations out; coverage says how much it leaves out
+        _r(F.try_divide(F.col("n_valid").cast("double"), F.col("n_valid") + F.col("n_h"))).alias("coverage"))
 
 
 def confusion_long(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:

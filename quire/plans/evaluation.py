@@ -92,7 +92,9 @@ SELECT round(sum(tp)::DOUBLE / nullif(sum(pred_sum), 0), 10) AS accuracy,
        round(coalesce(sum(recall * support) / nullif(sum(support), 0), 0.0), 10) AS recall,
        round(coalesce(sum(f1_score * support) / nullif(sum(support), 0), 0.0), 10) AS f1_score,
        sum(pred_sum)::BIGINT AS n_valid,
-       (SELECT count(*) FROM pairs WHERE NOT ({VALID})) AS n_hallucinated
+       (SELECT count(*) FROM pairs WHERE NOT ({VALID})) AS n_hallucinated,
+       round(sum(pred_sum)::DOUBLE / nullif(sum(pred_sum) + (SELECT count(*) FROM pairs WHERE NOT ({VALID})), 0), 10)
+         AS coverage
 FROM f
 """)
 def eval_weighted(spark, sf_dir):

@@ -86,3 +86,13 @@ def test_latency_stats_match_numpy(spark):
         other = E.latency_stats(df, method=method).collect()[0]
         assert other.min == 0.5 and other.errors == 2
     assert E.latency_stats(df, method="exact").collect()[0].p95 == r.p95
+
+
+def test_coverage_and_label_normalisation(spark):
+    labels = ["file folder", "memo"]
+    rows = [("file folder", "filefolder"), ("memo", "memo"), ("memo", '"memo"'), ("memo", "junk")]
+    raw = E.weighted_metrics(pairs(spark, rows), labels).collect()[0]
+    assert (raw.n_valid, raw.n_hallucinated) == (1, 3) and raw.coverage == pytest.approx(0.25)
+    cleaned, clean_labels = E.normalise_labels(pairs(spark, rows), labels)
+    r = E.weighted_metrics(cleaned, clean_labels).collect()[0]
+    assert (r.n_valid, r.n_hallucinated, r.accuracy) == (3, 1, 1.0)

@@ -30,7 +30,8 @@ def test_entry_runs(spark):
     df = se.entry(spark)
     rows = df.collect()
     assert len(rows) == 1
-    assert set(df.columns) == {"accuracy", "precision", "recall", "f1_score", "n_valid", "n_hallucinated"}
+    assert set(df.columns) == {"accuracy", "precision", "recall", "f1_score", "n_valid", "n_hallucinated",
+                               "coverage"}
 
 
 def test_every_query_has_unique_name():
