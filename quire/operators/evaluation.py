@@ -237,3 +237,25 @@ def latency_stats(df: DataFrame, seconds: str = "seconds", error: str = "error",
     q = exact_quantiles(src.filter(ok), seconds, [0.5, 0.95, 0.99], g, ["median", "p95", "p99"], accuracy)
     q = q.select(*g, *[F.round(c, 4).alias(c) for c in ("median", "p95", "p99")])
     return stats.join(q, g, "left").select(*cols)
+
+
+def evaluate_run(calls: DataFrame, truth: DataFrame, labels: Sequence[str], id_col: str = "id",
+                 truth_col: str = "y_true") -> DataFrame:
+    """Metrics and latency of one batch-inference run, in one row.
+
+    ``calls`` is the (id, prediction, error, seconds) log of ``batch_classify``.
+    A model may answer differently when called again, so the log is
+    materialised once (written to the shared checkpoint folder) and both
+    the metrics and the latency statistics read that same run. Failed rows
+    count as errors and are left out of the metrics (the reference drops
+    them from its pairs).
+    """
+    from quire.session import cut_lineage
+
+    log = cut_lineage(calls, "inference-run")
+    pairs = (log.filter(F.col("prediction").isNotNull())
+             .join(truth.select(F.col(id_col), F.col(truth_col).alias("y_true")), id_col)
+             .select("y_true", F.col("prediction").alias("y_pred")))
+    m = weighted_metrics(pairs, labels).withColumn("_g", F.lit(0))
+    lat = latency_stats(log).withColumn("_g", F.lit(0))
+    return m.join(lat, "_g").drop("_g")  # two one-row results side by side

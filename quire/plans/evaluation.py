@@ -257,3 +257,14 @@ def classify_batch_latency(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
     calls = C.batch_classify(docs, _python_keyword_model, "doc_id", ["text"])
     return E.latency_stats(calls)
+
+
+@register("classify_eval_run")
+def classify_eval_run(spark, sf_dir):
+    """nb04-style run: every document through the pluggable model, then
+    metrics and latency from the same materialised call log (latency varies
+    per run: rows-only check)."""
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
+    calls = C.batch_classify(docs, _python_keyword_model, "doc_id", ["text"])
+    truth = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("y_true"))
+    return E.evaluate_run(calls, truth, LABELS)
