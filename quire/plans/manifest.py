@@ -257,3 +257,18 @@ def prompt_cache(spark, sf_dir):
     hits = cache0.select("key", F.lit(True).alias("hit"))
     return (answers.join(hits, "key", "left")
             .select("doc_id", "key", "response", F.coalesce("hit", F.lit(False)).alias("hit")))
+
+
+@register("file_metadata")
+def file_metadata(spark, sf_dir):
+    """S7 + S8 over the table files themselves: url, name, size, type, ISO time.
+    Only file listings are read (the ``content`` column is pruned)."""
+    return FS.format_metadata(FS.file_metadata(spark, sf_dir))
+
+
+@register("binary_documents")
+def binary_documents(spark, sf_dir):
+    """Recursive binary scan with a case-insensitive suffix allow-list (here the
+    table files); one row per file with its size and a content digest."""
+    docs = FS.read_documents(spark, sf_dir, allowed=(".parquet",))
+    return docs.select(F.col("path"), F.col("length"), F.sha2(F.col("content"), 256).alias("sha256"))

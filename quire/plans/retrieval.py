@@ -4,7 +4,6 @@ centroids)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from quire.operators import retrieval as R
 from quire.plans.common import sql_tokens
