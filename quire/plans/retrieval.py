@@ -171,7 +171,7 @@ def _index(spark, sf_dir):
 
 
 def _fused(spark, sf_dir, idx):
-    kw = R.top_k(R.bm25_scores(idx, "doc_id", "item_id"), "item_id", "doc_id", FUSE_DEPTH)
+    kw = R.bm25_top_k(idx, "doc_id", "item_id", FUSE_DEPTH)
     vec = _doc_vector_hits(spark, sf_dir).withColumnRenamed("vid", "doc_id")
     return R.rrf(kw.withColumnRenamed("item_id", "qid"), vec)
 
