@@ -256,6 +256,7 @@ def evaluate_run(calls: DataFrame, truth: DataFrame, labels: Sequence[str], id_c
     pairs = (log.filter(F.col("prediction").isNotNull())
              .join(truth.select(F.col(id_col), F.col(truth_col).alias("y_true")), id_col)
              .select("y_true", F.col("prediction").alias("y_pred")))
-    m = weighted_metrics(pairs, labels).withColumn("_g", F.lit(0))
-    lat = latency_stats(log).withColumn("_g", F.lit(0))
-    return m.join(lat, "_g").drop("_g")  # two one-row results side by side
+    m = weighted_metrics(pairs, labels)
+    lat = latency_stats(log)
+    # the latency row joins the metrics row as scalar subqueries (merged into one by Catalyst)
+    return m.select(*m.columns, *[lat.select(c).scalar().alias(c) for c in lat.columns])
