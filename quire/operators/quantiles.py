@@ -38,11 +38,17 @@ def _kth(slice_col: Column, k: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], group_cols: Sequence[str] = (),
                     names: Sequence[str] | None = None, accuracy: int = 100_000) -> DataFrame:
-    """(group..., q...) — exact interpolated percentiles of ``value`` (nulls ignored)."""
+    """(group..., q...) — exact interpolated percentiles of ``value`` (nulls ignored).
+
+    Every data row meets its group's bracket arrays once (no copy per
+    percentile): the counts below each bracket are ``count_if`` columns of
+    one aggregate, and only rows inside some bracket are exploded.
+    """
     names = list(names or [f"p{int(round(p * 100))}" for p in ps])
+    k = len(ps)
     glob = not group_cols
     # a global quantile is one group with a constant key (an equi-join key for
-    # the broadcast of the per-percentile bounds, never a cross join)
+    # the broadcast of the per-group brackets, never a cross join)
     g = ["_g"] if glob else list(group_cols)
     eps = 3.0 / accuracy
     d = df.select(*([F.lit(0).alias("_g")] if glob else [F.col(c) for c in g]),
@@ -50,30 +56,33 @@ def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], group_cols:
     probes = [x for p in ps for x in (max(0.0, p - eps), min(1.0, p + eps))]
     st = d.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"),
                            F.percentile_approx("_v", probes, accuracy).alias("_q"))
-    pcol = F.array(*[F.lit(float(p)) for p in ps])
-    tgt = st.select(*g, "_n", "_q", F.explode(F.sequence(F.lit(0), F.lit(len(ps) - 1))).alias("_i"))
-    tgt = tgt.select(*g, "_i", "_n",
-                     ((F.col("_n") - 1) * F.element_at(pcol, F.col("_i") + 1)).alias("_pos"),
-                     # a group smaller than ``accuracy`` is its own range (bounded by
-                     # ``accuracy`` rows); above that the +-3/accuracy band spans at
-                     # least two ranks more than the sketch's error on each side
-                     F.when(F.col("_n") < accuracy, F.lit(float("-inf")))
-                     .otherwise(F.element_at("_q", 2 * F.col("_i") + 1)).alias("_lo"),
-                     F.when(F.col("_n") < accuracy, F.lit(float("inf")))
-                     .otherwise(F.element_at("_q", 2 * F.col("_i") + 2)).alias("_hi"))
-    # one row per (group, percentile): broadcast when small, else a shuffle join
-    j = d.join(bounded_broadcast(tgt.select(*g, "_i", "_lo", "_hi")), g)
-    below = j.groupBy(*g, "_i").agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    vc = (j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    # a group smaller than ``accuracy`` is its own bracket (bounded by ``accuracy``
+    # rows); above that the +-3/accuracy band spans at least two ranks more than
+    # the sketch's error on each side
+    small = F.col("_n") < accuracy
+    lo = F.array(*[F.when(small, F.lit(float("-inf"))).otherwise(F.col("_q")[2 * i]) for i in range(k)])
+    hi = F.array(*[F.when(small, F.lit(float("inf"))).otherwise(F.col("_q")[2 * i + 1]) for i in range(k)])
+    br = st.select(*g, "_n", lo.alias("_lo"), hi.alias("_hi"))
+    j = d.join(bounded_broadcast(br.select(*g, "_lo", "_hi")), g)
+    below = j.groupBy(*g).agg(*[F.count_if(F.col("_v") < F.col("_lo")[i]).alias(f"_b{i}") for i in range(k)])
+    inside = F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
+                      lambda i: (F.col("_v") >= F.element_at("_lo", i + 1)) & (F.col("_v") <= F.element_at("_hi", i + 1)))
+    vc = (j.select(*g, "_v", F.explode(inside).alias("_i"))
           .groupBy(*g, "_i", "_v").agg(F.count(F.lit(1)).alias("_c")))
     sl = vc.groupBy(*g, "_i").agg(F.array_sort(F.collect_list(
         F.struct(F.col("_v").alias("v"), F.col("_c").alias("c")))).alias("_s"))
-    r = tgt.join(below, g + ["_i"]).join(sl, g + ["_i"], "left")
+    pcol = F.array(*[F.lit(float(p)) for p in ps])
+    bcol = F.array(*[F.col(f"_b{i}") for i in range(k)])
+    tgt = (br.join(below, g).select(*g, "_n", bcol.alias("_ba"),
+                                    F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
+           .select(*g, "_i", ((F.col("_n") - 1) * F.element_at(pcol, F.col("_i") + 1)).alias("_pos"),
+                   F.element_at("_ba", F.col("_i") + 1).alias("_below")))
+    r = tgt.join(sl, g + ["_i"], "left")
     lo_r, hi_r = F.floor("_pos"), F.ceil("_pos")
     vlo = _kth(F.col("_s"), lo_r - F.col("_below"))
     vhi = _kth(F.col("_s"), hi_r - F.col("_below"))
     val = F.when(lo_r == hi_r, vlo).otherwise((hi_r - F.col("_pos")) * vlo + (F.col("_pos") - lo_r) * vhi)
     wide = (r.select(*g, "_i", val.alias("_val"))
-            .groupBy(*g).pivot("_i", list(range(len(ps)))).agg(F.first("_val")))
+            .groupBy(*g).pivot("_i", list(range(k))).agg(F.first("_val")))
     out = wide.select(*g, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])
     return out.drop("_g") if glob else out
