@@ -92,7 +92,8 @@ BATCH_OUT = T.StructType([
 
 def batch_classify(df: DataFrame, model_fn: Callable[[pd.DataFrame], pd.Series],
                    id_col: str, input_cols: Sequence[str],
-                   concurrency: int | None = None) -> DataFrame:
+                   concurrency: int | None = None, max_attempts: int = 1,
+                   backoff_seconds: float = 1.0) -> DataFrame:
     """Run ``model_fn`` over Arrow batches; keep every row with its error and latency.
 
     ``model_fn`` receives a one-row pandas frame of ``input_cols`` and returns
@@ -101,7 +102,9 @@ def batch_classify(df: DataFrame, model_fn: Callable[[pd.DataFrame], pd.Series],
     thread-pool loop. ``concurrency`` caps concurrent model calls by the
     number of partitions (a model endpoint's rate limit), not by threads.
     Filter and prune *before* calling this: Catalyst cannot push through
-    ``mapInPandas``.
+    ``mapInPandas``. ``max_attempts`` > 1 retries a failing call with
+    exponential back-off inside the task (the latency kept is that of the
+    successful attempt); Spark's own task retry only covers lost executors.
     """
     src = df.select(F.col(id_col).cast("long").alias("id"), *[F.col(c) for c in input_cols])
     if concurrency:
@@ -112,16 +115,24 @@ def batch_classify(df: DataFrame, model_fn: Callable[[pd.DataFrame], pd.Series],
             out = []
             for i in range(len(pdf)):
                 row = pdf.iloc[i:i + 1]
-                t0 = time.perf_counter()
-                try:
-                    pred = model_fn(row)
-                    if pred is None:
-                        out.append((int(row["id"].iloc[0]), None, "no prediction", None))
-                    else:
-                        out.append((int(row["id"].iloc[0]), str(pred), None,
-                                    time.perf_counter() - t0))
-                except Exception as e:  # the row fails, the task goes on
-                    out.append((int(row["id"].iloc[0]), None, f"{type(e).__name__}: {e}", None))
+                rid = int(row["id"].iloc[0])
+                pred, err, secs = None, None, None
+                for attempt in range(max_attempts):
+                    t0 = time.perf_counter()
+                    try:
+                        pred, err = model_fn(row), None
+                        secs = time.perf_counter() - t0
+                        break
+                    except Exception as e:  # the row fails, the task goes on
+                        err = f"{type(e).__name__}: {e}"
+                        if attempt + 1 < max_attempts:
+                            time.sleep(backoff_seconds * (2 ** attempt))
+                if err is not None:
+                    out.append((rid, None, err, None))
+                elif pred is None:
+                    out.append((rid, None, "no prediction", None))
+                else:
+                    out.append((rid, str(pred), None, secs))
             yield pd.DataFrame(out, columns=["id", "prediction", "error", "seconds"])
 
     return src.mapInPandas(run, BATCH_OUT)

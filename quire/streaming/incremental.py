@@ -67,3 +67,21 @@ def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table:
     q = (r.load(source).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def ingest_layouts(spark: SparkSession, root: str, schema: T.StructType, sink: str, checkpoint: str,
+                   max_files_per_trigger: int | None = None) -> int:
+    """T1 as in the reference's layout step: every ``*.ocr.json`` below ``root``
+    not seen before lands in the ``sink`` table with its file path; a rerun
+    processes only files added since. Returns the rows taken."""
+    from pyspark.sql import functions as F
+
+    r = (spark.readStream.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
+         .option("pathGlobFilter", "*.ocr.json"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = r.json(root).withColumn("file", F.col("_metadata.file_path"))
+    q = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sum(p.get("numInputRows", 0) for p in q.recentProgress)

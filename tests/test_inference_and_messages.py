@@ -124,3 +124,40 @@ def test_cache_computes_each_missing_key_once(spark):
     got = {r.rid: r.response for r in answers.collect()}
     assert got == {1: "new:a", 2: "new:a", 3: "new:b", 4: "cached"}
     assert fresh.count() == 2
+
+
+def test_batch_classify_retries(spark):
+    df = spark.createDataFrame([(1, "x")], "id long, text string").coalesce(1)
+    seen = {"n": 0}
+
+    def flaky(row):
+        seen["n"] += 1
+        if seen["n"] < 3:
+            raise ConnectionError("try later")
+        return "ok"
+
+    r = C.batch_classify(df, flaky, "id", ["text"], max_attempts=3, backoff_seconds=0.01).collect()[0]
+    assert (r.prediction, r.error) == ("ok", None)
+    r2 = C.batch_classify(df, lambda row: 1 / 0, "id", ["text"], max_attempts=2, backoff_seconds=0.01).collect()[0]
+    assert r2.prediction is None and "ZeroDivisionError" in r2.error
+
+
+def test_layout_stream_only_new_files(spark, tmp_dir):
+    import os
+    import shutil
+
+    from quire.operators.layout import LAYOUT_SCHEMA
+    from quire.streaming import incremental as S
+
+    fix = os.path.join(os.path.dirname(__file__), "fixtures", "layout")
+    src = f"{tmp_dir}/incoming"
+    os.makedirs(f"{src}/memo")
+    shutil.copy(f"{fix}/memo/memo_1.png.ocr.json", f"{src}/memo/")
+    args = (spark, src, LAYOUT_SCHEMA, f"{tmp_dir}/sink", f"{tmp_dir}/ck")
+    assert S.ingest_layouts(*args) == 1
+    assert S.ingest_layouts(*args) == 0
+    os.makedirs(f"{src}/invoice")
+    shutil.copy(f"{fix}/invoice/invoice_2.png.ocr.json", f"{src}/invoice/")
+    assert S.ingest_layouts(*args) == 1
+    files = sorted(os.path.basename(r.file) for r in spark.read.parquet(f"{tmp_dir}/sink").collect())
+    assert files == ["invoice_2.png.ocr.json", "memo_1.png.ocr.json"]
