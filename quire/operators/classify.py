@@ -3,8 +3,8 @@
 Two model paths:
 
 * ``keyword_classify`` — the deterministic offline default. A rule table of
-  class -> keywords becomes one ``size(filter(tokens, t -> t IN (...)))``
-  expression per class, so scoring is a narrow, codegen'd projection: no
+  class -> keywords becomes one ``aggregate`` over the tokens that counts
+  every class's hits in a single traversal: a narrow projection, no
   shuffle, no Python, whole texts.
 * ``batch_classify`` — the pluggable path for a real model. Any
   ``model_fn(pandas.DataFrame) -> pandas.DataFrame`` runs inside
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.parallel import spread
-from quire.functions.text import col_, count_in, tokens
+from quire.functions.text import tokens
 
 # Function-word rules per language class, in label order.
 # The driver documents carry their class in ``lang``; ties go to the
@@ -49,37 +49,35 @@ def keyword_predict(text, rules: Mapping[str, Sequence[str]] = LANG_RULES,
                     unknown: str = UNKNOWN) -> Column:
     """Arg-max class by keyword hits; ties by rule order; zero hits -> ``unknown``.
 
-    ``greatest`` over structs compares (hits, -order) so the earliest class
-    wins a tie. Null text -> null prediction (an error row upstream).
-    A single Column for small inputs; ``keyword_classify`` is the scan-scale
-    form (it tokenises each text exactly once).
+    One expression, one pass: the text is tokenised once and a single
+    ``aggregate`` over the tokens counts the hits of every class (each rule
+    set is a hash-set ``IN``); its finish step picks the arg-max, where
+    ``greatest`` over (hits, -order) structs lets the earliest class win a
+    tie. Null text -> null prediction (an error row upstream).
     """
-    tok = tokens(text)
-    best = _best({label: count_in(tok, words) for label, words in rules.items()})
-    return (F.when(col_(text).isNull(), F.lit(None).cast("string"))
-            .when(best["hits"] == 0, F.lit(unknown))
-            .otherwise(best["label"]))
+    labels = list(rules)
+    zero = F.struct(*[F.lit(0).alias(f"h{i}") for i in range(len(labels))])
+
+    def step(acc, t):
+        return F.struct(*[(acc[f"h{i}"] + F.when(t.isin(list(rules[lab])), 1).otherwise(0)).alias(f"h{i}")
+                          for i, lab in enumerate(labels)])
+
+    def finish(acc):
+        best = _best({lab: acc[f"h{i}"] for i, lab in enumerate(labels)})
+        return F.when(best["hits"] == 0, F.lit(unknown)).otherwise(best["label"])
+
+    return F.aggregate(tokens(text), zero, step, finish)
 
 
 def keyword_classify(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                      rules: Mapping[str, Sequence[str]] = LANG_RULES,
                      unknown: str = UNKNOWN, keep: Sequence[str] = ()) -> DataFrame:
-    """(id, prediction, error) — narrow projections, no shuffle.
-
-    Three stacked projections: tokens once, then per-class hit counts over
-    the token column, then the arg-max. Catalyst keeps them apart because
-    the token array is expensive and referenced once per class.
-    """
+    """(id, prediction, error) — one narrow projection, no shuffle, whole texts."""
     keep = list(keep)
     d = spread(df.select(id_col, text_col, *keep))
-    t = d.select(id_col, *keep, F.col(text_col).isNull().alias("_null"), tokens(text_col).alias("_tok"))
-    h = t.select(id_col, *keep, "_null",
-                 *[count_in(F.col("_tok"), ws).alias(f"_h{i}") for i, ws in enumerate(rules.values())])
-    best = _best({label: F.col(f"_h{i}") for i, label in enumerate(rules)})
-    pred = (F.when(F.col("_null"), F.lit(None).cast("string"))
-            .when(best["hits"] == 0, F.lit(unknown)).otherwise(best["label"]))
-    return h.select(F.col(id_col), *[F.col(k) for k in keep], pred.alias("prediction"),
-                    F.when(F.col("_null"), F.lit("empty input")).alias("error"))
+    return d.select(F.col(id_col), *[F.col(k) for k in keep],
+                    keyword_predict(text_col, rules, unknown).alias("prediction"),
+                    F.when(F.col(text_col).isNull(), F.lit("empty input")).alias("error"))
 
 
 BATCH_OUT = T.StructType([
