@@ -185,3 +185,49 @@ def image_parts_newest_first(parts: DataFrame, key: str, order: str, url: str,
             .select(key, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("url"),
                     F.lit("no images found").alias("error")))
     return ranked.unionByName(none)
+
+
+def messages_long(conv: DataFrame, system_prompt: str, mode: str = "async", key: str = "conv_id",
+                  order: str = "turn", reply: Column | None = None, reply_role: str = "system",
+                  bucket_width: int = 1024) -> DataFrame:
+    """P14 / P15 / P16 in long form: (key, pos, role, content), one row per message.
+
+    The same messages as ``messages_async`` / ``messages_sync`` (+
+    ``append_reply`` when ``reply`` is given, a Column over the prompt) but
+    never gathered per conversation: the last turn and the first history
+    message are partial aggregates (``max``, ``min_by``), and history
+    positions come from ``bucketed_rank`` over turn ranges, so a
+    conversation holding a third of all rows is spread over many tasks.
+    """
+    from quire.operators.sampling import bucketed_rank
+
+    if mode not in ("async", "sync"):
+        raise ValueError(f"unknown mode {mode!r}")
+    per = conv.groupBy(key).agg(
+        F.max(order).alias("_last"), F.count(F.lit(1)).alias("_n"),
+        F.min_by(F.struct(F.col("role").alias("r"), F.col("text").alias("t")), order).alias("_first"))
+    c = conv.join(per, key)  # one row per key on the right: AQE splits a hot key's side
+    hist = c.filter(F.col(order) < F.col("_last"))
+    ranked = bucketed_rank(hist, [key], [F.col(order)], F.floor(F.col(order) / F.lit(bucket_width)), out="_p")
+    n_hist = F.col("_n") - 1
+    if mode == "sync":
+        # the system message is prepended unless the history already starts with it
+        keep_first = (n_hist > 0) & (F.col("_first.r") == "system") & (F.col("_first.t") == system_prompt)
+        shift = F.when(keep_first, F.lit(0)).otherwise(F.lit(1))
+    else:
+        keep_first, shift = F.lit(False), F.lit(0)
+    sys_pos = F.when(F.lit(mode == "sync"), F.lit(0)).otherwise(n_hist)
+    user_pos = n_hist + shift + F.lit(1 if mode == "async" else 0)
+    h = ranked.select(key, (F.col("_p") + shift).cast("int").alias("pos"), F.col("role"), F.col("text").alias("content"))
+    last = c.filter(F.col(order) == F.col("_last"))
+    s = (per.filter(~keep_first) if mode == "sync" else per).select(
+        key, sys_pos.cast("int").alias("pos"), F.lit("system").alias("role"), F.lit(system_prompt).alias("content"))
+    u = last.select(key, user_pos.cast("int").alias("pos"), F.lit("user").alias("role"), F.col("text").alias("content"))
+    out = h.unionByName(s).unionByName(u)
+    if reply is not None:
+        extra = last.select(key, F.col("text").alias("prompt"), user_pos.alias("_u"))
+        out = (out.unionByName(extra.select(key, (F.col("_u") + 1).cast("int").alias("pos"), F.lit("user").alias("role"),
+                                            F.col("prompt").alias("content")))
+               .unionByName(extra.select(key, (F.col("_u") + 2).cast("int").alias("pos"),
+                                         F.lit(reply_role).alias("role"), reply.alias("content"))))
+    return out

@@ -1,7 +1,8 @@
 """Conversation, page-assembly and token-accounting queries over ``conversations``.
 
-Message arrays are returned exploded, ``(conv_id, pos, role, content)``,
-so they compare as flat rows.
+Message lists are returned in long form, ``(conv_id, pos, role, content)``,
+computed without gathering a conversation (``messages_long``); the array
+form is built only where the array is the result (``request_body``).
 """
 
 from __future__ import annotations
@@ -53,12 +54,12 @@ _USER = "SELECT conv_id, mt, 2, 'user', text FROM a WHERE turn = mt"
 
 @register("chat_messages_async", oracle=_msgs_sql(" UNION ALL ".join([_HIST, _SYS_AFTER, _USER])))
 def chat_messages_async(spark, sf_dir):
-    return _explode(M.messages_async(M.split_last_turn(_conv(spark, sf_dir)), SYSTEM))
+    return M.messages_long(_conv(spark, sf_dir), SYSTEM, "async")
 
 
 @register("chat_messages_sync", oracle=_msgs_sql(" UNION ALL ".join([_SYS_FIRST, _HIST, _USER])))
 def chat_messages_sync(spark, sf_dir):
-    return _explode(M.messages_sync(M.split_last_turn(_conv(spark, sf_dir)), SYSTEM))
+    return M.messages_long(_conv(spark, sf_dir), SYSTEM, "sync")
 
 
 @register("append_reply", oracle=_msgs_sql(" UNION ALL ".join([
@@ -66,9 +67,9 @@ def chat_messages_sync(spark, sf_dir):
     "SELECT conv_id, mt, 3, 'user', text FROM a WHERE turn = mt",
     f"SELECT conv_id, mt, 4, 'system', {sql_keyword_predict('text')} FROM a WHERE turn = mt"])))
 def append_reply(spark, sf_dir):
-    req = M.messages_async(M.split_last_turn(_conv(spark, sf_dir)), SYSTEM)
-    replied = req.withColumn("reply", keyword_predict("prompt"))
-    return _explode(M.append_reply(replied, "prompt", "reply", reply_role="system"))
+    """The model's reply (here the keyword model on the prompt) is stored with role 'system'."""
+    return M.messages_long(_conv(spark, sf_dir), SYSTEM, "async", reply=keyword_predict("prompt"),
+                           reply_role="system")
 
 
 @register("content_parts", oracle="""

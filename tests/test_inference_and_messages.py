@@ -161,3 +161,17 @@ def test_layout_stream_only_new_files(spark, tmp_dir):
     assert S.ingest_layouts(*args) == 1
     files = sorted(os.path.basename(r.file) for r in spark.read.parquet(f"{tmp_dir}/sink").collect())
     assert files == ["invoice_2.png.ocr.json", "memo_1.png.ocr.json"]
+
+
+@pytest.mark.parametrize("mode", ["async", "sync"])
+def test_long_form_messages_equal_array_form(spark, mode):
+    conv = spark.createDataFrame(
+        [(1, 0, "system", "SYS"), (1, 1, "user", "hi"), (1, 2, "assistant", "yo"), (1, 3, "user", "q"),
+         (2, 5, "user", "only"), (3, 0, "user", "a"), (3, 7, "user", "b")],
+        "conv_id long, turn long, role string, text string")
+    req = M.split_last_turn(conv)
+    arr = M.messages_async(req, "SYS") if mode == "async" else M.messages_sync(req, "SYS")
+    want = arr.select("conv_id", F.posexplode("messages").alias("pos", "m")).select(
+        "conv_id", "pos", "m.role", F.col("m.content").alias("content"))
+    got = M.messages_long(conv, "SYS", mode, bucket_width=2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
