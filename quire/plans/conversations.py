@@ -29,11 +29,6 @@ def _conv(spark, sf_dir):
     return Tables(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text")
 
 
-def _explode(df):
-    return df.select("conv_id", F.posexplode("messages").alias("pos", "m")).select(
-        "conv_id", "pos", F.col("m.role").alias("role"), F.col("m.content").alias("content"))
-
-
 _LAST = "a AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS mt FROM conversations)"
 
 
