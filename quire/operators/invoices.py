@@ -55,11 +55,15 @@ def header_fields(fields_map: Column, names: Sequence[str] = INVOICE_FIELDS) ->
     return [F.coalesce(F.try_element_at(fields_map, F.lit(n)), _null_field()).alias(n) for n in names]
 
 
+def item_fields(obj: Column, names: Sequence[str] = ITEM_FIELDS) -> Column:
+    """One line item's ``valueObject`` map -> STRUCT of the 8 item fields (missing -> nulls)."""
+    return F.struct(*[F.coalesce(F.try_element_at(obj, F.lit(n)), _null_field()).alias(n) for n in names])
+
+
 def line_items(items: Column, names: Sequence[str] = ITEM_FIELDS) -> Column:
     """``Items.valueArray[].valueObject`` -> ARRAY<STRUCT<8 fields>>; missing Items -> []."""
     arr = F.coalesce(items, F.array().cast(T.ArrayType(T.MapType(T.StringType(), FIELD))))
-    return F.transform(arr, lambda obj: F.struct(*[
-        F.coalesce(F.try_element_at(obj, F.lit(n)), _null_field()).alias(n) for n in names]))
+    return F.transform(arr, lambda obj: item_fields(obj, names))
 
 
 def item_struct(name: Column, price: Column, quantity: Column) -> Column:

@@ -171,6 +171,11 @@ SELECT l_orderkey AS o_orderkey, CAST(pos AS INTEGER) AS pos, p_name AS Descript
 FROM li
 """)
 def invoice_items(spark, sf_dir):
+    """E8 in long form: each line item's analyzer object projected to the 8 item
+    fields, positioned inside its invoice by ``bucketed_rank`` over line-number
+    ranges — no invoice is gathered into one task."""
+    from quire.operators.sampling import bucketed_rank
+
     t = Tables(spark, sf_dir)
     lp = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     f = lambda v: F.struct(v.cast("string").alias("content"), F.lit(0.9).alias("confidence"))
@@ -179,13 +184,11 @@ def invoice_items(spark, sf_dir):
                        F.lit("UnitPrice"), f(F.col("p_retailprice")),
                        F.lit("ProductCode"), f(F.col("l_partkey")),
                        F.lit("Amount"), f(F.col("l_extendedprice")))
-    ordered = F.struct(F.struct(*[F.col(c) for c in SORT]).alias("k"), obj.alias("_o"))
-    by_key = lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
-    doc = lp.groupBy("l_orderkey").agg(
-        F.transform(F.array_sort(F.collect_list(ordered), by_key), lambda x: x["_o"]).alias("valueArray"))
-    items = doc.select(F.col("l_orderkey").alias("o_orderkey"),
-                       F.posexplode(I.line_items(F.col("valueArray"))).alias("pos", "it"))
-    return items.select("o_orderkey", "pos", *[F.col(f"it.{n}.content").alias(n) for n in I.ITEM_FIELDS])
+    rows = lp.select(F.col("l_orderkey").alias("o_orderkey"), *SORT, I.item_fields(obj).alias("it"))
+    ranked = bucketed_rank(rows, ["o_orderkey"], [F.col(c) for c in SORT],
+                           F.floor(F.col("l_linenumber") / F.lit(1024)), out="_p")
+    return ranked.select("o_orderkey", F.col("_p").cast("int").alias("pos"),
+                         *[F.col(f"it.{n}.content").alias(n) for n in I.ITEM_FIELDS])
 
 
 @register("invoice_index_record", bench=True, oracle=f"""
