@@ -87,6 +87,19 @@ def messages_valid(messages: Column) -> Column:
                     lambda m: m["role"].isNotNull() & m["content"].isNotNull())
 
 
+def conversations_valid(conv: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+    """P18 without building the message list, equal to ``messages_valid`` on the
+    request: history turns need a role and content; the last turn becomes the
+    user prompt (role 'user'), so only its content counts; the system message
+    is always valid. Partial aggregates only (no conversation is gathered)."""
+    bad = F.col("role").isNull() | F.col("text").isNull()
+    per = conv.groupBy(key).agg(F.count_if(bad).alias("_bad"),
+                                F.max_by(bad, order).alias("_last_bad"),
+                                F.max_by(F.col("text").isNull(), order).alias("_last_empty"))
+    hist_bad = F.col("_bad") - F.when(F.col("_last_bad"), 1).otherwise(0)
+    return per.select(key, ((hist_bad == 0) & ~F.col("_last_empty")).alias("valid"))
+
+
 def parts_valid(parts: Column) -> Column:
     """P18 for multimodal content: every part has a ``type`` or a ``text``."""
     return F.forall(F.coalesce(parts, F.array().cast(f"array<{PART}>")),

@@ -85,11 +85,14 @@ def content_parts(spark, sf_dir):
 
 
 @register("message_valid", oracle="""
-SELECT conv_id, bool_and(role IS NOT NULL AND text IS NOT NULL) AND true AS valid FROM conversations GROUP BY conv_id
+SELECT conv_id,
+       (count(*) FILTER (WHERE role IS NULL OR text IS NULL)
+        - CASE WHEN arg_max(role IS NULL OR text IS NULL, turn) THEN 1 ELSE 0 END) = 0
+       AND NOT arg_max(text IS NULL, turn) AS valid
+FROM conversations GROUP BY conv_id
 """)
 def message_valid(spark, sf_dir):
-    req = M.messages_async(M.split_last_turn(_conv(spark, sf_dir)), SYSTEM)
-    return req.select("conv_id", M.messages_valid(F.col("messages")).alias("valid"))
+    return M.conversations_valid(_conv(spark, sf_dir))
 
 
 _BODY_SQL = f"""

@@ -175,3 +175,16 @@ def test_long_form_messages_equal_array_form(spark, mode):
         "conv_id", "pos", "m.role", F.col("m.content").alias("content"))
     got = M.messages_long(conv, "SYS", mode, bucket_width=2)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_conversation_validity_rows_equal_array_check(spark):
+    conv = spark.createDataFrame(
+        [(1, 0, "user", "a"), (1, 1, None, "b"),            # null role on the last turn: becomes 'user'
+         (2, 0, None, "c"), (2, 1, "user", "d"),            # null role in the history
+         (3, 0, "user", "e"), (3, 1, "user", None),         # empty prompt
+         (4, 0, "user", "f")],
+        "conv_id long, turn long, role string, text string")
+    rows = {r.conv_id: r.valid for r in M.conversations_valid(conv).collect()}
+    arr = {r.conv_id: r.v for r in M.messages_async(M.split_last_turn(conv), "S")
+           .select("conv_id", M.messages_valid(F.col("messages")).alias("v")).collect()}
+    assert rows == arr == {1: True, 2: False, 3: False, 4: True}
