@@ -144,9 +144,10 @@ def _doc_vectors(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", R.hashed_embedding("text").alias("embedding"))
 
 
-def _doc_vector_hits(spark, sf_dir, k=VEC_K):
+def _doc_vector_hits(spark, sf_dir, k=VEC_K, vectors=None):
     q = _queries(spark, sf_dir).select("item_id", R.hashed_embedding("text").alias("qvec"))
-    return R.vector_search(_doc_vectors(spark, sf_dir), "doc_id", "embedding", q, "item_id", "qvec", k=k)
+    v = vectors if vectors is not None else _doc_vectors(spark, sf_dir)
+    return R.vector_search(v, "doc_id", "embedding", q, "item_id", "qvec", k=k)
 
 
 @register("embed_documents")
@@ -166,13 +167,15 @@ def _index(spark, sf_dir):
     """One BM25 index (one pass over the text) shared by ranking, rerank and snippets."""
     from quire.functions.text import snippet
 
+    # the document embedding rides on the same single pass over the text
     return R.bm25_index(_docs(spark, sf_dir), "doc_id", "text", _queries(spark, sf_dir), "item_id", "text",
-                        {"snippet": snippet("text")})
+                        {"snippet": snippet("text"), "embedding": R.hashed_embedding("text")})
 
 
 def _fused(spark, sf_dir, idx):
     kw = R.bm25_top_k(idx, "doc_id", "item_id", FUSE_DEPTH)
-    vec = _doc_vector_hits(spark, sf_dir).withColumnRenamed("vid", "doc_id")
+    vec = _doc_vector_hits(spark, sf_dir, vectors=idx.docs.select("doc_id", "embedding")).withColumnRenamed(
+        "vid", "doc_id")
     return R.rrf(kw.withColumnRenamed("item_id", "qid"), vec)
 
 
