@@ -72,3 +72,29 @@ def test_url_helpers(spark):
         ("cont", "a/b c.PNG", ".png", "b c.PNG", "object"),
         ("local", "dir/file.pdf", ".pdf", "file.pdf", "local"),
         ("only", "", "", "only", "error")]
+
+
+def test_strip_spaces_reaches_maps_arrays_and_structs(spark):
+    df = spark.createDataFrame(
+        [({"k 1": "a b"}, ["c d", None], ("e f", 3))],
+        "m map<string,string>, a array<string>, s struct<x:string,n:int>")
+    r = X.strip_spaces_df(df).collect()[0]
+    assert r.m == {"k 1": "ab"} and r.a == ["cd", None] and (r.s.x, r.s.n) == ("ef", 3)
+
+
+def test_arrow_token_counter_hook(spark):
+    from quire.operators import tokens as TK
+
+    count = TK.arrow_counter(lambda s: s.split())
+    df = spark.createDataFrame([("a b  c",), (None,), ("",)], "t string")
+    assert [r.n for r in df.select(count("t").alias("n")).collect()] == [3, 0, 0]
+
+
+def test_content_parts_order(spark):
+    from quire.operators import conversations as M
+
+    df = spark.createDataFrame([("hi", ["u1", "u2"])], "t string, urls array<string>")
+    chat = df.select(M.content_parts(F.col("t"), F.col("urls")).alias("p")).first().p
+    slm = df.select(M.content_parts(F.col("t"), F.col("urls"), image_first=True).alias("p")).first().p
+    assert [x.type for x in chat] == ["text", "image_url", "image_url"]
+    assert [x.type for x in slm] == ["image_url", "image_url", "text"] and slm[0].url == "u1"
