@@ -17,6 +17,23 @@ def sql_tokens(text_expr: str) -> str:
     return SQL_TOKENS.format(t=text_expr)
 
 
+def sql_hash_bucket(t: str, dim: int) -> str:
+    """Token bucket as in ``retrieval.token_buckets``: md5 prefix (32 bits) mod dim."""
+    return f"(CAST('0x' || substr(md5({t}), 1, 8) AS BIGINT) % {dim})"
+
+
+def sql_hashed_embedding(source: str, id_col: str, text_col: str, dim: int) -> str:
+    """SELECT id, embedding: the L2-normalised hashed bag of words of ``text_col``."""
+    return f"""
+SELECT {id_col}, list_transform(cnt, lambda x: CASE WHEN nrm > 0 THEN x / nrm ELSE 0.0 END) AS embedding
+FROM (SELECT {id_col}, cnt, sqrt(list_sum(list_transform(cnt, lambda y: y * y))) AS nrm
+      FROM (SELECT {id_col}, list_transform(range({dim}),
+                   lambda i: CAST(len(list_filter(b, lambda y: y = i)) AS DOUBLE)) AS cnt
+            FROM (SELECT {id_col}, list_transform({sql_tokens(text_col)}, lambda x: {sql_hash_bucket('x', dim)}) AS b
+                  FROM {source})))
+"""
+
+
 def sql_str_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 

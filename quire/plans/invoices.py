@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from quire.functions import text as X
 from quire.operators import invoices as I
+from quire.operators.retrieval import HASH_DIM
+from quire.plans.common import sql_hashed_embedding
 from quire.plans.registry import register
 from quire.sources.tables import Tables
 
@@ -222,7 +224,11 @@ def strip_spaces_nested(spark, sf_dir):
     return inv.select("o_orderkey", F.to_json("items").alias("items_json"), "signature_on_document", "summary")
 
 
-@register("embed_first_five")
+@register("embed_first_five", oracle=f"""
+WITH {_INV_SQL},
+first5 AS (SELECT reference_number AS id, summary AS content FROM inv WHERE reference_number IS NOT NULL
+           ORDER BY reference_number LIMIT 5)
+""" + sql_hashed_embedding("first5", "id", "content", HASH_DIM).replace("embedding", "content_vector"))
 def embed_first_five(spark, sf_dir):
     """K7 + E14: the first five index records (by id) get a content vector."""
     from quire.operators.retrieval import hashed_embedding

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 
 from quire.operators import retrieval as R
-from quire.plans.common import sql_tokens
+from quire.plans.common import sql_hashed_embedding, sql_tokens
 from quire.plans.registry import register
 from quire.sources.tables import Tables
 
@@ -150,7 +150,7 @@ def _doc_vector_hits(spark, sf_dir, k=VEC_K, vectors=None):
     return R.vector_search(v, "doc_id", "embedding", q, "item_id", "qvec", k=k)
 
 
-@register("embed_documents")
+@register("embed_documents", oracle=sql_hashed_embedding("documents", "doc_id", "text", R.HASH_DIM))
 def embed_documents(spark, sf_dir):
     return _doc_vectors(spark, sf_dir)
 
