@@ -17,20 +17,15 @@ SPREAD_MAX_BYTES = 1 << 30
 
 
 def input_bytes(df: DataFrame) -> int | None:
-    """Total size of the files behind ``df`` (driver-side listing; None if unknown)."""
+    """Total size of the files behind ``df`` — a ``binaryFile`` listing that
+    selects only ``length`` (the file bodies are pruned, never read)."""
+    from pyspark.sql import functions as F
+
     files = df.inputFiles()
     if not files:
         return None
-    spark = df.sparkSession
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-        if total > SPREAD_MAX_BYTES:
-            break
-    return total
+    sizes = df.sparkSession.read.format("binaryFile").load(files).select("length")
+    return sizes.agg(F.sum("length")).first()[0] or 0
 
 
 def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:

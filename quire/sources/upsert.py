@@ -69,7 +69,7 @@ def unwrap_fields(df: DataFrame, id_cols: Sequence[str] = ("id", "primary_key"))
 # ---- versioned storage -----------------------------------------------------------
 #
 # <root>/quire_bucket=<b>/quire_version=<n>/part-*.parquet   bucket b as of commit n
-# <root>/_commits/<n>.json                 {"version": n, "buckets": [...]} written last
+# <root>/_commits/                         JSON table, one (version, buckets) record per commit, written last
 #
 # A commit rewrites only the buckets its updates hash to; every other bucket
 # keeps pointing at its older version. The commit record is written after the
@@ -82,43 +82,25 @@ import json as _json
 BUCKET, VERSION = "quire_bucket", "quire_version"
 
 
-def _path(spark: SparkSession, *parts: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(parts[0])
-    for x in parts[1:]:
-        p = jvm.org.apache.hadoop.fs.Path(p, x)
-    return p
-
-
-def _fs(spark: SparkSession, path):
-    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+COMMIT_SCHEMA = "version long, buckets array<int>"
 
 
 def commits(spark: SparkSession, root: str) -> list[dict]:
-    """Committed versions in order, each ``{"version": n, "buckets": [...]}``."""
-    d = _path(spark, root, "_commits")
-    fs = _fs(spark, d)
-    if not fs.exists(d):
+    """Committed versions in order, each ``{"version": n, "buckets": [...]}``
+    (the commit log is a small JSON table under ``<root>/_commits``)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        rows = spark.read.schema(COMMIT_SCHEMA).json(f"{root}/_commits").collect()
+    except AnalysisException:  # no commit yet
         return []
-    out = []
-    for st in fs.listStatus(d):
-        name = st.getPath().getName()
-        if name.endswith(".json"):
-            stream = fs.open(st.getPath())
-            try:
-                out.append(_json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-            finally:
-                stream.close()
-    return sorted(out, key=lambda c: c["version"])
+    return sorted(({"version": r.version, "buckets": list(r.buckets)} for r in rows), key=lambda c: c["version"])
 
 
 def _write_commit(spark: SparkSession, root: str, version: int, buckets: list[int]) -> None:
-    p = _path(spark, root, "_commits", f"{version}.json")
-    out = _fs(spark, p).create(p, True)
-    try:
-        out.write(bytearray(_json.dumps({"version": version, "buckets": sorted(buckets)}).encode()))
-    finally:
-        out.close()
+    """Append one commit record; the job commit makes it appear whole or not at all."""
+    rec = spark.createDataFrame([(version, sorted(int(b) for b in buckets))], COMMIT_SCHEMA)
+    rec.coalesce(1).write.mode("append").json(f"{root}/_commits")
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
