@@ -82,7 +82,7 @@ import json as _json
 BUCKET, VERSION = "quire_bucket", "quire_version"
 
 
-COMMIT_SCHEMA = "version long, buckets array<int>"
+COMMIT_SCHEMA = "version long, buckets array<int>, batch_id long"
 
 
 def commits(spark: SparkSession, root: str) -> list[dict]:
@@ -94,12 +94,14 @@ def commits(spark: SparkSession, root: str) -> list[dict]:
         rows = spark.read.schema(COMMIT_SCHEMA).json(f"{root}/_commits").collect()
     except AnalysisException:  # no commit yet
         return []
-    return sorted(({"version": r.version, "buckets": list(r.buckets)} for r in rows), key=lambda c: c["version"])
+    return sorted(({"version": r.version, "buckets": list(r.buckets), "batch_id": r.batch_id} for r in rows),
+                  key=lambda c: c["version"])
 
 
-def _write_commit(spark: SparkSession, root: str, version: int, buckets: list[int]) -> None:
+def _write_commit(spark: SparkSession, root: str, version: int, buckets: list[int],
+                  batch_id: int | None = None) -> None:
     """Append one commit record; the job commit makes it appear whole or not at all."""
-    rec = spark.createDataFrame([(version, sorted(int(b) for b in buckets))], COMMIT_SCHEMA)
+    rec = spark.createDataFrame([(version, sorted(int(b) for b in buckets), batch_id)], COMMIT_SCHEMA)
     rec.coalesce(1).write.mode("append").json(f"{root}/_commits")
 
 
@@ -133,13 +135,19 @@ def bucket_of(key_col: Column, n_buckets: int) -> Column:
 
 
 def upsert_table(spark: SparkSession, root: str, updates: DataFrame, key: str, seq: Sequence[str],
-                 n_buckets: int = 1024) -> int:
+                 n_buckets: int = 1024, batch_id: int | None = None) -> int:
     """Merge ``updates`` into the collection at ``root``; returns the new version.
 
     Reads and rewrites only the buckets the update touches, so the cost of a
     commit follows the update, not the collection. Size ``n_buckets`` so a
     bucket holds about a gigabyte; it is fixed for the life of a collection.
+    A ``batch_id`` already in the commit log (a replayed micro-batch) is a
+    no-op that returns the version it produced.
     """
+    if batch_id is not None:
+        done = [c["version"] for c in commits(spark, root) if c.get("batch_id") == batch_id]
+        if done:
+            return done[-1]
     good = updates.filter(valid_key(key))
     touched = [r[0] for r in good.select(bucket_of(F.col(key), n_buckets).alias("b")).distinct().collect()]
     cs = commits(spark, root)
@@ -155,7 +163,7 @@ def upsert_table(spark: SparkSession, root: str, updates: DataFrame, key: str, s
      .hint("rebalance", BUCKET)  # AQE sizes write tasks, buckets stay clustered
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET, VERSION).parquet(root))
-    _write_commit(spark, root, new, touched)
+    _write_commit(spark, root, new, touched, batch_id)
     return new
 
 

@@ -54,15 +54,17 @@ def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table:
                   max_files_per_trigger: int | None = None, n_buckets: int = 64) -> None:
     """Every micro-batch is merged into the versioned collection at ``table``.
 
-    Re-running a batch after a failure is harmless: the merge is last-wins
-    by ``seq``, so applying the same updates twice gives the same state.
+    Idempotent by ``batch_id``: a micro-batch replayed after a failure finds
+    its id in the collection's commit log and writes nothing (and the merge
+    is last-wins by ``seq`` anyway).
     """
     r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        U.upsert_table(batch.sparkSession, table, batch, key, seq, n_buckets)
+        # a micro-batch replayed after a failure finds its batch_id in the commit log
+        U.upsert_table(batch.sparkSession, table, batch, key, seq, n_buckets, batch_id=batch_id)
 
     q = (r.load(source).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
