@@ -144,3 +144,10 @@ def index_record(inv: DataFrame) -> DataFrame:
         "total", "reference_number", "signature_on_document", "origin_address", "destination_address",
         items.alias("items_purchased"),
     )
+
+
+def index_record_json(inv: DataFrame) -> DataFrame:
+    """E13 string form: (id, json) where a missing summary is the empty string
+    and prices keep Python's float text inside ``items_purchased``."""
+    rec = index_record(inv).withColumn("content", F.coalesce(F.col("content"), F.lit("")))
+    return rec.select("id", F.to_json(F.struct(*[F.col(c) for c in rec.columns])).alias("json"))

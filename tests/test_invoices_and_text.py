@@ -98,3 +98,13 @@ def test_content_parts_order(spark):
     slm = df.select(M.content_parts(F.col("t"), F.col("urls"), image_first=True).alias("p")).first().p
     assert [x.type for x in chat] == ["text", "image_url", "image_url"]
     assert [x.type for x in slm] == ["image_url", "image_url", "text"] and slm[0].url == "u1"
+
+
+def test_index_record_json_string_form(spark):
+    import json
+
+    rows = [([("pen", 10000000.0, 1)], 1.0, "R1", "s", "o", "d", None)]
+    js = I.index_record_json(inv(spark, rows)).collect()[0]
+    rec = json.loads(js.json)
+    assert js.id == "R1" and rec["content"] == "" and rec["content_vector"] == []
+    assert rec["items_purchased"] == [{"list_item": "pen, 10000000.0, 1"}]
