@@ -49,3 +49,28 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+class GroupTooLarge(ValueError):
+    """A key holds more rows than the per-key array an operator may build."""
+
+
+def check_group_size(df: DataFrame, key, max_rows: int | None, what: str) -> None:
+    """Prove the bound before gathering a key's rows into one array.
+
+    Operators whose *result* is one array or string per key (a request
+    body, a document's text, an invoice's items) call this first: a
+    partial-aggregate count per key, then the largest count. Beyond
+    ``max_rows`` the job stops with an error naming the key — rows are
+    never dropped or truncated. ``max_rows=None`` skips the check.
+    """
+    from pyspark.sql import functions as F
+
+    if max_rows is None:
+        return
+    keys = [key] if isinstance(key, str) else list(key)
+    top = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .orderBy(F.col("_n").desc()).limit(1).collect())
+    if top and top[0]["_n"] > max_rows:
+        k = {c: top[0][c] for c in keys}
+        raise GroupTooLarge(f"{what}: key {k} has {top[0]['_n']} rows, more than the bound {max_rows}")

@@ -16,6 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.parallel import check_group_size
+
+# Bound on the rows gathered into one per-key array (a request's messages, a
+# document's pages, a reply's deltas); checked before gathering.
+MAX_ROWS_PER_KEY = 100_000
+
 MSG = "struct<role:string,content:string>"
 
 
@@ -36,7 +42,9 @@ def split_last_turn(conv: DataFrame, key: str = "conv_id", order: str = "turn")
     """(key, history ARRAY<message>, prompt STRING): the last turn is the new request.
 
     One aggregation: the ordered turn list, split into all-but-last and last.
+    The list is the request body itself; its size is checked first.
     """
+    check_group_size(conv, key, MAX_ROWS_PER_KEY, "messages per request")
     arr = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"),
                                                message(F.col("role"), F.col("text")).alias("m"))))
     return (conv.groupBy(key).agg(arr.alias("_a"))
@@ -107,8 +115,9 @@ def parts_valid(parts: Column) -> Column:
 
 
 def assemble_deltas(deltas: DataFrame, key: str, order: str, delta: str) -> DataFrame:
-    """Reply text = ordered concatenation of non-null deltas."""
+    """Reply text = ordered concatenation of non-null deltas (count checked first)."""
     d = deltas.filter(F.col(delta).isNotNull())
+    check_group_size(d, key, MAX_ROWS_PER_KEY, "deltas per reply")
     return d.groupBy(key).agg(F.array_join(ordered_texts(order, F.col(delta)), "").alias("reply"))
 
 
@@ -128,7 +137,8 @@ def last_turn_flag(conv: DataFrame, key: str, order: str, text: str,
 
 
 def join_pages(pages: DataFrame, key: str, page_col: str, text_col: str, sep: str = "\n") -> DataFrame:
-    """Document text = page texts joined by ``sep`` in page order."""
+    """Document text = page texts joined by ``sep`` in page order (count checked first)."""
+    check_group_size(pages, key, MAX_ROWS_PER_KEY, "pages per document")
     return pages.groupBy(key).agg(F.array_join(ordered_texts(page_col, F.col(text_col)), sep).alias("text"))
 
 

@@ -49,3 +49,17 @@ def test_hot_group_split_is_exact(spark, skewed):
     hot_train = sp.filter((F.col("user_id") == -1) & (F.col("set") == "train")).count()
     assert hot_train == int(n_hot * 0.7)
     assert sp.count() == skewed.count()
+
+
+def test_per_key_arrays_have_a_checked_bound(spark, monkeypatch):
+    from quire.functions.parallel import GroupTooLarge
+    from quire.operators import conversations as M
+
+    conv = spark.range(0, 50).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                                     F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
+    assert M.split_last_turn(conv).count() == 1
+    monkeypatch.setattr(M, "MAX_ROWS_PER_KEY", 10)
+    with pytest.raises(GroupTooLarge):
+        M.split_last_turn(conv)
+    with pytest.raises(GroupTooLarge):
+        M.join_pages(conv, "conv_id", "turn", "text")
