@@ -21,12 +21,6 @@ def tokens(text) -> Column:
     return F.array_remove(F.split(F.lower(col_(text)), TOKEN_SPLIT), "")
 
 
-def count_in(tok: Column, words) -> Column:
-    """How many tokens of ``tok`` are in the fixed word set ``words``."""
-    ws = list(words)
-    return F.size(F.filter(tok, lambda t: t.isin(ws)))
-
-
 def clean_label(c) -> Column:
     """Remove every space and double quote (label normalisation of model output)."""
     return F.translate(col_(c), ' "', "")
