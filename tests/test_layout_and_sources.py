@@ -108,3 +108,9 @@ def test_binary_scan_extension_filter_and_metadata(spark, tmp_dir):
     assert rows["b.jpeg"].size == 2 and "T" in rows["b.jpeg"].last_modified
     plan = FS.file_metadata(spark, f"{tmp_dir}/docs")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_as_documents_wrap(layout):
+    docs = {os.path.basename(r.file): r for r in L.as_documents(layout).collect()}
+    assert docs["invoice_2.png.ocr.json"].page_content == "Invoice 17"
+    assert docs["memo_1.png.ocr.json"].metadata == {}
