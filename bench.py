@@ -4,7 +4,7 @@ Runs each registered bench query on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` and prints one JSON line.
 Every query is fully executed through the ``noop`` sink (all rows
 computed, nothing collected to the driver). Each query runs once to warm
-up, then ``$BENCH_REPEAT`` times (default 2); the best time is reported.
+up, then ``$BENCH_REPEAT`` times (default 3); the best time is reported.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from quire.session import build_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="quire-bench")
     registry.load_all()
