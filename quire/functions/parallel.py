@@ -24,6 +24,11 @@ def input_bytes(df: DataFrame) -> int | None:
     files = df.inputFiles()
     if not files:
         return None
+    if all(f.startswith("file:") for f in files):  # driver-local files: a stat, no job
+        import os
+        from urllib.parse import unquote, urlparse
+
+        return sum(os.path.getsize(unquote(urlparse(f).path)) for f in files)
     sizes = df.sparkSession.read.format("binaryFile").load(files).select("length")
     return sizes.agg(F.sum("length")).first()[0] or 0
 

@@ -75,14 +75,17 @@ def item_struct(name: Column, price: Column, quantity: Column) -> Column:
 
 
 def items_per_key(rows: DataFrame, key: str, sort_cols: Sequence[str], name: Column,
-                  price: Column, quantity: Column) -> DataFrame:
+                  price: Column, quantity: Column, bound_source: DataFrame | None = None) -> DataFrame:
     """(key, items, items_total): ordered item array plus Σ price*quantity in DECIMAL.
 
     ``sort_cols`` must order a key's rows completely (the driver data has
     duplicate line numbers). The decimal total is a partial aggregate. The
-    item list is the invoice itself; its size is checked before gathering.
+    item list is the invoice itself; its size is checked before gathering —
+    on ``bound_source`` when given (e.g. the raw line items' key column: an
+    upper bound, since the item rows are a subset, read without any join).
     """
-    check_group_size(rows, key, MAX_ITEMS_PER_INVOICE, "items per invoice")
+    check_group_size(bound_source if bound_source is not None else rows, key, MAX_ITEMS_PER_INVOICE,
+                     "items per invoice")
     ordered = F.struct(*[F.col(c) for c in sort_cols], item_struct(name, price, quantity).alias("_it"))
     return rows.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(ordered)), lambda x: x["_it"]).alias("items"),

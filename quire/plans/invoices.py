@@ -51,7 +51,8 @@ def invoices(spark, sf_dir):
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                            "l_extendedprice").repartition("l_orderkey")
     lp = li.join(t.part.select("p_partkey", "p_name", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
-    items = I.items_per_key(lp, "l_orderkey", SORT, F.col("p_name"), F.col("p_retailprice"), F.col("l_quantity"))
+    items = I.items_per_key(lp, "l_orderkey", SORT, F.col("p_name"), F.col("p_retailprice"), F.col("l_quantity"),
+                            bound_source=t.lineitem.select("l_orderkey"))
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
