@@ -96,3 +96,14 @@ def test_coverage_and_label_normalisation(spark):
     cleaned, clean_labels = E.normalise_labels(pairs(spark, rows), labels)
     r = E.weighted_metrics(cleaned, clean_labels).collect()[0]
     assert (r.n_valid, r.n_hallucinated, r.accuracy) == (3, 1, 1.0)
+
+
+def test_evaluate_run_drops_failed_and_null_predictions(spark):
+    calls = spark.createDataFrame(
+        [(1, "a", None, 0.5), (2, None, "no prediction", None), (3, None, "Timeout: slow", None),
+         (4, "b", None, 1.5), (5, "zzz", None, 1.0)],
+        "id long, prediction string, error string, seconds double")
+    truth = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "a"), (5, "b")], "id long, y_true string")
+    r = E.evaluate_run(calls, truth, LABELS).collect()[0]
+    assert (r.n_valid, r.n_hallucinated, r.errors, r.n_ok) == (2, 1, 2, 3)
+    assert r.accuracy == pytest.approx(0.5) and r.median == 1.0 and r.max == 1.5
