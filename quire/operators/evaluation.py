@@ -204,6 +204,9 @@ def class_report_body(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
             .drop("support"))
 
 
+_BASE_NAMES = ["mean", "min", "max", "n_ok", "errors"]
+
+
 def latency_stats(df: DataFrame, seconds: str = "seconds", error: str = "error",
                   group_cols: Sequence[str] = (), method: str = "bounded",
                   accuracy: int = 100000) -> DataFrame:
@@ -231,12 +234,15 @@ def latency_stats(df: DataFrame, seconds: str = "seconds", error: str = "error",
         return df.groupBy(*group_cols).agg(*base, *qs).select(*cols)
     if method != "bounded":
         raise ValueError(f"unknown method {method!r}")
-    g = list(group_cols) or ["_g"]
-    src = df if group_cols else df.withColumn("_g", F.lit(0))
-    stats = src.groupBy(*g).agg(*base)
-    q = exact_quantiles(src.filter(ok), seconds, [0.5, 0.95, 0.99], g, ["median", "p95", "p99"], accuracy)
-    q = q.select(*g, *[F.round(c, 4).alias(c) for c in ("median", "p95", "p99")])
-    return stats.join(q, g, "left").select(*cols)
+    names = ["median", "p95", "p99"]
+    q = exact_quantiles(df.filter(ok), seconds, [0.5, 0.95, 0.99], group_cols, names, accuracy)
+    if not group_cols:
+        # one row even for empty input; the quantiles join as scalar subqueries (null when empty)
+        return df.agg(*base).select(*_BASE_NAMES, *[F.round(q.select(c).scalar(), 4).alias(c) for c in names]
+                                    ).select(*cols)
+    stats = df.groupBy(*group_cols).agg(*base)
+    q = q.select(*group_cols, *[F.round(c, 4).alias(c) for c in names])
+    return stats.join(q, list(group_cols), "left").select(*cols)
 
 
 def evaluate_run(calls: DataFrame, truth: DataFrame, labels: Sequence[str], id_col: str = "id",
