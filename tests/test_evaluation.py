@@ -107,3 +107,10 @@ def test_evaluate_run_drops_failed_and_null_predictions(spark):
     r = E.evaluate_run(calls, truth, LABELS).collect()[0]
     assert (r.n_valid, r.n_hallucinated, r.errors, r.n_ok) == (2, 1, 2, 3)
     assert r.accuracy == pytest.approx(0.5) and r.median == 1.0 and r.max == 1.5
+
+
+def test_report_and_confusion_on_empty_input(spark):
+    empty = pairs(spark, [])
+    rep = {r.name: r for r in E.class_report(empty, LABELS).collect()}
+    assert rep["accuracy"].precision is None and rep["a"].support == 0 and rep["weighted avg"].recall == 0.0
+    assert sum(r.n for r in E.confusion_long(empty, LABELS).collect()) == 0
