@@ -114,3 +114,13 @@ def test_as_documents_wrap(layout):
     docs = {os.path.basename(r.file): r for r in L.as_documents(layout).collect()}
     assert docs["invoice_2.png.ocr.json"].page_content == "Invoice 17"
     assert docs["memo_1.png.ocr.json"].metadata == {}
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from quire.session import checkpoint_dir, cut_lineage
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    d = checkpoint_dir(spark)
+    assert configured.rstrip("/").split("/")[-1] in d
+    t = cut_lineage(spark.range(5), "unit")
+    assert t.count() == 5 and configured.rstrip("/").split("/")[-1] in t.inputFiles()[0]
