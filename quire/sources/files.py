@@ -58,6 +58,14 @@ def read_file_lists(spark: SparkSession, root: str) -> DataFrame:
                      name.alias("list_file"))
 
 
+def read_written_file_lists(spark: SparkSession, path: str, class_col: str = "class") -> DataFrame:
+    """(class, file) back from ``write_file_lists`` output (class-partitioned JSON);
+    the class comes from partition discovery, so a filter on it prunes folders."""
+    return (spark.read.schema(T.StructType([T.StructField("file", T.StringType()),
+                                            T.StructField(class_col, T.StringType())])).json(path)
+            .select(class_col, "file"))
+
+
 def qualifying_classes(pairs: DataFrame, class_col: str, min_docs: int = 5) -> DataFrame:
     """Classes with at least ``min_docs`` paired documents (partial aggregation)."""
     return (pairs.groupBy(class_col).agg(F.count(F.lit(1)).alias("n_files"))
