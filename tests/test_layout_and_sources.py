@@ -125,3 +125,12 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert configured.rstrip("/").split("/")[-1] in d
     t = cut_lineage(spark.range(5), "unit")
     assert t.count() == 5 and configured.rstrip("/").split("/")[-1] in t.inputFiles()[0]
+
+
+def test_manifest_partitioned_by_set(spark, tmp_dir):
+    df = spark.createDataFrame([("train/a/a_0.png", "a", "train"), ("test/a/a_0.png", "a", "test"),
+                                ("test/b/b_0.png", "b", "test")], "location string, label string, set string")
+    FS.write_manifest(df, f"{tmp_dir}/m", partition_by_set=True)
+    back = spark.read.option("header", True).csv(f"{tmp_dir}/m")
+    assert sorted((r.location, r.label, r.set) for r in back.collect()) == sorted(map(tuple, df.collect()))
+    assert back.filter(F.col("set") == "test").count() == 2  # partition pruning on set
