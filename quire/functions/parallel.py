@@ -33,13 +33,14 @@ def input_bytes(df: DataFrame) -> int | None:
     return sizes.agg(F.sum("length")).first()[0] or 0
 
 
-def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES, key: str | None = None) -> DataFrame:
     par = df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= par:
         return df  # at least one split per core already: no size probing, no shuffle
     n = input_bytes(df)
     if n is not None and n <= max_bytes:
-        return df.repartition(par)
+        # by key when given: later aggregations on that key then need no shuffle
+        return df.repartition(par, key) if key else df.repartition(par)
     return df
 
 
