@@ -99,20 +99,26 @@ def file_metadata(spark: SparkSession, root: str) -> DataFrame:
                      F.col("modificationTime").alias("last_modified"))
 
 
-def iso_timestamp(ts) -> F.Column:
-    """ISO-8601 with offset; microseconds only when non-zero (like Python's isoformat)."""
+def iso_timestamp(ts, ntz: bool = False) -> F.Column:
+    """ISO-8601 with offset; microseconds only when non-zero (like Python's isoformat).
+
+    A zoned timestamp prints in the session zone with that zone's offset; a
+    zone-less (NTZ) timestamp is taken as UTC, so its text never depends on
+    the session's time zone."""
     c = F.col(ts) if isinstance(ts, str) else ts
     us = F.date_format(c, "SSSSSS")
+    offset = F.lit("+00:00") if ntz else F.date_format(c, "xxx")
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.concat(
         F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"),
         F.when(us == "000000", F.lit("")).otherwise(F.concat(F.lit("."), us)),
-        F.date_format(c, "xxx")))
+        offset))
 
 
 def format_metadata(meta: DataFrame) -> DataFrame:
     """Rename to (source, name, size, content_type, last_modified ISO string)."""
+    ntz = isinstance(meta.schema["last_modified"].dataType, T.TimestampNTZType)
     return meta.select(F.col("url").alias("source"), F.col("name"), F.col("size"),
-                       F.col("content_type"), iso_timestamp("last_modified").alias("last_modified"))
+                       F.col("content_type"), iso_timestamp("last_modified", ntz).alias("last_modified"))
 
 
 # ---- S9 / S10: multi-format save / load ---------------------------------------
