@@ -29,8 +29,8 @@ WHERE rn = 1
 @register("upsert_last_wins", bench=True, oracle=LAST_WINS_SQL)
 def upsert_last_wins(spark, sf_dir):
     ev = Tables(spark, sf_dir).events.select(*COLS)
-    early = ev.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp"))
-    late = ev.filter(F.col("ts") >= F.lit(CUTOFF).cast("timestamp"))
+    early = ev.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    late = ev.filter(F.col("ts") >= F.lit(CUTOFF).cast("timestamp_ntz"))
     target = U.latest_per_key(early.filter(U.valid_key("user_id")), "user_id", SEQ)
     merged = U.merge(target, late, "user_id", SEQ)
     # the stored item carries its key as the string ``id``
