@@ -22,6 +22,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, f"llm-{name}")
 
 
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: no name of the input can clash with
+    a helper column, hold a dot or appear twice."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place(df: DataFrame, col: str) -> str:
+    return f"c{df.columns.index(col)}"
+
+
 def fold(id_col: str = "doc_id", mod: int = 5) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % mod
@@ -148,3 +158,31 @@ def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     cps = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le"), "<u4").astype(np.int32)
     first = np.cumsum([1] + [len(t) + 1 for t in texts])
     return cps, first
+
+
+def row_of(texts: list[str | None], first: np.ndarray) -> np.ndarray:
+    """The text each code point of ``code_points`` belongs to, with the line feed
+    after it; -1 for the leading line feed."""
+    return np.r_[-1, np.repeat(np.arange(len(texts)), np.diff(first))]
+
+
+def compact_trigrams(sym: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct trigrams packed 21 bits a symbol, ascending; index into them) of the
+    trigrams of ``sym`` that start where ``ok`` holds. Counts over the symbols in
+    use, so nothing is sorted unless the alphabet is large."""
+    seen = np.zeros(1 << 21, bool)
+    seen[sym] = True
+    used = np.flatnonzero(seen)
+    k = len(used)
+    dense = np.zeros(1 << 21, np.int64)
+    dense[used] = np.arange(k)
+    x = dense[sym]
+    code = ((x[:-2] * k + x[1:-1]) * k + x[2:])[ok]
+    if k ** 3 <= 1 << 24:
+        known = np.flatnonzero(np.bincount(code, minlength=1))
+        place = np.zeros(k ** 3, np.int64)
+        place[known] = np.arange(len(known))
+        code = place[code]
+    else:
+        known, code = np.unique(code, return_inverse=True)
+    return (used[known // (k * k)] << 42) | (used[known // k % k] << 21) | used[known % k], code

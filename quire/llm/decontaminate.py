@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ALNUM, hash_spans, slices, text_bytes, word_spans, written
+from quire.llm.common import ALNUM, hash_spans, positional, slices, text_bytes, word_spans, written
 
 WIDTH = 13
 SLOP = 3
@@ -218,7 +218,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, tex
                 keep = ~((n_hit > 0) & (20 * n_hit >= np.diff(s.doc_starts)))
                 yield b.slice(first, end - first).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = positional(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import written
+from quire.llm.common import place, positional, written
 
 WEIGHTS = (5, 2, 1)
 MAX_RATE = 3
@@ -89,6 +89,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The mixed documents: every row as often as it is emitted, columns unchanged."""
     sizes = docs.select(F.col(source_col).cast("string").alias("source"), size_of(text_col).alias("size"))
     targets = written(source_targets(sizes, weights, max_rate), "targets")
-    out = join_targets(docs, targets, source_col)
-    return (out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies(seed, id_col).cast("int"))))
-            .select(*docs.columns))
+    plain = positional(docs)
+    out = join_targets(plain, targets, place(docs, source_col))
+    out = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies(seed, place(docs, id_col)).cast("int"))))
+    return out.select(*plain.columns).toDF(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, mixing
+from quire.llm import decontaminate, hyper_lang, mixing, perplexity_rules
 from quire.sources.tables import Tables
 
 QUERIES: dict = {}
@@ -78,3 +78,14 @@ FROM r
 @register("op4_mix_sources", MIX)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(Tables(spark, sf_dir).documents)
+
+
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
+    return hyper_lang.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op2_quality_perplexity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_rules.quality_rules(Tables(spark, sf_dir).documents)
