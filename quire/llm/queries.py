@@ -5,13 +5,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, hyper_lang, mixing, perplexity_rules
+from quire.llm import byte_ids, chat_grammar, decontaminate, hyper_lang, mixing, perplexity_rules
 from quire.sources.tables import Tables
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -89,3 +97,31 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_quality_perplexity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_rules.quality_rules(Tables(spark, sf_dir).documents)
+
+
+# Turn lengths by template; every control string, escaped or not, gets one backslash.
+CHAT = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, length(text)
+             + len(regexp_extract_all(text, '<\\*(?:/?s>|</?SYS>>)|\[\\*(?:/?INST\]|/?ROLE\]|SAY\])'))
+             + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17 ELSE 22 + length(role) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+@register("op3_chat_format", CHAT)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = Tables(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text")
+    same = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", same), (-7, 1, "assistant", same)], turns.schema)
+    return chat_grammar.round_trip(turns.unionByName(more))
+
+
+@register("op10_token_ids")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_ids.encode_documents(Tables(spark, sf_dir).documents, tokenizer_path())
