@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import byte_ids, chat_grammar, decontaminate, hyper_lang, mixing, perplexity_rules
+from quire.llm import byte_ids, chat_grammar, decontaminate, fst_tokens, hyper_lang, mixing, order_minhash, perplexity_rules
 from quire.sources.tables import Tables
 
 TOKENIZER = "word_bpe_49k.json"
@@ -125,3 +125,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_token_ids")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_ids.encode_documents(Tables(spark, sf_dir).documents, tokenizer_path())
+
+
+@register("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fst_tokens.count_tokens(Tables(spark, sf_dir).documents, tokenizer_path())
+
+
+@register("op6_order_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(Tables(spark, sf_dir).documents)
