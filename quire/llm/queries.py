@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import byte_ids, chat_grammar, decontaminate, fst_tokens, hyper_lang, mixing, order_minhash, perplexity_rules
+from quire.llm import byte_ids, chat_grammar, decontaminate, fst_tokens, hyper_lang, log_bilinear, mixing, order_minhash, perplexity_rules
 from quire.sources.tables import Tables
 
 TOKENIZER = "word_bpe_49k.json"
@@ -135,3 +135,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_order_minhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(Tables(spark, sf_dir).documents)
+
+
+# The base score by SQL; the model's score has no SQL form and is tested apart.
+@register("op8_log_bilinear")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score_texts(Tables(spark, sf_dir).documents)
