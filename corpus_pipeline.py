@@ -1,30 +1,53 @@
-"""A training corpus from ``documents``: one operator a stage, each stage written
-as Parquet and read again as the next one's documents."""
+"""A training corpus from ``documents``: language ID, near-duplicate removal,
+benchmark decontamination, mixing to target weights, and token ids as binary
+segments. Each stage applies one operator of ``quire.llm`` to all that its
+predecessor kept; it is written as Parquet and read again as the next one's
+documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm import byte_ids, decontaminate, hyper_lang, mixing, order_minhash
 from quire.llm.common import written
-from quire.llm.decontaminate import decontaminate
-from quire.llm.mixing import mix
+from quire.llm.queries import tokenizer_path
 from quire.sources.tables import read_table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without text or letters go: no language can be told."""
+    return hyper_lang.keep_known(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return order_minhash.dedupe(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    """Contaminated documents go."""
+    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs)
+    """Every document as often as its source's rate says."""
+    return mixing.mix(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' ids written as binary segments; a row per document, read back from them."""
+    return byte_ids.encode_documents(docs, tokenizer_path())
 
 
 STAGES = [
+    ("language id", language_id),
+    ("near dedup", near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("source mix", source_mix),
+    ("token ids", token_ids),
 ]
 
-#: Language ID and near-duplicate search have no SQL form.
+#: Language profiles, alignment and the tokenizer have no SQL form; a brute-force run is tested instead.
 ORACLE_SQL = None
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import code_points, compact_trigrams, fold, mix64, positional, row_of, slices
+from quire.llm.common import code_points, compact_trigrams, fold, mix64, place, positional, row_of, slices
 
 DIM = 1024
 UNKNOWN = "und"
@@ -171,3 +171,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     held = fold(id_col) == 0
     profiles = prototypes(docs.filter(~held), text_col, lang_col, dim)
     return predict(docs.withColumn("held_out", held), profiles, text_col)
+
+
+def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dim: int = DIM) -> DataFrame:
+    """``docs`` without the rows of unknown language (no text or no letter), columns unchanged."""
+    profiles = prototypes(docs.filter(fold(id_col) != 0), text_col, lang_col, dim)
+    found = predict(positional(docs), profiles, place(docs, text_col))
+    return found.filter(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*docs.columns)

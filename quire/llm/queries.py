@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import byte_ids, chat_grammar, decontaminate, fst_tokens, hyper_lang, log_bilinear, mixing, order_minhash, perplexity_rules
+from quire.llm import byte_ids, chat_grammar, decontaminate, fst_tokens, hyper_lang, line_align, log_bilinear, mixing, order_minhash, perplexity_rules
 from quire.sources.tables import Tables
 
 TOKENIZER = "word_bpe_49k.json"
@@ -141,3 +141,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_log_bilinear")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_bilinear.score_texts(Tables(spark, sf_dir).documents)
+
+
+@register("op5_line_align")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_align.line_report(Tables(spark, sf_dir).documents)
