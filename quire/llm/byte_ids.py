@@ -1,7 +1,8 @@
 """Token ids as frequency-ranked, byte-aligned variable-length binary segments.
 
-The ids of all documents are ranked by how often they occur (one partial
-count per task over the vocabulary), so that the frequent ones take one byte.
+All documents are tokenized once, into a table of ids in the shared folder. The
+ids are ranked by how often they occur (one partial count per task over the
+vocabulary), so that the frequent ones take one byte.
 A segment stores the documents of some megabytes of text in id order: an id's
 rank takes one to four bytes in the data stream, and its length in two bits of
 a separate control stream, four ids a control byte. Decoding looks every
@@ -17,8 +18,8 @@ task. Nothing passes through one task or the driver but that and the rank
 table, which has one row per id of the vocabulary.
 
 A tokenizer that drops white space gives the same ids for a text as for its
-white-space-separated pieces one after the other, so each task asks the
-tokenizers library once for each distinct piece it meets, and remembers it.
+white-space-separated pieces one after the other, so each Python worker asks
+the tokenizers library once for each distinct piece it meets, and remembers it.
 
 A null or empty text is the end id alone. Documents with equal ids are ordered
 by a hash of their text, null ids come first; repeated rows are written as
@@ -40,15 +41,25 @@ from pyspark.sql import functions as F
 from quire.llm.common import SPACED, hash_spans, slices, text_bytes, word_spans, written
 
 END_ID = 2
-#: Pieces a task remembers before it starts anew.
-CACHE_PIECES = 400_000
+#: Pieces a Python worker remembers (some 40 bytes each) before it starts anew.
+CACHE_PIECES = 2_000_000
 SEGMENT_BYTES = 4 << 20
 #: Lengths of the four ids of a control byte.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 
 
 class Pieces:
-    """Ids of white-space-separated pieces by a tokenizers file, remembered by piece."""
+    """Ids of white-space-separated pieces by a tokenizers file, remembered by piece
+    in sorted arrays."""
+
+    _known: dict[str, "Pieces"] = {}
+
+    @classmethod
+    def of(cls, path: str) -> "Pieces":
+        """The one of this Python worker: what earlier tasks asked for is still known."""
+        if path not in cls._known:
+            cls._known[path] = cls(path)
+        return cls._known[path]
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,35 +69,33 @@ class Pieces:
         self.clear()
 
     def clear(self):
-        self.slot: dict[int, int] = {}
-        self.first, self.n, self.ids, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), 0
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def learn(self, h: np.ndarray, pieces: list[str]) -> None:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        at = np.searchsorted(self.keys, h)
+        self.keys = np.insert(self.keys, at, h)
+        self.slots = np.insert(self.slots, at, len(self.first) - 1 + np.arange(len(h)))
+        self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(x) for x in found])]
+        self.ids = np.r_[self.ids, np.fromiter((i for x in found for i in x), np.uint32)]
 
     def __call__(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, ids of each row) of a text column."""
-        if len(self.slot) > CACHE_PIECES:
+        if len(self.keys) > CACHE_PIECES:
             self.clear()
         raw, off = text_bytes(col)
-        data = np.frombuffer(raw.tobytes().translate(SPACED), np.uint8)
-        starts, ends, before = word_spans(data, off)
-        h, at, piece = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-        slot = np.fromiter((self.slot.get(x, -1) for x in h.tolist()), np.int64, len(h))
-        new = np.flatnonzero(slot < 0)
+        text = raw.tobytes()
+        starts, ends, before = word_spans(np.frombuffer(text.translate(SPACED), np.uint8), off)
+        h, at, piece = np.unique(hash_spans(raw, starts, ends), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.keys, h), max(len(self.keys) - 1, 0))
+        new = np.flatnonzero(self.keys[place] != h) if len(self.keys) else np.arange(len(h))
         if len(new):
-            text = raw.tobytes()
-            found = self.tokenizer.encode_batch_fast([text[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)], add_special_tokens=False)
-            ids = [x.ids for x in found]
-            n = np.array([len(x) for x in ids], np.int64)
-            slot[new] = len(self.slot) + np.arange(len(new))
-            self.slot.update(zip(h[new].tolist(), slot[new].tolist(), strict=True))
-            self.first = np.r_[self.first, self.used + np.cumsum(n) - n]
-            self.n = np.r_[self.n, n]
-            self.ids = np.r_[self.ids, np.array([i for x in ids for i in x], np.uint32)]
-            self.used += int(n.sum())
-        slot = slot[piece]
-        n = self.n[slot]
+            self.learn(h[new], [text[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+        slot = self.slots[np.searchsorted(self.keys, h)][piece]
+        first, n = self.first[slot], self.first[slot + 1] - self.first[slot]
         total = np.r_[0, np.cumsum(n)]
-        places = np.repeat(self.first[slot] - total[:-1], n) + np.arange(total[-1])
-        return self.ids[places], np.diff(total[before])
+        return self.ids[np.repeat(first - total[:-1], n) + np.arange(total[-1])], np.diff(total[before])
 
 
 def with_end(ids: np.ndarray, n: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,43 +125,63 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def rank_table(docs: DataFrame, path: str, end_id: int, text_col: str) -> DataFrame:
-    """(rank, id) of every id of the vocabulary, the most frequent first; ties by id."""
+def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, tie, ids) of every document: its ids with the end id as little-endian unsigned
+    32-bit integers, and a hash of the text that orders rows of equal id."""
+
+    def run(batches):
+        pieces = Pieces.of(path)
+        for b in batches:
+            for first, end in slices(b.column(2), SEGMENT_BYTES):
+                ids, n = with_end(*pieces(b.column(2).slice(first, end - first)), end_id)
+                cut = np.r_[0, np.cumsum(n)] * 4
+                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), b.column(1).slice(first, end - first), raw.cast(pa.binary())],
+                                                 names=["id", "tie", "ids"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, tie long, ids binary")
+
+
+def raw_ids(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, ids of each row) of an ``ids`` column."""
+    raw, off = text_bytes(col)
+    return raw.view("<u4"), np.diff(off) // 4
+
+
+def rank_table(tokenized: DataFrame, size: int) -> DataFrame:
+    """(rank, id) of the ``size`` ids of the vocabulary, the most frequent first; ties by id."""
 
     def count(batches):
-        pieces, total = Pieces(path), np.zeros(0, np.int64)
+        total = np.zeros(size, np.int64)
         for b in batches:
-            for first, end in slices(b.column(0), SEGMENT_BYTES):
-                ids, n = pieces(b.column(0).slice(first, end - first))
-                own = np.bincount(ids, minlength=max(len(total), end_id + 1))
-                own[end_id] += len(n)
-                own[:len(total)] += total
-                total = own
+            total += np.bincount(raw_ids(b.column(0))[0], minlength=size)
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": seen.astype(np.int64), "n": total[seen].astype(np.int64)})
-
-    from tokenizers import Tokenizer
+        yield pa.RecordBatch.from_pydict({"id": seen.astype(np.int64), "n": total[seen]})
 
-    size = max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1)
-    counts = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    every = docs.sparkSession.range(size).join(counts, "id", "left")
+    counts = tokenized.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    every = tokenized.sparkSession.range(size).join(counts, "id", "left")
     return every.select((F.row_number().over(W.orderBy(F.col("n").desc_nulls_last(), "id")) - 1).cast("long").alias("rank"), "id")
 
 
 def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Write all documents; returns the segment table (part, seq, before, doc_ids, n_ids,
     control, data) and the rank table, both as read from the shared folder."""
-    ranks = written(rank_table(docs, path, end_id, text_col), "id-ranks")
+    from tokenizers import Tokenizer
+
+    tokenized = written(tokenize(docs, path, end_id, id_col, text_col), "tokenized", compression="zstd")
+    ranks = written(rank_table(tokenized, max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1)), "id-ranks")
     id_of = ranks.orderBy("rank").toArrow()["id"].to_numpy()
     rank_of = np.empty(len(id_of), np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
     sent = docs.sparkSession.sparkContext.broadcast(rank_of)
 
     def write(batches):
-        pieces, part, seq, before = Pieces(path), TaskContext.get().partitionId(), 0, 0
+        part, seq, before = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             for first, end in slices(b.column(1), SEGMENT_BYTES):
-                ids, n = with_end(*pieces(b.column(1).slice(first, end - first)), end_id)
+                ids, n = raw_ids(b.column(1).slice(first, end - first))
                 control, data = encode(sent.value[ids])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([before], pa.int64()),
@@ -160,12 +189,11 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
                     pa.array([control], pa.binary()), pa.array([data], pa.binary())], names=["part", "seq", "before", "doc_ids", "n_ids", "control", "data"])
                 seq, before = seq + 1, before + len(ids)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
-    kind = rows.schema["id"].dataType.simpleString()
-    segments = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+    order = [F.col("id").asc_nulls_first(), F.col("tie")]
+    kind = tokenized.schema["id"].dataType.simpleString()
+    segments = tokenized.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids").mapInArrow(
         write, f"part int, seq long, before long, doc_ids array<{kind}>, n_ids array<long>, control binary, data binary")
-    return written(segments, "ids"), ranks
+    return written(segments, "ids", compression="zstd"), ranks
 
 
 def read_ids(segments: DataFrame, ranks: DataFrame, id_col: str = "doc_id") -> DataFrame:

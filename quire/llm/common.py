@@ -7,19 +7,23 @@ into slices of bounded bytes first, so memory does not follow the batch.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.session import cut_lineage
+from quire.session import checkpoint_dir
 
 SLICE_BYTES = 8 << 20
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared checkpoint folder (lineage ends there)."""
-    return cut_lineage(df, f"llm-{name}")
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def positional(df: DataFrame) -> DataFrame:
