@@ -4,9 +4,10 @@ Conversation rows are ``(conv_id, turn, role, text)``. Where a result is a
 per-conversation *value* (last turn, counts, flags) it is computed with
 partial aggregates (``max_by``, ``count``, ``sum``) that combine map-side,
 so a conversation holding a third of all rows still ships one small row
-per map task. Only operators whose *output* is the ordered message list
-itself (a model request body, a reply text) build an array per
-conversation; that array is bounded by what one request can carry.
+per map task. Long texts per key (a document's pages, a reply's deltas, a
+request body) come in parts of ``PART_ROWS`` rows, ``(key, part_no, text)``:
+the parts in order, put together, are the text, and no group is ever larger
+than a part.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.parallel import check_group_size
+from quire.operators.sampling import bucketed_rank
 
-# Bound on the rows gathered into one per-key array (a request's messages, a
-# document's pages, a reply's deltas); checked before gathering.
-MAX_ROWS_PER_KEY = 100_000
+#: Rows of one part of a long text.
+PART_ROWS = 256
+#: Width of the order-column ranges that rank a key's rows in parallel.
+RANK_RANGE = 1024
 
 MSG = "struct<role:string,content:string>"
 
@@ -42,9 +44,9 @@ def split_last_turn(conv: DataFrame, key: str = "conv_id", order: str = "turn")
     """(key, history ARRAY<message>, prompt STRING): the last turn is the new request.
 
     One aggregation: the ordered turn list, split into all-but-last and last.
-    The list is the request body itself; its size is checked first.
+    For requests that are one value by nature; ``messages_long`` and
+    ``body_parts`` give the same messages without gathering a conversation.
     """
-    check_group_size(conv, key, MAX_ROWS_PER_KEY, "messages per request")
     arr = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"),
                                                message(F.col("role"), F.col("text")).alias("m"))))
     return (conv.groupBy(key).agg(arr.alias("_a"))
@@ -114,11 +116,25 @@ def parts_valid(parts: Column) -> Column:
                     lambda p: p["type"].isNotNull() | p["text"].isNotNull())
 
 
-def assemble_deltas(deltas: DataFrame, key: str, order: str, delta: str) -> DataFrame:
-    """Reply text = ordered concatenation of non-null deltas (count checked first)."""
-    d = deltas.filter(F.col(delta).isNotNull())
-    check_group_size(d, key, MAX_ROWS_PER_KEY, "deltas per reply")
-    return d.groupBy(key).agg(F.array_join(ordered_texts(order, F.col(delta)), "").alias("reply"))
+def text_parts(rows: DataFrame, key: str, order: str, value: str, sep: str, out: str,
+               part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, part_no, out): a key's non-null values in ``order``, joined by ``sep``.
+
+    Every part joins up to ``part_rows`` values; a part after the first begins
+    with ``sep``, so the parts of a key, put together in order, are its text.
+    A key without any value has no part. ``order`` is numeric and unique in a key.
+    """
+    ranked = bucketed_rank(rows.filter(F.col(value).isNotNull()).select(key, order, value), [key], [F.col(order)],
+                           F.floor(F.col(order) / F.lit(RANK_RANGE)), out="_r")
+    parts = ranked.withColumn("part_no", F.floor(F.col("_r") / F.lit(part_rows)).cast("int"))
+    joined = parts.groupBy(key, "part_no").agg(F.array_join(ordered_texts(order, F.col(value)), sep).alias("_t"))
+    lead = F.when(F.col("part_no") == 0, F.lit("")).otherwise(F.lit(sep))
+    return joined.select(key, "part_no", F.concat(lead, "_t").alias(out))
+
+
+def assemble_deltas(deltas: DataFrame, key: str, order: str, delta: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """Reply text = ordered concatenation of non-null deltas, in parts."""
+    return text_parts(deltas, key, order, delta, "", "reply", part_rows)
 
 
 def last_turn_flag(conv: DataFrame, key: str, order: str, text: str,
@@ -136,10 +152,10 @@ def last_turn_flag(conv: DataFrame, key: str, order: str, text: str,
     return last.select(key, "last_text", flag.alias("wants_image"))
 
 
-def join_pages(pages: DataFrame, key: str, page_col: str, text_col: str, sep: str = "\n") -> DataFrame:
-    """Document text = page texts joined by ``sep`` in page order (count checked first)."""
-    check_group_size(pages, key, MAX_ROWS_PER_KEY, "pages per document")
-    return pages.groupBy(key).agg(F.array_join(ordered_texts(page_col, F.col(text_col)), sep).alias("text"))
+def join_pages(pages: DataFrame, key: str, page_col: str, text_col: str, sep: str = "\n",
+               part_rows: int = PART_ROWS) -> DataFrame:
+    """Document text = page texts joined by ``sep`` in page order, in parts."""
+    return text_parts(pages, key, page_col, text_col, sep, "text", part_rows)
 
 
 def page_count(pages: DataFrame, key: str, page_col: str, meta_cols: Sequence[str]) -> DataFrame:
@@ -189,16 +205,30 @@ def request_body(messages: Column, temperature: float = 0.0, max_tokens: int = 4
                               F.lit(max_tokens).alias("max_tokens"), F.lit(top_p).alias("top_p")))
 
 
+def body_parts(messages: DataFrame, key: str, temperature: float = 0.0, max_tokens: int = 4000,
+               top_p: float = 0.95, part_rows: int = PART_ROWS) -> DataFrame:
+    """P20 without gathering a conversation: (key, part_no, body) from long-form
+    messages (key, pos, role, content); the parts of a key, put together in
+    order, are the JSON request body of ``request_body``."""
+    rows = messages.select(key, "pos", F.floor(F.col("pos") / F.lit(part_rows)).cast("int").alias("part_no"),
+                           F.to_json(F.struct("role", "content")).alias("_m"))
+    parts = rows.groupBy(key, "part_no").agg(F.array_join(ordered_texts("pos", F.col("_m")), ",").alias("_t"))
+    last = messages.groupBy(key).agg(F.floor(F.max("pos") / F.lit(part_rows)).cast("int").alias("_last"))
+    settings = F.to_json(F.struct(F.lit(temperature).alias("temperature"), F.lit(max_tokens).alias("max_tokens"),
+                                  F.lit(top_p).alias("top_p")))
+    lead = F.when(F.col("part_no") == 0, F.lit('{"messages":[')).otherwise(F.lit(","))
+    tail = F.when(F.col("part_no") == F.col("_last"), F.concat(F.lit("],"), F.substring(settings, 2, 1 << 20))).otherwise(F.lit(""))
+    return parts.join(last, key).select(key, "part_no", F.concat(lead, "_t", tail).alias("body"))
+
+
 def image_parts_newest_first(parts: DataFrame, key: str, order: str, url: str,
-                             bucket_width: int = 1024) -> DataFrame:
+                             bucket_width: int = RANK_RANGE) -> DataFrame:
     """Image parts of a conversation, newest message first (rank from 1);
     a conversation without any image gets one row with an error.
 
     The newest-first rank is a ``bucketed_rank`` over turn ranges, so even a
     conversation holding a third of all rows is ranked by many tasks.
     """
-    from quire.operators.sampling import bucketed_rank
-
     imgs = parts.filter(F.col(url).isNotNull()).select(key, order, url)
     ranked = bucketed_rank(imgs, [key], [F.col(order).desc()],
                            F.floor(-F.col(order) / F.lit(bucket_width)), out="_r")
@@ -222,8 +252,6 @@ def messages_long(conv: DataFrame, system_prompt: str, mode: str = "async", key:
     positions come from ``bucketed_rank`` over turn ranges, so a
     conversation holding a third of all rows is spread over many tasks.
     """
-    from quire.operators.sampling import bucketed_rank
-
     if mode not in ("async", "sync"):
         raise ValueError(f"unknown mode {mode!r}")
     per = conv.groupBy(key).agg(

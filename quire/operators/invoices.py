@@ -5,8 +5,9 @@ total, reference_number, signature_on_document, origin_address,
 destination_address, summary>``. Validation never drops rows: each rule
 splits its input into an accepted and a reject table with a reason.
 
-Money is DOUBLE in the entity (as extracted) but every sum is taken over
-``DECIMAL(18,2)`` so a total does not depend on the order rows arrive in.
+Money is DOUBLE in the entity (as extracted). Sums are taken over the exact
+decimal value of its shortest text (15 decimals), so a total neither depends
+on the order rows arrive in nor loses part of a cent before the sum.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.parallel import check_group_size
-
 # Header fields of the prebuilt invoice analyzer, in order.
 INVOICE_FIELDS = [
     "VendorName", "VendorAddress", "VendorAddressRecipient", "CustomerName", "CustomerId",
@@ -45,8 +44,8 @@ INVOICE = T.StructType([
     T.StructField("destination_address", T.StringType(), False),
     T.StructField("summary", T.StringType()),
 ])
-MONEY = "decimal(18,2)"
-MAX_ITEMS_PER_INVOICE = 100_000  # checked bound on one invoice's item list
+PRICE = "decimal(26,15)"  # times an integer: decimal(37,15), exact
+TOTAL = "decimal(37,15)"  # one digit short of the widest, so adding two keeps the scale
 
 
 def _null_field() -> Column:
@@ -75,38 +74,36 @@ def item_struct(name: Column, price: Column, quantity: Column) -> Column:
 
 
 def items_per_key(rows: DataFrame, key: str, sort_cols: Sequence[str], name: Column,
-                  price: Column, quantity: Column, bound_source: DataFrame | None = None) -> DataFrame:
+                  price: Column, quantity: Column) -> DataFrame:
     """(key, items, items_total): ordered item array plus Σ price*quantity in DECIMAL.
 
     ``sort_cols`` must order a key's rows completely (the driver data has
-    duplicate line numbers). The decimal total is a partial aggregate. The
-    item list is the invoice itself; its size is checked before gathering —
-    on ``bound_source`` when given (e.g. the raw line items' key column: an
-    upper bound, since the item rows are a subset, read without any join).
+    duplicate line numbers). The decimal total is a partial aggregate; the
+    item array is the typed invoice itself. ``invoice_items`` gives the items
+    in long form where no array is wanted.
     """
-    check_group_size(bound_source if bound_source is not None else rows, key, MAX_ITEMS_PER_INVOICE,
-                     "items per invoice")
     ordered = F.struct(*[F.col(c) for c in sort_cols], item_struct(name, price, quantity).alias("_it"))
     return rows.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(ordered)), lambda x: x["_it"]).alias("items"),
-        F.sum(price.cast(MONEY) * quantity.cast("int")).alias("items_total"),
+        F.sum(price.cast(PRICE) * quantity.cast("int")).cast(TOTAL).alias("items_total"),
     )
 
 
 def items_total(items: Column) -> Column:
     """Σ price * quantity over an item array, in DECIMAL (order independent)."""
     return F.aggregate(F.coalesce(items, F.array().cast(T.ArrayType(ITEM))),
-                       F.lit(0).cast("decimal(38,2)"),
-                       lambda acc, i: (acc + i["price"].cast(MONEY) * i["quantity"]).cast("decimal(38,2)"))
+                       F.lit(0).cast(TOTAL),
+                       lambda acc, i: (acc + (i["price"].cast(PRICE) * i["quantity"]).cast(TOTAL)).cast(TOTAL))
 
 
 def total_check(inv: DataFrame, strict: bool = True):
-    """Calculated Σ price*quantity vs ``total``.
+    """Calculated Σ price*quantity vs ``total``: equal exactly, or the sum rounded
+    once to cents equals it (a total stated in cents).
 
     strict -> (accepted, rejects); lenient -> (all rows with ``warning``, empty rejects).
     """
-    calc = items_total(F.col("items"))
-    ok = F.coalesce(calc == F.col("total").cast("decimal(38,2)"), F.lit(False))
+    calc, total = items_total(F.col("items")), F.col("total").cast(TOTAL)
+    ok = F.coalesce((calc == total) | (F.round(calc, 2) == total), F.lit(False))
     d = inv.withColumn("calculated_total", calc.cast("double")).withColumn("total_matches", ok)
     if strict:
         rej = d.filter(~ok).withColumn("reason", F.lit("total mismatch"))
@@ -115,30 +112,60 @@ def total_check(inv: DataFrame, strict: bool = True):
     return d.withColumn("warning", warn), d.limit(0).withColumn("reason", F.lit(None).cast("string"))
 
 
+NO_REFERENCE = "no_reference_number"
+
+
 def missing_reference(inv: DataFrame):
     """A null or empty reference number rejects the invoice (no trimming)."""
     bad = F.coalesce(F.col("reference_number") == "", F.lit(True))
-    return inv.filter(~bad), inv.filter(bad).withColumn("reason", F.lit("Reference number is missing"))
+    return inv.filter(~bad), inv.filter(bad).withColumn("reason", F.lit(NO_REFERENCE))
+
+
+#: Fields of an invoice that must be there (a summary may be missing), in order.
+REQUIRED = ["items", "total", "reference_number", "signature_on_document", "origin_address", "destination_address"]
+
+
+def invoice_faults(invoice: Column) -> Column:
+    """ARRAY<STRING> of reason codes: ``missing:<field>`` for each required field,
+    ``item:<field>`` for an item field that some item lacks."""
+    items = F.coalesce(invoice["items"], F.array().cast(T.ArrayType(ITEM)))
+    tests = [(f"missing:{f}", invoice[f].isNull()) for f in REQUIRED]
+
+    def lacks(name: str) -> Column:
+        return F.exists(items, lambda i: i.isNull() | i[name].isNull())
+
+    tests += [(f"item:{f.name}", lacks(f.name)) for f in ITEM.fields]
+    return F.array_compact(F.array(*[F.when(bad, F.lit(code)) for code, bad in tests]))
 
 
 def parse_invoices(json_col: Column, df: DataFrame):
-    """Typed parse of model output; unparsable or wrongly typed -> reject table."""
+    """Typed parse of model output; unparsable, wrongly typed or incomplete output
+    goes to the reject table with every rule it breaks as ``reason``."""
     schema = T.StructType(INVOICE.fields + [T.StructField("_corrupt", T.StringType())])
     parsed = df.withColumn("invoice", F.from_json(json_col, schema, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    required = ["total", "reference_number", "signature_on_document", "origin_address",
-                "destination_address"]
-    bad = (F.col("invoice").isNull() | F.col("invoice._corrupt").isNotNull()
-           | F.exists(F.array(*[F.col(f"invoice.{r}").isNull() for r in required]), lambda x: x))
-    good = parsed.filter(~bad).withColumn("invoice", F.col("invoice").dropFields("_corrupt"))
-    return good, parsed.filter(bad).withColumn("reason", F.lit("invalid invoice"))
+    broken = F.col("invoice").isNull() | F.col("invoice._corrupt").isNotNull()
+    parsed = parsed.withColumn("reason", F.when(broken, F.lit("unparsable")).otherwise(
+        F.array_join(invoice_faults(F.col("invoice")), ";")))
+    bad = F.col("reason") != ""
+    good = parsed.filter(~bad).drop("reason").withColumn("invoice", F.col("invoice").dropFields("_corrupt"))
+    return good, parsed.filter(bad)
 
 
 def py_float_str(c: Column) -> Column:
-    """Python-style text of a double in the usual range (901.0, 1234.56): the
-    shortest decimal digits with at least one fractional digit."""
-    s = F.regexp_replace(c.cast("decimal(38,10)").cast("string"), "0+$", "")
-    return F.when(s.endswith("."), F.concat(s, F.lit("0"))).otherwise(s)
+    """Python-style text of a double (901.0, 1234.56, 1e-11): its shortest digits, in
+    positional form from 1e-4 up to 1e16, else with an exponent of two digits."""
+    s = c.cast("string")
+    sign, mantissa = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit("")), F.regexp_extract(s, r"^-?([0-9.]+)E", 1)
+    exponent = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int")
+    digits = F.concat(F.substring_index(mantissa, ".", 1), F.regexp_replace(F.substring_index(mantissa, ".", -1), "0+$", ""))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    whole = F.concat(F.rpad(F.substring(digits, F.lit(1), exponent + 1), exponent + 1, F.lit("0")), F.lit("."),
+                     F.when(F.length(digits) > exponent + 1, F.substring(digits, exponent + 2, F.length(digits))).otherwise(F.lit("0")))
+    point = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 1 << 10))).otherwise(F.lit("")))
+    science = F.concat(point, F.lit("e"), F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+    return F.when(exponent.isNull(), s).otherwise(F.concat(sign, F.when((exponent < 0) & (exponent >= -4), small)
+                                                            .when((exponent >= 0) & (exponent < 16), whole).otherwise(science)))
 
 
 def index_record(inv: DataFrame) -> DataFrame:

@@ -97,23 +97,34 @@ def message_valid(spark, sf_dir):
 
 _BODY_SQL = f"""
 WITH {_LAST},
-m AS ({" UNION ALL ".join([_HIST, _SYS_AFTER, _USER])})
-SELECT conv_id, '{{"messages":' || to_json(list(struct_pack(role := role, content := content) ORDER BY o, sub))::VARCHAR
-       || ',"temperature":0.0,"max_tokens":4000,"top_p":0.95}}' AS body
-FROM m GROUP BY conv_id
+m AS ({" UNION ALL ".join([_HIST, _SYS_AFTER, _USER])}),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY o, sub) - 1 AS pos FROM m),
+q AS (SELECT conv_id, CAST(pos // {M.PART_ROWS} AS INTEGER) AS part_no,
+             string_agg(to_json(struct_pack(role := role, content := content))::VARCHAR, ',' ORDER BY pos) AS t
+      FROM p GROUP BY conv_id, pos // {M.PART_ROWS})
+SELECT conv_id, part_no, CASE WHEN part_no = 0 THEN '{{"messages":[' ELSE ',' END || t
+       || CASE WHEN part_no = max(part_no) OVER (PARTITION BY conv_id) THEN '],"temperature":0.0,"max_tokens":4000,"top_p":0.95}}'
+               ELSE '' END AS body
+FROM q
+"""
+
+
+def _parts_sql(out: str, sep: str, where: str) -> str:
+    return f"""
+WITH r AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos
+           FROM conversations WHERE text IS NOT NULL AND {where})
+SELECT conv_id, CAST(pos // {M.PART_ROWS} AS INTEGER) AS part_no,
+       CASE WHEN pos // {M.PART_ROWS} = 0 THEN '' ELSE {sep} END || string_agg(text, {sep} ORDER BY turn) AS {out}
+FROM r GROUP BY conv_id, pos // {M.PART_ROWS}
 """
 
 
 @register("request_body", oracle=_BODY_SQL)
 def request_body(spark, sf_dir):
-    req = M.messages_async(M.split_last_turn(_conv(spark, sf_dir)), SYSTEM)
-    return req.select("conv_id", M.request_body(F.col("messages")).alias("body"))
+    return M.body_parts(M.messages_long(_conv(spark, sf_dir), SYSTEM, "async"), "conv_id")
 
 
-@register("assemble_deltas", oracle="""
-SELECT conv_id, string_agg(text, '' ORDER BY turn) AS reply FROM conversations
-WHERE role = 'assistant' AND text IS NOT NULL GROUP BY conv_id
-""")
+@register("assemble_deltas", oracle=_parts_sql("reply", "''", "role = 'assistant'"))
 def assemble_deltas(spark, sf_dir):
     c = _conv(spark, sf_dir).filter(F.col("role") == "assistant")
     return M.assemble_deltas(c, "conv_id", "turn", "text")
@@ -128,9 +139,7 @@ def last_turn_flag(spark, sf_dir):
     return M.last_turn_flag(_conv(spark, sf_dir), "conv_id", "turn", "text")
 
 
-@register("join_pages", oracle="""
-SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id
-""")
+@register("join_pages", oracle=_parts_sql("text", "chr(10)", "true"))
 def join_pages(spark, sf_dir):
     return M.join_pages(_conv(spark, sf_dir), "conv_id", "turn", "text")
 

@@ -26,7 +26,7 @@ items AS (
   SELECT l_orderkey,
          list(struct_pack(name := p_name, price := p_retailprice, quantity := CAST(l_quantity AS INTEGER))
               ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS items,
-         sum(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS INTEGER)) AS items_total
+         sum(CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(26,15)) * CAST(l_quantity AS INTEGER)) AS items_total
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
 inv AS (
   SELECT o_orderkey, coalesce(items, []) AS items,
@@ -37,22 +37,14 @@ inv AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey LEFT JOIN items ON o_orderkey = l_orderkey)
 """
-_SQL_PYFLOAT = ("CASE WHEN regexp_replace(CAST(CAST({x} AS DECIMAL(38,10)) AS VARCHAR), '0+$', '') LIKE '%.' "
-                "THEN regexp_replace(CAST(CAST({x} AS DECIMAL(38,10)) AS VARCHAR), '0+$', '') || '0' "
-                "ELSE regexp_replace(CAST(CAST({x} AS DECIMAL(38,10)) AS VARCHAR), '0+$', '') END")
+_SQL_PYFLOAT = "CAST({x} AS VARCHAR)"  # shortest digits
 
 
 def invoices(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    # hash-partition line items by order up front: it is the shuffle the
-    # per-order aggregation needs anyway (collect_list gains nothing from a
-    # map-side partial), and it spreads the part join over every core even
-    # when the input arrives as one row group
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                           "l_extendedprice").repartition("l_orderkey")
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
     lp = li.join(t.part.select("p_partkey", "p_name", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
-    items = I.items_per_key(lp, "l_orderkey", SORT, F.col("p_name"), F.col("p_retailprice"), F.col("l_quantity"),
-                            bound_source=t.lineitem.select("l_orderkey"))
+    items = I.items_per_key(lp, "l_orderkey", SORT, F.col("p_name"), F.col("p_retailprice"), F.col("l_quantity"))
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
@@ -92,36 +84,53 @@ def invoice_assemble(spark, sf_dir):
 @register("invoice_total_check", oracle=f"""
 WITH {_INV_SQL},
 c AS (SELECT o_orderkey, total,
-             coalesce((SELECT sum(CAST(x.price AS DECIMAL(18,2)) * x.quantity) FROM (SELECT unnest(items) AS x)), 0) AS calc
+             coalesce((SELECT sum(CAST(CAST(CASE WHEN o_orderkey % 13 = 0 THEN round(x.price / 1000, 5) ELSE x.price END AS VARCHAR) AS DECIMAL(26,15))
+                                  * x.quantity) FROM (SELECT unnest(items) AS x)), 0) AS calc
       FROM inv)
 SELECT o_orderkey, CAST(calc AS DOUBLE) AS calculated_total, total,
-       coalesce(calc = CAST(total AS DECIMAL(38,2)), false) AS total_matches
+       coalesce(calc = CAST(CAST(total AS VARCHAR) AS DECIMAL(37,15)) OR round(calc, 2) = CAST(CAST(total AS VARCHAR) AS DECIMAL(37,15)), false) AS total_matches
 FROM c
 """)
 def invoice_total_check(spark, sf_dir):
-    good, rej = I.total_check(invoices(spark, sf_dir), strict=True)
+    """Every thirteenth invoice states its prices in thousandths, so prices below a cent take part."""
+    inv = invoices(spark, sf_dir)
+    small = F.transform("items", lambda i: i.withField("price", F.round(i["price"] / 1000, 5)))
+    inv = inv.withColumn("items", F.when(F.col("o_orderkey") % 13 == 0, small).otherwise(F.col("items")))
+    good, rej = I.total_check(inv, strict=True)
     cols = ["o_orderkey", "calculated_total", "total", "total_matches"]
     return good.select(*cols).unionByName(rej.select(*cols))
 
 
 @register("invoice_missing_ref", oracle=f"""
 WITH {_INV_SQL}
-SELECT o_orderkey, 'Reference number is missing' AS reason FROM inv WHERE coalesce(reference_number = '', true)
+SELECT o_orderkey, 'no_reference_number' AS reason FROM inv WHERE coalesce(reference_number = '', true)
 """)
 def invoice_missing_ref(spark, sf_dir):
     _, rej = I.missing_reference(invoices(spark, sf_dir))
     return rej.select("o_orderkey", "reason")
 
 
-@register("invoice_parse", oracle="""
-SELECT o_orderkey, o_orderstatus <> 'P' AS valid FROM orders
+@register("invoice_parse", oracle=f"""
+WITH {_INV_SQL},
+k AS (SELECT o_orderkey, o_orderkey % 11 AS kind, len(items) AS n, reference_number IS NULL AS noref FROM inv)
+SELECT o_orderkey, CASE WHEN kind = 3 THEN 'unparsable'
+                        ELSE nullif(concat_ws(';', CASE WHEN kind = 1 THEN 'missing:items' END,
+                                                   CASE WHEN noref THEN 'missing:reference_number' END,
+                                                   CASE WHEN kind = 2 AND n > 0 THEN 'item:name' END), '') END AS reason
+FROM k
 """)
 def invoice_parse(spark, sf_dir):
+    """Model output as a model might give it: every eleventh invoice has no items, has an
+    item without a name, or states its total as a word."""
     inv = invoices(spark, sf_dir)
-    js = inv.select("o_orderkey", F.to_json(F.struct(*[c for c in inv.columns if c != "o_orderkey"])).alias("js"))
+    kind = F.col("o_orderkey") % 11
+    nameless = F.transform("items", lambda x, k: F.when(k == 0, x.withField("name", F.lit(None).cast("string"))).otherwise(x))
+    inv = inv.withColumn("items", F.when(kind == 1, F.lit(None)).when(kind == 2, nameless).otherwise(F.col("items")))
+    whole = F.to_json(F.struct(*[c for c in inv.columns if c != "o_orderkey"]))
+    worded = F.regexp_replace(whole, r'"total":[0-9.Ee+-]+', '"total":"nine hundred"')
+    js = inv.select("o_orderkey", F.when(kind == 3, worded).otherwise(whole).alias("js"))
     good, rej = I.parse_invoices(F.col("js"), js)
-    return (good.select("o_orderkey", F.lit(True).alias("valid"))
-            .unionByName(rej.select("o_orderkey", F.lit(False).alias("valid"))))
+    return good.select("o_orderkey", F.lit(None).cast("string").alias("reason")).unionByName(rej.select("o_orderkey", "reason"))
 
 
 _FIELD_SRC = {

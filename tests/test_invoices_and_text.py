@@ -108,3 +108,33 @@ def test_index_record_json_string_form(spark):
     rec = json.loads(js.json)
     assert js.id == "R1" and rec["content"] == "" and rec["content_vector"] == []
     assert rec["items_purchased"] == [{"list_item": "pen, 10000000.0, 1"}]
+
+
+def test_totals_keep_parts_of_a_cent(spark):
+    rows = [("a", [("x", 0.333, 3)], 0.999), ("b", [("x", 0.005, 100)], 0.5), ("c", [("x", 0.1, 3), ("y", 0.2, 1)], 0.5),
+            ("d", [("x", 0.333, 3)], 1.0), ("e", [("x", 0.123456789012345, 1)], 0.123456789012345), ("f", [("x", 0.333, 3)], 0.99)]
+    df = spark.createDataFrame(rows, "reference_number string, items array<struct<name:string,price:double,quantity:int>>, total double")
+    good, rej = I.total_check(df)
+    assert sorted(r.reference_number for r in good.collect()) == ["a", "b", "c", "d", "e"]
+    assert [r.reference_number for r in rej.collect()] == ["f"]
+
+
+def test_price_text_is_the_shortest(spark):
+    values = [901.0, 1234.56, 0.1, 0.123456789012345, 1e-11, 0.00012, 1e7, 123456789.25, 1e15, 1.5e16, 1e22, 0.0, 0.001, 5e-5, -2.5e-7, -1e8]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", I.py_float_str(F.col("v")).alias("s"))
+    assert [r.s for r in got.orderBy("i").collect()] == [repr(v) for v in values]
+
+
+def test_parse_names_every_broken_rule(spark):
+    import json
+
+    whole = {"items": [{"name": "n", "price": 1.5, "quantity": 2}], "total": 3.0, "reference_number": "R", "signature_on_document": "s",
+             "origin_address": "o", "destination_address": "d", "summary": None}
+    cases = {"ok": whole, "empty": whole | {"items": []}, "none": {k: v for k, v in whole.items() if k != "items"},
+             "nulls": whole | {"items": [{"name": None, "price": None, "quantity": None}]},
+             "type": whole | {"total": "nine"}, "two": whole | {"reference_number": None, "items": [{"name": "n", "price": 1.0}]}}
+    df = spark.createDataFrame([(k, json.dumps(v)) for k, v in cases.items()] + [("text", "no json")], "k string, js string")
+    good, rej = I.parse_invoices(F.col("js"), df)
+    assert sorted(r.k for r in good.collect()) == ["empty", "ok"]
+    assert {r.k: r.reason for r in rej.collect()} == {"none": "missing:items", "nulls": "item:name;item:price;item:quantity", "type": "unparsable",
+                                                      "text": "unparsable", "two": "missing:reference_number;item:quantity"}

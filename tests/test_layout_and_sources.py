@@ -47,7 +47,7 @@ def test_table_grid_and_spans(layout):
     cells = L.table_cells(layout)
     hdr = cells.filter(F.col("kind") == "columnHeader").collect()[0]
     assert (hdr.columnSpan, hdr.rowSpan) == (2, 1)
-    grid = {r.rowIndex: (r.c0, r.c1) for r in L.table_grid(cells, max_cols=2).collect()}
+    grid = {r.rowIndex: (r.cells.get(0), r.cells.get(1)) for r in L.table_grid(cells).collect()}
     assert grid == {0: ("Totals", None), 1: ("a", "b")}
 
 
@@ -134,3 +134,11 @@ def test_manifest_partitioned_by_set(spark, tmp_dir):
     back = spark.read.option("header", True).csv(f"{tmp_dir}/m")
     assert sorted((r.location, r.label, r.set) for r in back.collect()) == sorted(map(tuple, df.collect()))
     assert back.filter(F.col("set") == "test").count() == 2  # partition pruning on set
+
+
+def test_table_grid_keeps_every_column(spark):
+    cells = spark.createDataFrame([("f", 0, 1, j, f"v{j}") for j in reversed(range(20))] + [("f", 0, 2, None, "loose")],
+                                  "file string, table int, rowIndex long, columnIndex long, content string")
+    grid = {r.rowIndex: r.cells for r in L.table_grid(cells).collect()}
+    assert grid == {1: {j: f"v{j}" for j in range(20)}, 2: {-1: "loose"}}
+    assert L.table_row_texts(cells).filter("rowIndex = 1").first().text == " | ".join(f"v{j}" for j in range(20))

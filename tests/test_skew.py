@@ -51,18 +51,27 @@ def test_hot_group_split_is_exact(spark, skewed):
     assert sp.count() == skewed.count()
 
 
-def test_per_key_arrays_have_a_checked_bound(spark, monkeypatch):
-    from quire.functions.parallel import GroupTooLarge
+def test_a_key_of_150000_rows_comes_in_parts(spark):
+    import json
+
     from quire.operators import conversations as M
 
-    conv = spark.range(0, 50).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
-                                     F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
-    assert M.split_last_turn(conv).count() == 1
-    monkeypatch.setattr(M, "MAX_ROWS_PER_KEY", 10)
-    with pytest.raises(GroupTooLarge):
-        M.split_last_turn(conv)
-    with pytest.raises(GroupTooLarge):
-        M.join_pages(conv, "conv_id", "turn", "text")
+    n = 150_000
+    conv = spark.range(0, n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                                    F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
+    conv = conv.unionByName(spark.createDataFrame([(2, 0, "user", None), (2, 1, "user", "x")], "conv_id int, turn long, role string, text string"))
+
+    def whole(parts, col):
+        rows = parts.filter("conv_id = 1").orderBy("part_no").collect()
+        assert [r.part_no for r in rows] == list(range(len(rows))) and len(rows) > n // M.PART_ROWS
+        return "".join(r[col] for r in rows)
+
+    assert whole(M.join_pages(conv, "conv_id", "turn", "text"), "text") == "\n".join(map(str, range(n)))
+    assert whole(M.assemble_deltas(conv, "conv_id", "turn", "text"), "reply") == "".join(map(str, range(n)))
+    body = json.loads(whole(M.body_parts(M.messages_long(conv, "S"), "conv_id"), "body"))
+    assert [m["content"] for m in body["messages"]] == [*map(str, range(n - 1)), "S", str(n - 1)]
+    assert body["max_tokens"] == 4000
+    assert [(r.part_no, r.text) for r in M.join_pages(conv, "conv_id", "turn", "text").filter("conv_id = 2").collect()] == [(0, "x")]
 
 
 def test_empty_inputs(spark, tmp_dir):
