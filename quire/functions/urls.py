@@ -58,6 +58,11 @@ def extension(path) -> Column:
     return F.lower(F.regexp_extract(url_path(path), r"(\.[A-Za-z0-9]+)$", 1))
 
 
+def path_extension(path) -> Column:
+    """Lower-case suffix of a plain path (no URL: ``#`` and ``?`` may be part of a name)."""
+    return F.lower(F.regexp_extract(F.substring_index(col_(path), "/", -1), r"(\.[A-Za-z0-9]+)$", 1))
+
+
 def has_extension(path, allowed: Sequence[str]) -> Column:
     return extension(path).isin([a.lower() for a in allowed])
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.functions import urls as U
-from quire.functions.parallel import bounded_broadcast
 from quire.operators import pairing as J
 from quire.operators import sampling as S
 from quire.operators.classify import keyword_predict
@@ -113,7 +112,7 @@ def class_files(spark, sf_dir):
     p = J.paired(_docs(spark, sf_dir), _done(spark, sf_dir), "doc_id").withColumn("class", _class_col())
     q = FS.qualifying_classes(p, "class", 5).select("class")
     # the qualifying-class table has one row per class: broadcast after a size check
-    return (p.join(bounded_broadcast(q), "class")
+    return (p.join(q, "class")
             .select("class", F.concat("class", F.lit(".jsonl")).alias("list_file"), F.col("path").alias("file")))
 
 
@@ -208,11 +207,11 @@ def data_uri(spark, sf_dir):
 
 
 @register("clean_label", oracle="""
-SELECT doc_id, translate(split_part(text, chr(10), 1), ' "', '') AS label FROM documents
+SELECT doc_id, translate(text, ' "', '') AS label FROM documents
 """)
 def clean_label(spark, sf_dir):
     d = Tables(spark, sf_dir).documents.select("doc_id", "text")
-    return d.select("doc_id", X.clean_label(F.substring_index("text", "\n", 1)).alias("label"))
+    return d.select("doc_id", X.clean_label("text").alias("label"))
 
 
 @register("snippet", oracle="""
@@ -236,7 +235,7 @@ def render_prompt(spark, sf_dir):
 
 
 @register("prompt_cache", oracle=f"""
-WITH req AS (SELECT doc_id, text, sha256(concat_ws(',', coalesce(text, ''), 'm1', '1')) AS key FROM documents),
+WITH req AS (SELECT doc_id, text, sha256(coalesce(length(text) || ':' || text, '-') || '2:m1' || '1:1') AS key FROM documents),
 cache AS (SELECT DISTINCT r.key FROM req r JOIN labels l USING (doc_id))
 SELECT doc_id, key, 'label:' || ({sql_keyword_predict('text')}) AS response,
        key IN (SELECT key FROM cache) AS hit
@@ -257,18 +256,3 @@ def prompt_cache(spark, sf_dir):
     hits = cache0.select("key", F.lit(True).alias("hit"))
     return (answers.join(hits, "key", "left")
             .select("doc_id", "key", "response", F.coalesce("hit", F.lit(False)).alias("hit")))
-
-
-@register("file_metadata")
-def file_metadata(spark, sf_dir):
-    """S7 + S8 over the table files themselves: url, name, size, type, ISO time.
-    Only file listings are read (the ``content`` column is pruned)."""
-    return FS.format_metadata(FS.file_metadata(spark, sf_dir))
-
-
-@register("binary_documents")
-def binary_documents(spark, sf_dir):
-    """Recursive binary scan with a case-insensitive suffix allow-list (here the
-    table files); one row per file with its size and a content digest."""
-    docs = FS.read_documents(spark, sf_dir, allowed=(".parquet",))
-    return docs.select(F.col("path"), F.col("length"), F.sha2(F.col("content"), 256).alias("sha256"))

@@ -2,8 +2,9 @@
 
 On a cluster the session already exists and carries the operator's
 settings; ``build_session`` is for tests, the bench and local runs.
-``checkpoint_dir`` reads the shared folder named by ``spark.checkpoint.dir``
-and only invents one (under /tmp) when it is unset, as in tests.
+``checkpoint_dir`` reads the shared folder named by ``spark.checkpoint.dir``;
+where it is unset, a local session (as in tests) gets a folder of its own and
+a cluster session an error.
 """
 
 from __future__ import annotations
@@ -46,11 +47,14 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is configured."""
+    """The shared checkpoint folder. A local session without one gets one; on a cluster a
+    machine's own folder would lose what other machines write, so that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -67,4 +71,4 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/quire-tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

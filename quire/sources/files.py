@@ -52,10 +52,10 @@ def read_file_lists(spark: SparkSession, root: str) -> DataFrame:
     """(class, file): the class is the ``.jsonl`` file stem (may contain spaces)."""
     df = (spark.read.schema(FILE_LIST_SCHEMA).option("recursiveFileLookup", True)
           .option("pathGlobFilter", "*.jsonl").json(root))
+    # file names come percent-encoded; a plus sign is itself, not a space
     name = F.col("_metadata.file_name")
-    return df.select(F.regexp_extract(F.expr("try_url_decode(_metadata.file_name)"),
-                                      r"^(.*)\.jsonl$", 1).alias("class"), "file",
-                     name.alias("list_file"))
+    return df.select(F.regexp_extract(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), r"^(.*)\.jsonl$", 1).alias("class"),
+                     "file", name.alias("list_file"))
 
 
 def read_written_file_lists(spark: SparkSession, path: str, class_col: str = "class") -> DataFrame:
@@ -84,17 +84,18 @@ def write_file_lists(pairs: DataFrame, class_col: str, file_col: str, path: str,
 
 def read_documents(spark: SparkSession, root: str,
                    allowed: Sequence[str] = U.IMAGE_EXTENSIONS) -> DataFrame:
-    """Recursive binary scan; suffix check is case-insensitive."""
+    """Recursive binary scan; suffix check is case-insensitive. Paths are plain paths:
+    ``#`` and ``?`` are characters of a name like any other."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return df.filter(U.has_extension(F.col("path"), allowed))
+    return df.filter(U.path_extension(F.col("path")).isin([a.lower() for a in allowed]))
 
 
 def file_metadata(spark: SparkSession, root: str) -> DataFrame:
     """Url, name, size, content type, last_modified — ``content`` is never selected,
     so column pruning keeps the file bodies unread."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    ext = U.extension(F.col("path"))
-    return df.select(F.col("path").alias("url"), U.basename(F.col("path")).alias("name"),
+    ext = U.path_extension(F.col("path"))
+    return df.select(F.col("path").alias("url"), F.substring_index("path", "/", -1).alias("name"),
                      F.col("length").alias("size"), U.mime_type(ext).alias("content_type"),
                      F.col("modificationTime").alias("last_modified"))
 
@@ -129,7 +130,7 @@ SUFFIX_FORMAT = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".jsonl"
 
 def save_table(df: DataFrame, path: str, file_format: str = "csv", mode: str = "overwrite") -> None:
     if file_format not in FORMATS:
-        raise ValueError(f"Unsupported file format: {file_format}")
+        raise ValueError(f"cannot save as {file_format!r}; choose one of {', '.join(FORMATS)}")
     w = df.write.mode(mode).format(file_format)
     if file_format == "csv":
         w = w.option("header", True)
@@ -149,7 +150,7 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
                 if schema is None:
                     r = r.option("inferSchema", True)
             return r.load(path)
-    raise ValueError(f"Unsupported file extension: {path}")
+    raise ValueError(f"cannot tell the format of {path!r}; known endings are {', '.join(SUFFIX_FORMAT)}")
 
 
 # ---- S14: download plan --------------------------------------------------------

@@ -9,7 +9,7 @@ aggregate, so a key holding a third of all updates is reduced map-side to
 one row per task before any shuffle (a ``row_number`` window would pull the
 whole key into one task). The merge is one anti join plus a union.
 
-Storage: per-bucket versions plus a commit log (see below). A commit
+Storage: per-bucket versions plus commit records (see below). A commit
 reads and rewrites only the buckets its updates hash to, so its cost
 follows the size of the update, not of the collection; a version becomes
 visible only when its commit record exists.
@@ -69,65 +69,68 @@ def unwrap_fields(df: DataFrame, id_cols: Sequence[str] = ("id", "primary_key"))
 # ---- versioned storage -----------------------------------------------------------
 #
 # <root>/quire_bucket=<b>/quire_version=<n>/part-*.parquet   bucket b as of commit n
-# <root>/_commits/                         JSON table, one (version, buckets) record per commit, written last
+# <root>/_commits/version=<n>/*.json                         the commit record, written last
 #
-# A commit rewrites only the buckets its updates hash to; every other bucket
-# keeps pointing at its older version. The commit record is written after the
-# data job succeeded, so readers never see a half-written version, and a retry
-# of a failed commit overwrites exactly its own partitions (dynamic partition
-# overwrite) before writing the record.
-
-import json as _json
+# A commit rewrites only the buckets its updates hash to. Its record names the
+# current version of every bucket (as many entries as there are buckets), so a
+# reader needs the last record alone, however long the history is. The record's
+# folder can be made only once: of two writers that aim at the same version,
+# one fails and may try again.
 
 BUCKET, VERSION = "quire_bucket", "quire_version"
+COMMIT_SCHEMA = "version long, buckets array<int>, batch_id long, n_buckets int, current array<struct<bucket:int,version:long>>"
 
 
-COMMIT_SCHEMA = "version long, buckets array<int>, batch_id long"
+class CommitConflict(RuntimeError):
+    """Another writer has committed the version this one aimed at."""
 
 
-def commits(spark: SparkSession, root: str) -> list[dict]:
-    """Committed versions in order, each ``{"version": n, "buckets": [...]}``
-    (the commit log is a small JSON table under ``<root>/_commits``)."""
+def commit_log(spark: SparkSession, root: str) -> DataFrame | None:
+    """All commit records, or None for a collection that does not exist yet. Any other
+    failure to read the log is raised, never taken for an empty collection."""
     from pyspark.errors import AnalysisException
 
     try:
-        rows = spark.read.schema(COMMIT_SCHEMA).json(f"{root}/_commits").collect()
-    except AnalysisException:  # no commit yet
-        return []
-    return sorted(({"version": r.version, "buckets": list(r.buckets), "batch_id": r.batch_id} for r in rows),
-                  key=lambda c: c["version"])
+        return spark.read.schema(COMMIT_SCHEMA).json(f"{root}/_commits")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def _write_commit(spark: SparkSession, root: str, version: int, buckets: list[int],
-                  batch_id: int | None = None) -> None:
-    """Append one commit record; the job commit makes it appear whole or not at all."""
-    rec = spark.createDataFrame([(version, sorted(int(b) for b in buckets), batch_id)], COMMIT_SCHEMA)
-    rec.coalesce(1).write.mode("append").json(f"{root}/_commits")
+def last_commit(spark: SparkSession, root: str):
+    """The newest commit record; the version is a partition column, so only its file is read."""
+    log = commit_log(spark, root)
+    top = None if log is None else log.agg(F.max("version")).first()[0]
+    return None if top is None else log.filter(F.col("version") == top).first()
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    return [c["version"] for c in commits(spark, root)]
+def bucket_versions(commit) -> dict[int, int]:
+    """Current version of every bucket, from a commit record."""
+    return {x.bucket: x.version for x in commit.current}
 
 
-def bucket_versions(spark: SparkSession, root: str) -> dict[int, int]:
-    """Current version of every bucket."""
-    cur: dict[int, int] = {}
-    for c in commits(spark, root):
-        for b in c["buckets"]:
-            cur[b] = c["version"]
-    return cur
+def commits(spark: SparkSession, root: str) -> list[dict]:
+    """The history for inspection, in order: ``{"version", "buckets", "batch_id"}``."""
+    log = commit_log(spark, root)
+    rows = [] if log is None else log.select("version", "buckets", "batch_id").orderBy("version").collect()
+    return [{"version": r.version, "buckets": list(r.buckets), "batch_id": r.batch_id} for r in rows]
 
 
-def _read_buckets(spark: SparkSession, root: str, versions: dict[int, int]) -> DataFrame | None:
-    if not versions:
-        return None
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    return [c["version"] for c in commits(spark, root)]
+
+
+def _read_buckets(spark: SparkSession, root: str, versions: dict[int, int]) -> DataFrame:
     paths = [f"{root}/{BUCKET}={b}/{VERSION}={v}" for b, v in sorted(versions.items())]
-    return spark.read.option("basePath", root).parquet(*paths).drop(BUCKET, VERSION)
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths).drop(BUCKET, VERSION)
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The collection as of the last commit (latest version of every bucket)."""
-    return _read_buckets(spark, root, bucket_versions(spark, root))
+    """The collection as of the last commit; columns that came with later updates are
+    null in rows written before."""
+    last = last_commit(spark, root)
+    return None if last is None else _read_buckets(spark, root, bucket_versions(last))
 
 
 def bucket_of(key_col: Column, n_buckets: int) -> Column:
@@ -135,45 +138,59 @@ def bucket_of(key_col: Column, n_buckets: int) -> Column:
 
 
 def upsert_table(spark: SparkSession, root: str, updates: DataFrame, key: str, seq: Sequence[str],
-                 n_buckets: int = 1024, batch_id: int | None = None) -> int:
+                 n_buckets: int | None = None, batch_id: int | None = None) -> int:
     """Merge ``updates`` into the collection at ``root``; returns the new version.
 
     Reads and rewrites only the buckets the update touches, so the cost of a
-    commit follows the update, not the collection. Size ``n_buckets`` so a
-    bucket holds about a gigabyte; it is fixed for the life of a collection.
-    A ``batch_id`` already in the commit log (a replayed micro-batch) is a
-    no-op that returns the version it produced.
+    commit follows the update, not the collection. ``n_buckets`` (1024 unless
+    given) is set by the first commit and kept in its record; size it so that
+    a bucket holds about a gigabyte. Columns the collection has not seen yet
+    are added. A ``batch_id`` that was committed before (a replayed
+    micro-batch) writes nothing and returns the version it produced.
     """
-    if batch_id is not None:
-        done = [c["version"] for c in commits(spark, root) if c.get("batch_id") == batch_id]
-        if done:
-            return done[-1]
+    last = last_commit(spark, root)
+    if last is not None and n_buckets not in (None, last.n_buckets):
+        raise ValueError(f"the collection has {last.n_buckets} buckets, not {n_buckets}")
+    n_buckets = last.n_buckets if last is not None else n_buckets or 1024
+    if batch_id is not None and last is not None and last.batch_id is not None and batch_id <= last.batch_id:
+        done = commit_log(spark, root).filter(F.col("batch_id") == batch_id).agg(F.max("version")).first()[0]
+        return last.version if done is None else done
     good = updates.filter(valid_key(key))
     touched = [r[0] for r in good.select(bucket_of(F.col(key), n_buckets).alias("b")).distinct().collect()]
-    cs = commits(spark, root)
-    new = (cs[-1]["version"] + 1) if cs else 0
     if not touched:
-        return cs[-1]["version"] if cs else -1
-    cur = bucket_versions(spark, root)
-    base = _read_buckets(spark, root, {b: cur[b] for b in touched if b in cur})
-    if base is None:
-        base = good.limit(0)
-    state = merge(base, good.select(*base.columns), key, seq)
+        return last.version if last is not None else -1
+    new = last.version + 1 if last is not None else 0
+    current = bucket_versions(last) if last is not None else {}
+    old = {b: current[b] for b in touched if b in current}
+    src = latest_per_key(good, key, seq)
+    state = src
+    if old:
+        state = _read_buckets(spark, root, old).join(src.select(key), key, "left_anti").unionByName(src, allowMissingColumns=True)
     (state.withColumn(BUCKET, bucket_of(F.col(key), n_buckets)).withColumn(VERSION, F.lit(new))
      .hint("rebalance", BUCKET)  # AQE sizes write tasks, buckets stay clustered
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET, VERSION).parquet(root))
-    _write_commit(spark, root, new, touched, batch_id)
+    batch = batch_id if batch_id is not None else last.batch_id if last is not None else None
+    state_now = sorted((current | dict.fromkeys(touched, new)).items())
+    record = spark.createDataFrame([(sorted(touched), batch, n_buckets, state_now)], COMMIT_SCHEMA.replace("version long, ", "", 1))
+    try:
+        record.coalesce(1).write.mode("error").json(f"{root}/_commits/version={new}")
+    except Exception as e:
+        if "PATH_ALREADY_EXISTS" in str(e):
+            raise CommitConflict(f"version {new} of {root} was committed by another writer") from e
+        raise
     return new
 
 
-def lookup(spark: SparkSession, root: str, key: str, value, n_buckets: int = 1024) -> DataFrame:
-    """Point read of one key: only its bucket's current directory is scanned."""
-    cur = bucket_versions(spark, root)
-    probe = spark.range(1).select(F.lit(value).alias("k"))
-    some = _read_buckets(spark, root, {next(iter(cur)): cur[next(iter(cur))]})
-    kt = some.schema[key].dataType
-    b = probe.select(bucket_of(F.col("k").cast(kt), n_buckets)).first()[0]
-    if b not in cur:
-        return some.limit(0)
-    return _read_buckets(spark, root, {b: cur[b]}).filter(F.col(key) == F.lit(value).cast(kt))
+def lookup(spark: SparkSession, root: str, key: str, value) -> DataFrame | None:
+    """Point read of one key: only its bucket's current directory is scanned. None for a
+    collection that does not exist yet."""
+    last = last_commit(spark, root)
+    if last is None:
+        return None
+    current = bucket_versions(last)
+    some = _read_buckets(spark, root, dict([next(iter(current.items()))]))
+    kind = some.schema[key].dataType
+    b = spark.range(1).select(bucket_of(F.lit(value).cast(kind), last.n_buckets)).first()[0]
+    found = _read_buckets(spark, root, {b: current[b]}) if b in current else some.limit(0)
+    return found.filter(F.col(key) == F.lit(value).cast(kind))

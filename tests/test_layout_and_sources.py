@@ -142,3 +142,16 @@ def test_table_grid_keeps_every_column(spark):
     grid = {r.rowIndex: r.cells for r in L.table_grid(cells).collect()}
     assert grid == {1: {j: f"v{j}" for j in range(20)}, 2: {-1: "loose"}}
     assert L.table_row_texts(cells).filter("rowIndex = 1").first().text == " | ".join(f"v{j}" for j in range(20))
+
+
+def test_odd_file_names(spark, tmp_dir):
+    import os
+
+    for name in ("a#b.PNG", "c?d.png", "e f.png", "g+h.png", "i.txt"):
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(b"x")
+    got = sorted(os.path.basename(r.path) for r in FS.read_documents(spark, tmp_dir, (".png",)).collect())
+    assert len(got) == 4 and got[0].startswith("a") and "#b.PNG" in got[0]
+    with open(os.path.join(tmp_dir, "a+b c.jsonl"), "w") as f:
+        f.write('{"file": "x/y.png"}\n')
+    assert [(r["class"], r.file) for r in FS.read_file_lists(spark, tmp_dir).collect()] == [("a+b c", "x/y.png")]
