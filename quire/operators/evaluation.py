@@ -6,7 +6,8 @@ label pair: confusion cells; plus the hallucination count). A global
 aggregate has no grouping key, so no class — however hot — lands in one
 task: each task folds its rows into one small row and only those rows are
 merged. The per-label table is then unfolded from that single row with
-``inline`` (no join, no second scan).
+``inline`` (no join, no second scan). The confusion matrix is a count per
+pair of labels instead: its cells grow with the square of the label list.
 
 Semantics follow the usual weighted multi-class metrics with a fixed label
 list and ``zero_division = 0``:
@@ -67,10 +68,14 @@ def _is_valid(labels: Sequence[str], pred: str = "y_pred") -> Column:
 
 
 def hallucination_counts(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """A3: original invalid predicted strings with their counts."""
-    return (pairs.filter(~_is_valid(labels))
-            .groupBy(F.col("y_pred").alias("hallucination"))
-            .agg(F.count(F.lit(1)).alias("count")))
+    """A3: original invalid predicted strings with their counts, the most frequent first
+    (``rank`` from 1; ties by the string)."""
+    from pyspark.sql import Window
+
+    n = (pairs.filter(~_is_valid(labels)).groupBy(F.col("y_pred").alias("hallucination"))
+         .agg(F.count(F.lit(1)).alias("count")))
+    # one row per distinct string
+    return n.withColumn("rank", F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("hallucination").asc_nulls_first()))).orderBy("rank")
 
 
 def hallucination_truth(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -92,7 +97,7 @@ def label_table(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
         F.posexplode(_labels_col(labels)).alias("label_order", "label"))
 
 
-def _stats(pairs: DataFrame, labels: Sequence[str], confusion: bool = False) -> DataFrame:
+def _stats(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     """The single aggregation pass: one row of counters."""
     v = _is_valid(labels)
     t, p = F.col("y_true"), F.col("y_pred")
@@ -101,9 +106,6 @@ def _stats(pairs: DataFrame, labels: Sequence[str], confusion: bool = False) ->
         aggs += [F.count_if(v & (t == lab) & (p == lab)).alias(f"tp_{i}"),
                  F.count_if(p == lab).alias(f"ps_{i}"),
                  F.count_if(v & (t == lab)).alias(f"ts_{i}")]
-        if confusion:
-            aggs += [F.count_if((t == lab) & (p == other)).alias(f"cm_{i}_{j}")
-                     for j, other in enumerate(labels)]
     return pairs.agg(*aggs)
 
 
@@ -151,25 +153,25 @@ def weighted_metrics(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
         _r(F.try_divide(F.col("n_valid").cast("double"), F.col("n_valid") + F.col("n_h"))).alias("coverage"))
 
 
-def confusion_long(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Dense (y_true, y_pred, true_order, pred_order, n) over labels x labels, zeros kept.
+def confusion_counts(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """(y_true, y_pred, n) of the pairs with both in ``labels``: at most one row per pair
+    of labels leaves each task, whatever the number of rows."""
+    both = pairs.filter(F.col("y_true").isin(list(labels)) & F.col("y_pred").isin(list(labels)))
+    return both.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
 
-    Every cell is a counter of the single aggregation pass, unfolded with
-    ``inline``: the grid never needs a join.
-    """
-    cells = F.array(*[F.struct(F.lit(a).alias("y_true"), F.lit(b).alias("y_pred"),
-                               F.lit(i).alias("true_order"), F.lit(j).alias("pred_order"),
-                               F.col(f"cm_{i}_{j}").alias("n"))
-                      for i, a in enumerate(labels) for j, b in enumerate(labels)])
-    return _stats(pairs, labels, confusion=True).select(F.inline(cells))
+
+def confusion_long(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Dense (y_true, y_pred, true_order, pred_order, n) over labels x labels, zeros kept."""
+    grid = label_table(pairs, labels).select(
+        F.col("label").alias("y_true"), F.col("label_order").alias("true_order"),
+        F.posexplode(_labels_col(labels)).alias("pred_order", "y_pred"))
+    return grid.join(confusion_counts(pairs, labels), ["y_true", "y_pred"], "left").select(
+        "y_true", "y_pred", "true_order", "pred_order", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def confusion_wide(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     """A7 wide: one row per true label, one column per predicted label."""
-    rows = F.array(*[F.struct(F.lit(a).alias("y_true"), F.lit(i).alias("true_order"),
-                              *[F.col(f"cm_{i}_{j}").alias(b) for j, b in enumerate(labels)])
-                     for i, a in enumerate(labels)])
-    return _stats(pairs, labels, confusion=True).select(F.inline(rows))
+    return confusion_long(pairs, labels).groupBy("y_true", "true_order").pivot("y_pred", list(labels)).agg(F.sum("n"))
 
 
 def class_report(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -204,45 +206,56 @@ def class_report_body(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
             .drop("support"))
 
 
-_BASE_NAMES = ["mean", "min", "max", "n_ok", "errors"]
-
-
 def latency_stats(df: DataFrame, seconds: str = "seconds", error: str = "error",
                   group_cols: Sequence[str] = (), method: str = "bounded",
                   accuracy: int = 100000) -> DataFrame:
     """A10 + A17: mean, median, min, max, p95, p99 over successes (4 decimals) + errors.
 
     ``method``:
-    * ``"bounded"`` (default) — exact, linear interpolation, state bounded
-      independently of the data (``quantiles.exact_quantiles``, two passes);
+    * ``"bounded"`` (default) — exact, linear interpolation: the log is read
+      once, into one row per (group, failed, seconds) with its count, written
+      to the shared folder; every figure comes from that table
+      (``quantiles.quantiles_of_counts``), so a live model behind ``df`` is
+      called once per row;
     * ``"exact"`` — Spark's ``percentile`` in the same single pass (its
       state is a map of distinct values per group);
     * ``"approx"`` — ``percentile_approx`` sketch, one pass, fixed memory.
     """
-    from quire.operators.quantiles import exact_quantiles
+    from quire.operators.quantiles import quantiles_of_counts
+    from quire.session import cut_lineage
 
     ok = F.col(error).isNull() & F.col(seconds).isNotNull()
     v = F.when(ok, F.col(seconds).cast("double"))
-    base = [F.round(F.avg(v), 4).alias("mean"), F.round(F.min(v), 4).alias("min"),
-            F.round(F.max(v), 4).alias("max"), F.count(v).alias("n_ok"),
-            F.count_if(F.col(error).isNotNull()).alias("errors")]
     cols = list(group_cols) + ["mean", "median", "min", "max", "p95", "p99", "n_ok", "errors"]
     if method in ("exact", "approx"):
+        base = [F.round(F.avg(v), 4).alias("mean"), F.round(F.min(v), 4).alias("min"),
+                F.round(F.max(v), 4).alias("max"), F.count(v).alias("n_ok"),
+                F.count_if(F.col(error).isNotNull()).alias("errors")]
         q = (F.percentile(v, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))) if method == "exact"
              else F.percentile_approx(v, [0.5, 0.95, 0.99], accuracy))
         qs = [F.round(q[0], 4).alias("median"), F.round(q[1], 4).alias("p95"), F.round(q[2], 4).alias("p99")]
         return df.groupBy(*group_cols).agg(*base, *qs).select(*cols)
     if method != "bounded":
         raise ValueError(f"unknown method {method!r}")
+    log = df.groupBy(*group_cols, F.col(error).isNotNull().alias("_failed"), v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    log = cut_lineage(log, "latency-counts")
+    c = F.col("_c")
+    base = [F.round(F.try_divide(F.sum(F.col("_v") * c), F.sum(F.when(F.col("_v").isNotNull(), c))), 4).alias("mean"),
+            F.round(F.min("_v"), 4).alias("min"), F.round(F.max("_v"), 4).alias("max"),
+            F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), c)), F.lit(0)).alias("n_ok"),
+            F.coalesce(F.sum(F.when(F.col("_failed"), c)), F.lit(0)).alias("errors")]
     names = ["median", "p95", "p99"]
-    q = exact_quantiles(df.filter(ok), seconds, [0.5, 0.95, 0.99], group_cols, names, accuracy)
+    q = quantiles_of_counts(log, "_v", "_c", [0.5, 0.95, 0.99], group_cols, names)
+    stats = log.groupBy(*group_cols).agg(*base)
     if not group_cols:
         # one row even for empty input; the quantiles join as scalar subqueries (null when empty)
-        return df.agg(*base).select(*_BASE_NAMES, *[F.round(q.select(c).scalar(), 4).alias(c) for c in names]
-                                    ).select(*cols)
-    stats = df.groupBy(*group_cols).agg(*base)
-    q = q.select(*group_cols, *[F.round(c, 4).alias(c) for c in names])
-    return stats.join(q, list(group_cols), "left").select(*cols)
+        return stats.select("*", *[F.round(q.select(n).scalar(), 4).alias(n) for n in names]).select(*cols)
+    same = F.lit(True)
+    for i, g in enumerate(group_cols):
+        q = q.withColumnRenamed(g, f"_q{i}")
+        same = same & F.col(g).eqNullSafe(F.col(f"_q{i}"))
+    return stats.join(q, same, "left").select("*", *[F.round(n, 4).alias(f"_{n}") for n in names]).select(
+        *group_cols, "mean", F.col("_median").alias("median"), "min", "max", F.col("_p95").alias("p95"), F.col("_p99").alias("p99"), "n_ok", "errors")
 
 
 def evaluate_run(calls: DataFrame, truth: DataFrame, labels: Sequence[str], id_col: str = "id",

@@ -1,88 +1,101 @@
 """Exact percentiles with bounded state (A10 at scale).
 
 ``percentile`` keeps a value -> count map per group, which grows with the
-number of distinct values. ``exact_quantiles`` gets the same numbers
-(linear interpolation between the two neighbouring ranks) in two passes
-whose state does not grow with the data:
-
-1. ``percentile_approx`` (relative rank error 1/accuracy) gives, per group
-   and percentile, a value range [lo, hi] around the target rank, and the
-   group size n;
-2. ``count_if(v < lo)`` gives the rank where the range starts, and the
-   distinct values inside the range with their counts (a partial
-   aggregate, so even a value repeated a billion times is one row) locate
-   the values at ranks floor(p(n-1)) and ceil(p(n-1)).
-
-The range holds about 6n/accuracy rows of a group (a group smaller than
-``accuracy`` is taken whole), and only its distinct values travel; nothing
-else of a group is ever gathered.
+number of distinct values. ``exact_quantiles`` reads the rows once, into one
+row per (group, distinct value) with its count (a partial aggregate: a value
+repeated a billion times is one row a task), and finds the values at the
+ranks wanted (linear interpolation between two neighbours) by running sums
+over ranges of values:
+
+1. ranges of equal width in the logarithm of the value: their counts are a
+   small table, whose running sums name the range each rank falls in;
+2. the same over ``FINE`` equal parts of each range found;
+3. a running sum over the distinct values of each part found.
+
+No array of values is ever built, and no task holds more than a part's
+values unless they are that close together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.parallel import bounded_broadcast
+from quire.session import cut_lineage
 
+RANGES = 64  # ranges per doubling of a value
+FINE = 4096
 
-def _kth(slice_col: Column, k: Column) -> Column:
-    """Value at 0-based rank k inside a sorted ARRAY<STRUCT<v, c>> of distinct values with counts."""
-    init = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))
-    return F.aggregate(slice_col, init, lambda acc, x: F.struct(
-        (acc["seen"] + x["c"]).alias("seen"),
-        F.when(acc["v"].isNull() & (acc["seen"] + x["c"] > k), x["v"]).otherwise(acc["v"]).alias("v")))["v"]
 
+def _range(v: Column) -> Column:
+    """Range number of a value; never falls as the value rises."""
+    size = F.floor(F.log2(F.lit(1.0) + F.abs(v) * float(1 << 20)) * RANGES)
+    return F.when(v < 0, -size).otherwise(size).cast("long")
 
-def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], group_cols: Sequence[str] = (),
-                    names: Sequence[str] | None = None, accuracy: int = 100_000) -> DataFrame:
-    """(group..., q...) — exact interpolated percentiles of ``value`` (nulls ignored).
 
-    Every data row meets its group's bracket arrays once (no copy per
-    percentile): the counts below each bracket are ``count_if`` columns of
-    one aggregate, and only rows inside some bracket are exploded.
-    """
+def _within(targets: DataFrame, counts: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """``targets`` (keys, _k, _rank, _below) with the ``by`` whose running count holds the
+    rank, and ``_below`` moved up to it. ``counts``: (keys, by, _c, ...), one row per ``by``."""
+    run = Window.partitionBy(*keys).orderBy(by)
+    c = counts.withColumn("_up", F.sum("_c").over(run))
+    j = targets.join(c, keys)
+    at = F.col("_rank") - F.col("_below")
+    j = j.filter((at < F.col("_up")) & (at >= F.col("_up") - F.col("_c")))
+    return j.withColumn("_below", F.col("_below") + F.col("_up") - F.col("_c")).drop("_up", "_c")
+
+
+def quantiles_of_counts(counts: DataFrame, value: str, count: str, ps: Sequence[float], group_cols: Sequence[str],
+                        names: Sequence[str]) -> DataFrame:
+    """(group..., q...) from a table with one row per (group, value): its count. The table
+    is read several times, so give a written one."""
+    g = [F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)] or [F.lit(0).alias("_g0")]
+    gn = [f"_g{i}" for i in range(len(g))]
+    v = F.col(value).cast("double")
+    d = counts.filter(v.isNotNull()).select(*g, v.alias("_v"), F.col(count).alias("_c"), _range(v).alias("_r"))
+    # null group keys must meet in joins: compare them by their JSON text
+    key = F.to_json(F.struct(*gn))
+    d = d.withColumn("_key", key)
+    wide = d.groupBy("_key", "_r").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    sizes = wide.groupBy("_key").agg(F.sum("_c").alias("_n"))
+    ranks = F.array(*[F.struct(F.lit(2 * i + up).alias("k"), (f((F.col("_n") - 1) * F.lit(float(p)))).cast("long").alias("r"))
+                      for i, p in enumerate(ps) for up, f in ((0, F.floor), (1, F.ceil))])
+    targets = sizes.select("_key", F.explode(ranks).alias("_t")).select("_key", F.col("_t.k").alias("_k"), F.col("_t.r").alias("_rank"),
+                                                                       F.lit(0).cast("long").alias("_below"))
+    targets = _within(targets, wide, ["_key"], "_r")
+    found = targets.select("_key", "_r", "_lo", "_hi").distinct()
+    part = F.floor(F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0)) * (FINE - 1)).cast("long")
+    near = d.select("_key", "_r", "_v", "_c").join(found, ["_key", "_r"]).withColumn("_f", part).drop("_lo", "_hi")
+    fine = near.groupBy("_key", "_r", "_f").agg(F.sum("_c").alias("_c"))
+    targets = _within(targets.drop("_lo", "_hi"), fine, ["_key", "_r"], "_f")
+    near = near.join(targets.select("_key", "_r", "_f").distinct(), ["_key", "_r", "_f"])
+    hits = _within(targets, near, ["_key", "_r", "_f"], "_v")
+
+    def at(k: int) -> Column:
+        return F.max(F.when(F.col("_k") == k, F.col("_v")))
+
+    out = []
+    for i, (p, name) in enumerate(zip(ps, names, strict=True)):
+        pos = (F.first("_n") - 1) * F.lit(float(p))
+        share = pos - F.floor(pos)
+        out.append(F.when(share == 0, at(2 * i)).otherwise((1 - share) * at(2 * i) + share * at(2 * i + 1)).alias(name))
+    q = hits.join(sizes, "_key").groupBy("_key").agg(*out)
+    groups = d.select("_key", *gn).distinct() if group_cols else None
+    if groups is None:
+        return q.drop("_key")
+    return groups.join(q, "_key").select(*[F.col(n).alias(c) for n, c in zip(gn, group_cols, strict=True)], *names)
+
+
+def value_counts(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group..., value, _count): one row per distinct value, written to the shared folder."""
+    rows = df.filter(F.col(value).isNotNull()).groupBy(*group_cols, F.col(value).cast("double").alias(value))
+    return cut_lineage(rows.agg(F.count(F.lit(1)).alias("_count")), "value-counts")
+
+
+def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], group_cols: Sequence[str] = (),
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """(group..., q...) — exact interpolated percentiles of ``value`` (nulls ignored); the
+    rows are read once."""
     names = list(names or [f"p{int(round(p * 100))}" for p in ps])
-    k = len(ps)
-    glob = not group_cols
-    # a global quantile is one group with a constant key (an equi-join key for
-    # the broadcast of the per-group brackets, never a cross join)
-    g = ["_g"] if glob else list(group_cols)
-    eps = 3.0 / accuracy
-    d = df.select(*([F.lit(0).alias("_g")] if glob else [F.col(c) for c in g]),
-                  F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    probes = [x for p in ps for x in (max(0.0, p - eps), min(1.0, p + eps))]
-    st = d.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"),
-                           F.percentile_approx("_v", probes, accuracy).alias("_q"))
-    # a group smaller than ``accuracy`` is its own bracket (bounded by ``accuracy``
-    # rows); above that the +-3/accuracy band spans at least two ranks more than
-    # the sketch's error on each side
-    small = F.col("_n") < accuracy
-    lo = F.array(*[F.when(small, F.lit(float("-inf"))).otherwise(F.col("_q")[2 * i]) for i in range(k)])
-    hi = F.array(*[F.when(small, F.lit(float("inf"))).otherwise(F.col("_q")[2 * i + 1]) for i in range(k)])
-    br = st.select(*g, "_n", lo.alias("_lo"), hi.alias("_hi"))
-    j = d.join(bounded_broadcast(br.select(*g, "_lo", "_hi")), g)
-    below = j.groupBy(*g).agg(*[F.count_if(F.col("_v") < F.col("_lo")[i]).alias(f"_b{i}") for i in range(k)])
-    inside = F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
-                      lambda i: (F.col("_v") >= F.element_at("_lo", i + 1)) & (F.col("_v") <= F.element_at("_hi", i + 1)))
-    vc = (j.select(*g, "_v", F.explode(inside).alias("_i"))
-          .groupBy(*g, "_i", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    sl = vc.groupBy(*g, "_i").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_v").alias("v"), F.col("_c").alias("c")))).alias("_s"))
-    pcol = F.array(*[F.lit(float(p)) for p in ps])
-    bcol = F.array(*[F.col(f"_b{i}") for i in range(k)])
-    tgt = (br.join(below, g).select(*g, "_n", bcol.alias("_ba"),
-                                    F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
-           .select(*g, "_i", ((F.col("_n") - 1) * F.element_at(pcol, F.col("_i") + 1)).alias("_pos"),
-                   F.element_at("_ba", F.col("_i") + 1).alias("_below")))
-    r = tgt.join(sl, g + ["_i"], "left")
-    lo_r, hi_r = F.floor("_pos"), F.ceil("_pos")
-    vlo = _kth(F.col("_s"), lo_r - F.col("_below"))
-    vhi = _kth(F.col("_s"), hi_r - F.col("_below"))
-    val = F.when(lo_r == hi_r, vlo).otherwise((hi_r - F.col("_pos")) * vlo + (F.col("_pos") - lo_r) * vhi)
-    wide = (r.select(*g, "_i", val.alias("_val"))
-            .groupBy(*g).pivot("_i", list(range(k))).agg(F.first("_val")))
-    out = wide.select(*g, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])
-    return out.drop("_g") if glob else out
+    return quantiles_of_counts(value_counts(df, value, group_cols), value, "_count", ps, group_cols, names)

@@ -62,7 +62,9 @@ def hallucination_flag(spark, sf_dir):
 
 @register("hallucination_counts", oracle=f"""
 WITH {PAIRS_CTE}
-SELECT y_pred AS hallucination, count(*) AS count FROM pairs WHERE NOT ({VALID}) GROUP BY y_pred
+SELECT y_pred AS hallucination, count(*) AS count,
+       CAST(row_number() OVER (ORDER BY count(*) DESC, y_pred NULLS FIRST) AS INTEGER) AS rank
+FROM pairs WHERE NOT ({VALID}) GROUP BY y_pred
 """)
 def hallucination_counts(spark, sf_dir):
     return E.hallucination_counts(doc_pairs(spark, sf_dir), LABELS)

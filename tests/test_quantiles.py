@@ -13,7 +13,7 @@ def test_global_matches_numpy(spark):
     rng = np.random.default_rng(3)
     vals = np.round(rng.gamma(2.0, 3.0, 20000), 2).tolist() + [7.5] * 9000  # a hot repeated value
     df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "x double")
-    r = exact_quantiles(df, "x", PS, accuracy=1000).collect()[0]
+    r = exact_quantiles(df, "x", PS).collect()[0]
     for p, name in zip(PS, ["p50", "p95", "p99", "p0", "p100", "p37"]):
         assert r[name] == pytest.approx(float(np.percentile(vals, p * 100)), abs=1e-9)
 
@@ -23,7 +23,7 @@ def test_grouped_matches_numpy(spark):
     rows = [(int(g), float(v)) for g, v in zip(rng.integers(0, 4, 6000), rng.normal(10, 3, 6000))]
     rows += [(9, 1.0)]  # a one-row group
     df = spark.createDataFrame(rows, "g int, x double")
-    got = {r.g: r for r in exact_quantiles(df, "x", [0.5, 0.99], ["g"], ["med", "p99"], accuracy=500).collect()}
+    got = {r.g: r for r in exact_quantiles(df, "x", [0.5, 0.99], ["g"], ["med", "p99"]).collect()}
     for g in {r[0] for r in rows}:
         xs = [x for gg, x in rows if gg == g]
         assert got[g].med == pytest.approx(float(np.percentile(xs, 50)), abs=1e-9)
@@ -35,6 +35,6 @@ def test_large_group_uses_sketch_band(spark):
     rng = np.random.default_rng(11)
     vals = np.round(rng.exponential(5.0, 50000), 3).tolist()
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    r = exact_quantiles(df, "x", [0.5, 0.95, 0.99, 0.01], accuracy=200).collect()[0]
+    r = exact_quantiles(df, "x", [0.5, 0.95, 0.99, 0.01]).collect()[0]
     for p, name in zip([0.5, 0.95, 0.99, 0.01], ["p50", "p95", "p99", "p1"]):
         assert r[name] == pytest.approx(float(np.percentile(vals, p * 100)), abs=1e-9)
