@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.parallel import spread
 from quire.functions.text import tokens
 
 # Function-word rules per language class, in label order.
@@ -74,8 +73,7 @@ def keyword_classify(df: DataFrame, text_col: str = "text", id_col: str = "doc_i
                      unknown: str = UNKNOWN, keep: Sequence[str] = ()) -> DataFrame:
     """(id, prediction, error) — one narrow projection, no shuffle, whole texts."""
     keep = list(keep)
-    d = spread(df.select(id_col, text_col, *keep))
-    return d.select(F.col(id_col), *[F.col(k) for k in keep],
+    return df.select(F.col(id_col), *[F.col(k) for k in keep],
                     keyword_predict(text_col, rules, unknown).alias("prediction"),
                     F.when(F.col(text_col).isNull(), F.lit("empty input")).alias("error"))
 

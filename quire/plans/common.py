@@ -61,6 +61,19 @@ SQL_PAIRS = f"""
 SQL_LABELS = f"(VALUES {', '.join(f'({i}, {chr(39)}{x}{chr(39)})' for i, x in enumerate(LANG_LABELS))}) AS lt(label_order, label)"
 
 
+def text_partitions(spark: SparkSession) -> int | None:
+    """``spark.quire.textPartitions``: deal text tables out over so many partitions before
+    the work on their texts. Unset for tables of many files; of use where a small table
+    is stored in fewer pieces than there are cores."""
+    n = spark.conf.get("spark.quire.textPartitions", None)
+    return int(n) if n else None
+
+
+def spread(docs: DataFrame) -> DataFrame:
+    n = text_partitions(docs.sparkSession)
+    return docs.repartition(n) if n else docs
+
+
 # ---- Spark side -------------------------------------------------------------
 
 def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,5 +82,5 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # columns so no predicate over the classifier output is pushed into the scan
     docs = (Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
             .filter(F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    pred = keyword_classify(docs, keep=["lang"])
+    pred = keyword_classify(spread(docs), keep=["lang"])
     return pred.select("doc_id", F.col("lang").alias("y_true"), F.col("prediction").alias("y_pred"))

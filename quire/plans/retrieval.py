@@ -4,9 +4,11 @@ centroids)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
+from quire.functions import text as X
 from quire.operators import retrieval as R
-from quire.plans.common import sql_hashed_embedding, sql_tokens
+from quire.plans.common import sql_hashed_embedding, spread, sql_tokens, text_partitions
 from quire.plans.registry import register
 from quire.sources.tables import Tables
 
@@ -101,7 +103,7 @@ FROM top JOIN documents USING (doc_id)
 """)
 def keyword_search(spark, sf_dir):
     return R.keyword_search(_docs(spark, sf_dir), "doc_id", "text", _queries(spark, sf_dir),
-                            "item_id", "text", top=KW_TOP)
+                            "item_id", "text", top=KW_TOP, partitions=text_partitions(spark))
 
 
 @register("keyword_search_filtered", oracle=f"""
@@ -112,7 +114,7 @@ FROM top JOIN documents USING (doc_id) WHERE contains(text, 'the')
 """)
 def keyword_search_filtered(spark, sf_dir):
     return R.keyword_search(_docs(spark, sf_dir), "doc_id", "text", _queries(spark, sf_dir),
-                            "item_id", "text", top=KW_TOP, must_contain="the")
+                            "item_id", "text", top=KW_TOP, must_contain="the", partitions=text_partitions(spark))
 
 
 @register("vector_search", bench=True, oracle=f"""
@@ -129,19 +131,34 @@ SELECT qid, rank, vid, score FROM ({_rank_sql('s', 'qid', 'vid', VEC_K)})
 """)
 def vector_search(spark, sf_dir):
     emb = Tables(spark, sf_dir).embeddings
-    q = R.centroids(emb, "label", "embedding")
+    q = R.centroids(emb, "label", "embedding").withColumn("label", F.col("label").cast("long"))
     return R.vector_search(emb, "vec_id", "embedding", q, "label", "centroid", k=VEC_K)
 
 
-@register("vector_search_lsh")
+@register("vector_search_lsh", oracle=f"""
+WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0),
+h AS (SELECT b, d, CASE WHEN substr(md5(b || ':' || d), 1, 1) >= '8' THEN 1.0 ELSE -1.0 END AS w
+      FROM range({R.SKETCH_BITS}) AS r(b), range(64) AS s(d)),
+x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings),
+bits AS (SELECT vec_id, b, sum(x * w) > 0 AS bit FROM x JOIN h USING (d) GROUP BY vec_id, b),
+agree AS (SELECT q.vec_id AS qid, v.vec_id AS vid, count(*) AS score
+          FROM bits q JOIN bits v ON q.b = v.b AND q.bit = v.bit WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, v.vec_id),
+near AS (SELECT qid, vid FROM ({_rank_sql('agree', 'qid', 'vid', R.SKETCH_KEEP * VEC_K)})),
+s AS (SELECT qid, vid, round(list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])
+             / (sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]))
+                * sqrt(list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[]))), 8) AS score
+      FROM near JOIN q ON q.vec_id = qid JOIN embeddings v ON v.vec_id = vid)
+SELECT qid, rank, vid, score FROM ({_rank_sql('s', 'qid', 'vid', VEC_K)})
+""")
 def vector_search_lsh(spark, sf_dir):
+    """The query set is every vector whose id is divisible by 100."""
     emb = Tables(spark, sf_dir).embeddings
-    q = R.centroids(emb, "label", "embedding")
-    return R.vector_search_lsh(emb, "vec_id", "embedding", q, "label", "centroid", k=VEC_K)
+    q = emb.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("q_vec"))
+    return R.vector_search_lsh(emb, "vec_id", "embedding", q, "q_id", "q_vec", k=VEC_K)
 
 
 def _doc_vectors(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", R.hashed_embedding("text").alias("embedding"))
+    return spread(_docs(spark, sf_dir)).select("doc_id", R.hashed_embedding("text").alias("embedding"))
 
 
 def _doc_vector_hits(spark, sf_dir, k=VEC_K, vectors=None):
@@ -164,18 +181,14 @@ def doc_vector_search(spark, sf_dir):
 
 
 def _index(spark, sf_dir):
-    """One BM25 index (one pass over the text) shared by ranking, rerank and snippets."""
-    from quire.functions.text import snippet
-
-    # the document embedding rides on the same single pass over the text
+    """One BM25 index (one pass over the text) shared by ranking and rerank."""
     return R.bm25_index(_docs(spark, sf_dir), "doc_id", "text", _queries(spark, sf_dir), "item_id", "text",
-                        {"snippet": snippet("text"), "embedding": R.hashed_embedding("text")})
+                        text_partitions(spark))
 
 
 def _fused(spark, sf_dir, idx):
     kw = R.bm25_top_k(idx, "doc_id", "item_id", FUSE_DEPTH)
-    vec = _doc_vector_hits(spark, sf_dir, vectors=idx.docs.select("doc_id", "embedding")).withColumnRenamed(
-        "vid", "doc_id")
+    vec = _doc_vector_hits(spark, sf_dir).withColumnRenamed("vid", "doc_id")
     return R.rrf(kw.withColumnRenamed("item_id", "qid"), vec)
 
 
@@ -209,8 +222,8 @@ SELECT item_id AS qid, {_sql_lit(R.RAG_HEAD)} || coalesce(context, '') || {_sql_
 FROM benchmark LEFT JOIN ctx ON ctx.qid = benchmark.item_id
 """)
 def rag_prompt(spark, sf_dir):
-    idx = _index(spark, sf_dir)
-    return R.rag_prompt(_reranked(spark, sf_dir, idx), idx.docs, "doc_id", _queries(spark, sf_dir),
+    shown = _docs(spark, sf_dir).select("doc_id", X.snippet("text").alias("snippet"))
+    return R.rag_prompt(_reranked(spark, sf_dir, _index(spark, sf_dir)), shown, "doc_id", _queries(spark, sf_dir),
                         "item_id", "text")
 
 
