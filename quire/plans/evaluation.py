@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from quire.operators import classify as C
 from quire.operators import evaluation as E
-from quire.plans.common import SQL_LABELS, SQL_PAIRS, doc_pairs, sql_keyword_predict, sql_str_list
+from quire.plans.common import SQL_LABELS, SQL_PAIRS, doc_pairs, spread, sql_keyword_predict, sql_str_list
 from quire.plans.registry import register
+from quire.session import cut_lineage
 from quire.sources.tables import Tables
 
 LABELS = C.LANG_LABELS
@@ -238,35 +239,141 @@ def eval_sampled(spark, sf_dir):
     return E.weighted_metrics(pairs, LABELS).select("accuracy", "n_valid", "n_hallucinated")
 
 
-def _python_keyword_model(row):
-    """A stand-in remote model: the same keyword rules, called once per document."""
-    import re
+def _keyword_model(rows):
+    """A stand-in model: the keyword rules over a batch of texts, with the library's own
+    token rule (runs of letters and digits, lower-cased)."""
+    import regex
 
-    toks = [t for t in re.split(r"[^\w]+", str(row["text"].iloc[0]).lower()) if t and not t.isdigit()]
-    best, label = 0, None
-    for lab, words in C.LANG_RULES.items():
-        hits = sum(1 for t in toks if t in words)
-        if hits > best:
-            best, label = hits, lab
-    return label if label is not None else C.UNKNOWN
+    out = []
+    for text in rows["text"]:
+        if text is None:
+            out.append(None)
+            continue
+        toks = regex.findall(r"[\p{L}\p{N}]+", text.lower())
+        hits = {lab: sum(t in words for t in toks) for lab, words in C.LANG_RULES.items()}
+        best = max(hits, key=hits.get)
+        out.append(best if hits[best] else C.UNKNOWN)
+    return out
 
 
-@register("classify_batch_latency")
+def _model_log(spark, sf_dir):
+    """One run of the pluggable model over all documents, written once: a model may answer
+    differently when asked again."""
+    docs = spread(Tables(spark, sf_dir).documents.select("doc_id", "text"))
+    return cut_lineage(C.batch_classify(docs, None, "doc_id", ["text"], batch_fn=_keyword_model), "model-run")
+
+
+@register("classify_batch_latency", oracle="""
+SELECT count(text) AS n_ok, count(*) - count(text) AS errors, true AS ordered FROM documents
+""")
 def classify_batch_latency(spark, sf_dir):
-    """E1 + E16 + A10 through the pluggable model path: every document goes
-    through ``model_fn`` in ``mapInPandas``; errors and latencies are kept
-    per row and summarised (latencies vary per run: rows-only check)."""
-    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
-    calls = C.batch_classify(docs, _python_keyword_model, "doc_id", ["text"])
-    return E.latency_stats(calls)
+    """E1 + E16 + A10 through the pluggable model path: every document is classified once;
+    latencies vary per run, so the result says whether they are there and in order."""
+    stats = E.latency_stats(_model_log(spark, sf_dir))
+    rising = (F.col("min") <= F.col("median")) & (F.col("median") <= F.col("p95")) & (F.col("p95") <= F.col("p99")) & (F.col("p99") <= F.col("max"))
+    return stats.select("n_ok", "errors", F.coalesce(rising, F.lit(False)).alias("ordered"))
 
 
-@register("classify_eval_run")
+@register("classify_eval_run", oracle=f"""
+WITH {PER_CLASS_CTE}
+SELECT round(sum(tp)::DOUBLE / nullif(sum(pred_sum), 0), 10) AS accuracy,
+       round(coalesce(sum(precision * support) / nullif(sum(support), 0), 0.0), 10) AS precision,
+       round(coalesce(sum(recall * support) / nullif(sum(support), 0), 0.0), 10) AS recall,
+       round(coalesce(sum(f1_score * support) / nullif(sum(support), 0), 0.0), 10) AS f1_score,
+       sum(pred_sum)::BIGINT AS n_valid,
+       (SELECT count(*) FROM documents WHERE text IS NOT NULL) AS n_ok
+FROM f
+""")
 def classify_eval_run(spark, sf_dir):
-    """nb04-style run: every document through the pluggable model, then
-    metrics and latency from the same materialised call log (latency varies
-    per run: rows-only check)."""
-    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
-    calls = C.batch_classify(docs, _python_keyword_model, "doc_id", ["text"])
-    truth = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("y_true"))
-    return E.evaluate_run(calls, truth, LABELS)
+    """A whole evaluation run: every document through the pluggable model, then metrics and
+    the number of answers from the same written call log."""
+    truth = Tables(spark, sf_dir).documents.filter("lang IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("lang").alias("y_true"))
+    run = E.evaluate_run(_model_log(spark, sf_dir), truth, LABELS)
+    return run.select("accuracy", "precision", "recall", "f1_score", "n_valid", "n_ok")
+
+
+@register("status_calls", oracle="""
+SELECT event_id, CASE WHEN event_type = 'error' THEN 500 WHEN value IS NULL THEN 0 ELSE 200 END AS status,
+       CASE WHEN event_type = 'error' THEN NULL WHEN value IS NULL THEN NULL ELSE event_id % 97 END AS prompt_tokens
+FROM events
+""")
+def status_calls(spark, sf_dir):
+    """A status-coded service called once per event, its usage read from the reply."""
+    from quire.operators import tokens as TK
+
+    def call(request):
+        if request["event_type"] == "error":
+            return 500, "overloaded", None
+        if request["value"] != request["value"]:  # no value: the client itself fails
+            raise ValueError("nothing to send")
+        return 200, "done", '{"usage": {"prompt_tokens": %d}}' % (request["n"] % 97)
+
+    ev = Tables(spark, sf_dir).events.select("event_id", "event_type", "value", F.col("event_id").alias("n"))
+    calls = C.run_calls(ev, call, "event_id", ["event_type", "value", "n"])
+    return calls.select(F.col("id").alias("event_id"), "status", TK.usage_fields("usage")[2])
+
+
+# ---- the sixteen classes ---------------------------------------------------------
+
+HEADERS = [f"{words[0]} {words[1]} {words[0]}" for words in C.DOCUMENT_RULES.values()] + ["plain page"]
+_SQL_HEADERS = "[" + ", ".join(f"'{h}'" for h in HEADERS) + "]"
+_SQL_PAGE = f"({_SQL_HEADERS}[doc_id % {len(HEADERS)} + 1] || chr(10) || text)"
+
+
+def _headed(spark, sf_dir):
+    """Documents under a heading of one of the sixteen classes, or of none, by their id."""
+    d = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    head = F.element_at(F.array(*map(F.lit, HEADERS)), (F.col("doc_id") % len(HEADERS) + 1).cast("int"))
+    return d.select("doc_id", F.concat(head, F.lit("\n"), "text").alias("text"))
+
+
+@register("classify_documents16", oracle=f"""
+SELECT doc_id, {sql_keyword_predict(_SQL_PAGE, C.DOCUMENT_RULES)} AS prediction,
+       CASE WHEN text IS NULL THEN 'empty input' END AS error FROM documents
+""")
+def classify_documents16(spark, sf_dir):
+    return C.keyword_classify(_headed(spark, sf_dir), rules=C.DOCUMENT_RULES)
+
+
+_CLEAN16 = [x.replace(" ", "") for x in C.DOCUMENT_LABELS]
+
+
+@register("eval_normalised", oracle=f"""
+WITH p AS (SELECT {_SQL_HEADERS}[doc_id % {len(HEADERS)} + 1] AS head, doc_id % {len(HEADERS)} AS k,
+                  translate({sql_keyword_predict(_SQL_PAGE, C.DOCUMENT_RULES)}, ' "', '') AS y_pred
+           FROM documents WHERE text IS NOT NULL),
+q AS (SELECT *, [{sql_str_list(_CLEAN16)}][k + 1] AS y_true FROM p WHERE k < 16)
+SELECT round(avg(CASE WHEN y_pred = y_true THEN 1.0 ELSE 0.0 END) FILTER (y_pred IN ({sql_str_list(_CLEAN16)})), 10) AS accuracy,
+       count(*) FILTER (y_pred IN ({sql_str_list(_CLEAN16)})) AS n_valid,
+       count(*) FILTER (y_pred NOT IN ({sql_str_list(_CLEAN16)})) AS n_hallucinated
+FROM q
+""")
+def eval_normalised(spark, sf_dir):
+    """Truth and prediction are compared without spaces and quotes, as a model's answer is cleaned."""
+    pred = C.keyword_classify(_headed(spark, sf_dir).filter("text IS NOT NULL"), rules=C.DOCUMENT_RULES)
+    labels = F.element_at(F.array(*map(F.lit, C.DOCUMENT_LABELS)), (F.col("doc_id") % len(HEADERS) + 1).cast("int"))
+    pairs = pred.filter(F.col("doc_id") % len(HEADERS) < 16).select(labels.alias("y_true"), F.concat(F.lit('"'), "prediction", F.lit('"')).alias("y_pred"))
+    pairs, clean = E.normalise_labels(pairs, C.DOCUMENT_LABELS)
+    return E.weighted_metrics(pairs, clean).select("accuracy", "n_valid", "n_hallucinated")
+
+
+@register("classify_image", oracle="""
+SELECT doc_id, CASE WHEN contains(text, '|') THEN 'form' ELSE 'letter' END AS prediction,
+       CASE WHEN text IS NULL THEN 'no prediction' END AS error
+FROM documents
+""")
+def classify_image(spark, sf_dir):
+    """The document's bytes as a data URI go to an image model (here one that looks for
+    the bars of a table in them)."""
+    import base64
+
+    from quire.functions.text import data_uri
+
+    def model(rows):
+        bodies = [None if u is None else base64.b64decode(u.split(",", 1)[1]) for u in rows["uri"]]
+        return [None if b is None else "form" if b"|" in b else "letter" for b in bodies]
+
+    d = Tables(spark, sf_dir).documents
+    req = spread(d.select("doc_id", data_uri(F.encode("text", "UTF-8")).alias("uri")))
+    out = C.batch_classify(req, None, "doc_id", ["uri"], batch_fn=model)
+    return out.select(F.col("id").alias("doc_id"), "prediction", "error")

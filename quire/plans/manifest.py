@@ -7,23 +7,27 @@ file ``<source>/<doc_id>.png``, a ``labels`` row means its layout result
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.functions import urls as U
 from quire.operators import pairing as J
 from quire.operators import sampling as S
-from quire.operators.classify import keyword_predict
+from quire.operators.classify import DOCUMENT_LABELS, keyword_predict
 from quire.plans.common import sql_keyword_predict, sql_str_list
 from quire.plans.registry import register
 from quire.plans.sampling import _RANK_SQL, SEED
 from quire.sources import files as FS
+from quire.session import fresh_folder
 from quire.sources.tables import Tables
 
 OBJECT_HOST = "example.net"
 WIN_ROOT = "C:\\data\\scanned"
-PROMPT_HEAD = "### Task: Document Classification\nClassify the scanned text below.\n\n"
-PROMPT_TAIL = "\n\nAnswer with one category name."
+PROMPT_HEAD = ("Sort a scanned page into one of these kinds:\n" + "".join(f"- {c}\n" for c in DOCUMENT_LABELS)
+               + "Judge by what the page is for, not by its topic. The page follows.\n\n")
+PROMPT_TAIL = "\n\nReply with the kind alone, spelled as in the list."
 
 _SQL_DOC_PATH = "source || '/' || CAST(doc_id AS VARCHAR) || '.png'"
 _SQL_PATH = r"regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', ''), '[?#].*$', '')"
@@ -49,9 +53,12 @@ SELECT set || '/' || lang || '/' || lang || '_' || CAST(idx AS VARCHAR) || '.png
        lang AS label, set FROM s
 """)
 def manifest_scan(spark, sf_dir):
+    """S1 + S2: the split's manifest is written as CSV, a folder per set, and read again."""
     d = Tables(spark, sf_dir).documents.select("doc_id", "lang")
     named = S.split_names(S.train_test_split(d, "lang", "doc_id", SEED), "lang")
-    return named.select("location", F.col("lang").alias("label"), "set")
+    path = fresh_folder(spark, "manifest")
+    FS.write_manifest(named.select("location", F.col("lang").alias("label"), "set"), path, partition_by_set=True)
+    return FS.read_manifest(spark, path).select("location", "label", "set")
 
 
 @register("pending_docs", oracle=f"""
@@ -256,3 +263,60 @@ def prompt_cache(spark, sf_dir):
     hits = cache0.select("key", F.lit(True).alias("hit"))
     return (answers.join(hits, "key", "left")
             .select("doc_id", "key", "response", F.coalesce("hit", F.lit(False)).alias("hit")))
+
+
+@register("file_lists", oracle="""
+SELECT lang AS class, source || '/' || CAST(doc_id AS VARCHAR) || '.png' AS file FROM documents
+WHERE lang IN (SELECT lang FROM documents GROUP BY lang HAVING count(*) >= 5)
+""")
+def file_lists(spark, sf_dir):
+    """S4 + S5: a JSON-lines list per class with at least five documents, written and read again."""
+    path = fresh_folder(spark, "file-lists")
+    FS.write_file_lists(_docs(spark, sf_dir).withColumnRenamed("lang", "class"), "class", "path", path)
+    return FS.read_written_file_lists(spark, path)
+
+
+def _landed(spark, sf_dir):
+    """Documents as JSON-lines files in a folder per language."""
+    path = fresh_folder(spark, "landed")
+    d = Tables(spark, sf_dir).documents.filter("lang IS NOT NULL").select("doc_id", "text", "lang")
+    d.write.option("maxRecordsPerFile", 100_000).partitionBy("lang").json(path)  # a file is read back as one value
+    return path
+
+
+_LANG_OF_PATH = r"/lang=([^/]+)/[^/]+$"
+
+
+@register("binary_documents", oracle="""
+SELECT lang, count(*) AS n_rows, true AS small FROM documents WHERE lang IS NOT NULL GROUP BY lang
+""")
+def binary_documents(spark, sf_dir):
+    """Landed files read back as bytes by suffix; a row is a line feed."""
+    files = FS.read_documents(spark, _landed(spark, sf_dir), allowed=(".JSON",))
+    lines = F.length(F.regexp_replace(F.decode("content", "UTF-8"), "[^\n]", "")).cast("long")
+    return files.groupBy(F.regexp_extract("path", _LANG_OF_PATH, 1).alias("lang")).agg(
+        F.sum(lines).alias("n_rows"), (F.max("length") < 1 << 31).alias("small"))
+
+
+@register("file_metadata", oracle="""
+SELECT lang, 'application/json' AS content_type, true AS has_bytes, true AS has_time FROM documents WHERE lang IS NOT NULL GROUP BY lang
+""")
+def file_metadata(spark, sf_dir):
+    """S7 + S8: name, size, type and ISO time of the landed files, their bodies unread."""
+    meta = FS.format_metadata(FS.file_metadata(spark, _landed(spark, sf_dir))).filter(F.col("name").endswith(".json"))
+    return meta.groupBy(F.regexp_extract("source", _LANG_OF_PATH, 1).alias("lang"), "content_type").agg(
+        (F.sum("size") > 0).alias("has_bytes"), F.bool_and(F.col("last_modified").rlike(r"^\d{4}-\d\d-\d\dT.*\+00:00$|Z$")).alias("has_time"))
+
+
+@register("format_round_trip", oracle="""
+SELECT format, c_custkey, c_name, c_acctbal FROM customer, (VALUES ('csv'), ('json'), ('orc'), ('parquet')) AS f(format)
+""")
+def format_round_trip(spark, sf_dir):
+    """S9 + S10: customers saved in every format and loaded by the path's ending."""
+    c = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_acctbal")
+    parts = []
+    for fmt in sorted(FS.FORMATS):
+        path = f"{fresh_folder(spark, 'formats')}/customer.{fmt}"
+        FS.save_table(c, path, fmt)
+        parts.append(FS.load_table(spark, path, c.schema).select(F.lit(fmt).alias("format"), "c_custkey", "c_name", "c_acctbal"))
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,13 +63,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/quire-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and
     read it back: one computation, columnar storage, and a lineage that
     restarts from the table if an executor is lost later."""
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/quire-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = fresh_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
