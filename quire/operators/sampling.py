@@ -114,3 +114,26 @@ def add_batches(df: DataFrame, key: str, batch_size: int = 100, n_buckets_hex: i
     b = F.substring(order_hash(key, seed), 1, n_buckets_hex)
     r = hash_rank(df.withColumn("bucket", b), ["bucket"], key, seed, out="_r")
     return r.withColumn("batch_id", F.floor(F.col("_r") / batch_size).cast("long")).drop("_r")
+
+
+def upload_batches(df: DataFrame, key: str, path: str, required: Sequence[str], max_bytes: int | None = None,
+                   batch_size: int = 100) -> DataFrame:
+    """Upload records in batches (K6) to the collection at ``path``, with a status per
+    record: (key, bucket, batch_id, status, reason).
+
+    A record without its key or a required field, or with one of them above
+    ``max_bytes``, is rejected with its reason; the rest is written, batch
+    numbers included, and ``succeeded`` is what reading the collection back
+    confirms.
+    """
+    tests = [(f"missing:{c}", F.col(c).isNull()) for c in [key, *required]]
+    if max_bytes is not None:
+        tests += [(f"too long:{c}", F.octet_length(F.col(c).cast("string")) > max_bytes) for c in required]
+    reason = F.array_join(F.array_compact(F.array(*[F.when(bad, F.lit(code)) for code, bad in tests])), ";")
+    marked = df.withColumn("_reason", reason)
+    rejected = marked.filter(F.col("_reason") != "").select(
+        key, F.lit(None).cast("string").alias("bucket"), F.lit(None).cast("long").alias("batch_id"), F.lit("rejected").alias("status"), F.col("_reason").alias("reason"))
+    ready = add_batches(marked.filter(F.col("_reason") == "").drop("_reason"), key, batch_size)
+    ready.write.partitionBy("bucket").parquet(path)
+    there = df.sparkSession.read.schema(ready.schema).parquet(path)
+    return rejected.unionByName(there.select(key, F.col("bucket").cast("string"), "batch_id", F.lit("succeeded").alias("status"), F.lit(None).cast("string").alias("reason")))

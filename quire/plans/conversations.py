@@ -84,6 +84,21 @@ def content_parts(spark, sf_dir):
             .select("conv_id", "turn", "pos", "p.type", "p.text", "p.url", "parts_valid"))
 
 
+@register("content_parts_images_first", oracle="""
+WITH u AS (SELECT conv_id, turn, text, ['conv/' || conv_id || '/' || turn || '-' || k || '.png' FOR k IN range(1, turn % 3 + 1)] AS urls FROM conversations)
+SELECT conv_id, turn, CAST(generate_subscripts(urls, 1) - 1 AS INTEGER) AS pos, 'image_url' AS type, NULL::VARCHAR AS text, unnest(urls) AS url FROM u
+UNION ALL SELECT conv_id, turn, CAST(len(urls) AS INTEGER), 'text', text, NULL FROM u
+""")
+def content_parts_images_first(spark, sf_dir):
+    """P17 the other way round: none, one or two images before the text."""
+    c = _conv(spark, sf_dir)
+    stem = F.concat(F.lit("conv/"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string"), F.lit("-"))
+    count = (F.col("turn") % 3).cast("int")
+    urls = F.transform(F.filter(F.array(F.lit(1), F.lit(2)), lambda k: k <= count), lambda k: F.concat(stem, k.cast("string"), F.lit(".png")))
+    return (c.select("conv_id", "turn", F.posexplode(M.content_parts(F.col("text"), urls, image_first=True)).alias("pos", "p"))
+            .select("conv_id", "turn", "pos", "p.type", "p.text", "p.url"))
+
+
 @register("message_valid", oracle="""
 SELECT conv_id,
        (count(*) FILTER (WHERE role IS NULL OR text IS NULL)
@@ -246,17 +261,22 @@ def token_melt(spark, sf_dir):
 
 
 @register("usage_extract", oracle="""
-SELECT event_id, NULL::VARCHAR AS remaining_requests, NULL::VARCHAR AS remaining_tokens,
+SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(user_id % 60 AS VARCHAR) END AS remaining_requests,
+       CASE WHEN event_type <> 'error' AND event_id % 2 = 0 THEN CAST(event_id % 900 AS VARCHAR) END AS remaining_tokens,
        CAST(json_extract_string(props, '$.k') AS BIGINT) AS prompt_tokens,
        NULL::BIGINT AS completion_tokens, CAST(json_extract_string(props, '$.k') AS BIGINT) AS total_tokens
 FROM events
 """)
 def usage_extract(spark, sf_dir):
-    """events.props is the response body; its ``k`` field plays the prompt-token usage."""
-    ev = Tables(spark, sf_dir).events.select("event_id", "props")
+    """events.props is the response body; its ``k`` field plays the prompt-token usage. Failed
+    calls come without headers, every other call without the token header."""
+    ev = Tables(spark, sf_dir).events.select("event_id", "props", "event_type", "user_id")
+    requests = F.create_map(F.lit("x-ratelimit-remaining-requests"), (F.col("user_id") % 60).cast("string"))
+    left = F.create_map(F.lit("x-ratelimit-remaining-tokens"), (F.col("event_id") % 900).cast("string"))
+    headers = F.when(F.col("event_type") != "error", F.when(F.col("event_id") % 2 == 0, F.map_concat(requests, left)).otherwise(requests))
     body = F.concat(F.lit('{"usage": {"prompt_tokens": '), F.get_json_object("props", "$.k"),
                     F.lit(', "total_tokens": '), F.get_json_object("props", "$.k"), F.lit("}}"))
-    return ev.select("event_id", *TK.usage_fields(body))
+    return ev.select("event_id", *TK.usage_fields(body, headers))
 
 
 @register("image_parts", oracle="""

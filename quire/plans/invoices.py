@@ -246,3 +246,50 @@ def embed_first_five(spark, sf_dir):
     rec = I.index_record(invoices(spark, sf_dir)).filter(F.col("id").isNotNull())
     first = rec.orderBy("id").limit(5)
     return first.select("id", hashed_embedding("content").alias("content_vector"))
+
+
+INVOICE_DIM = 1536  # width of the searchable index's vector field
+_INVOICE_VECS = f"""
+WITH {_INV_SQL},
+rec AS (SELECT reference_number AS id, summary AS content FROM inv WHERE reference_number IS NOT NULL)
+"""
+
+
+@register("embed_invoices", oracle=_INVOICE_VECS + f"""
+, e AS ({sql_hashed_embedding("rec", "id", "content", INVOICE_DIM)})
+SELECT id, CAST(len(embedding) AS INTEGER) AS dim, len(list_filter(embedding, lambda x: x > 0)) AS n_used,
+       round(list_sum(list_transform(embedding, lambda x: x * x)), 6) AS norm2 FROM e
+""")
+def embed_invoices(spark, sf_dir):
+    """E14 on every index record: 1536 floats each."""
+    v = _invoice_vectors(spark, sf_dir).withColumn("v", F.col("content_vector").cast("array<float>"))
+    return v.select("id", F.size("v").alias("dim"), F.size(F.filter("v", lambda x: x > 0)).cast("long").alias("n_used"),
+                    F.round(F.aggregate("content_vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm2"))
+
+
+def _invoice_vectors(spark, sf_dir):
+    from quire.operators.retrieval import hashed_embedding
+
+    rec = I.index_record(invoices(spark, sf_dir)).filter(F.col("id").isNotNull())
+    return rec.select("id", hashed_embedding("content", INVOICE_DIM).alias("content_vector"))
+
+
+@register("invoice_vector_search", oracle=_INVOICE_VECS + """
+, tok AS (SELECT id, unnest(list_filter(string_split_regex(lower(content), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS t FROM rec),
+b AS (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 1536 AS b, count(*) AS c FROM tok GROUP BY 1, 2),
+n AS (SELECT id, sqrt(sum(c * c)) AS n FROM b GROUP BY id),
+qs AS (SELECT id FROM rec WHERE CAST(substr(id, 5) AS BIGINT) % 1000 = 0),
+s AS (SELECT q.id AS qid, v.id AS vid, round(sum(q.c * v.c) / (any_value(qn.n) * any_value(vn.n)), 8) AS score
+      FROM b q JOIN qs USING (id) JOIN b v USING (b) JOIN n qn ON qn.id = q.id JOIN n vn ON vn.id = v.id GROUP BY q.id, v.id)
+SELECT qid, CAST(rank AS INTEGER) AS rank, vid, score
+FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vid) AS rank FROM s) WHERE rank <= 3
+""")
+def invoice_vector_search(spark, sf_dir):
+    """R2 over the invoice index with its string keys; the queries are the records whose
+    order number is divisible by 1000."""
+    from quire.operators.retrieval import vector_search
+    from quire.session import cut_lineage
+
+    v = cut_lineage(_invoice_vectors(spark, sf_dir), "invoice-vectors")
+    q = v.filter(F.substring("id", 5, 20).cast("long") % 1000 == 0).select(F.col("id").alias("q"), F.col("content_vector").alias("w"))
+    return vector_search(v, "id", "content_vector", q, "q", "w", k=3)

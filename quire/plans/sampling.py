@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import sampling as S
 from quire.plans.registry import register
+from quire.session import fresh_folder
 from quire.sources.tables import Tables
 
 SEED = "42"
@@ -98,3 +99,18 @@ FROM b
 def index_upload_batches(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents.select("doc_id")
     return S.add_batches(docs, "doc_id").withColumn("status", F.lit("succeeded"))
+
+
+@register("index_upload_status", oracle="""
+WITH k AS (SELECT doc_id, text, octet_length(encode(text)) > 8000 AS big, md5(CAST(doc_id AS VARCHAR) || ':batch') AS h FROM documents),
+ok AS (SELECT doc_id, substr(h, 1, 1) AS bucket,
+              CAST(floor((row_number() OVER (PARTITION BY substr(h, 1, 1) ORDER BY h, doc_id) - 1) / 100) AS BIGINT) AS batch_id
+       FROM k WHERE text IS NOT NULL AND NOT big)
+SELECT doc_id, bucket, batch_id, 'succeeded' AS status, NULL::VARCHAR AS reason FROM ok
+UNION ALL
+SELECT doc_id, NULL, NULL, 'rejected', CASE WHEN text IS NULL THEN 'missing:text' ELSE 'too long:text' END FROM k WHERE text IS NULL OR big
+""")
+def index_upload_status(spark, sf_dir):
+    """S13 + K6: documents uploaded in batches; those of more than 8000 bytes are rejected."""
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    return S.upload_batches(docs, "doc_id", fresh_folder(spark, "upload"), ["text"], max_bytes=8000)
