@@ -127,27 +127,39 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(id, tie, ids) of every document: its ids with the end id as little-endian unsigned
-    32-bit integers, and a hash of the text that orders rows of equal id."""
+    integers (see ``width``), and a hash of the text that orders rows of equal id."""
+    kind = width(vocabulary_size(path, end_id))
 
     def run(batches):
         pieces = Pieces.of(path)
         for b in batches:
             for first, end in slices(b.column(2), SEGMENT_BYTES):
                 ids, n = with_end(*pieces(b.column(2).slice(first, end - first)), end_id)
-                cut = np.r_[0, np.cumsum(n)] * 4
-                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
+                cut = np.r_[0, np.cumsum(n)] * np.dtype(kind).itemsize
+                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(ids.astype(kind))])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), b.column(1).slice(first, end - first), raw.cast(pa.binary())],
                                                  names=["id", "tie", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, tie long, ids binary")
+    id_kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {id_kind}, tie long, ids binary")
 
 
-def raw_ids(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def vocabulary_size(path: str, end_id: int) -> int:
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1)
+
+
+def width(size: int) -> str:
+    """Integer type of the ids of a vocabulary between tokenizing and coding."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def raw_ids(col: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, ids of each row) of an ``ids`` column."""
     raw, off = text_bytes(col)
-    return raw.view("<u4"), np.diff(off) // 4
+    return raw.view(kind), np.diff(off) // np.dtype(kind).itemsize
 
 
 def rank_table(tokenized: DataFrame, size: int) -> DataFrame:
@@ -156,7 +168,7 @@ def rank_table(tokenized: DataFrame, size: int) -> DataFrame:
     def count(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            total += np.bincount(raw_ids(b.column(0))[0], minlength=size)
+            total += np.bincount(raw_ids(b.column(0), width(size))[0], minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": seen.astype(np.int64), "n": total[seen]})
 
@@ -168,10 +180,9 @@ def rank_table(tokenized: DataFrame, size: int) -> DataFrame:
 def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Write all documents; returns the segment table (part, seq, before, doc_ids, n_ids,
     control, data) and the rank table, both as read from the shared folder."""
-    from tokenizers import Tokenizer
-
+    size = vocabulary_size(path, end_id)
     tokenized = written(tokenize(docs, path, end_id, id_col, text_col), "tokenized", compression="zstd")
-    ranks = written(rank_table(tokenized, max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1)), "id-ranks")
+    ranks = written(rank_table(tokenized, size), "id-ranks")
     id_of = ranks.orderBy("rank").toArrow()["id"].to_numpy()
     rank_of = np.empty(len(id_of), np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
@@ -181,7 +192,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             for first, end in slices(b.column(1), SEGMENT_BYTES):
-                ids, n = raw_ids(b.column(1).slice(first, end - first))
+                ids, n = raw_ids(b.column(1).slice(first, end - first), width(size))
                 control, data = encode(sent.value[ids])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([before], pa.int64()),

@@ -75,7 +75,7 @@ def test_frequent_ids_come_first(spark):
     segments, ranks = byte_ids.write_ids(docs, tokenizer_path())
     n = np.zeros(50_000, np.int64)
     for r in tokenized.collect():
-        n += np.bincount(np.frombuffer(r["ids"], "<u4"), minlength=50_000)
+        n += np.bincount(np.frombuffer(r["ids"], byte_ids.width(50_000)), minlength=50_000)
     order = n[[r["id"] for r in ranks.orderBy("rank").collect()]]
     assert (np.diff(order) <= 0).all()
     assert segments.selectExpr("sum(length(data))").first()[0] < 1.5 * n.sum()
