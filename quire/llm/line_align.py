@@ -124,6 +124,7 @@ def deletions(rows: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS)
     positions of its deleted lines."""
     lines = written(line_table(rows), "lines")
     held = lines.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("id", "node", "pos")).alias("first")).filter("df > 1")
+    held = written(held, "held")  # so that the join deals both sides out itself and a hot line's side can be split
     later = lines.join(held, "h").filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("node") == F.col("first.node"))))
     met = later.groupBy("id", "node", F.col("first.id").alias("first_id"), F.col("first.node").alias("first_node")).agg(
         F.min("df").alias("df"), F.collect_set(F.struct("pos", F.col("first.pos").alias("at"), "words")).alias("pairs"))
