@@ -18,7 +18,7 @@ from statistics import median
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quire.plans import registry  # noqa: E402
-from quire.session import build_session  # noqa: E402
+from quire.session import build_session, clear_tables  # noqa: E402
 
 
 def main() -> None:
@@ -42,6 +42,7 @@ def main() -> None:
             if i > 0:
                 runs.append(dt)
         times[n] = round(median(runs), 3)
+        clear_tables(spark)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))

@@ -276,11 +276,11 @@ def _invoice_vectors(spark, sf_dir):
 
 @register("invoice_vector_search", oracle=_INVOICE_VECS + """
 , tok AS (SELECT id, unnest(list_filter(string_split_regex(lower(content), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS t FROM rec),
-b AS (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 1536 AS b, count(*) AS c FROM tok GROUP BY 1, 2),
-n AS (SELECT id, sqrt(sum(c * c)) AS n FROM b GROUP BY id),
-qs AS (SELECT id FROM rec WHERE CAST(substr(id, 5) AS BIGINT) % 1000 = 0),
-s AS (SELECT q.id AS qid, v.id AS vid, round(sum(q.c * v.c) / (any_value(qn.n) * any_value(vn.n)), 8) AS score
-      FROM b q JOIN qs USING (id) JOIN b v USING (b) JOIN n qn ON qn.id = q.id JOIN n vn ON vn.id = v.id GROUP BY q.id, v.id)
+b AS MATERIALIZED (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 1536 AS b, count(*) AS c FROM tok GROUP BY 1, 2),
+n AS MATERIALIZED (SELECT id, sqrt(sum(c * c)) AS n FROM b GROUP BY id),
+qb AS MATERIALIZED (SELECT id, b, c FROM b WHERE CAST(substr(id, 5) AS BIGINT) % 1000 = 0),
+dot AS MATERIALIZED (SELECT q.id AS qid, v.id AS vid, sum(q.c * v.c) AS d FROM qb q JOIN b v ON q.b = v.b GROUP BY q.id, v.id),
+s AS (SELECT qid, vid, round(d / (qn.n * vn.n), 8) AS score FROM dot JOIN n qn ON qn.id = qid JOIN n vn ON vn.id = vid)
 SELECT qid, CAST(rank AS INTEGER) AS rank, vid, score
 FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vid) AS rank FROM s) WHERE rank <= 3
 """)

@@ -237,9 +237,9 @@ def index_validate(spark, sf_dir):
 
 
 @register("sql_query", oracle="""
-SELECT label, count(*) AS n, min(vec_id) AS first_id FROM embeddings GROUP BY label
+SELECT label, count(*) AS n, min(vec_id) AS first_id FROM embeddings WHERE label >= 2 AND vec_id % 2 = 0 GROUP BY label
 """)
 def sql_query(spark, sf_dir):
-    """Ad hoc SQL over the stored items (a temp view over the collection)."""
-    Tables(spark, sf_dir).embeddings.createOrReplaceTempView("index_items")
-    return spark.sql("SELECT label, count(*) AS n, min(vec_id) AS first_id FROM index_items GROUP BY label")
+    """SQL with parameters over any set of stored items, here the even ones."""
+    items = Tables(spark, sf_dir).embeddings.filter(F.col("vec_id") % 2 == 0)
+    return R.query_items(items, "SELECT label, count(*) AS n, min(vec_id) AS first_id FROM {items} WHERE label >= :least GROUP BY label", least=2)

@@ -38,7 +38,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -76,3 +76,10 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = fresh_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_tables(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this library from the checkpoint folder. For the end
+    of a job: results that were not written elsewhere can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/quire-tables")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
