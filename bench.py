@@ -18,7 +18,7 @@ from statistics import median
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quire.plans import registry  # noqa: E402
-from quire.session import build_session, clear_tables  # noqa: E402
+from quire.session import build_session, clear_tables, let_workers_import  # noqa: E402
 
 
 def main() -> None:
@@ -29,6 +29,7 @@ def main() -> None:
     # the bench tables are single files: deal their texts out over the cores
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="quire-bench",
                           extra={"spark.quire.textPartitions": cpus})
+    let_workers_import(spark, os.path.dirname(os.path.abspath(__file__)))
     registry.load_all()
     names = names or list(registry.BENCH)
     times = {}

@@ -47,6 +47,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def let_workers_import(spark: SparkSession, root: str) -> None:
+    """Python workers look for modules below ``root`` too, wherever the job was started from.
+    On a cluster, ship the package as usual (``--py-files``); this then changes nothing."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder. A local session without one gets one; on a cluster a
     machine's own folder would lose what other machines write, so that is an error."""
