@@ -164,7 +164,7 @@ def py_float_str(c: Column) -> Column:
                      F.when(F.length(digits) > exponent + 1, F.substring(digits, exponent + 2, F.length(digits))).otherwise(F.lit("0")))
     point = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 1 << 10))).otherwise(F.lit("")))
     science = F.concat(point, F.lit("e"), F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(exponent).cast("string"), 2, "0"))
-    return F.when(exponent.isNull(), s).otherwise(F.concat(sign, F.when((exponent < 0) & (exponent >= -4), small)
+    return F.when(~s.contains("E"), s).otherwise(F.concat(sign, F.when((exponent < 0) & (exponent >= -4), small)
                                                             .when((exponent >= 0) & (exponent < 16), whole).otherwise(science)))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from quire.functions import text as X
 from quire.operators import invoices as I
 from quire.operators.retrieval import HASH_DIM
-from quire.plans.common import sql_hashed_embedding
+from quire.plans.common import spread, sql_hashed_embedding
 from quire.plans.registry import register
 from quire.sources.tables import Tables
 
@@ -42,7 +42,7 @@ _SQL_PYFLOAT = "CAST({x} AS VARCHAR)"  # shortest digits
 
 def invoices(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    li = spread(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"))
     lp = li.join(t.part.select("p_partkey", "p_name", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
     items = I.items_per_key(lp, "l_orderkey", SORT, F.col("p_name"), F.col("p_retailprice"), F.col("l_quantity"))
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
