@@ -7,12 +7,21 @@ taken and kept in text order; their hash is the document's key in that table.
 Two documents agree in a table when the same k-mers are least in both and stand
 in the same order, which follows their edit similarity.
 
-Exact copies are one node from the start. In every bucket each node is paired
-with two hubs, the node that shares most (with the largest buckets over all
-tables) and the first: as many pairs as members, not all pairs. A document
-whose bucket is crowded by a common passage meets its near copies in the
-tables whose picked k-mers lie outside that passage. Pairs whose sizes rule
-the threshold out are dropped.
+Exact copies are one node from the start. Candidates come in two rounds. In the
+first, each node of a bucket is paired with two hubs, the node that shares most
+(with the largest buckets over all tables) and the first: as many pairs as
+members, not all pairs. Pairs whose sizes rule the threshold out are dropped.
+
+The second round takes the buckets of three nodes or more that the first left in
+several classes (pages of one template, versions that are near each other but
+not the hub) and loses no pair of them. Their nodes' shingles are ordered by the
+number of these nodes that have them, the rarest first; two texts of similarity
+s or more share one of the first n - ceil(s n) + 1 of either (they could not
+share enough otherwise). Nodes of different classes that meet there are paired.
+A shingle of more than ``COMMON`` nodes (a template's) pairs only nodes that
+could reach s on such shingles alone; all others must share a rarer one too.
+Of these pairs, bit strings of ``BITS`` parities rule out most: two texts differ
+in at least as many shingles as their strings differ in bits.
 
 Pairs are verified on the whole texts by banded alignment: labelled shingles
 that both have are matched, matches further off the diagonal than the
@@ -38,6 +47,7 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.llm.common import ALNUM, hash_spans, mix64, place, positional, slices, text_bytes, word_spans, written
@@ -45,6 +55,10 @@ from quire.llm.common import ALNUM, hash_spans, mix64, place, positional, slices
 WORDS = 5
 TABLES, PICKED = 16, 3
 SIMILARITY = 0.8
+#: Shingles of more nodes are common: they pair only texts that rarer ones need not pair.
+COMMON = 32
+SALTS = 16
+BITS = 1024
 #: Tables of ids up to this many rows (some 40 bytes each) are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) | 1 for k in range(WORDS)], np.uint64)
@@ -132,11 +146,15 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, node binary, n long, keys array<long>")
 
 
-def candidates(nodes: DataFrame, least: float) -> DataFrame:
-    """Distinct pairs (a < b) of node numbers that meet in a bucket."""
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(t, key, num, n, k): the nodes of every bucket of k > 1 nodes."""
     rows = nodes.select("num", "n", F.posexplode("keys").alias("t", "key"))
-    crowd = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("k"), F.min("num").alias("lo")).filter("k > 1")
-    shared = written(rows.join(crowd, ["t", "key"]), "buckets")
+    crowd = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    return written(rows.join(crowd, ["t", "key"]), "buckets")
+
+
+def candidates(shared: DataFrame, least: float) -> DataFrame:
+    """Distinct pairs (a < b) of node numbers: the members of each bucket with its hubs."""
     weight = shared.groupBy("num").agg(F.sum("k").alias("weight"))
     shared = shared.join(weight, "num")
     hubs = shared.groupBy("t", "key").agg(F.max_by(F.struct("num", "n"), F.struct("weight", -F.col("num"))).alias("hub"),
@@ -147,6 +165,74 @@ def candidates(nodes: DataFrame, least: float) -> DataFrame:
     return met.select(F.least("num", "o.num").alias("a"), F.greatest("num", "o.num").alias("b")).distinct()
 
 
+def unsettled(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(num, root) of the nodes in buckets of three or more that hold several classes."""
+    of = shared.filter("k > 2").select("t", "key", "num").join(roots, "num", "left").withColumn("root", F.coalesce("root", "num"))
+    of = written(of, "members")
+    open_ = of.groupBy("t", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    open_ = written(open_.select("t", "key"), "open")  # so that the join deals a hot bucket's members out itself
+    return of.join(open_, ["t", "key"], "left_semi").select("num", "root").distinct()
+
+
+def parities(texts: DataFrame) -> DataFrame:
+    """(num, bits) of (num, text): for each of ``BITS`` places whether an odd number of
+    the text's shingles falls there."""
+
+    def run(batches):
+        for b in batches:
+            for first, end in slices(b.column(1), 4 << 20):
+                own = b.slice(first, end - first)
+                odd = [np.packbits((np.bincount((v >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS) & 1).astype(bool)).view(np.int64)
+                       for v in labelled(own.column(1))]
+                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(odd, pa.list_(pa.int64()))], names=["num", "bits"])
+
+    return texts.select("num", "text").mapInArrow(run, "num long, bits array<long>")
+
+
+def rare_pairs(texts: DataFrame, least: float, common: int = COMMON) -> DataFrame:
+    """Distinct pairs (a < b) of the rows (num, root, text) with different roots: every
+    pair of similarity ``least`` or more is among them."""
+
+    def run(batches):
+        for b in batches:
+            for first, end in slices(b.column(2), 4 << 20):
+                own = b.slice(first, end - first)
+                x = labelled(own.column(2))
+                n = np.array([len(v) for v in x])
+                row = pa.array(np.repeat(np.arange(len(x)), n))
+                yield pa.RecordBatch.from_arrays([own.column(0).take(row), own.column(1).take(row), pa.array(np.repeat(n, n)),
+                                                  pa.array(np.concatenate(x).view(np.int64))], names=["num", "root", "n", "s"])
+
+    rows = written(texts.select("num", "root", "text").mapInArrow(run, "num long, root long, n long, s long"), "shingles")
+    held = written(rows.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared-shingles")
+    rows = rows.join(held, "s")
+    own = W.partitionBy("num")
+    rows = rows.select("*", F.count(F.lit(1)).over(own).alias("met"), F.count_if(F.col("df") > common).over(own).alias("hot"),
+                       F.row_number().over(own.orderBy("df", "s")).alias("rank"))
+    # shingles of one node stand before all others; 1e-6 guards the ceiling against rounding up
+    first = F.col("n") - F.ceil(least * F.col("n") - 1e-6) + 1 - (F.col("n") - F.col("met"))
+    rows = written(rows.filter(F.col("rank") <= first).select("num", "root", "n", "s", "df", "hot"), "prefixes")
+
+    def met(own: DataFrame, by: list[str], other: DataFrame) -> DataFrame:
+        a, b = own.alias("a"), other.alias("b")
+        on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in by]
+        fits = F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n")
+        return a.join(b, [*on, F.col("a.num") < F.col("b.num"), F.col("a.root") != F.col("b.root"), fits])
+
+    rarer, hot = rows.filter(F.col("df") <= common), rows.filter(F.col("df") > common)
+    bits = written(parities(texts.join(hot.select("num").distinct(), "num", "left_semi")), "parities")
+    hot = written(hot.join(bits, "num"), "hot-prefixes")
+    pairs = met(rarer, ["s"], rarer).select("a.num", F.col("b.num").alias("b"))
+    # a common shingle's nodes are dealt out in blocks; every pair of blocks meets once
+    blocks = hot.withColumn("salt", F.pmod(F.xxhash64("num"), F.lit(SALTS)))
+    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    reach = F.least("a.hot", "b.hot") >= least / (1 + least) * (F.col("a.n") + F.col("b.n")) - 1e-6
+    apart = F.aggregate(F.zip_with("a.bits", "b.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    reach &= apart <= (1 - least) / (1 + least) * (F.col("a.n") + F.col("b.n")) + 1e-6
+    dense = met(blocks, ["s", "salt"], spread).filter(reach).select("a.num", F.col("b.num").alias("b"))
+    return pairs.unionByName(dense).distinct().withColumnRenamed("num", "a")
+
+
 def within(df: DataFrame, rows: int) -> DataFrame:
     """``df`` to be broadcast if it has at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -198,12 +284,22 @@ def classes(docs: DataFrame, id_col: str, text_col: str, least: float = SIMILARI
     seen = written(sketches(rows), "sketches")
     nodes = seen.filter("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.max("keys").alias("keys"))
     nodes = written(nodes.withColumn("num", F.monotonically_increasing_id()), "nodes")
-    pairs = written(candidates(nodes, least), "pairs")
-    met = pairs.select(F.explode(F.array("a", "b")).alias("num")).distinct()
-    met = written(met.join(nodes.select("num", "node", "rep"), "num"), "met")
-    texts = rows.join(within(met, BROADCAST_ROWS), (rows["node"] == met["node"]) & rows["id"].eqNullSafe(met["rep"]))
-    texts = written(texts.select("num", "text").dropDuplicates(["num"]), "texts")
-    roots = components(verify(pairs, texts, least))
+    shared = buckets(nodes)
+    pairs = written(candidates(shared, least), "pairs")
+
+    def texts_of(nums: DataFrame) -> DataFrame:
+        met = written(nums.join(nodes.select("num", "node", "rep"), "num"), "met")
+        texts = rows.join(within(met, BROADCAST_ROWS), (rows["node"] == met["node"]) & rows["id"].eqNullSafe(met["rep"]))
+        return written(texts.select(*nums.columns, "text").dropDuplicates(["num"]), "texts")
+
+    edges = written(verify(pairs, texts_of(pairs.select(F.explode(F.array("a", "b")).alias("num")).distinct()), least), "verified")
+    roots = components(edges)
+    left = written(unsettled(shared, roots), "unsettled")
+    if not left.isEmpty():
+        texts = texts_of(left)
+        more = written(verify(written(rare_pairs(texts, least), "rare-pairs"), texts, least), "verified")
+        if not more.isEmpty():
+            roots = components(edges.unionByName(more))
     of = nodes.select("num", "node", "rep").join(roots, "num", "left").withColumn("root", F.coalesce("root", "num"))
     best = of.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull(), F.col("rep"), F.col("node"))).alias("best"))
     of = of.join(best, "root").select(F.col("node").alias("_node"), F.col("best.rep").alias("class_id"), (F.col("best.node") == F.col("node")).alias("keeper"))

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from quire.llm.order_minhash import components, dedupe, keys_of, labelled, near_duplicates, similarity
+from quire.llm.order_minhash import components, dedupe, keys_of, labelled, near_duplicates, rare_pairs, similarity
 from tests.llm.fixtures import EN, clashing, documents, frame, prose
 from tests.llm.test_decontaminate import words
 
@@ -110,6 +110,45 @@ def test_classes_equal_all_pairs(spark):
     assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in got) == sorted((str(r[0]), str(c)) for r, c in zip(rows, brute(rows), strict=True))
 
 
+def template_rows(share):
+    """Pages of one template that differ in the rest; each two of them share a little more."""
+    rng = random.Random(9)
+    total = 300
+    template = [f"t{k}" for k in range(round(share * total))]
+    rows, own = [], total - len(template)
+    for k in range(60):
+        tail = [f"p{k}x{j}" for j in range(own)]
+        rows.append((2 * k, " ".join(template + tail), "en", "s", 0))
+        new = max(1, round(own - (0.91 - share) * total))
+        rows.append((2 * k + 1, " ".join(template + tail[:own - new] + [f"q{k}x{j}" for j in range(new)]), "en", "s", 0))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_near_copies_among_pages_of_one_template(spark):
+    for share in (0.8, 0.85, 0.87):
+        rows = template_rows(share)
+        own = labelled(pa.array([r[1] for r in rows]))
+        want = [min(rows[j][0] for j, y in enumerate(own) if similarity(x, y) >= 0.8) for x in own]  # all pairs; a class is one step wide
+        got = {r["doc_id"]: r["class_id"] for r in near_duplicates(frame(spark, rows)).collect()}
+        assert got == {r[0]: c for r, c in zip(rows, want, strict=True)}, share
+        assert len(set(want)) == 60
+
+
+def test_rare_pairs_hold_every_pair_at_the_threshold(spark):
+    rng = random.Random(11)
+    pool = [f"w{k}" for k in range(60)]
+    texts = [" ".join(x for x in pool if rng.random() > rng.choice([0.01, 0.02, 0.04])) for _ in range(50)]
+    texts += [r[1] for r in template_rows(0.85)[:40]]
+    x = [np.unique(v) for v in labelled(pa.array(texts))]
+    near = {(a, b) for b in range(len(x)) for a in range(b) if (c := len(np.intersect1d(x[a], x[b]))) >= 0.8 * (len(x[a]) + len(x[b]) - c)}
+    rows = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "num long, root long, text string")
+    for common in (2, 8, 1000):
+        got = {(r["a"], r["b"]) for r in rare_pairs(rows, 0.8, common).collect()}
+        assert near and near <= got
+    assert all(a < b for a, b in got)
+
+
 def test_one_of_each_class_stays(spark):
     rows = hard_rows()
     df = clashing(frame(spark, rows))
