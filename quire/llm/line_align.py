@@ -5,7 +5,11 @@ its document, so every compared line is distinct within its document. Lines
 that several documents have are found by one aggregate; each names its first
 holder, the document of least id, and how many documents hold it. Every later
 holder is paired with the first holder: as many links as shared lines, never
-all pairs of a group. Two documents overlap if they share a rare line (held by
+all pairs of a group. Runs of lines are linked in the same way, so that a
+passage meets the first document that has it, whoever had its single lines
+before: of each line the shortest run of two lines or more and ``BLOCK_WORDS``
+words or more that starts with it, and the one that ends with it. Every line of
+a longer shared passage is in one of these runs. Two documents overlap if they share a rare line (held by
 ``RARE`` documents at most) or at least two lines; a frequent line met alone
 (a licence line, a greeting) is no overlap.
 
@@ -39,20 +43,54 @@ RARE = 16
 BLOCK_WORDS = 10
 
 
-def line_table(rows: DataFrame) -> DataFrame:
-    """(id, node, h, pos, words) of the compared lines of (id, node, text): pos counts
-    the compared lines of a text, h covers words and occurrence number."""
+def line_table(rows: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(id, node, h, pos, words) of the compared lines and linked runs of (id, node, text):
+    pos counts the compared lines of a text, h covers words and occurrence number of
+    each line, words has the words of each line."""
 
     def run(batches):
         for b in batches:
             for first, end in slices(b.column(2)):
                 own = b.slice(first, end - first)
                 row, h, pos, words = compared(own.column(2))
-                yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(row)), own.column(1).take(pa.array(row)), pa.array(h.view(np.int64)),
-                                                  pa.array(pos.astype(np.int32)), pa.array(words.astype(np.int32))], names=["id", "node", "h", "pos", "words"])
+                start, end = runs(row, words, block_words)
+                key = np.r_[h, hash_runs(h, start, end)]
+                at = np.r_[np.arange(len(h)), start]
+                n = np.r_[np.ones(len(h), np.int64), end - start]
+                cut = np.r_[0, np.cumsum(n)]
+                each = np.repeat(at - cut[:-1], n) + np.arange(cut[-1])
+                lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(words[each].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(row[at])), own.column(1).take(pa.array(row[at])), pa.array(key.view(np.int64)),
+                                                  pa.array(pos[at].astype(np.int32)), lists], names=["id", "node", "h", "pos", "words"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, node long, h long, pos int, words int")
+    return rows.mapInArrow(run, f"id {kind}, node long, h long, pos int, words array<int>")
+
+
+def runs(row: np.ndarray, words: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the distinct shortest runs of two lines and ``block_words`` words or
+    more that start or end with each line, inside its row."""
+    n = len(row)
+    if n < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, total = np.arange(n), np.r_[0, np.cumsum(words)]
+    end = np.maximum(np.searchsorted(total, total[:-1] + block_words), at + 2)
+    start = np.minimum(np.searchsorted(total, total[1:] - block_words, side="right") - 1, at - 1)
+    ahead = (end <= n) & (row[np.minimum(end, n) - 1] == row)
+    back = (start >= 0) & (row[np.maximum(start, 0)] == row)
+    both = np.unique(np.r_[at[ahead] * (n + 1) + end[ahead], start[back] * (n + 1) + at[back] + 1])
+    return both // (n + 1), both % (n + 1)
+
+
+def hash_runs(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the lines of each run, in order."""
+    out = mix64((end - start).astype(np.uint64))
+    live, k = np.arange(len(start)), 0
+    while len(live):
+        out[live] = mix64(out[live] * np.uint64(0x9E3779B97F4A7C15) + h[start[live] + k])
+        k += 1
+        live = live[end[live] - start[live] > k]
+    return out
 
 
 def compared(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,24 +157,31 @@ def doomed(pairs: list[dict], block_words: int) -> list[int]:
     return out
 
 
+def line_pairs(links: list[dict]) -> list[dict]:
+    """The distinct pairs of lines of linked lines and runs."""
+    found = {(x["pos"] + k, x["at"] + k): w for x in links for k, w in enumerate(x["words"])}
+    return [{"pos": p, "at": q, "words": w} for (p, q), w in found.items()]
+
+
 def deletions(rows: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(id, node, gone) for each document of (id, node, text) that loses lines: the
     positions of its deleted lines."""
-    lines = written(line_table(rows), "lines")
+    lines = written(line_table(rows, block_words), "lines")
     held = lines.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("id", "node", "pos")).alias("first")).filter("df > 1")
     held = written(held, "held")  # so that the join deals both sides out itself and a hot line's side can be split
     later = lines.join(held, "h").filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("node") == F.col("first.node"))))
     met = later.groupBy("id", "node", F.col("first.id").alias("first_id"), F.col("first.node").alias("first_node")).agg(
-        F.min("df").alias("df"), F.collect_set(F.struct("pos", F.col("first.pos").alias("at"), "words")).alias("pairs"))
-    met = met.filter((F.col("df") <= rare) | (F.size("pairs") > 1))
+        F.min("df").alias("df"), F.collect_set(F.struct("pos", F.col("first.pos").alias("at"), "words")).alias("links"))
+    alone = (F.size("links") == 1) & (F.size(F.col("links")[0]["words"]) == 1)
+    met = met.filter((F.col("df") <= rare) | ~alone)
 
     def run(batches):
         for b in batches:
-            gone = [doomed(x, block_words) for x in b.column("pairs").to_pylist()]
+            gone = [doomed(line_pairs(x), block_words) for x in b.column("links").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("node"), pa.array(gone, pa.list_(pa.int32()))], names=["id", "node", "gone"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = met.select("id", "node", "pairs").mapInArrow(run, f"id {kind}, node long, gone array<int>")
+    found = met.select("id", "node", "links").mapInArrow(run, f"id {kind}, node long, gone array<int>")
     return found.filter(F.size("gone") > 0).groupBy("id", "node").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 

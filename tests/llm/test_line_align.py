@@ -87,6 +87,42 @@ def test_report_equals_brute_force(spark):
     assert all(r["n_gone"] == 0 for r in got if r["doc_id"] is not None and 400 <= r["doc_id"] < 420)  # one frequent line is no overlap
 
 
+def all_pairs(texts):
+    """Lines each text loses when it is aligned with every earlier one."""
+    gone = []
+    for d, own in enumerate(texts):
+        lost = set()
+        for other in texts[:d]:
+            at = {k: p for p, k in enumerate(other)}
+            ps = [(p, at[k], len(k.split())) for p, k in enumerate(own) if k in at]
+            run = []
+            for k in [*aligned([x[0] for x in ps], [x[1] for x in ps]), None]:
+                if run and (k is None or (ps[k][0], ps[k][1]) != (run[-1][0] + 1, run[-1][1] + 1)):
+                    if sum(x[2] for x in run) >= 10:
+                        lost |= {x[0] for x in run}
+                    run = []
+                if k is not None:
+                    run.append(ps[k])
+        gone.append(len(lost))
+    return gone
+
+
+def test_passages_whose_lines_were_seen_apart(spark):
+    rng = random.Random(8)
+    line = [" ".join(f"l{k}w{j}" for j in range(rng.choice([2, 3, 6, 9, 12]))) for k in range(30)]
+    line = [x if len(x.split()) < 10 or k % 3 else x + " more" for k, x in enumerate(line)]
+    texts = [[f"own {k} begin", x, f"own {k} end"] for k, x in enumerate(line) if len(x.split()) < 10]  # every short line is first seen alone
+    for k in range(40):  # passages from 2 to 7 lines, in the order of the lines
+        a, n = rng.randrange(24), rng.randint(2, 7)
+        texts.append([f"head of {k}", *line[a:a + n], f"tail of {k}"])
+    rows = [(k, "\n".join(t), "en", "s", 0) for k, t in enumerate(texts)]
+    rows += [(1000, "one two three four five six", "en", "s", 0), (1001, "seven eight nine ten eleven twelve", "en", "s", 0)]
+    rows += [(k, "one two three four five six\nseven eight nine ten eleven twelve", "en", "s", 0) for k in (1002, 1003)]
+    got = {r["doc_id"]: r["n_gone"] for r in line_report(frame(spark, rows)).collect()}
+    assert [got[k] for k in range(len(texts))] == all_pairs(texts)
+    assert [got[k] for k in range(1000, 1004)] == [0, 0, 0, 2]
+
+
 def test_other_columns_stay(spark):
     df = clashing(frame(spark, hard_rows()))
     out = dedupe_lines(df)
