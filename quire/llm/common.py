@@ -8,6 +8,7 @@ into slices of bounded bytes first, so memory does not follow the batch.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,33 @@ def place(df: DataFrame, col: str) -> str:
     return f"c{df.columns.index(col)}"
 
 
+#: Keys that a counted join sends out, the most frequent first.
+HOT_KEYS = 2000
+
+
+def null_safe(pairs) -> Column:
+    """All the pairs of columns are equal, nulls too."""
+    return reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
+
+
+def join_counted(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``per_key``, which has one row a key and in ``count`` the number of
+    rows with that key; null keys are equal, other names must not clash. The ``HOT_KEYS``
+    most frequent keys are broadcast, so no key that a shuffle meets has more than one in
+    ``HOT_KEYS`` of the rows. ``how`` is inner or left. Both tables are read twice: write
+    them first if they are not cheap. The other columns of ``per_key`` come last."""
+    names, own = [f"_k{i}" for i in range(len(keys))], [f"_h{i}" for i in range(len(keys))]
+    more = [c for c in per_key.columns if c not in keys and c != count]
+    small = per_key.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], *more, F.col(count).alias("_n"))
+    top = small.orderBy(F.col("_n").desc(), *names).limit(HOT_KEYS).drop("_n")
+    hot = rows.sparkSession.createDataFrame(top.toArrow(), top.schema)
+    sent = F.broadcast(hot.select(*[F.col(n).alias(h) for n, h in zip(names, own, strict=True)]))
+    met = null_safe(zip(keys, names, strict=True))
+    rest = rows.join(sent, null_safe(zip(keys, own, strict=True)), "left_anti")
+    cold = small.join(sent, null_safe(zip(names, own, strict=True)), "left_anti").drop("_n")
+    return rows.join(F.broadcast(hot), met).drop(*names).unionByName(rest.join(cold, met, how).drop(*names))
+
+
 def fold(id_col: str = "doc_id", mod: int = 5) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % mod

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import byte_ids, chat_grammar, decontaminate, fst_tokens, hyper_lang, line_align, log_bilinear, mixing, order_minhash, perplexity_rules
+from quire.llm import (byte_ids, chat_grammar, decontaminate, fim_cuts, fst_tokens, hyper_lang, line_align, log_bilinear, mixing, orchard_codes, order_minhash,
+                       perplexity_rules, zip_warc)
 from quire.sources.tables import Tables
 
 TOKENIZER = "word_bpe_49k.json"
@@ -146,3 +147,80 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_line_align")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_align.line_report(Tables(spark, sf_dir).documents)
+
+
+# Units by pattern, the parts as slices of their list; what is restored is the text itself.
+FIM = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                  regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+x AS (SELECT *, len(u) AS n, [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN range(4)] AS r FROM d),
+f AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                  WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM x),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@register("op11_fim_cuts", FIM)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_cuts.digests(Tables(spark, sf_dir).documents)
+
+
+# Base 32: twenty bits of the digest are five hex digits and four letters.
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, html, sha1(html) AS h, octet_length(encode(html)) AS bytes,
+             row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS nth, first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS first_id FROM p)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, 5 * (k // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31) + 1, 1)
+                        FOR k IN range(32)], '') AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN first_id END AS refers_to
+FROM d
+"""
+
+
+@register("op12_zip_warc", WARC)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zip_warc.archive_round_trip(Tables(spark, sf_dir).pages)
+
+
+def _codes_sql(parts: int = 4, width: int = 64, entries: int = 256, rounds: int = 4) -> str:
+    """Every round as two steps: the nearest entry of every part, then the floor of each entry's mean."""
+    w = width // parts
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, part, any_value(x) AS x, min({{'d': d, 'entry': entry}}) AS best
+  FROM (SELECT p.vec_id, p.part, p.x, b.entry, p.x2 - 2 * list_dot_product(p.x, b.x) + list_dot_product(b.x, b.x) AS d FROM p JOIN b{k} b USING (part))
+  GROUP BY vec_id, part)""")
+        if k < rounds:
+            steps.append(f"""b{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN (
+    SELECT part, entry, list(c ORDER BY pos) AS x FROM (
+      SELECT part, entry, pos, floor(sum(c) / count(*)) AS c
+      FROM (SELECT part, best.entry AS entry, unnest(x) AS c, generate_subscripts(x, 1) AS pos FROM a{k}) GROUP BY part, entry, pos)
+    GROUP BY part, entry) m USING (part, entry))""")
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS entry
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT vec_id, entry, part, x, list_dot_product(x, x) AS x2
+  FROM (SELECT vec_id, entry, part, v[part * {w} + 1:part * {w} + {w}] AS x FROM e, range({parts}) AS t(part))),
+b0 AS (SELECT part, entry, x FROM p WHERE entry < {entries}),
+{", ".join(steps)},
+v AS (SELECT vec_id, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda c: CAST(c AS BIGINT)), ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN e USING (vec_id)
+"""
+
+
+@register("op13_orchard_codes", _codes_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard_codes.code_report(Tables(spark, sf_dir).embeddings)
