@@ -41,9 +41,11 @@ from pyspark.sql import functions as F
 from quire.llm.common import SPACED, hash_spans, slices, text_bytes, word_spans, written
 
 END_ID = 2
-#: Pieces a Python worker remembers (some 40 bytes each) before it starts anew.
-CACHE_PIECES = 2_000_000
+#: Bytes of remembered pieces a Python worker holds before it starts anew.
+CACHE_BYTES = 24 << 20
 SEGMENT_BYTES = 4 << 20
+#: Text tokenized at once.
+TEXT_BYTES = 2 << 20
 #: Lengths of the four ids of a control byte.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 
@@ -82,7 +84,7 @@ class Pieces:
 
     def __call__(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, ids of each row) of a text column."""
-        if len(self.keys) > CACHE_PIECES:
+        if self.keys.nbytes + self.slots.nbytes + self.first.nbytes + self.ids.nbytes > CACHE_BYTES:
             self.clear()
         raw, off = text_bytes(col)
         text = raw.tobytes()
@@ -133,7 +135,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str
     def run(batches):
         pieces = Pieces.of(path)
         for b in batches:
-            for first, end in slices(b.column(2), SEGMENT_BYTES):
+            for first, end in slices(b.column(2), TEXT_BYTES):
                 ids, n = with_end(*pieces(b.column(2).slice(first, end - first)), end_id)
                 cut = np.r_[0, np.cumsum(n)] * np.dtype(kind).itemsize
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(ids.astype(kind))])

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from quire.session import checkpoint_dir
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+#: Cells of a dense table of trigrams; larger alphabets are sorted instead.
+DENSE_CELLS = 1 << 20
 
 
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
@@ -206,15 +208,16 @@ def compact_trigrams(sym: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.nd
     seen[sym] = True
     used = np.flatnonzero(seen)
     k = len(used)
-    dense = np.zeros(1 << 21, np.int64)
+    dense = np.zeros(1 << 21, np.int32)
     dense[used] = np.arange(k)
     x = dense[sym]
-    code = ((x[:-2] * k + x[1:-1]) * k + x[2:])[ok]
-    if k ** 3 <= 1 << 24:
+    if k ** 3 <= DENSE_CELLS:
+        code = ((x[:-2] * k + x[1:-1]) * k + x[2:])[ok]
         known = np.flatnonzero(np.bincount(code, minlength=1))
-        place = np.zeros(k ** 3, np.int64)
+        place = np.zeros(k ** 3, np.int32)
         place[known] = np.arange(len(known))
         code = place[code]
     else:
+        code = ((x[:-2].astype(np.int64) * k + x[1:-1]) * k + x[2:])[ok]
         known, code = np.unique(code, return_inverse=True)
     return (used[known // (k * k)] << 42) | (used[known // k % k] << 21) | used[known % k], code
