@@ -7,9 +7,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
+from quire.operators import keyword_index as KI
 from quire.operators import retrieval as R
+from quire.operators import vector_index as VI
 from quire.plans.common import sql_hashed_embedding, spread, sql_tokens, text_partitions
 from quire.plans.registry import register
+from quire.session import fresh_folder
 from quire.sources.tables import Tables
 
 KW_TOP, VEC_K, HYBRID_TOP, RERANK_TOP, FUSE_DEPTH = 5, 3, 5, 3, 50
@@ -117,6 +120,44 @@ def keyword_search_filtered(spark, sf_dir):
                             "item_id", "text", top=KW_TOP, must_contain="the", partitions=text_partitions(spark))
 
 
+def _stored_index(spark, sf_dir):
+    """A keyword index of two segments: documents of even id, then those of odd id."""
+    path, docs = fresh_folder(spark, "keyword-index"), _docs(spark, sf_dir)
+    even = F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))
+    for part in (docs.filter(even), docs.filter(~even)):
+        KI.add_segment(path, part, "doc_id", "text", partitions=text_partitions(spark))
+    return path
+
+
+@register("keyword_index_search", oracle=f"""
+WITH {_BM25_CTE},
+top AS ({_rank_sql('bm', 'item_id', 'doc_id', KW_TOP)})
+SELECT item_id, rank, doc_id, score, substr(translate(text, chr(10), ' '), 1, 1000) AS snippet
+FROM top JOIN documents USING (doc_id)
+""")
+def keyword_index_search(spark, sf_dir):
+    """R1 over the stored block-max index, filled in two segments."""
+    hits = KI.search(spark, _stored_index(spark, sf_dir), _queries(spark, sf_dir), "item_id", "text", KW_TOP).hits
+    shown = _docs(spark, sf_dir).select("doc_id", X.snippet("text").alias("snippet"))
+    return hits.select(F.col("qid").alias("item_id"), "rank", F.col("did").alias("doc_id"), "score").join(shown, "doc_id")
+
+
+@register("keyword_index_turns", oracle=f"""
+WITH first AS (SELECT conv_id AS item_id, text FROM conversations WHERE turn = 0),
+{_BM25_CTE.replace('FROM benchmark', 'FROM first')},
+top AS ({_rank_sql('bm', 'item_id', 'doc_id', KW_TOP)})
+SELECT item_id AS conv_id, rank, doc_id, score, true AS blocks_skipped FROM top
+""")
+def keyword_index_turns(spark, sf_dir):
+    """A second query set, the first turn of every conversation, on the index that
+    answered the first; no text is read for it and blocks are skipped."""
+    path = _stored_index(spark, sf_dir)
+    KI.search(spark, path, _queries(spark, sf_dir), "item_id", "text", KW_TOP)
+    turns = Tables(spark, sf_dir).conversations.filter("turn = 0").select("conv_id", "text")
+    found = KI.search(spark, path, turns, "conv_id", "text", KW_TOP)
+    return found.hits.select(F.col("qid").alias("conv_id"), "rank", F.col("did").alias("doc_id"), "score", F.lit(found.read < found.blocks).alias("blocks_skipped"))
+
+
 @register("vector_search", bench=True, oracle=f"""
 WITH e AS (SELECT vec_id, label, CAST(x AS DOUBLE) AS x, pos
            FROM (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)),
@@ -135,6 +176,45 @@ def vector_search(spark, sf_dir):
     return R.vector_search(emb, "vec_id", "embedding", q, "label", "centroid", k=VEC_K)
 
 
+_EXACT_SQL = f"""
+WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0),
+s AS (SELECT q.vec_id AS qid, v.vec_id AS vid, round(list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])
+             / (sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]))
+                * sqrt(list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[]))), 8) AS score
+      FROM q, embeddings v)
+SELECT qid, rank, vid, score FROM ({_rank_sql('s', 'qid', 'vid', VEC_K)})
+"""
+
+
+def _hundredths(emb):
+    """The query set of the searches: every vector whose id is divisible by 100."""
+    return emb.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("q_vec"))
+
+
+@register("vector_search_ivf", oracle=_EXACT_SQL)
+def vector_search_ivf(spark, sf_dir):
+    """The written inverted-file index, searched until no unread cell can hold a
+    better vector, so the result is the exhaustive one."""
+    emb = Tables(spark, sf_dir).embeddings
+    index = VI.build_index(emb, "vec_id", "embedding")
+    return VI.search(index, _hundredths(emb), "q_id", "q_vec", k=VEC_K)[0]
+
+
+@register("vector_search_ivf_recall", oracle="""
+SELECT count(*) AS n_queries, true AS recall_reached, true AS cells_skipped FROM embeddings WHERE vec_id % 100 = 0
+""")
+def vector_search_ivf_recall(spark, sf_dir):
+    """R2b with an expected recall of 0.95: whether 0.9 of the exhaustive result is found, and
+    whether vectors were left unread."""
+    emb = Tables(spark, sf_dir).embeddings
+    index, q = VI.build_index(emb, "vec_id", "embedding"), _hundredths(emb)
+    got, report = VI.search(index, q, "q_id", "q_vec", k=VEC_K, recall=0.95)
+    exact = R.vector_search(emb, "vec_id", "embedding", q, "q_id", "q_vec", k=VEC_K).select("qid", "vid")
+    found = exact.join(got.select("qid", "vid", F.lit(1).alias("hit")), ["qid", "vid"], "left")
+    return found.agg(F.countDistinct("qid").alias("n_queries"), (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+                     F.lit(report.share < 1).alias("cells_skipped"))
+
+
 @register("vector_search_lsh", oracle=f"""
 WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0),
 h AS (SELECT b, d, CASE WHEN substr(md5(b || ':' || d), 1, 1) >= '8' THEN 1.0 ELSE -1.0 END AS w
@@ -237,9 +317,9 @@ def index_validate(spark, sf_dir):
 
 
 @register("sql_query", oracle="""
-SELECT label, count(*) AS n, min(vec_id) AS first_id FROM embeddings WHERE label >= 2 AND vec_id % 2 = 0 GROUP BY label
+SELECT label, count(*) AS n, min(vec_id) AS first_id FROM embeddings WHERE label >= 2 GROUP BY label
 """)
 def sql_query(spark, sf_dir):
-    """SQL with parameters over any set of stored items, here the even ones."""
-    items = Tables(spark, sf_dir).embeddings.filter(F.col("vec_id") % 2 == 0)
+    """SQL with parameters over any set of stored items."""
+    items = Tables(spark, sf_dir).embeddings
     return R.query_items(items, "SELECT label, count(*) AS n, min(vec_id) AS first_id FROM {items} WHERE label >= :least GROUP BY label", least=2)
