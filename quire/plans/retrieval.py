@@ -293,6 +293,33 @@ def rerank_topk(spark, sf_dir):
     return _reranked(spark, sf_dir, _index(spark, sf_dir))
 
 
+def _overlap(pairs):
+    """A stand-in for a reranking model: 4 x shared words / all words of query and text."""
+    import regex
+
+    out = []
+    for q, d in pairs:
+        a, b = (set(regex.split(r"[^\p{L}\p{N}]+", x.lower())) - {""} for x in (q, d))
+        out.append(4.0 * len(a & b) / len(a | b) if a | b else 0.0)
+    return out
+
+
+@register("rerank_model", oracle=f"""
+WITH {_FUSE_CTE},
+tx AS (SELECT f.qid, f.doc_id, f.score, list_distinct({sql_tokens('d.text')}) AS dt, list_distinct({sql_tokens('b.text')}) AS bt
+       FROM fused f JOIN documents d USING (doc_id) JOIN benchmark b ON b.item_id = f.qid),
+rr AS (SELECT qid, doc_id, score, round(coalesce(4.0 * len(list_intersect(dt, bt))
+              / nullif(len(dt) + len(bt) - len(list_intersect(dt, bt)), 0), 0.0), 8) AS rerank_score FROM tx)
+SELECT qid, rank, doc_id, score, rerank_score, CAST(NULL AS VARCHAR) AS error FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY rerank_score DESC, score DESC, doc_id) AS INTEGER) AS rank FROM rr)
+WHERE rank <= {RERANK_TOP}
+""")
+def rerank_model(spark, sf_dir):
+    """R4 with a pluggable model over (query, text) pairs of all fused candidates."""
+    fused = _fused(spark, sf_dir, _index(spark, sf_dir))
+    return R.rerank_with(fused, _docs(spark, sf_dir), "doc_id", "text", _queries(spark, sf_dir), "item_id", "text", _overlap, top=RERANK_TOP)
+
+
 @register("rag_prompt", oracle=f"""
 WITH {_RERANK_CTE},
 ctx AS (SELECT qid, substr(translate(text, chr(10), ' '), 1, 1000) AS context
