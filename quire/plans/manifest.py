@@ -270,10 +270,11 @@ SELECT lang AS class, source || '/' || CAST(doc_id AS VARCHAR) || '.png' AS file
 WHERE lang IN (SELECT lang FROM documents GROUP BY lang HAVING count(*) >= 5)
 """)
 def file_lists(spark, sf_dir):
-    """S4 + S5: a JSON-lines list per class with at least five documents, written and read again."""
+    """S4 + S5: ``<class>.jsonl`` lists of the classes with at least five documents, written and
+    read again; the class comes from the file's stem."""
     path = fresh_folder(spark, "file-lists")
-    FS.write_file_lists(_docs(spark, sf_dir).withColumnRenamed("lang", "class"), "class", "path", path)
-    return FS.read_written_file_lists(spark, path)
+    FS.write_class_lists(_docs(spark, sf_dir).withColumnRenamed("lang", "class"), "class", "path", path)
+    return FS.read_class_lists(spark, path).select("class", "file")
 
 
 def _landed(spark, sf_dir):

@@ -7,13 +7,17 @@ folder) and expose the file path through the ``_metadata`` column, so
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions import urls as U
+from quire.session import cut_lineage
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("location", T.StringType()),
@@ -23,6 +27,13 @@ MANIFEST_SCHEMA = T.StructType([
 FILE_LIST_SCHEMA = T.StructType([T.StructField("file", T.StringType())])
 
 
+def located(uri: str):
+    """(file system, path) of a folder or file, by ``pyarrow.fs``."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri.replace("file:", "file://", 1) if uri.startswith("file:/") and "://" not in uri else uri)
+
+
 # ---- S1 / S2: manifest CSV ---------------------------------------------------
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -49,13 +60,13 @@ def read_layout(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
 # ---- S4 / S5: class file lists (JSON lines) -----------------------------------
 
 def read_file_lists(spark: SparkSession, root: str) -> DataFrame:
-    """(class, file): the class is the ``.jsonl`` file stem (may contain spaces)."""
+    """(class, file, list_file, list_path): the class is the ``.jsonl`` file stem (may contain spaces)."""
     df = (spark.read.schema(FILE_LIST_SCHEMA).option("recursiveFileLookup", True)
           .option("pathGlobFilter", "*.jsonl").json(root))
     # file names come percent-encoded; a plus sign is itself, not a space
     name = F.col("_metadata.file_name")
     return df.select(F.regexp_extract(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), r"^(.*)\.jsonl$", 1).alias("class"),
-                     "file", name.alias("list_file"))
+                     "file", name.alias("list_file"), F.col("_metadata.file_path").alias("list_path"))
 
 
 def read_written_file_lists(spark: SparkSession, path: str, class_col: str = "class") -> DataFrame:
@@ -80,6 +91,41 @@ def write_file_lists(pairs: DataFrame, class_col: str, file_col: str, path: str,
      .write.mode("overwrite").partitionBy(class_col).json(path))
 
 
+def write_class_lists(pairs: DataFrame, class_col: str, file_col: str, path: str, min_docs: int = 5) -> None:
+    """S5 by name: ``<class>.jsonl`` lists of the qualifying classes. Every task writes its own,
+    in a folder of its own, so a class of any size is written by many tasks; the class is
+    the stem of each file. Rows go straight to the open file, one class after the other."""
+    def run(batches):
+        files, root = located(path)
+        folder, current, stream = f"{root}/{uuid.uuid4().hex}", None, None
+        for b in batches:
+            for name, file in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if name != current:
+                    if stream:
+                        stream.close()
+                    files.create_dir(folder, recursive=True)
+                    current, stream = name, files.open_output_stream(f"{folder}/{name}.jsonl")
+                stream.write((json.dumps({"file": file}, ensure_ascii=False) + "\n").encode())
+        if stream:
+            stream.close()
+            yield pa.RecordBatch.from_pydict({"folder": [folder]})
+
+    ok = qualifying_classes(pairs, class_col, min_docs).select(class_col)
+    rows = pairs.join(ok, class_col, "left_semi").select(F.col(class_col).alias("class"), F.col(file_col).alias("file"))
+    if not rows.filter(F.col("class").contains("/")).isEmpty():
+        raise ValueError("a class name with a slash cannot be the name of a list")
+    done = cut_lineage(rows.sortWithinPartitions("class").mapInArrow(run, "folder string"), "list-folders")
+    # folders of attempts that did not end are not part of the result
+    done.coalesce(1).write.mode("append").text(f"{path}/_lists")
+
+
+def read_class_lists(spark: SparkSession, path: str) -> DataFrame:
+    """(class, file, list_file) of the lists that ``write_class_lists`` finished at ``path``."""
+    lists = spark.read.text(f"{path}/_lists").select(F.substring_index("value", "/", -1).alias("folder"))
+    df = read_file_lists(spark, path).withColumn("folder", F.element_at(F.split("list_path", "/"), -2))
+    return df.join(lists, "folder", "left_semi").drop("folder", "list_path")
+
+
 # ---- S6 / S7 / S8: binary documents and their metadata ------------------------
 
 def read_documents(spark: SparkSession, root: str,

@@ -17,9 +17,12 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.operators.layout import LAYOUT_SCHEMA
 from quire.session import checkpoint_dir
+from quire.sources import layouts as LY
 from quire.sources import upsert as U
 
 
@@ -71,19 +74,32 @@ def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table:
     q.awaitTermination()
 
 
-def ingest_layouts(spark: SparkSession, root: str, schema: T.StructType, sink: str, checkpoint: str,
+def ingest_layouts(spark: SparkSession, root: str, sink: str, checkpoint: str, schema: T.StructType = LAYOUT_SCHEMA,
                    max_files_per_trigger: int | None = None) -> int:
-    """T1 as in the reference's layout step: every ``*.ocr.json`` below ``root``
-    not seen before lands in the ``sink`` table with its file path; a rerun
-    processes only files added since. Returns the rows taken."""
-    from pyspark.sql import functions as F
-
-    r = (spark.readStream.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-         .option("pathGlobFilter", "*.ocr.json"))
+    """T1 as in the reference's layout step: every ``*.ocr.json`` below ``root`` that was not
+    seen before is parsed into ``sink``, a folder per micro-batch (a replayed batch
+    overwrites its own); a rerun takes only files added since. Returns the rows taken.
+    ``ingested`` reads the sink."""
+    r = (spark.readStream.schema(LY.with_corrupt(schema)).option("multiLine", True).option("recursiveFileLookup", True)
+         .option("pathGlobFilter", "*" + LY.SUFFIX).option("columnNameOfCorruptRecord", LY.CORRUPT))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = r.json(root).withColumn("file", F.col("_metadata.file_path"))
-    q = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    q = (r.json(root).withColumn("file", F.col("_metadata.file_path")).writeStream.foreachBatch(run)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+
+
+def ingested(spark: SparkSession, sink: str) -> tuple[DataFrame, DataFrame]:
+    """(layouts, rejects) of a sink of ``ingest_layouts``, with the number of their batch."""
+    return LY.parsed(spark.read.parquet(sink), ["batch"])
+
+
+def batches(spark: SparkSession, sink: str) -> list[int]:
+    """Numbers of the micro-batches in a sink of ``ingest_layouts``."""
+    names = LY.listing(spark, sink, "*.parquet").select(F.regexp_extract("file", r"/batch=([0-9]+)/[^/]+$", 1).cast("int")).distinct()
+    return sorted(r[0] for r in names.collect())

@@ -153,7 +153,7 @@ def test_layout_stream_only_new_files(spark, tmp_dir):
     src = f"{tmp_dir}/incoming"
     os.makedirs(f"{src}/memo")
     shutil.copy(f"{fix}/memo/memo_1.png.ocr.json", f"{src}/memo/")
-    args = (spark, src, LAYOUT_SCHEMA, f"{tmp_dir}/sink", f"{tmp_dir}/ck")
+    args = (spark, src, f"{tmp_dir}/sink", f"{tmp_dir}/ck", LAYOUT_SCHEMA)
     assert S.ingest_layouts(*args) == 1
     assert S.ingest_layouts(*args) == 0
     os.makedirs(f"{src}/invoice")
