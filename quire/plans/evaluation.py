@@ -205,6 +205,28 @@ def latency_by_user(spark, sf_dir):
     return E.latency_stats(_call_log(spark, sf_dir), group_cols=["user_id"])
 
 
+@register("latency_sketch", oracle="""
+SELECT p, CASE p WHEN 0.5 THEN round(quantile_cont(value, 0.5), 4) WHEN 0.95 THEN round(quantile_cont(value, 0.95), 4)
+                 ELSE round(quantile_cont(value, 0.99), 4) END AS exact, true AS within_bound, count(value) AS n_ok,
+       (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) AS n_days
+FROM events, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) AS q(p) WHERE event_type IS DISTINCT FROM 'error' GROUP BY p
+""")
+def latency_sketch(spark, sf_dir):
+    """A10 from stored daily summaries, merged: the exact percentile, and whether the merged
+    sketch's is within the stated rank error of it."""
+    from quire.operators import quantiles as Q
+
+    ps, names = [0.5, 0.95, 0.99], ["median", "p95", "p99"]
+    log = _call_log(spark, sf_dir)
+    days = Tables(spark, sf_dir).events.select("event_id", F.to_date("ts").alias("day"))
+    daily = cut_lineage(Q.summaries(log.join(days, "event_id"), "seconds", "error", ["day"]), "daily-latency")
+    all_days = Q.sketch_quantiles(Q.merged(daily), ps, names).first()
+    errors = Q.rank_errors(log.filter(F.col("error").isNull()), "seconds", {p: all_days[n] for p, n in zip(ps, names) if all_days[n] is not None})
+    exact = E.latency_stats(log).select(F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.col(n).alias("exact")) for p, n in zip(ps, names)])).alias("x")).select("x.*")
+    return errors.join(exact, "p").select("p", "exact", (F.col("rank_error") <= Q.SKETCH_ERROR).alias("within_bound"), F.lit(all_days["n_ok"]).cast("long").alias("n_ok"),
+                                          F.lit(daily.count()).cast("long").alias("n_days"))
+
+
 @register("status_split", oracle="""
 SELECT event_id, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
        event_type IS DISTINCT FROM 'error' AS accepted
@@ -335,25 +357,22 @@ def classify_documents16(spark, sf_dir):
     return C.keyword_classify(_headed(spark, sf_dir), rules=C.DOCUMENT_RULES)
 
 
-_CLEAN16 = [x.replace(" ", "") for x in C.DOCUMENT_LABELS]
+_SPACED = [f"language {x}" for x in LABELS]
+_CLEAN = sql_str_list([x.replace(" ", "") for x in _SPACED])
 
 
 @register("eval_normalised", oracle=f"""
-WITH p AS (SELECT {_SQL_HEADERS}[doc_id % {len(HEADERS)} + 1] AS head, doc_id % {len(HEADERS)} AS k,
-                  translate({sql_keyword_predict(_SQL_PAGE, C.DOCUMENT_RULES)}, ' "', '') AS y_pred
-           FROM documents WHERE text IS NOT NULL),
-q AS (SELECT *, [{sql_str_list(_CLEAN16)}][k + 1] AS y_true FROM p WHERE k < 16)
-SELECT round(avg(CASE WHEN y_pred = y_true THEN 1.0 ELSE 0.0 END) FILTER (y_pred IN ({sql_str_list(_CLEAN16)})), 10) AS accuracy,
-       count(*) FILTER (y_pred IN ({sql_str_list(_CLEAN16)})) AS n_valid,
-       count(*) FILTER (y_pred NOT IN ({sql_str_list(_CLEAN16)})) AS n_hallucinated
-FROM q
+WITH p AS (SELECT translate('language ' || lang, ' "', '') AS y_true, translate('"language ' || {sql_keyword_predict('text')} || '"', ' "', '') AS y_pred
+           FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL)
+SELECT round(avg(CASE WHEN y_pred = y_true THEN 1.0 ELSE 0.0 END) FILTER (y_pred IN ({_CLEAN})), 10) AS accuracy,
+       count(*) FILTER (y_pred IN ({_CLEAN})) AS n_valid, count(*) FILTER (y_pred NOT IN ({_CLEAN})) AS n_hallucinated
+FROM p
 """)
 def eval_normalised(spark, sf_dir):
-    """Truth and prediction are compared without spaces and quotes, as a model's answer is cleaned."""
-    pred = C.keyword_classify(_headed(spark, sf_dir).filter("text IS NOT NULL"), rules=C.DOCUMENT_RULES)
-    labels = F.element_at(F.array(*map(F.lit, C.DOCUMENT_LABELS)), (F.col("doc_id") % len(HEADERS) + 1).cast("int"))
-    pairs = pred.filter(F.col("doc_id") % len(HEADERS) < 16).select(labels.alias("y_true"), F.concat(F.lit('"'), "prediction", F.lit('"')).alias("y_pred"))
-    pairs, clean = E.normalise_labels(pairs, C.DOCUMENT_LABELS)
+    """Truth and prediction are compared without spaces and quotes, as a model's answer is
+    cleaned: labels of two words, predictions in quotes."""
+    pairs = doc_pairs(spark, sf_dir).select(F.concat(F.lit("language "), "y_true").alias("y_true"), F.concat(F.lit('"language '), "y_pred", F.lit('"')).alias("y_pred"))
+    pairs, clean = E.normalise_labels(pairs, _SPACED)
     return E.weighted_metrics(pairs, clean).select("accuracy", "n_valid", "n_hallucinated")
 
 

@@ -278,7 +278,7 @@ def _invoice_vectors(spark, sf_dir):
 , tok AS (SELECT id, unnest(list_filter(string_split_regex(lower(content), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS t FROM rec),
 b AS MATERIALIZED (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 1536 AS b, count(*) AS c FROM tok GROUP BY 1, 2),
 n AS MATERIALIZED (SELECT id, sqrt(sum(c * c)) AS n FROM b GROUP BY id),
-qb AS MATERIALIZED (SELECT id, b, c FROM b WHERE CAST(substr(id, 5) AS BIGINT) % 1000 = 0),
+qb AS MATERIALIZED (SELECT id, b, c FROM b WHERE CAST(substr(id, 5) AS BIGINT) % 100 = 0),
 dot AS MATERIALIZED (SELECT q.id AS qid, v.id AS vid, sum(q.c * v.c) AS d FROM qb q JOIN b v ON q.b = v.b GROUP BY q.id, v.id),
 s AS (SELECT qid, vid, round(d / (qn.n * vn.n), 8) AS score FROM dot JOIN n qn ON qn.id = qid JOIN n vn ON vn.id = vid)
 SELECT qid, CAST(rank AS INTEGER) AS rank, vid, score
@@ -286,10 +286,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vid) AS
 """)
 def invoice_vector_search(spark, sf_dir):
     """R2 over the invoice index with its string keys; the queries are the records whose
-    order number is divisible by 1000."""
+    order number is divisible by 100."""
     from quire.operators.retrieval import vector_search
     from quire.session import cut_lineage
 
     v = cut_lineage(_invoice_vectors(spark, sf_dir), "invoice-vectors")
-    q = v.filter(F.substring("id", 5, 20).cast("long") % 1000 == 0).select(F.col("id").alias("q"), F.col("content_vector").alias("w"))
+    q = v.filter(F.substring("id", 5, 20).cast("long") % 100 == 0).select(F.col("id").alias("q"), F.col("content_vector").alias("w"))
     return vector_search(v, "id", "content_vector", q, "q", "w", k=3)

@@ -6,8 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quire.operators import count_model as CM
 from quire.operators import model as MD
 from quire.operators import sampling as S
+from quire.plans.common import sql_tokens
 from quire.plans.registry import register
 from quire.session import cut_lineage, fresh_folder
 from quire.sources.tables import Tables
@@ -55,6 +57,34 @@ def score_classifier(spark, sf_dir):
                     F.col("confidence").between(0.25, 1.0).alias("confidence_in_range"))
 
 
+@register("count_classifier", oracle=f"""
+WITH {_SPLIT_SQL},
+tr AS (SELECT s.doc_id, s.lang, d.text FROM s JOIN documents d USING (doc_id) WHERE r < floor(n * 0.7) AND s.lang IS NOT NULL AND d.text IS NOT NULL),
+cl AS (SELECT lang, count(*) AS docs FROM tr GROUP BY lang HAVING count(*) >= 5),
+tk AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest({sql_tokens('text')}) AS term FROM tr JOIN cl USING (lang)) GROUP BY lang, term),
+voc AS (SELECT DISTINCT term FROM tk), tot AS (SELECT lang, sum(n) AS tokens FROM tk GROUP BY lang),
+te AS MATERIALIZED (SELECT doc_id, term, count(*) AS n FROM (SELECT s.doc_id, unnest({sql_tokens('text')}) AS term FROM s JOIN documents USING (doc_id) WHERE r >= floor(s.n * 0.7))
+                    WHERE term IN (SELECT term FROM voc) GROUP BY 1, 2),
+w AS (SELECT voc.term, cl.lang, ln((coalesce(tk.n, 0) + 1) / (tot.tokens + (SELECT count(*) FROM voc))::DOUBLE) AS w
+      FROM voc CROSS JOIN cl JOIN tot USING (lang) LEFT JOIN tk ON tk.term = voc.term AND tk.lang = cl.lang),
+sc AS (SELECT te.doc_id, w.lang, sum(te.n * w.w) AS s FROM te JOIN w USING (term) GROUP BY 1, 2),
+al AS (SELECT s.doc_id, cl.lang, coalesce(sc.s, 0.0) + ln(cl.docs / (SELECT sum(docs) FROM cl)::DOUBLE) AS s
+       FROM s CROSS JOIN cl LEFT JOIN sc ON sc.doc_id = s.doc_id AND sc.lang = cl.lang WHERE s.r >= floor(s.n * 0.7)),
+mx AS (SELECT *, max(s) OVER (PARTITION BY doc_id) AS top, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) AS place FROM al)
+SELECT doc_id, any_value(lang) FILTER (place = 1) AS doc_type, round(any_value(s) FILTER (place = 1), 4) AS log_score,
+       round(1 / sum(exp(s - top)), 6) AS confidence
+FROM mx GROUP BY doc_id
+""")
+def count_classifier(spark, sf_dir):
+    """E3 + E4 + E6 in closed form: word counts per class, saved and loaded, then every test
+    document's class, score and confidence."""
+    sp = cut_lineage(_split(spark, sf_dir), "split")
+    path = fresh_folder(spark, "count-model")
+    CM.save(CM.fit(sp.filter(F.col("set") == "train"), "text", "label"), path)
+    found = CM.score(CM.load(spark, path), sp.filter(F.col("set") == "test"), "doc_id")
+    return found.select("doc_id", "doc_type", F.round("log_score", 4).alias("log_score"), F.round("confidence", 6).alias("confidence"))
+
+
 @register("flatten_results", oracle="""
 SELECT conv_id, CASE WHEN role = 'system' THEN 'N/A' ELSE role END AS doc_type, turn / 100.0::DOUBLE AS confidence,
        array_to_string([turn + 1, turn + 2], ',') AS pages

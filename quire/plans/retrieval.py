@@ -215,26 +215,11 @@ def vector_search_ivf_recall(spark, sf_dir):
                      F.lit(report.share < 1).alias("cells_skipped"))
 
 
-@register("vector_search_lsh", oracle=f"""
-WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0),
-h AS (SELECT b, d, CASE WHEN substr(md5(b || ':' || d), 1, 1) >= '8' THEN 1.0 ELSE -1.0 END AS w
-      FROM range({R.SKETCH_BITS}) AS r(b), range(64) AS s(d)),
-x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings),
-bits AS (SELECT vec_id, b, sum(x * w) > 0 AS bit FROM x JOIN h USING (d) GROUP BY vec_id, b),
-agree AS (SELECT q.vec_id AS qid, v.vec_id AS vid, count(*) AS score
-          FROM bits q JOIN bits v ON q.b = v.b AND q.bit = v.bit WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, v.vec_id),
-near AS (SELECT qid, vid FROM ({_rank_sql('agree', 'qid', 'vid', R.SKETCH_KEEP * VEC_K)})),
-s AS (SELECT qid, vid, round(list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])
-             / (sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]))
-                * sqrt(list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[]))), 8) AS score
-      FROM near JOIN q ON q.vec_id = qid JOIN embeddings v ON v.vec_id = vid)
-SELECT qid, rank, vid, score FROM ({_rank_sql('s', 'qid', 'vid', VEC_K)})
-""")
+@register("vector_search_lsh", oracle=_EXACT_SQL)
 def vector_search_lsh(spark, sf_dir):
-    """The query set is every vector whose id is divisible by 100."""
+    """R2b by sign sketches."""
     emb = Tables(spark, sf_dir).embeddings
-    q = emb.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("q_vec"))
-    return R.vector_search_lsh(emb, "vec_id", "embedding", q, "q_id", "q_vec", k=VEC_K)
+    return R.vector_search_lsh(emb, "vec_id", "embedding", _hundredths(emb), "q_id", "q_vec", k=VEC_K)
 
 
 def _doc_vectors(spark, sf_dir):

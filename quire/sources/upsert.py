@@ -9,19 +9,21 @@ aggregate, so a key holding a third of all updates is reduced map-side to
 one row per task before any shuffle (a ``row_number`` window would pull the
 whole key into one task). The merge is one anti join plus a union.
 
-Storage: per-bucket versions plus commit records (see below). A commit
-reads and rewrites only the buckets its updates hash to, so its cost
-follows the size of the update, not of the collection; a version becomes
-visible only when its commit record exists.
+Storage: a folder per version and one pointer file that names the current one.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.files import get, put
+
 
 def valid_key(key: str) -> Column:
     k = F.col(key).cast("string")
@@ -39,7 +41,7 @@ def latest_per_key(updates: DataFrame, key: str, seq: Sequence[str]) -> DataFram
 def merge(target: DataFrame, updates: DataFrame, key: str, seq: Sequence[str]) -> DataFrame:
     """New collection state = stored rows of untouched keys ∪ latest update per key."""
     src = latest_per_key(updates.filter(valid_key(key)), key, seq)
-    return target.join(src.select(key), key, "left_anti").unionByName(src)
+    return target.join(src.select(key), key, "left_anti").unionByName(src, allowMissingColumns=True)
 
 
 def skipped(updates: DataFrame, key: str) -> DataFrame:
@@ -66,131 +68,43 @@ def unwrap_fields(df: DataFrame, id_cols: Sequence[str] = ("id", "primary_key"))
     return df.select(*out)
 
 
-# ---- versioned storage -----------------------------------------------------------
-#
-# <root>/quire_bucket=<b>/quire_version=<n>/part-*.parquet   bucket b as of commit n
-# <root>/_commits/version=<n>/*.json                         the commit record, written last
+# ---- stored collection ----------------------------------------------------------------
 #
-# A commit rewrites only the buckets its updates hash to. Its record names the
-# current version of every bucket (as many entries as there are buckets), so a
-# reader needs the last record alone, however long the history is. The record's
-# folder can be made only once: of two writers that aim at the same version,
-# one fails and may try again.
-
-BUCKET, VERSION = "quire_bucket", "quire_version"
-COMMIT_SCHEMA = "version long, buckets array<int>, batch_id long, n_buckets int, current array<struct<bucket:int,version:long>>"
-
-
-class CommitConflict(RuntimeError):
-    """Another writer has committed the version this one aimed at."""
-
-
-def commit_log(spark: SparkSession, root: str) -> DataFrame | None:
-    """All commit records, or None for a collection that does not exist yet. Any other
-    failure to read the log is raised, never taken for an empty collection."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).json(f"{root}/_commits")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
+# <root>/version-<n>-<unique>/part-*.parquet   the collection as of version n
+# <root>/current.json                          names the version that is read
 
-def last_commit(spark: SparkSession, root: str):
-    """The newest commit record; the version is a partition column, so only its file is read."""
-    log = commit_log(spark, root)
-    top = None if log is None else log.agg(F.max("version")).first()[0]
-    return None if top is None else log.filter(F.col("version") == top).first()
+class Version(NamedTuple):
+    number: int
+    folder: str
+    batch_id: int | None
 
 
-def bucket_versions(commit) -> dict[int, int]:
-    """Current version of every bucket, from a commit record."""
-    return {x.bucket: x.version for x in commit.current}
-
-
-def commits(spark: SparkSession, root: str) -> list[dict]:
-    """The history for inspection, in order: ``{"version", "buckets", "batch_id"}``."""
-    log = commit_log(spark, root)
-    rows = [] if log is None else log.select("version", "buckets", "batch_id").orderBy("version").collect()
-    return [{"version": r.version, "buckets": list(r.buckets), "batch_id": r.batch_id} for r in rows]
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    return [c["version"] for c in commits(spark, root)]
-
-
-def _read_buckets(spark: SparkSession, root: str, versions: dict[int, int]) -> DataFrame:
-    paths = [f"{root}/{BUCKET}={b}/{VERSION}={v}" for b, v in sorted(versions.items())]
-    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths).drop(BUCKET, VERSION)
+def current_version(root: str) -> Version | None:
+    """What the pointer names; None for a collection that does not exist yet."""
+    found = get(f"{root}/current.json")
+    return None if found is None else Version(**json.loads(found))
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The collection as of the last commit; columns that came with later updates are
-    null in rows written before."""
-    last = last_commit(spark, root)
-    return None if last is None else _read_buckets(spark, root, bucket_versions(last))
-
-
-def bucket_of(key_col: Column, n_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key_col), F.lit(n_buckets)).cast("int")
+    now = current_version(root)
+    return None if now is None else spark.read.parquet(f"{root}/{now.folder}")
 
 
-def upsert_table(spark: SparkSession, root: str, updates: DataFrame, key: str, seq: Sequence[str],
-                 n_buckets: int | None = None, batch_id: int | None = None) -> int:
-    """Merge ``updates`` into the collection at ``root``; returns the new version.
+def upsert_table(spark: SparkSession, root: str, updates: DataFrame, key: str, seq: Sequence[str], batch_id: int | None = None) -> int:
+    """Merge ``updates`` into the collection at ``root``; returns the version that has them.
 
-    Reads and rewrites only the buckets the update touches, so the cost of a
-    commit follows the update, not the collection. ``n_buckets`` (1024 unless
-    given) is set by the first commit and kept in its record; size it so that
-    a bucket holds about a gigabyte. Columns the collection has not seen yet
-    are added. A ``batch_id`` that was committed before (a replayed
-    micro-batch) writes nothing and returns the version it produced.
+    The merged collection is written to a folder of its own, then the pointer is switched:
+    readers see the old version or the new one, and a job that fails leaves the old one.
+    Columns the collection has not seen yet are added. One writer at a time. A ``batch_id``
+    not above the last one (a replayed micro-batch) writes nothing.
     """
-    last = last_commit(spark, root)
-    if last is not None and n_buckets not in (None, last.n_buckets):
-        raise ValueError(f"the collection has {last.n_buckets} buckets, not {n_buckets}")
-    n_buckets = last.n_buckets if last is not None else n_buckets or 1024
-    if batch_id is not None and last is not None and last.batch_id is not None and batch_id <= last.batch_id:
-        done = commit_log(spark, root).filter(F.col("batch_id") == batch_id).agg(F.max("version")).first()[0]
-        return last.version if done is None else done
+    now = current_version(root)
+    if now is not None and batch_id is not None and now.batch_id is not None and batch_id <= now.batch_id:
+        return now.number
     good = updates.filter(valid_key(key))
-    touched = [r[0] for r in good.select(bucket_of(F.col(key), n_buckets).alias("b")).distinct().collect()]
-    if not touched:
-        return last.version if last is not None else -1
-    new = last.version + 1 if last is not None else 0
-    current = bucket_versions(last) if last is not None else {}
-    old = {b: current[b] for b in touched if b in current}
-    src = latest_per_key(good, key, seq)
-    state = src
-    if old:
-        state = _read_buckets(spark, root, old).join(src.select(key), key, "left_anti").unionByName(src, allowMissingColumns=True)
-    (state.withColumn(BUCKET, bucket_of(F.col(key), n_buckets)).withColumn(VERSION, F.lit(new))
-     .hint("rebalance", BUCKET)  # AQE sizes write tasks, buckets stay clustered
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET, VERSION).parquet(root))
-    batch = batch_id if batch_id is not None else last.batch_id if last is not None else None
-    state_now = sorted((current | dict.fromkeys(touched, new)).items())
-    record = spark.createDataFrame([(sorted(touched), batch, n_buckets, state_now)], COMMIT_SCHEMA.replace("version long, ", "", 1))
-    try:
-        record.coalesce(1).write.mode("error").json(f"{root}/_commits/version={new}")
-    except Exception as e:
-        if "PATH_ALREADY_EXISTS" in str(e):
-            raise CommitConflict(f"version {new} of {root} was committed by another writer") from e
-        raise
-    return new
-
-
-def lookup(spark: SparkSession, root: str, key: str, value) -> DataFrame | None:
-    """Point read of one key: only its bucket's current directory is scanned. None for a
-    collection that does not exist yet."""
-    last = last_commit(spark, root)
-    if last is None:
-        return None
-    current = bucket_versions(last)
-    some = _read_buckets(spark, root, dict([next(iter(current.items()))]))
-    kind = some.schema[key].dataType
-    b = spark.range(1).select(bucket_of(F.lit(value).cast(kind), last.n_buckets)).first()[0]
-    found = _read_buckets(spark, root, {b: current[b]}) if b in current else some.limit(0)
-    return found.filter(F.col(key) == F.lit(value).cast(kind))
+    state = latest_per_key(good, key, seq) if now is None else merge(read_current(spark, root), good, key, seq)
+    number = 0 if now is None else now.number + 1
+    new = Version(number, f"version-{number}-{uuid.uuid4().hex[:12]}", batch_id if batch_id is not None or now is None else now.batch_id)
+    state.write.parquet(f"{root}/{new.folder}")
+    put(f"{root}/current.json", json.dumps(new._asdict()).encode())
+    return number

@@ -54,11 +54,11 @@ def ingest_available(spark: SparkSession, source: str, schema: T.StructType, sin
 
 def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str,
                   key: str, seq: Sequence[str], fmt: str = "parquet",
-                  max_files_per_trigger: int | None = None, n_buckets: int = 64) -> None:
+                  max_files_per_trigger: int | None = None) -> None:
     """Every micro-batch is merged into the versioned collection at ``table``.
 
     Idempotent by ``batch_id``: a micro-batch replayed after a failure finds
-    its id in the collection's commit log and writes nothing (and the merge
+    its id in the collection's pointer and writes nothing (and the merge
     is last-wins by ``seq`` anyway).
     """
     r = spark.readStream.schema(schema).format(fmt)
@@ -66,8 +66,7 @@ def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # a micro-batch replayed after a failure finds its batch_id in the commit log
-        U.upsert_table(batch.sparkSession, table, batch, key, seq, n_buckets, batch_id=batch_id)
+        U.upsert_table(batch.sparkSession, table, batch, key, seq, batch_id=batch_id)
 
     q = (r.load(source).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -23,3 +23,73 @@ def test_train_save_load_and_flatten(spark, tmp_dir):
         "bounding_regions:array<struct<page_number:int>>>>")
     flat = MD.flatten_results(nested, "id").collect()
     assert [(r.doc_type, r.pages) for r in flat] == [("memo", [1, 2])]
+
+
+# ---- the model of counts -------------------------------------------------------------
+
+TRAIN = [("a", "red red blue"), ("a", "red"), ("b", "blue green, Green"), ("b", "the"), ("c", "lonely"), ("a", None), (None, "red")]
+
+
+def by_hand(train, texts, min_docs=2):
+    import math
+    import re
+
+    words = lambda t: re.findall(r"\w+", (t or "").lower())
+    docs = {}
+    for y, t in train:
+        if y is not None and t is not None:
+            docs.setdefault(y, []).append(words(t))
+    docs = {y: d for y, d in sorted(docs.items()) if len(d) >= min_docs}
+    vocab = {w for d in docs.values() for ws in d for w in ws}
+    n = sum(map(len, docs.values()))
+    out = []
+    for t in texts:
+        s = {}
+        for y, d in docs.items():
+            all_words = [w for ws in d for w in ws]
+            s[y] = math.log(len(d) / n) + sum(math.log((all_words.count(w) + 1) / (len(all_words) + len(vocab))) for w in words(t) if w in vocab)
+        best = max(s, key=s.get)
+        out.append((best, round(s[best], 9), round(1 / sum(math.exp(x - s[best]) for x in s.values()), 9)))
+    return out
+
+
+def test_counts_give_the_predictions_computed_by_hand(spark, tmp_dir):
+    from quire.operators import count_model as CM
+
+    train = spark.createDataFrame(TRAIN, "y string, t string")
+    texts = ["red blue", "Green unknown green", "", None, "the the red", "nothing known"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    model = CM.fit(train, "t", "y", min_docs=2)
+    CM.save(model, f"{tmp_dir}/m")
+
+    def got(m):
+        return [(r["doc_type"], round(r["log_score"], 9), round(r["confidence"], 9)) for r in CM.score(m, docs, "id", "t").orderBy("id").collect()]
+
+    assert model.labels() == ["a", "b"]
+    assert got(CM.load(spark, f"{tmp_dir}/m")) == got(model) == by_hand(TRAIN, texts)
+
+
+def test_models_of_parts_add_up(spark):
+    from quire.operators import count_model as CM
+
+    parts = [spark.createDataFrame(TRAIN[:3], "y string, t string"), spark.createDataFrame(TRAIN[3:], "y string, t string")]
+    both = CM.merge(*[CM.fit(p, "t", "y", min_docs=1) for p in parts])
+    whole = CM.fit(parts[0].unionByName(parts[1]), "t", "y", min_docs=1)
+    assert both.labels() == whole.labels() == ["a", "b", "c"]
+    assert sorted(map(tuple, both.terms.collect())) == sorted(map(tuple, whole.terms.collect()))
+    assert sorted(map(tuple, both.classes.collect())) == sorted(map(tuple, whole.classes.collect()))
+
+
+def test_a_model_of_nothing(spark):
+    from quire.operators import count_model as CM
+
+    model = CM.fit(spark.createDataFrame([], "y string, t string"), "t", "y")
+    assert CM.score(model, spark.createDataFrame([(1, "x")], "id int, t string"), "id", "t").count() == 0
+
+
+def test_ties_go_to_the_first_label(spark):
+    from quire.operators import count_model as CM
+
+    model = CM.fit(spark.createDataFrame([("b", "x"), ("a", "x")], "y string, t string"), "t", "y", min_docs=1)
+    r = CM.score(model, spark.createDataFrame([(1, "x")], "id int, t string"), "id", "t").first()
+    assert r["doc_type"] == "a" and r["confidence"] == 0.5

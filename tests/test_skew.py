@@ -79,6 +79,6 @@ def test_empty_inputs(spark, tmp_dir):
     r = E.latency_stats(calls).collect()
     assert len(r) == 1 and r[0].n_ok == 0 and r[0].median is None
     empty = spark.createDataFrame([], "id string, seq long, v string")
-    assert U.upsert_table(spark, f"{tmp_dir}/c", empty, "id", ["seq"], 4) == -1  # nothing to commit
-    assert U.read_current(spark, f"{tmp_dir}/c") is None
+    assert U.upsert_table(spark, f"{tmp_dir}/c", empty, "id", ["seq"]) == 0
+    assert U.read_current(spark, f"{tmp_dir}/c").count() == 0
     assert S.train_test_split(spark.createDataFrame([], "k long, g string"), "g", "k").count() == 0
