@@ -42,10 +42,10 @@ from quire.llm.common import SPACED, hash_spans, slices, text_bytes, word_spans,
 
 END_ID = 2
 #: Bytes of remembered pieces a Python worker holds before it starts anew.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 64 << 20
 SEGMENT_BYTES = 4 << 20
 #: Text tokenized at once.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 4 << 20
 #: Lengths of the four ids of a control byte.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 
