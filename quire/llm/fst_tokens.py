@@ -22,8 +22,12 @@ counts of whole pre-tokens are remembered up to a bound.
 The vocabulary file is one of the tokenizers library with NFC, white-space and
 lower-case normalising, a word / number / mark split and an end-of-word mark.
 Its added tokens count one each wherever they stand, as the library's default
-has it; no begin or end token is added. A null or empty text has 0 bytes and 0
-tokens. Rows are counted one by one, other columns are ignored.
+has it; no begin or end token is added. Its split is asked once for the class of
+each code point met, and its normaliser for texts with code points that Python's
+Unicode tables do not know. A vocabulary without a token for every byte is an
+error when a text needs the missing one. A null or empty text has 0 bytes and 0
+tokens; an empty table gives an empty result. Rows are counted one by one, equal
+ones too, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,17 +78,27 @@ def _machine() -> tuple[np.ndarray, np.ndarray]:
 class PreTokens:
     TO, EMIT = _machine()
 
-    def __init__(self):
+    def __init__(self, splitter):
+        self.splitter = splitter
         self.kind = np.full(ADDED + 1, -1, np.int8)
         self.kind[WHITE] = SPACE
         self.kind[ADDED] = SPECIAL
 
+    def ask(self, cps: np.ndarray) -> None:
+        """Learn the classes of code points from the library's own split, whose tables of
+        characters may be newer than Python's: a letter joins letters, a mark joins marks, a
+        number stands alone."""
+        text = "".join(f" a{chr(c)}a !{chr(c)}!" for c in cps.tolist())
+        begins = np.array([first for _, (first, _) in self.splitter.pre_tokenize_str(text)])
+        n = np.bincount(begins // 4, minlength=2 * len(cps)).reshape(-1, 2)  # pieces of each group of four
+        self.kind[cps] = np.where(n[:, 0] == 1, LETTER, np.where(n[:, 1] == 1, MARK, NUMBER))
+
     def classes(self, cps: np.ndarray) -> np.ndarray:
         seen = np.zeros(ADDED + 1, bool)
         seen[cps] = True
-        for c in np.flatnonzero(seen & (self.kind < 0)):
-            kind = unicodedata.category(chr(c))[0]
-            self.kind[c] = LETTER if kind == "L" else NUMBER if kind == "N" else MARK
+        new = np.flatnonzero(seen & (self.kind < 0))
+        if len(new):
+            self.ask(new)
         out = self.kind[cps]
         at = np.flatnonzero(cps == ord("'"))
         if len(at):
@@ -219,10 +233,16 @@ class Counter:
     """Token counts of batches of texts."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.merges = Merges(spec["model"]["vocab"], spec["model"]["merges"])
-        self.pre = PreTokens()
+        library = Tokenizer.from_file(path)
+        self.pre, self.normalizer = PreTokens(library.pre_tokenizer), library.normalizer
+        #: Code points that Python's tables do not know: the library may lower or compose them.
+        self.unknown = np.zeros(ADDED + 1, bool)
+        self.asked = np.zeros(ADDED + 1, bool)
         self.added = [t["content"] for t in spec["added_tokens"]]
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.known: dict[int, int] = {}
@@ -235,10 +255,22 @@ class Counter:
             if k % 2:
                 out.append(np.array([ADDED], np.int32))
             else:  # a lone lower-case sigma for every capital one: letters are lowered one by one
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                out.append(np.frombuffer(part.encode("utf-32-le"), "<i4"))
+                own = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                cps = np.frombuffer(own.encode("utf-32-le"), "<i4")
+                if len(cps) and int(cps.max()) > 0x7F and self.has_unknown(cps):
+                    cps = np.frombuffer(self.normalizer.normalize_str(part).encode("utf-32-le"), "<i4")
+                out.append(cps)
         return np.concatenate(out) if len(out) > 1 else out[0]
 
+    def has_unknown(self, cps: np.ndarray) -> bool:
+        """Whether a code point is not assigned in Python's tables."""
+        new = cps[~self.asked[cps]]
+        if len(new):
+            new = np.unique(new)
+            self.asked[new] = True
+            self.unknown[new] = [unicodedata.category(chr(c)) == "Cn" for c in new.tolist()]
+        return bool(self.unknown[cps].any())
+
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()

@@ -10,8 +10,9 @@ passage meets the first document that has it, whoever had its single lines
 before: of each line the shortest run of two lines or more and ``BLOCK_WORDS``
 words or more that starts with it, and the one that ends with it. Every line of
 a longer shared passage is in one of these runs. Two documents overlap if they share a rare line (held by
-``RARE`` documents at most) or at least two lines; a frequent line met alone
-(a licence line, a greeting) is no overlap.
+``RARE`` documents at most), at least two lines, or one of ``BLOCK_WORDS`` words or
+more, however many documents hold it. A short frequent line met alone (a
+greeting) is no overlap; it could not make a block either.
 
 Overlapping pairs are aligned by patience: with all compared lines distinct,
 the alignment is the longest chain of shared lines that rises in both
@@ -172,7 +173,8 @@ def deletions(rows: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS)
     later = lines.join(held, "h").filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("node") == F.col("first.node"))))
     met = later.groupBy("id", "node", F.col("first.id").alias("first_id"), F.col("first.node").alias("first_node")).agg(
         F.min("df").alias("df"), F.collect_set(F.struct("pos", F.col("first.pos").alias("at"), "words")).alias("links"))
-    alone = (F.size("links") == 1) & (F.size(F.col("links")[0]["words"]) == 1)
+    words = F.col("links")[0]["words"]
+    alone = (F.size("links") == 1) & (F.size(words) == 1) & (words[0] < block_words)
     met = met.filter((F.col("df") <= rare) | ~alone)
 
     def run(batches):

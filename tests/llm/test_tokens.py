@@ -34,6 +34,12 @@ def test_counts_equal_the_library(counter, library, texts):
     assert counter(texts).tolist() == [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("first,end", [(1, 0x3000), (0x3000, 0xD800), (0xE000, 0x10000), (0x10000, 0x20000), (0x1FFF0, 0x20010), (0x2F800, 0x30010), (0xE0000, 0xE0200)])
+def test_every_code_point_is_read_as_the_library_reads_it(counter, library, first, end):
+    texts = [f"a{chr(c)}b{chr(c)} \u0130{chr(c)}" for c in range(first, end)]
+    assert counter(texts).tolist() == [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_states_compose_across_chunks(counter, library):
     texts = ["it's " * 500 + "x" * 1000 + " we'll!!" * 300, "", "'" * 1000, "a1" * 700]
     assert counter(texts).tolist() == [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
