@@ -19,16 +19,18 @@ before. A null language is a group of its own. A null or empty text has no
 words, fails the base rules and has a null perplexity; rows with equal ids or
 texts are counted and judged one by one. Ties at a bound are kept.
 
-A model sent to the executors holds at most ``max_entries`` trigrams: several
-languages share a broadcast up to that bound and are scored in as many passes
-as there are broadcasts. A single language with more loses its rarest
-trigrams from the table (their mass goes to the back-off), never from the
-counts the discounts are taken from.
+A model sent to the executors holds about ``max_entries`` trigrams at most:
+several languages share a broadcast up to that bound and are scored in as many
+scans as there are broadcasts. The trigrams of a language with more are dealt
+out by their context over several scans of its texts, whose sums add up; no
+trigram is left out. An empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +86,7 @@ def few(per_lang: DataFrame, langs: int) -> DataFrame:
     return F.broadcast(per_lang) if langs <= MAX_LANGS else per_lang
 
 
-def discounted(counts: DataFrame, context, langs: int, cutoff: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def discounted(counts: DataFrame, context, langs: int) -> tuple[DataFrame, DataFrame]:
     """Modified Kneser-Ney at one order, from (lang, gram, n): the n-grams' discounted
     probabilities (lang, gram, value) and the contexts' back-off weights (lang, gram, value)."""
     of = [F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]
@@ -97,11 +99,8 @@ def discounted(counts: DataFrame, context, langs: int, cutoff: DataFrame | None
     rows = rows.join(few(rates, langs), "lang").join(total, ["lang", "context"])
     d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = rows.withColumn("value", F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total"))
-    if cutoff is not None:
-        rows = rows.join(few(cutoff, langs), "lang").withColumn("value", F.when(F.col("n") >= F.col("least"), F.col("value")))
-    weights = rows.groupBy("lang", "context").agg((1 - F.coalesce(F.sum("value"), F.lit(0.0))).alias("value"))
-    return (rows.filter(F.col("value").isNotNull()).select("lang", "gram", "value"),
-            weights.select("lang", F.col("context").alias("gram"), "value"))
+    weights = rows.groupBy("lang", "context").agg((1 - F.sum("value")).alias("value"))
+    return rows.select("lang", "gram", "value"), weights.select("lang", F.col("context").alias("gram"), "value")
 
 
 class Model:
@@ -133,41 +132,54 @@ class Model:
 PARTS = ("p3", "b3", "p2", "b2", "p1")
 
 
-def fit(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> tuple[DataFrame, list[list[str]]]:
-    """The models of all languages as one table (part, lang, gram, value), and the
-    languages in groups of at most ``max_entries`` trigrams."""
-    c3 = written(count_trigrams(docs), "trigrams")
-    by_size = c3.groupBy("lang", F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("k")).collect()
-    least, groups, filled = {}, [], max_entries
-    for lang in sorted({r["lang"] for r in by_size}):
-        kept, least[lang] = 0, 1 << 62
-        for r in sorted((r for r in by_size if r["lang"] == lang), key=lambda r: -r["b"]):
-            if kept + r["k"] > max_entries:
-                break
-            kept, least[lang] = kept + r["k"], 1 << r["b"]
-        if filled + kept > max_entries:
-            groups.append([])
+class Pass(NamedTuple):
+    """One scan of the texts of some languages with what fits a broadcast: their whole models,
+    or of one large language the trigrams whose context has remainder ``shard``."""
+    langs: list[str]
+    shard: int = 0
+    shards: int = 1
+
+
+def passes(sizes: list[tuple[str, int]], max_entries: int) -> list[Pass]:
+    """Scans for languages of the given numbers of trigrams."""
+    out, filled = [], max_entries
+    for lang, k in sorted(sizes):
+        if k > max_entries:
+            shards = -(-k // max_entries) | 1  # odd, so that both letters of a context tell
+            out += [Pass([lang], j, shards) for j in range(shards)]
+            filled = max_entries
+            continue
+        if filled + k > max_entries:
+            out.append(Pass([]))
             filled = 0
-        groups[-1].append(lang)
-        filled += kept
-    cutoff = docs.sparkSession.createDataFrame(list(least.items()), "lang string, least long")
+        out[-1].langs.append(lang)
+        filled += k
+    return out
+
+
+def fit(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> tuple[DataFrame, list[Pass]]:
+    """The models of all languages as one table (part, lang, gram, value), and the scans that
+    send them, each with about ``max_entries`` trigrams at most."""
+    c3 = written(count_trigrams(docs), "trigrams")
+    sizes = [(r["lang"], r["k"]) for r in c3.groupBy("lang").agg(F.count(F.lit(1)).alias("k")).collect()]
     c2 = written(c3.groupBy("lang", F.col("gram").bitwiseAND(F.lit(_MASK42)).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "bigrams")
     c1 = c2.groupBy("lang", F.col("gram").bitwiseAND(F.lit(_MASK21)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-    n = len(least)
-    tables = (*discounted(c3, F.shiftright("gram", 21), n, cutoff), *discounted(c2, F.shiftright("gram", 21), n),
-              discounted(c1, F.lit(0).cast("long"), n)[0])
+    n = len(sizes)
+    tables = (*discounted(c3, F.shiftright("gram", 21), n), *discounted(c2, F.shiftright("gram", 21), n), discounted(c1, F.lit(0).cast("long"), n)[0])
     named = [t.select(F.lit(part).alias("part"), "lang", "gram", "value") for part, t in zip(PARTS, tables, strict=True)]
-    return written(reduce(DataFrame.unionByName, named), "kneser-ney"), groups
+    return written(reduce(DataFrame.unionByName, named), "kneser-ney"), passes(sizes, max_entries)
 
 
-def load(tables: DataFrame, langs: list[str]) -> dict[str, Model]:
-    rows = tables.filter(F.col("lang").isin(langs)).toArrow()
+def load(tables: DataFrame, p: Pass) -> dict[str, Model]:
+    """The models of a scan."""
+    context = F.when(F.col("part") == "p3", F.shiftright("gram", 21)).when(F.col("part") == "b3", F.col("gram")).otherwise(F.lit(p.shard))
+    rows = tables.filter(F.col("lang").isin(p.langs) & (context % p.shards == p.shard)).toArrow()
 
     def of(lang: str, part: str):
         own = rows.filter(pc.and_(pc.equal(rows["lang"], lang), pc.equal(rows["part"], part)))
         return own["gram"].to_numpy(), own["value"].to_numpy()
 
-    return {x: Model({part: of(x, part) for part in PARTS}) for x in langs}
+    return {x: Model({part: of(x, part) for part in PARTS}) for x in p.langs}
 
 
 def base_counts(col: pa.Array) -> list[np.ndarray]:
@@ -216,34 +228,51 @@ def base_counts(col: pa.Array) -> list[np.ndarray]:
     return [x.astype(np.int64) for x in (words, chars, symbols, dup, repeat)]
 
 
-def score(rows: DataFrame, tables: DataFrame, groups: list[list[str]]) -> DataFrame:
+def score(rows: DataFrame, tables: DataFrame, scans: list[Pass]) -> DataFrame:
     """``rows`` (id, text, lang) as id, lang, ``BASE`` and log_ppl (mean negative log10 probability)."""
-    schema = rows.select("id", "lang").schema
-    for name in BASE.split(", "):
-        schema = schema.add(*name.split())
-    schema = schema.add("log_ppl", "double")
+    counted = [x.split()[0] for x in BASE.split(", ")]
+    whole = [p for p in scans if p.shards == 1] or [Pass([])]
+    others = sorted({x for p in scans if p not in whole[:1] for x in p.langs})
     parts = []
-    for k, group in enumerate(groups or [[]]):
-        sent = rows.sparkSession.sparkContext.broadcast(load(tables, group))
-
-        def run(batches, sent=sent):
-            model = sent.value
-            for b in batches:
-                for first, end in slices(b.column(1)):
-                    own = b.slice(first, end - first)
-                    known, code, row = trigrams(own.column(1).to_pylist())
-                    langs = own.column(2).dictionary_encode()
-                    lang_of = np.asarray(langs.indices)
-                    lp = np.array([model[x].log10(known) if x in model else np.zeros(len(known)) for x in langs.dictionary.to_pylist()])
-                    n = np.bincount(row, minlength=end - first)
-                    total = np.bincount(row, weights=lp[lang_of[row], code], minlength=end - first)
-                    ppl = pa.array(-total / np.maximum(n, 1), mask=n == 0)
-                    yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), *map(pa.array, base_counts(own.column(1))), ppl], names=schema.names)
-
-        # the first pass also takes the languages without a trigram
-        own = F.col("lang").isin(group) if k else ~F.col("lang").isin([x for g in groups[1:] for x in g])
-        parts.append(rows.filter(own).mapInArrow(run, schema))
-    return reduce(DataFrame.unionByName, parts)
+    for k, p in enumerate(whole):
+        # the first scan also takes the languages without a trigram
+        own = F.col("lang").isin(p.langs) if k else ~F.col("lang").isin(others)
+        parts.append(scan(rows.filter(own).withColumn("num", F.lit(None).cast("long")), tables, p).drop("num"))
+    for lang in sorted({p.langs[0] for p in scans if p.shards > 1}):
+        own = written(rows.filter(F.col("lang") == lang).withColumn("num", F.monotonically_increasing_id()), "large-language")
+        each = reduce(DataFrame.unionByName, [scan(own, tables, p) for p in scans if p.langs == [lang]])
+        sums = each.groupBy("num").agg(F.any_value("id").alias("id"), F.any_value("lang").alias("lang"), *[F.sum(c).alias(c) for c in [*counted, "total"]], F.max("n").alias("n"))
+        parts.append(sums.drop("num"))
+    found = reduce(DataFrame.unionByName, parts)
+    return found.select("id", "lang", *counted, F.when(F.col("n") > 0, -F.col("total") / F.col("n")).alias("log_ppl"))
+
+
+def scan(rows: DataFrame, tables: DataFrame, p: Pass) -> DataFrame:
+    """num, id, lang, ``BASE`` (0 but in the first shard), total log10 probability of the
+    positions whose context is in the shard, and n, the scored positions of the text."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    sent = rows.sparkSession.sparkContext.broadcast(load(tables, p))
+    names = ["num", "id", "lang", *[x.split()[0] for x in BASE.split(", ")], "total", "n"]
+
+    def run(batches):
+        model = sent.value
+        for b in batches:
+            for first, end in slices(b.column(1)):
+                own = b.slice(first, end - first)
+                known, code, row = trigrams(own.column(1).to_pylist())
+                langs = own.column(2).dictionary_encode()
+                lang_of = np.asarray(langs.indices)
+                here = (known >> 21) % p.shards == p.shard
+                lp = np.zeros((len(langs.dictionary), len(known)))
+                for k, x in enumerate(langs.dictionary.to_pylist()):
+                    if x in model:
+                        lp[k, here] = model[x].log10(known[here])
+                n = np.bincount(row, minlength=end - first)
+                total = np.bincount(row, weights=lp[lang_of[row], code], minlength=end - first)
+                base = base_counts(own.column(1)) if p.shard == 0 else [np.zeros(end - first, np.int64)] * 5
+                yield pa.RecordBatch.from_arrays([own.column(3), own.column(0), own.column(2), *map(pa.array, base), pa.array(total.astype(np.float64)), pa.array(n.astype(np.int64))], names=names)
+
+    return rows.mapInArrow(run, f"num long, id {kinds['id']}, lang {kinds['lang']}, {BASE}, total double, n long")
 
 
 def middle(hist: DataFrame, name: str) -> DataFrame:
@@ -268,10 +297,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per document: id, the base counts, base_failed, log_ppl, low, high, kept."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
-    tables, groups = fit(rows.select("text", "lang"), max_entries)
-    scored = score(rows, tables, groups)
+    tables, scans = fit(rows.select("text", "lang"), max_entries)
+    scored = score(rows, tables, scans)
     scored = written(scored.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "scored")
     limits = written(bands(scored, band), "bands")
-    out = scored.join(few(limits, sum(map(len, groups))), "lang", "left")
+    out = scored.join(few(limits, len({x for p in scans for x in p.langs})), "lang", "left")
     kept = ~F.col("base_failed") & F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(False))
     return out.select(F.col("id").alias(id_col), *[x.split()[0] for x in BASE.split(", ")], "base_failed", "log_ppl", "low", "high", kept.alias("kept"))

@@ -60,7 +60,7 @@ def kneser_ney(texts):
     return prob
 
 
-@pytest.mark.parametrize("max_entries", [P.MAX_ENTRIES, 3000])
+@pytest.mark.parametrize("max_entries", [P.MAX_ENTRIES, 3000, 300])
 def test_perplexity_equals_plain_kneser_ney(spark, max_entries):
     docs = [d for d in documents(5, 30) if d[0] is not None]
     rows = P.quality_rules(frame(spark, docs), max_entries=max_entries).collect()
@@ -81,17 +81,28 @@ def test_perplexity_equals_plain_kneser_ney(spark, max_entries):
         assert r["kept"] == (not failed and r["low"] <= r["log_ppl"] <= r["high"])
 
 
-def test_a_model_over_the_bound_is_pruned_but_sums_to_one(spark):
-    rows = frame(spark, documents(5, 10)).selectExpr("text", "coalesce(lang, '') as lang")
-    tables, groups = P.fit(rows, max_entries=300)
-    model = P.load(tables, groups[0])
-    lang = groups[0][0]
-    assert len(model[lang].tables["p3"][0]) <= 300
+def test_a_model_over_the_bound_is_dealt_out_whole(spark):
     import numpy as np
 
+    rows = frame(spark, documents(5, 10)).selectExpr("text", "coalesce(lang, '') as lang")
+    tables, scans = P.fit(rows, max_entries=300)
+    assert any(p.shards > 1 for p in scans)
     alphabet = np.arange(0x110000)
-    p = 10 ** model[lang].log10((ord("t") << 42) | (ord("h") << 21) | alphabet)
-    assert p.sum() == pytest.approx(1, abs=1e-6)
+    for lang in {x for p in scans for x in p.langs}:
+        own = [p for p in scans if lang in p.langs]
+        parts = [P.load(tables, p)[lang] for p in own]
+        n = [len(m.tables["p3"][0]) for m in parts]
+        assert sum(n) == tables.filter((tables.part == "p3") & (tables.lang == lang)).count() and max(n) <= 600
+        for a, b in ("th", "nd", "qq"):
+            context = ord(a) << 21 | ord(b)
+            m = next(m for p, m in zip(own, parts) if context % p.shards == p.shard)
+            assert (10 ** m.log10(context << 21 | alphabet)).sum() == pytest.approx(1, abs=1e-6)
+
+
+def test_scans_hold_every_language_once():
+    got = P.passes([("a", 10), ("b", 50), ("c", 250), ("d", 60), ("e", 100)], 100)
+    assert got == [P.Pass(["a", "b"]), P.Pass(["c"], 0, 3), P.Pass(["c"], 1, 3), P.Pass(["c"], 2, 3), P.Pass(["d"]), P.Pass(["e"])]
+    assert P.passes([], 100) == []
 
 
 def test_bands_reject_odd_texts_of_their_language(spark):
