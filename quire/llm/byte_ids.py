@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import SPACED, hash_spans, slices, text_bytes, word_spans, written
 
 END_ID = 2
-#: Bytes of remembered pieces a Python worker holds before it starts anew.
+#: Bytes of remembered pieces a Python worker holds before it starts anew; with a third of
+#: it, pieces are forgotten too soon and tokenized again and again.
 CACHE_BYTES = 64 << 20
 SEGMENT_BYTES = 4 << 20
 #: Text tokenized at once.
