@@ -159,6 +159,7 @@ def candidates(shared: DataFrame, least: float) -> DataFrame:
     shared = shared.join(weight, "num")
     hubs = shared.groupBy("t", "key").agg(F.max_by(F.struct("num", "n"), F.struct("weight", -F.col("num"))).alias("hub"),
                                           F.min(F.struct("num", "n")).alias("low"))
+    hubs = written(hubs, "hubs")  # so that the join deals a hot bucket's members out itself
     met = shared.select("t", "key", "num", "n").join(hubs, ["t", "key"])
     met = met.select("num", "n", F.explode(F.array("hub", "low")).alias("o")).filter(F.col("num") != F.col("o.num"))
     met = met.filter(F.least("n", "o.n") >= least * F.greatest("n", "o.n"))
