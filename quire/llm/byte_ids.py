@@ -23,7 +23,7 @@ the tokenizers library once for each distinct piece it meets, and remembers it.
 
 A null or empty text is the end id alone. Documents with equal ids are ordered
 by a hash of their text, null ids come first; repeated rows are written as
-often as they occur. Other columns are ignored.
+often as they occur. An empty table writes no segment. Other columns are ignored.
 """
 
 from __future__ import annotations

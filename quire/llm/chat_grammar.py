@@ -24,7 +24,8 @@ with a third of all rows spreads over many tasks.
 
 Rows of a conversation are ordered by turn (null first), then role and text,
 so repeated turns all stay. A null text or role counts as empty; a null
-conv_id is a conversation of its own. Other columns are ignored.
+conv_id is a conversation of its own. An empty table gives an empty result. Other
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -26,7 +26,7 @@ too) are not compared, do not end a block and always stay. A null text stays
 null with 0 lines. Documents are ordered by id, null first; rows with equal
 id and equal text are one document, so a repeated row does not delete its
 twin's lines; among rows with equal id but different texts a hash of the text
-decides. Other columns are kept as they are.
+decides. Other columns are kept as they are, an empty table stays empty.
 """
 
 from __future__ import annotations

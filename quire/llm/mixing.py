@@ -16,7 +16,8 @@ Weights are given to the sources in code-point order, null last, in turn.
 A null source is a source of its own. A null or empty text has size 0 and
 takes nothing from a target, but is copied like any other document of its
 source; a source of size 0 has rate 0, so its documents are not emitted. Rows
-with equal ids get equal draws; a null id draws as empty text.
+with equal ids get equal draws; a null id draws as empty text. An empty table
+gives an empty mix. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations

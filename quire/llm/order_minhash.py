@@ -37,7 +37,8 @@ Words are lower-cased runs of digits, a-z and non-ASCII characters; a text of
 one to four words is one shingle. A null, empty or wordless text is never a
 duplicate and is a class of its own. The class id is the least id of the
 class; of rows with equal id and text one stays. Null ids come last and give
-a null class id only where the whole class has none.
+a null class id only where the whole class has none. An empty table gives an
+empty result; other columns are kept by ``dedupe``, ignored by the report.
 """
 
 from __future__ import annotations

@@ -47,6 +47,25 @@ def test_stages_equal_brute_force(spark, tmp_path):
         at += r["n_tokens"]
 
 
+def test_null_and_repeated_ids_long_texts_and_clashing_columns(spark, tmp_path):
+    rows = [r for r in documents(12, 30) if r[0] != 12]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = frame.selectExpr("*", "1 as score", "'x' as id", "5 as n", "4 as _target", "3 as c0")
+    extra.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, rows[5][1].replace("\n", " ")), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).orderBy("start").collect()
+    left = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    ids = {}
+    for r in got:
+        ids[r["doc_id"]] = ids.get(r["doc_id"], 0) + 1
+    assert set(ids) <= {r[0] for r in left} and None in ids  # the row of no id is kept
+    assert ids.get(3, 0) <= 3 and rows[5][0] not in ids  # a repeated row counts once, at three copies at most
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+
+
 def test_stages_keep_the_columns_and_registered():
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5 and "pipeline" in se.queries()
 
