@@ -44,8 +44,8 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import SPACED_LOWER, fold, hash_spans, slices, text_bytes, word_spans, written
 
-TAILS, CONTEXT, DIM = 64, 4, 16
-#: Words with vectors of their own at most (some 27 MB of vectors), and counts broadcast.
+TAILS, CONTEXT, DIM = 64, 3, 12
+#: Words with vectors of their own at most (some 20 MB of vectors), and counts broadcast.
 MAX_NAMED, COMMON = 200_000, 200_000
 BATCH, RATE = 1024, 0.2
 #: Noise groups of a minibatch, noise symbols of each target.
