@@ -114,3 +114,14 @@ def test_report_and_confusion_on_empty_input(spark):
     rep = {r.name: r for r in E.class_report(empty, LABELS).collect()}
     assert rep["accuracy"].precision is None and rep["a"].support == 0 and rep["weighted avg"].recall == 0.0
     assert sum(r.n for r in E.confusion_long(empty, LABELS).collect()) == 0
+
+
+def test_words_of_no_class_leave_before_the_count(spark):
+    from quire.operators import classify as C
+
+    df = spark.createDataFrame([(1, "Dear all, the invoice: dear sir"), (2, "nothing"), (3, ""), (4, None), (5, "slide invoice")], "doc_id long, text string")
+    out = C.keyword_classify(df, rules=C.DOCUMENT_RULES)
+    assert {r.doc_id: (r.prediction, r.error) for r in out.collect()} == {
+        1: ("letter", None), 2: ("unknown", None), 3: ("unknown", None), 4: (None, "empty input"), 5: ("invoice", None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" in plan and "INSET" in plan
