@@ -125,3 +125,12 @@ def test_words_of_no_class_leave_before_the_count(spark):
         1: ("letter", None), 2: ("unknown", None), 3: ("unknown", None), 4: (None, "empty input"), 5: ("invoice", None)}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "filter(" in plan and "INSET" in plan
+
+
+def test_eval_normalised_takes_all_sixteen_classes(spark, tmp_dir):
+    from quire.plans import evaluation as EV
+
+    docs = spark.createDataFrame([(i, "x", None if i % 2 else "en") for i in range(17)] + [(17, None, "en"), (None, "x", "en")], "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    r = EV.eval_normalised(spark, tmp_dir).first()
+    assert (r["accuracy"], r["n_valid"], r["n_hallucinated"]) == (1.0, 16, 1)
