@@ -155,3 +155,15 @@ def test_odd_file_names(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "a+b c.jsonl"), "w") as f:
         f.write('{"file": "x/y.png"}\n')
     assert [(r["class"], r.file) for r in FS.read_file_lists(spark, tmp_dir).collect()] == [("a+b c", "x/y.png")]
+
+
+def test_line_items_are_dealt_out_by_rows(spark, tmp_dir, monkeypatch):
+    from quire.plans import layout_text as LT
+
+    li = spark.range(100).selectExpr("id % 30 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "cast(id % 7 AS int) AS l_linenumber",
+                                     "cast(1 AS double) AS l_quantity", "'N' AS l_returnflag", "'O' AS l_linestatus", "cast(2 AS double) AS l_extendedprice")
+    li.write.parquet(f"{tmp_dir}/lineitem.parquet")
+    monkeypatch.setattr(LT, "CELL_ROWS", 10)
+    assert LT._cells(spark, tmp_dir).rdd.getNumPartitions() == 10
+    got = LT.table_grid_rows(spark, tmp_dir).collect()
+    assert len(got) == 100 and {r.n_cells for r in got} == {6}
