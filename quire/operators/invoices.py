@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import cut_lineage
+
 # Header fields of the prebuilt invoice analyzer, in order.
 INVOICE_FIELDS = [
     "VendorName", "VendorAddress", "VendorAddressRecipient", "CustomerName", "CustomerId",
@@ -96,16 +98,21 @@ def items_total(items: Column) -> Column:
                        lambda acc, i: (acc + (i["price"].cast(PRICE) * i["quantity"]).cast(TOTAL)).cast(TOTAL))
 
 
-def total_check(inv: DataFrame, strict: bool = True):
+def total_check(inv: DataFrame, strict: bool = True, keep: Sequence[str] | None = None):
     """Calculated Σ price*quantity vs ``total``: equal exactly, or the sum rounded
     once to cents equals it (a total stated in cents).
 
     strict -> (accepted, rejects); lenient -> (all rows with ``warning``, empty rejects).
+    Both tables of a strict check read ``inv``: with ``keep``, the checked rows are written once
+    with these columns of it, so ``inv`` is computed once.
     """
     calc, total = items_total(F.col("items")), F.col("total").cast(TOTAL)
     ok = F.coalesce((calc == total) | (F.round(calc, 2) == total), F.lit(False))
     d = inv.withColumn("calculated_total", calc.cast("double")).withColumn("total_matches", ok)
+    if keep is not None:
+        d = cut_lineage(d.select(*keep, "calculated_total", "total_matches"), "checked-totals")
     if strict:
+        ok = F.col("total_matches")
         rej = d.filter(~ok).withColumn("reason", F.lit("total mismatch"))
         return d.filter(ok), rej
     warn = F.when(~ok, F.lit("total mismatch"))
