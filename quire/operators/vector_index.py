@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quire.operators.retrieval import QUERY_BLOCK_BYTES, SCORE_BLOCK_BYTES, SCORE_DIGITS, RunningTop, _id_array, _unit, top_k
+from quire.operators.retrieval import QUERY_BLOCK_BYTES, SCORE_BLOCK_BYTES, SCORE_DIGITS, SLACK, RunningTop, _id_array, _unit, top_k
 from quire.session import cut_lineage, fresh_folder
 
 #: Vectors the centroids are fitted on, at most (a sample of the collection; all are indexed).
@@ -49,8 +49,6 @@ MAX_CELLS = 4096
 FIRST_CELLS = 4
 #: Cell of the zero vectors, which have no direction.
 ZERO_CELL = -1
-#: Slack of a bound against rounding (scores have ``SCORE_DIGITS`` places).
-SLACK = 2 * 10.0 ** -SCORE_DIGITS
 
 
 class VectorIndex(NamedTuple):

@@ -262,15 +262,23 @@ SELECT id, CAST(len(embedding) AS INTEGER) AS dim, len(list_filter(embedding, la
 """)
 def embed_invoices(spark, sf_dir):
     """E14 on every index record: 1536 floats each."""
-    v = _invoice_vectors(spark, sf_dir).withColumn("v", F.col("content_vector").cast("array<float>"))
-    return v.select("id", F.size("v").alias("dim"), F.size(F.filter("v", lambda x: x > 0)).cast("long").alias("n_used"),
-                    F.round(F.aggregate("content_vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm2"))
+    from quire.operators.retrieval import vector_stats
+
+    v = _invoice_vectors(spark, sf_dir).select("id", vector_stats("content_vector").alias("s"))
+    return v.select("id", "s.dim", "s.n_used", F.round("s.norm2", 6).alias("norm2"))
+
+
+#: Records that a task embeds, about: a record takes few bytes before it is a vector, and a
+#: vector few in a file, so tasks and files are made by rows.
+EMBED_ROWS = 100_000
 
 
 def _invoice_vectors(spark, sf_dir):
     from quire.operators.retrieval import hashed_embedding
 
-    rec = I.index_record(invoices(spark, sf_dir)).filter(F.col("id").isNotNull())
+    rec = I.index_record(invoices(spark, sf_dir)).filter(F.col("id").isNotNull()).select("id", "content")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-Tables(spark, sf_dir).orders.count() // EMBED_ROWS))
+    rec = rec.repartition(tasks)
     return rec.select("id", hashed_embedding("content", INVOICE_DIM).alias("content_vector"))
 
 
