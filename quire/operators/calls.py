@@ -22,6 +22,7 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -89,7 +90,11 @@ def settle(frame: pd.DataFrame, call: Callable, max_attempts: int, pacer: Pacer
         out = call(part)
         if pacer and "remaining_requests" in out:
             pacer.after(list(out["remaining_requests"])[-1] if len(part) else None)
-        out = pd.DataFrame(out).to_dict("records")
+        if isinstance(out, dict) and len(out) == 1 and all(isinstance(x, np.ndarray) for x in next(iter(out.values()))):
+            (name, vectors), = out.items()
+            out = [{name: x} for x in vectors]  # vectors need no frame
+        else:
+            out = pd.DataFrame(out).to_dict("records")
         if len(out) != len(part):
             raise ValueError(f"{len(out)} results for {len(part)} rows")
         return out, time.perf_counter() - t0
@@ -204,8 +209,13 @@ def embed_outcomes(df: DataFrame, text: str, embed_fn: Callable[[list[str]], Seq
     a missing one as ''. A row whose call fails, or whose vector has not ``dim`` numbers,
     has an error and no vector; it costs no other row its vector."""
 
+    def numbers(v):
+        if isinstance(v, np.ndarray) and v.ndim == 1 and v.dtype.kind in "iuf":
+            return v.astype(np.float32)
+        return np.array([float(x) for x in v], np.float32)
+
     def call(frame):
-        vectors = [[float(x) for x in v] for v in embed_fn(frame[text].fillna("").tolist())]
+        vectors = [numbers(v) for v in embed_fn(frame[text].fillna("").tolist())]
         wrong = {len(v) for v in vectors} - {dim}
         if wrong:
             raise ValueError(f"expected {dim} numbers, got {min(wrong)}")

@@ -251,3 +251,15 @@ def test_rerank_with_a_model(spark):
     out = R.rerank_with(cand, docs, "d", "t", queries, "q", "x", model, top=4).collect()
     got = sorted((r["qid"], r["rank"], r["doc_id"], r["rerank_score"], r["error"]) for r in out)
     assert got == [(1, 1, 10, 2.0, None), (1, 2, 13, 2.0, None), (1, 3, 11, 0.0, None), (1, 4, 12, None, "ValueError: refused"), (2, 1, 10, 0.0, None)]
+
+
+def test_vectors_reach_the_outcome_without_a_frame(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from quire.operators import calls as CL
+
+    part = pd.DataFrame({"t": ["a", "b"]})
+    monkeypatch.setattr(CL.pd, "DataFrame", None)  # a frame of vectors is not made
+    found = CL.settle(part, lambda f: {"embedding": [np.ones(3, np.float32), np.zeros(3, np.float32)]}, 1)
+    assert [r[0]["embedding"].tolist() for r in found] == [[1, 1, 1], [0, 0, 0]] and [r[1] for r in found] == [None, None]
