@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.operators.layout import LAYOUT_SCHEMA
-from quire.session import checkpoint_dir
+from quire.session import checkpoint_dir, small_files
 from quire.sources import layouts as LY
 from quire.sources import upsert as U
 
@@ -87,8 +87,9 @@ def ingest_layouts(spark: SparkSession, root: str, sink: str, checkpoint: str, s
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    q = (r.json(root).withColumn("file", F.col("_metadata.file_path")).writeStream.foreachBatch(run)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with small_files(spark):  # a stream takes the settings of its start along
+        q = (r.json(root).withColumn("file", F.col("_metadata.file_path")).writeStream.foreachBatch(run)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return sum(p.get("numInputRows", 0) for p in q.recentProgress)
 

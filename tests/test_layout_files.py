@@ -87,3 +87,13 @@ def test_a_class_name_with_a_slash_is_refused(spark, tmp_dir):
     df = spark.createDataFrame([("a/b", f"{i}") for i in range(5)], "class string, path string")
     with pytest.raises(ValueError, match="slash"):
         FS.write_class_lists(df, "class", "path", f"{tmp_dir}/lists")
+
+
+def test_small_files_are_read_many_to_a_task(spark, tmp_dir, monkeypatch):
+    name, seen, plain = "spark.sql.files.openCostInBytes", [], LY.cut_lineage
+    before = spark.conf.get(name)
+    monkeypatch.setattr(LY, "cut_lineage", lambda *a: seen.append(spark.conf.get(name)) or plain(*a))
+    LY.write_layouts(bodies(spark, [("m/a", GOOD % ("a", "a")), ("m/b", "{broken")]), tmp_dir)
+    scan = LY.scan_layouts(spark, tmp_dir)
+    assert seen == ["65536"] * 2 and spark.conf.get(name) == before
+    assert scan.layouts.count() == 1 and scan.rejects.count() == 1
