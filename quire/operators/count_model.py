@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import tokens
 from quire.operators.retrieval import TERM_BROADCAST_BYTES
 from quire.session import cut_lineage
-from quire.sources.files import qualifying_classes
+from quire.sources.files import of_qualifying_classes
 
 
 class CountModel(NamedTuple):
@@ -41,7 +41,7 @@ def fit(train: DataFrame, text: str = "text", label: str = "label", min_docs: in
     """Count the words of every class with at least ``min_docs`` training documents. Rows
     without label or text train nothing."""
     rows = train.select(F.col(label).alias("label"), F.col(text).alias("text")).dropna()
-    rows = rows.join(qualifying_classes(rows, "label", min_docs).select("label"), "label", "left_semi")
+    rows = of_qualifying_classes(rows, "label", min_docs)
     counts = cut_lineage(word_counts(rows, ["label"], "text"), "class-words")
     classes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("docs")).join(counts.groupBy("label").agg(F.sum("n").alias("tokens")), "label", "left")
     classes = cut_lineage(classes.fillna(0, ["tokens"]), "classes")

@@ -8,32 +8,30 @@ collected but model coefficients. Only classes with at least
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.sources.files import qualifying_classes
+from quire.session import cut_lineage
+from quire.sources.files import of_qualifying_classes
 
 
 def train_classifier(train: DataFrame, text: str = "text", label: str = "label",
                      min_docs: int = 5, num_features: int = 1 << 18, max_iter: int = 50) -> PipelineModel:
     """Tokens -> hashed TF -> IDF -> multinomial logistic regression."""
-    ok = qualifying_classes(train, label, min_docs).select(label)
-    data = train.join(ok, label, "left_semi").select(text, label)
-    pipe = Pipeline(stages=[
-        StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc"),
-        RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
-        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="_x"),
-        LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=max_iter, family="multinomial"),
-    ])
-    model = pipe.fit(data)
-    labels = model.stages[0].labels
-    return PipelineModel(stages=model.stages + [
-        IndexToString(inputCol="prediction", outputCol="doc_type", labels=labels)])
+    data = of_qualifying_classes(train, label, min_docs).select(text, label)
+    index = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc").fit(data)
+    words = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"[^\p{L}\p{N}]+", toLowercase=True)
+    hashed = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)
+    # IDF and the regression read the counts several times: texts are tokenized once
+    counts = cut_lineage(hashed.transform(words.transform(index.transform(data))).select("_y", "_tf"), "hashed-counts")
+    idf = IDF(inputCol="_tf", outputCol="_x").fit(counts)
+    fitted = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=max_iter, family="multinomial").fit(idf.transform(counts))
+    return PipelineModel(stages=[index, words, hashed, idf, fitted,
+        IndexToString(inputCol="prediction", outputCol="doc_type", labels=index.labels)])
 
 
 def score(model: PipelineModel, docs: DataFrame, id_col: str, text: str = "text") -> DataFrame:

@@ -104,11 +104,16 @@ def qualifying_classes(pairs: DataFrame, class_col: str, min_docs: int = 5) -> D
             .filter(F.col("n_files") >= min_docs))
 
 
+def of_qualifying_classes(pairs: DataFrame, class_col: str, min_docs: int = 5) -> DataFrame:
+    """The rows of the classes of S5. The classes, a row each, are sent to the rows: dealt out
+    by class, all rows of one would meet in one task."""
+    return pairs.join(F.broadcast(qualifying_classes(pairs, class_col, min_docs).select(class_col)), class_col, "left_semi")
+
+
 def write_file_lists(pairs: DataFrame, class_col: str, file_col: str, path: str,
                      min_docs: int = 5) -> None:
     """One JSON-lines list per qualifying class: ``<path>/<class_col>=<class>/part-*.json``."""
-    ok = qualifying_classes(pairs, class_col, min_docs).select(class_col)
-    (pairs.join(ok, class_col, "left_semi").select(class_col, F.col(file_col).alias("file"))
+    (of_qualifying_classes(pairs, class_col, min_docs).select(class_col, F.col(file_col).alias("file"))
      .write.mode("overwrite").partitionBy(class_col).json(path))
 
 
@@ -131,8 +136,7 @@ def write_class_lists(pairs: DataFrame, class_col: str, file_col: str, path: str
             stream.close()
             yield pa.RecordBatch.from_pydict({"folder": [folder]})
 
-    ok = qualifying_classes(pairs, class_col, min_docs).select(class_col)
-    rows = pairs.join(ok, class_col, "left_semi").select(F.col(class_col).alias("class"), F.col(file_col).alias("file"))
+    rows = of_qualifying_classes(pairs, class_col, min_docs).select(F.col(class_col).alias("class"), F.col(file_col).alias("file"))
     if not rows.filter(F.col("class").contains("/")).isEmpty():
         raise ValueError("a class name with a slash cannot be the name of a list")
     done = cut_lineage(rows.sortWithinPartitions("class").mapInArrow(run, "folder string"), "list-folders")

@@ -93,3 +93,20 @@ def test_ties_go_to_the_first_label(spark):
     model = CM.fit(spark.createDataFrame([("b", "x"), ("a", "x")], "y string, t string"), "t", "y", min_docs=1)
     r = CM.score(model, spark.createDataFrame([(1, "x")], "id int, t string"), "id", "t").first()
     assert r["doc_type"] == "a" and r["confidence"] == 0.5
+
+
+def test_a_class_is_trained_by_as_many_tasks_as_its_rows_have(spark, monkeypatch):
+    from quire.operators import count_model as CM
+    from quire.sources import files as FS
+
+    df = spark.createDataFrame([(y, f"x w{i}") for i in range(20) for y in "ab"], "y string, t string").repartition(4)
+    seen, counts = [], CM.word_counts
+    monkeypatch.setattr(CM, "word_counts", lambda docs, *a: (seen.append(docs.rdd.getNumPartitions()), counts(docs, *a))[1])
+    assert CM.fit(df, "t", "y").classes.first()["tokens"] == 40
+
+    written = MD.cut_lineage
+    monkeypatch.setattr(MD, "cut_lineage", lambda data, name: (seen.append(data.rdd.getNumPartitions()), written(data, name))[1])
+    MD.train_classifier(df, "t", "y", max_iter=1, num_features=64)
+    assert seen == [4, 4]
+    none = df.limit(4).unionByName(spark.createDataFrame([(None, "x")] * 9, "y string, t string"))
+    assert FS.of_qualifying_classes(none, "y", 5).count() == 0
