@@ -46,7 +46,9 @@ END_ID = 2
 CACHE_BYTES = 64 << 20
 SEGMENT_BYTES = 4 << 20
 #: Text tokenized at once.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
+#: New pieces that the tokenizer is asked for at once: it keeps texts, offsets and masks of each.
+NEW_PIECES = 2048
 #: Lengths of the four ids of a control byte.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 
@@ -76,12 +78,14 @@ class Pieces:
         self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def learn(self, h: np.ndarray, pieces: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        found = []
+        for lo in range(0, len(pieces), NEW_PIECES):
+            found += [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(pieces[lo:lo + NEW_PIECES], add_special_tokens=False)]
         at = np.searchsorted(self.keys, h)
         self.keys = np.insert(self.keys, at, h)
         self.slots = np.insert(self.slots, at, len(self.first) - 1 + np.arange(len(h)))
         self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(x) for x in found])]
-        self.ids = np.r_[self.ids, np.fromiter((i for x in found for i in x), np.uint32)]
+        self.ids = np.concatenate([self.ids, *found])
 
     def __call__(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, ids of each row) of a text column."""

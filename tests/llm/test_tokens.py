@@ -89,3 +89,24 @@ def test_frequent_ids_come_first(spark):
 
 def test_empty_table(spark):
     assert byte_ids.encode_documents(frame(spark, []), tokenizer_path()).count() == 0
+
+
+def test_new_pieces_are_tokenized_a_bounded_number_at_once(monkeypatch):
+    import pyarrow as pa
+
+    pieces = byte_ids.Pieces(tokenizer_path())
+    texts = pa.array([" ".join(f"piece{i}x{j}" for j in range(50)) for i in range(30)] + [None, ""])
+    want = pieces(texts)
+    pieces.clear()
+    tokenizer, asked = pieces.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, batch, **more):
+            asked.append(len(batch))
+            return tokenizer.encode_batch_fast(batch, **more)
+
+    pieces.tokenizer = Counted()
+    monkeypatch.setattr(byte_ids, "NEW_PIECES", 64, raising=False)
+    got = pieces(texts)
+    assert max(asked) <= 64 and sum(asked) == 1500
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(got, want, strict=True))
