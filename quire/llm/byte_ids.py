@@ -38,14 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import SPACED, hash_spans, slices, text_bytes, word_spans, written
+from quire.llm.common import SPACED, give_back, hash_spans, slices, text_bytes, word_spans, written
+from quire.session import small_batches
 
 END_ID = 2
 #: Bytes of remembered pieces a Python worker holds before it starts anew; with a third of
 #: it, pieces are forgotten too soon and tokenized again and again.
-CACHE_BYTES = 64 << 20
-SEGMENT_BYTES = 4 << 20
-#: Text tokenized at once.
+CACHE_BYTES = 48 << 20
+#: Ids in a segment, as they are between tokenizing and coding: some megabytes of text.
+SEGMENT_BYTES = 1 << 20
+#: Text tokenized, or ids counted, at once.
 TEXT_BYTES = 1 << 20
 #: New pieces that the tokenizer is asked for at once: it keeps texts, offsets and masks of each.
 NEW_PIECES = 2048
@@ -66,6 +68,12 @@ class Pieces:
             cls._known[path] = cls(path)
         return cls._known[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Nothing is tokenized any more: a worker of the later stages lets its pieces go."""
+        cls._known.clear()
+        give_back()
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -74,8 +82,8 @@ class Pieces:
         self.clear()
 
     def clear(self):
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.first, self.ids = np.zeros(1, np.int32), np.zeros(0, np.uint32)
 
     def learn(self, h: np.ndarray, pieces: list[str]) -> None:
         found = []
@@ -83,8 +91,8 @@ class Pieces:
             found += [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(pieces[lo:lo + NEW_PIECES], add_special_tokens=False)]
         at = np.searchsorted(self.keys, h)
         self.keys = np.insert(self.keys, at, h)
-        self.slots = np.insert(self.slots, at, len(self.first) - 1 + np.arange(len(h)))
-        self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(x) for x in found])]
+        self.slots = np.insert(self.slots, at, len(self.first) - 1 + np.arange(len(h), dtype=np.int32))
+        self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(x) for x in found], dtype=np.int32)]
         self.ids = np.concatenate([self.ids, *found])
 
     def __call__(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -146,6 +154,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(ids.astype(kind))])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), b.column(1).slice(first, end - first), raw.cast(pa.binary())],
                                                  names=["id", "tie", "ids"])
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string").alias("text"))
     id_kind = rows.schema["id"].dataType.simpleString()
@@ -173,9 +182,11 @@ def rank_table(tokenized: DataFrame, size: int) -> DataFrame:
     """(rank, id) of the ``size`` ids of the vocabulary, the most frequent first; ties by id."""
 
     def count(batches):
+        Pieces.forget()
         total = np.zeros(size, np.int64)
         for b in batches:
-            total += np.bincount(raw_ids(b.column(0), width(size))[0], minlength=size)
+            for first, end in slices(b.column(0), TEXT_BYTES):
+                total += np.bincount(raw_ids(b.column(0).slice(first, end - first), width(size))[0], minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": seen.astype(np.int64), "n": total[seen]})
 
@@ -188,14 +199,16 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
     """Write all documents; returns the segment table (part, seq, before, doc_ids, n_ids,
     control, data) and the rank table, both as read from the shared folder."""
     size = vocabulary_size(path, end_id)
-    tokenized = written(tokenize(docs, path, end_id, id_col, text_col), "tokenized", compression="zstd")
-    ranks = written(rank_table(tokenized, size), "id-ranks")
+    with small_batches(docs.sparkSession):
+        tokenized = written(tokenize(docs, path, end_id, id_col, text_col), "tokenized", compression="zstd")
+        ranks = written(rank_table(tokenized, size), "id-ranks")
     id_of = ranks.orderBy("rank").toArrow()["id"].to_numpy()
     rank_of = np.empty(len(id_of), np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
     sent = docs.sparkSession.sparkContext.broadcast(rank_of)
 
     def write(batches):
+        Pieces.forget()
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             for first, end in slices(b.column(1), SEGMENT_BYTES):
@@ -206,12 +219,14 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
                     pa.array([b.column(0).slice(first, end - first).to_pylist()], pa.list_(b.column(0).type)), pa.array([n], pa.list_(pa.int64())),
                     pa.array([control], pa.binary()), pa.array([data], pa.binary())], names=["part", "seq", "before", "doc_ids", "n_ids", "control", "data"])
                 seq, before = seq + 1, before + len(ids)
+        give_back()
 
     order = [F.col("id").asc_nulls_first(), F.col("tie")]
     kind = tokenized.schema["id"].dataType.simpleString()
     segments = tokenized.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids").mapInArrow(
         write, f"part int, seq long, before long, doc_ids array<{kind}>, n_ids array<long>, control binary, data binary")
-    return written(segments, "ids", compression="zstd"), ranks
+    with small_batches(docs.sparkSession):
+        return written(segments, "ids", compression="zstd"), ranks
 
 
 def read_ids(segments: DataFrame, ranks: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -230,9 +245,11 @@ def read_ids(segments: DataFrame, ranks: DataFrame, id_col: str = "doc_id") -> D
                 yield pa.RecordBatch.from_arrays([
                     doc_ids.values, pa.array(np.full(len(n), part.as_py(), np.int32)), pa.array(before.as_py() + end - n), pa.array(n),
                     pa.array(crc, pa.int64())], names=["id", "part", "at", "n_tokens", "ids_crc32"])
+        give_back()
 
     kind = segments.schema["doc_ids"].dataType.elementType.simpleString()
-    rows = segments.mapInArrow(read, f"id {kind}, part int, at long, n_tokens long, ids_crc32 long")
+    with small_batches(segments.sparkSession):
+        rows = written(segments.mapInArrow(read, f"id {kind}, part int, at long, n_tokens long, ids_crc32 long"), "id-rows")
     per = segments.select("part", F.aggregate("n_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
     first = per.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("first"))
     # one row per task that wrote: as many as the job had partitions

@@ -7,6 +7,7 @@ into slices of bounded bytes first, so memory does not follow the batch.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from functools import reduce
 
@@ -39,6 +40,16 @@ def place(df: DataFrame, col: str) -> str:
     return f"c{df.columns.index(col)}"
 
 
+def give_back() -> None:
+    """Free memory of this Python worker goes back to the machine, for the worker lives on in
+    the next stages. Beyond Arrow's own that takes glibc; elsewhere that part is left out."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 #: Keys that a counted join sends out, the most frequent first.
 HOT_KEYS = 2000
 

@@ -110,3 +110,25 @@ def test_new_pieces_are_tokenized_a_bounded_number_at_once(monkeypatch):
     got = pieces(texts)
     assert max(asked) <= 64 and sum(asked) == 1500
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(got, want, strict=True))
+
+
+def test_rows_reach_the_tokenizer_in_batches_of_few_bytes(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(name), []
+
+    def noted(df, table, **more):
+        seen.append((table, spark.conf.get(name)))
+        return written(df, table, **more)
+
+    written = byte_ids.written
+    monkeypatch.setattr(byte_ids, "written", noted)
+    assert byte_ids.encode_documents(frame(spark, documents(3, 10)), tokenizer_path()).count() > 0
+    assert [t for t, _ in seen] == ["tokenized", "id-ranks", "ids", "id-rows"]
+    assert all(int(x) <= 4 << 20 for _, x in seen) and spark.conf.get(name) == before
+
+
+def test_later_stages_keep_no_pieces():
+    pieces = byte_ids.Pieces.of(tokenizer_path())
+    assert byte_ids.Pieces.of(tokenizer_path()) is pieces
+    byte_ids.Pieces.forget()
+    assert byte_ids.Pieces.of(tokenizer_path()) is not pieces
