@@ -60,8 +60,13 @@ SIMILARITY = 0.8
 COMMON = 32
 SALTS = 16
 BITS = 1024
-#: Tables of ids up to this many rows (some 40 bytes each) are broadcast; larger ones are shuffled.
-BROADCAST_ROWS = 500_000
+#: Tables of ids up to this many rows (some 150 bytes each in the driver) are broadcast.
+BROADCAST_ROWS = 20_000
+#: Of larger ones up to this many rows, hashes are broadcast (some 6 bytes a row) and only rows that
+#: may meet one are shuffled; beyond that all rows are.
+HASHED_ROWS = 2_000_000
+#: Hashes of a row of the broadcast table, about.
+HASHES = 64
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) | 1 for k in range(WORDS)], np.uint64)
 _SALTS = mix64(np.arange(1, TABLES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -216,14 +221,15 @@ def rare_pairs(texts: DataFrame, least: float, common: int = COMMON) -> DataFram
     rows = written(rows.filter(F.col("rank") <= first).select("num", "root", "n", "s", "df", "hot"), "prefixes")
 
     def met(own: DataFrame, by: list[str], other: DataFrame) -> DataFrame:
-        a, b = own.alias("a"), other.alias("b")
+        # never broadcast: a node's rows are alike and small in a file, many times larger in memory
+        a, b = own.hint("merge").alias("a"), other.hint("merge").alias("b")
         on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in by]
         fits = F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n")
         return a.join(b, [*on, F.col("a.num") < F.col("b.num"), F.col("a.root") != F.col("b.root"), fits])
 
     rarer, hot = rows.filter(F.col("df") <= common), rows.filter(F.col("df") > common)
     bits = written(parities(texts.join(hot.select("num").distinct(), "num", "left_semi")), "parities")
-    hot = written(hot.join(bits, "num"), "hot-prefixes")
+    hot = written(hot.join(bits.hint("merge"), "num"), "hot-prefixes")
     pairs = met(rarer, ["s"], rarer).select("a.num", F.col("b.num").alias("b"))
     # a common shingle's nodes are dealt out in blocks; every pair of blocks meets once
     blocks = hot.withColumn("salt", F.pmod(F.xxhash64("num"), F.lit(SALTS)))
@@ -235,9 +241,24 @@ def rare_pairs(texts: DataFrame, least: float, common: int = COMMON) -> DataFram
     return pairs.unionByName(dense).distinct().withColumnRenamed("num", "a")
 
 
-def within(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` to be broadcast if it has at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def few(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
+def with_hit(rows: DataFrame, keys: list[str], ids: DataFrame) -> DataFrame:
+    """``rows`` with ``_hit``: false where their ``keys`` are surely no row of ``ids`` (a written
+    table of as many columns), by 32-bit hashes that are sent out."""
+    n = ids.count()
+    if n > HASHED_ROWS:
+        return rows.withColumn("_hit", F.lit(True))
+    groups = F.lit(max(1, n // HASHES))
+
+    def hashed(cols: list[str]) -> list:
+        return [F.pmod(F.xxhash64(*cols), groups).alias("_g"), F.shiftright(F.xxhash64(*cols), 32).cast("int").alias("_h")]
+
+    sent = ids.select(*hashed(ids.columns)).groupBy("_g").agg(F.collect_set("_h").alias("_hs"))
+    met = rows.select("*", *hashed(keys)).join(F.broadcast(sent), "_g", "left")
+    return met.select(*rows.columns, F.coalesce(F.array_contains("_hs", F.col("_h")), F.lit(False)).alias("_hit"))
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -291,8 +312,14 @@ def classes(docs: DataFrame, id_col: str, text_col: str, least: float = SIMILARI
 
     def texts_of(nums: DataFrame) -> DataFrame:
         met = written(nums.join(nodes.select("num", "node", "rep"), "num"), "met")
-        texts = rows.join(within(met, BROADCAST_ROWS), (rows["node"] == met["node"]) & rows["id"].eqNullSafe(met["rep"]))
-        return written(texts.select(*nums.columns, "text").dropDuplicates(["num"]), "texts")
+        if few(met, BROADCAST_ROWS) or not few(met, HASHED_ROWS):
+            sent = F.broadcast(met) if few(met, BROADCAST_ROWS) else met.hint("merge")
+            texts = rows.join(sent, (rows["node"] == met["node"]) & rows["id"].eqNullSafe(met["rep"]))
+            return written(texts.select(*nums.columns, "text").dropDuplicates(["num"]), "texts")
+        # rows of one node have one text; a number and its node are in one task
+        own = with_hit(rows, ["node", "id"], met.select("node", "rep")).filter("_hit").select("node", "text")
+        texts = own.join(met.hint("merge"), "node").dropDuplicates(["node"])
+        return written(texts.select(*nums.columns, "text"), "texts")
 
     edges = written(verify(pairs, texts_of(pairs.select(F.explode(F.array("a", "b")).alias("num")).distinct()), least), "verified")
     roots = components(edges)
@@ -325,14 +352,19 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     gone = found.filter(F.col("has_words") & ~kept).select(F.col("id").alias("_id"), F.col("node").alias("_node")).distinct()
     again = (found.filter(F.col("has_words") & kept).groupBy("id", "node").count().filter("count > 1")
              .select(F.col("id").alias("_id"), F.col("node").alias("_node")))
+    gone, again = written(gone, "gone"), written(again, "again")
     plain = positional(docs)
     own, text = F.col(place(docs, id_col)), F.unhex(F.md5(F.col(place(docs, text_col)).cast("binary")))
-
-    def same(marks: DataFrame):
-        return (text == F.col("_node")) & own.eqNullSafe(F.col("_id"))
-
-    gone, again = within(written(gone, "gone"), BROADCAST_ROWS), within(written(again, "again"), BROADCAST_ROWS)
-    left = plain.join(gone, same(gone), "left_anti")
-    once = left.join(again, same(again), "left_anti")
-    repeated = left.join(again, same(again), "left_semi").dropDuplicates([place(docs, id_col), place(docs, text_col)])
-    return once.unionByName(repeated).toDF(*docs.columns)
+    rows, sure = plain.withColumn("_text", text), None
+    if few(gone, BROADCAST_ROWS) and few(again, BROADCAST_ROWS):
+        gone, again = F.broadcast(gone), F.broadcast(again)
+    else:  # rows that are in neither table go as they are, the others meet them by a shuffle
+        marked = with_hit(rows, ["_text", place(docs, id_col)], gone.unionByName(again).select("_node", "_id"))
+        sure, rows = marked.filter("NOT _hit").select(*plain.columns), marked.filter("_hit").drop("_hit")
+        gone, again = gone.hint("merge"), again.hint("merge")
+    same = (F.col("_text") == F.col("_node")) & own.eqNullSafe(F.col("_id"))
+    left = rows.join(gone, same, "left_anti")
+    once = left.join(again, same, "left_anti")
+    repeated = left.join(again, same, "left_semi").dropDuplicates([place(docs, id_col), place(docs, text_col)])
+    out = once.unionByName(repeated).select(*plain.columns)
+    return (sure.unionByName(out) if sure is not None else out).toDF(*docs.columns)

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from quire.llm import order_minhash
 from quire.llm.order_minhash import components, dedupe, keys_of, labelled, near_duplicates, rare_pairs, similarity
 from tests.llm.fixtures import EN, clashing, documents, frame, prose
 from tests.llm.test_decontaminate import words
@@ -161,6 +162,37 @@ def test_one_of_each_class_stays(spark):
     assert sum(not shingles(r[1]) for r in got) == sum(not shingles(r[1]) for r in rows)
 
 
+def test_large_id_tables_give_the_same_rows(spark, monkeypatch):
+    rows = hard_rows()
+    rows += [rows[0], rows[0], (None, *rows[0][1:])]
+    df = frame(spark, rows)
+
+    def found():
+        classes = {(str(r["doc_id"]), r["class_id"], r["kept"]) for r in near_duplicates(df).collect()}
+        return classes, collections.Counter(map(str, dedupe(df).collect()))
+
+    want = found()
+    monkeypatch.setattr(order_minhash, "BROADCAST_ROWS", 0)
+    assert found() == want
+    monkeypatch.setattr(order_minhash, "HASHED_ROWS", 0)
+    assert found() == want
+
+
+def test_hashes_name_every_row_that_may_meet(spark):
+    rows = spark.createDataFrame([(f"n{k}",) for k in range(5000)] + [(None,)], "node string")
+    some = spark.createDataFrame([(f"n{k}",) for k in range(0, 5000, 50)], "node string")
+    hit = {r["node"] for r in order_minhash.with_hit(rows, ["node"], some).filter("_hit").collect()}
+    assert hit == {f"n{k}" for k in range(0, 5000, 50)}
+    assert order_minhash.with_hit(rows, ["node"], some.limit(0)).filter("_hit").count() == 0
+
+
+def test_prefix_rows_are_not_broadcast(spark):
+    texts = [r[1] for r in template_rows(0.85)[:40]]
+    rows = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "num long, root long, text string")
+    plan = rare_pairs(rows, 0.8, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 103), (101, 103), (102, 103)]
     got = {r["num"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
