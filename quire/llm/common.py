@@ -23,10 +23,11 @@ SLICE_BYTES = 2 << 20
 DENSE_CELLS = 1 << 20
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder (lineage ends there)."""
+def written(df: DataFrame, name: str, compression: str = "snappy", **options) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder (lineage ends there), written with
+    ``options``."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

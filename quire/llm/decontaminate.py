@@ -1,7 +1,7 @@
 """Benchmark decontamination over a positional inverted index.
 
 ``build_index`` stores the training tokens' postings as segments: a segment
-holds the documents of about a million consecutive words, its terms as sorted
+holds the documents of some hundred thousand consecutive words, its terms as sorted
 64-bit hashes, and per term the sorted positions of its occurrences.
 ``search`` answers test windows inside each segment: the posting lists of a
 window's terms are shifted by the terms' offsets and intersected, starting
@@ -26,6 +26,7 @@ Terms are compared by a 64-bit hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +34,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import ALNUM, hash_spans, positional, slices, text_bytes, word_spans, written
+from quire.session import small_batches
 
 WIDTH = 13
 SLOP = 3
 #: The benchmark is read and sent in blocks of items of about this many bytes.
 BLOCK_BYTES = 16 << 20
+#: Text of a segment. A segment is a row of the index with several bytes for each of them, and
+#: writers, readers and Python workers hold some rows at once.
+SEGMENT_BYTES = 1 << 20
+#: Row groups of the index, in bytes; a reader holds a whole one.
+GROUP_BYTES = 8 << 20
 
 INDEX_SCHEMA = ("doc_ids array<string>, doc_starts array<int>, terms array<long>, "
                 "term_starts array<int>, postings array<int>")
 
 
+class Windows(NamedTuple):
+    """Test windows: their distinct terms, ascending, and by width the places of every
+    window's terms among them and its item."""
+    terms: np.ndarray
+    by_width: dict[int, tuple[np.ndarray, np.ndarray]]
+
+
 class Segment:
     """Postings of some documents. Positions count the words of all of them."""
 
@@ -84,23 +98,24 @@ class Segment:
             start = start[ok]
         return start
 
-    def matches(self, windows: dict[int, tuple[np.ndarray, np.ndarray]], slop: int):
+    def matches(self, windows: Windows, slop: int):
         """Yields (window's item, width, starts of exact matches, anchors of proximity
         matches); the anchor is the position of the window's rarest term."""
-        for width, (terms, items) in windows.items():
-            lo, hi = self.lists(terms)
-            n = hi - lo
-            for w in np.flatnonzero(n.min(axis=1) > 0):
-                order = np.argsort(n[w], kind="stable")
+        first, end = self.lists(windows.terms)  # a term of many windows is looked up once
+        there = end > first
+        for width, (at, items) in windows.by_width.items():
+            for w in np.flatnonzero(there[at].all(axis=1)):
+                lo, hi = first[at[w]], end[at[w]]
+                order = np.argsort(hi - lo, kind="stable")
                 rare = int(order[0])
-                anchor = self.postings[lo[w, rare]:hi[w, rare]].astype(np.int64)
+                anchor = self.postings[lo[rare]:hi[rare]].astype(np.int64)
                 doc = self.doc_of(anchor)
                 start = np.stack([anchor - rare, self.doc_starts[doc], self.doc_starts[doc + 1]], axis=1)
-                near = self.intersect(lo[w], hi[w], order[1:], start, slop)
+                near = self.intersect(lo, hi, order[1:], start, slop)
                 if not len(near):
                     continue
                 exact = near[(near[:, 0] >= near[:, 1]) & (near[:, 0] + width <= near[:, 2])]
-                exact = self.intersect(lo[w], hi[w], order[1:], exact, 0) if slop else exact
+                exact = self.intersect(lo, hi, order[1:], exact, 0) if slop else exact
                 yield items[w], width, exact[:, 0], near[:, 0] + rare
 
 
@@ -113,7 +128,7 @@ def segments_of(col: pa.Array, limit: int) -> Iterator[tuple[int, int, Segment]]
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                segment_bytes: int = 8 << 20) -> DataFrame:
+                segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """The documents' positional index as a table of segments (see ``INDEX_SCHEMA``)."""
 
     def build(batches):
@@ -129,8 +144,14 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.mapInArrow(build, INDEX_SCHEMA)
 
 
-def item_windows(rows, width: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """{window width: (window terms, item ids)} of (item_id, text) pairs."""
+def written_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index as a table in the shared folder, in small row groups."""
+    return written(build_index(docs, id_col, text_col), "postings",
+                   **{"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1})
+
+
+def item_windows(rows, width: int) -> Windows:
+    """The windows of (item_id, text) pairs."""
     out: dict[int, tuple[list, list]] = {}
     for item, text in rows:
         data, off = text_bytes(pa.array([text], pa.string()), ALNUM)
@@ -143,7 +164,8 @@ def item_windows(rows, width: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         grams = np.lib.stride_tricks.sliding_window_view(h, w)
         own[0].append(grams)
         own[1].extend([item] * len(grams))
-    return {w: (np.concatenate(g), np.array(i, object)) for w, (g, i) in out.items()}
+    terms = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(g) for own, _ in out.values() for g in own)]))
+    return Windows(terms, {w: (np.concatenate([np.searchsorted(terms, g).astype(np.int32) for g in own]), np.array(i, object)) for w, (own, i) in out.items()})
 
 
 def send_windows(benchmark: DataFrame, width: int, item_col: str, text_col: str, block_bytes: int) -> list:
@@ -206,7 +228,7 @@ def contaminated():
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, text_col: str = "text",
                   item_col: str = "item_id", bench_text_col: str = "text",
-                  segment_bytes: int = 8 << 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  segment_bytes: int = SEGMENT_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept. The segments are
     built and searched batch by batch, so whole rows pass through one scan."""
     blocks = send_windows(benchmark, width, item_col, bench_text_col, block_bytes)
@@ -226,7 +248,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, tex
 def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Index the documents in the shared folder, search the benchmark, and return per
     document: id, n_words, n_hit, n_items, n_near, items_sha256, contaminated."""
-    found = search(written(build_index(docs, id_col), "postings"), benchmark)
+    with small_batches(docs.sparkSession):
+        found = written(search(written_index(docs, id_col), benchmark), "found")
     return found.select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"), F.size("near_items").cast("long").alias("n_near"),

@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
+import pyarrow.parquet as pq
 import __spark_entry__ as se
+from quire.llm import decontaminate as D
 from quire.llm.decontaminate import contamination_report, decontaminate
 from tests.llm.fixtures import EN, clashing, documents, frame, prose
 
@@ -76,3 +78,21 @@ def test_empty_tables(spark):
 
 def test_registered():
     assert "op1_decontaminate" in se.queries() and "op1_decontaminate" in se.oracle_sql()
+
+
+def test_index_rows_and_row_groups_are_small(spark):
+    rng = random.Random(5)
+    docs = frame(spark, [(k, prose(rng, EN, 4000), "en", "s", 0) for k in range(600)]).coalesce(1)
+    index = D.written_index(docs)
+    sizes = [4 * (len(r["postings"]) + 2 * len(r["terms"])) for r in index.select("postings", "terms").collect()]
+    assert len(sizes) > 8 and max(sizes) < 4 << 20
+    groups = [g for f in index.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for g in range(m.num_row_groups)]
+    assert len(groups) > 1
+
+
+def test_a_term_of_many_windows_is_sent_once():
+    windows = D.item_windows([("a", "x y x y x y"), ("b", "y x y"), ("c", None)], 3)
+    assert len(windows.terms) == 2 and {w: at.tolist() for w, (at, _) in windows.by_width.items()}.keys() == {3}
+    at, items = windows.by_width[3]
+    assert items.tolist() == ["a"] * 4 + ["b"] and (at[0] == at[2]).all() and (at[1] == at[4]).all()
+    assert D.item_windows([], 3).terms.size == 0
