@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.operators.layout import LAYOUT_SCHEMA
-from quire.session import checkpoint_dir, small_files
+from quire.session import checkpoint_dir, cut_lineage, small_files
 from quire.sources import layouts as LY
 from quire.sources import upsert as U
+from quire.sources.files import listed, make_folder
 
 
 def stream_dirs(spark: SparkSession, name: str) -> dict[str, str]:
@@ -78,20 +79,34 @@ def ingest_layouts(spark: SparkSession, root: str, sink: str, checkpoint: str, s
     """T1 as in the reference's layout step: every ``*.ocr.json`` below ``root`` that was not
     seen before is parsed into ``sink``, a folder per micro-batch (a replayed batch
     overwrites its own); a rerun takes only files added since. Returns the rows taken.
-    ``ingested`` reads the sink."""
-    r = (spark.readStream.schema(LY.with_corrupt(schema)).option("multiLine", True).option("recursiveFileLookup", True)
-         .option("pathGlobFilter", "*" + LY.SUFFIX).option("columnNameOfCorruptRecord", LY.CORRUPT))
+    ``ingested`` reads the sink.
+
+    The stream's source are lists of files in the checkpoint folder, not the files, whose names
+    the driver would all hold: tasks list ``root``, and files that are in no list yet make new
+    lists, of ``max_files_per_trigger`` files each, the oldest first."""
+    LY.there(root)
+    lists, taken = f"{checkpoint}/lists", [0]
+    make_folder(lists)
+    found = listed(spark, root, "*" + LY.SUFFIX)
+    known = spark.read.schema("file string, bytes long").parquet(lists).select("file").hint("merge")
+    new = cut_lineage(found.join(known, "file", "left_anti"), "new-files")
+    if not new.isEmpty():
+        w = new.coalesce(1).sortWithinPartitions("modified", "file").select("file", "bytes").write.mode("append")
+        (w.option("maxRecordsPerFile", max_files_per_trigger) if max_files_per_trigger else w).parquet(lists)
+    r = spark.readStream.schema("file string, bytes long")
     if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        r = r.option("maxFilesPerTrigger", 1)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        path = f"{sink}/batch={batch_id}"
+        LY.parsed_files(batch, schema).write.mode("overwrite").parquet(path)
+        taken[0] += batch.sparkSession.read.parquet(path).count()
 
     with small_files(spark):  # a stream takes the settings of its start along
-        q = (r.json(root).withColumn("file", F.col("_metadata.file_path")).writeStream.foreachBatch(run)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q = (r.parquet(lists).writeStream.foreachBatch(run)
+             .option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+    return taken[0]
 
 
 def ingested(spark: SparkSession, sink: str) -> tuple[DataFrame, DataFrame]:
