@@ -273,15 +273,22 @@ def embed_invoices(spark, sf_dir):
 EMBED_ROWS = 100_000
 
 
-def _invoice_vectors(spark, sf_dir):
-    from quire.operators.retrieval import hashed_embedding
-
+def _invoice_records(spark, sf_dir):
     rec = I.index_record(invoices(spark, sf_dir)).filter(F.col("id").isNotNull()).select("id", "content")
     tasks = max(spark.sparkContext.defaultParallelism, -(-Tables(spark, sf_dir).orders.count() // EMBED_ROWS))
-    rec = rec.repartition(tasks)
+    return rec.repartition(tasks)
+
+
+def _embedded(rec):
+    from quire.operators.retrieval import hashed_embedding
+
     return rec.select("id", hashed_embedding("content", INVOICE_DIM).alias("content_vector"))
 
 
+def _invoice_vectors(spark, sf_dir):
+    return _embedded(_invoice_records(spark, sf_dir))
+
+
 @register("invoice_vector_search", oracle=_INVOICE_VECS + """
 , tok AS (SELECT id, unnest(list_filter(string_split_regex(lower(content), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS t FROM rec),
 b AS MATERIALIZED (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 1536 AS b, count(*) AS c FROM tok GROUP BY 1, 2),
@@ -298,6 +305,6 @@ def invoice_vector_search(spark, sf_dir):
     from quire.operators.retrieval import vector_search
     from quire.session import cut_lineage
 
-    v = cut_lineage(_invoice_vectors(spark, sf_dir), "invoice-vectors")
+    v = _embedded(cut_lineage(_invoice_records(spark, sf_dir), "invoice-records"))  # a record is far smaller than its vector
     q = v.filter(F.substring("id", 5, 20).cast("long") % 100 == 0).select(F.col("id").alias("q"), F.col("content_vector").alias("w"))
     return vector_search(v, "id", "content_vector", q, "q", "w", k=3)

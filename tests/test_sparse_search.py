@@ -91,3 +91,33 @@ def test_few_vectors_are_scored_at_once(spark):
     # every vector's score is the number of vectors scored with it
     got = R._search(vectors, "vid", "v", queries, "qid", "qv", 5000, lambda v, q: np.full((len(v), len(q)), float(len(v)))).collect()
     assert len(got) == 5000 and max(r["score"] for r in got) <= R.SCORE_BLOCK_ROWS
+
+
+def test_a_large_query_set_is_searched_by_stored_numbers(spark, monkeypatch):
+    m = sparse(11, 900, 64, used=2)
+    data = [(f"v{i:03d}", [float(x) for x in (v if i % 5 else np.random.default_rng(i).standard_normal(64))]) for i, v in enumerate(m)]
+    data += [("none", None), ("v007", data[7][1]), ("zero", [0.0] * 64), ("twin", data[30][1])]
+    v = spark.createDataFrame(data, "id string, v array<double>").repartition(5)
+    q = v.filter("id rlike '[05]$' or id = 'zero'").select(F.col("id").alias("q"), F.col("v").alias("w"))
+    want = sorted(map(tuple, R.vector_search(v, "id", "v", q, "q", "w", k=3).collect()))
+    monkeypatch.setattr(R, "SMALL_QUERY_SET", 10)
+    for most, rows in ((64 << 20, 1 << 18), (20_000, 100)):
+        monkeypatch.setattr(R, "QUERY_BLOCK_BYTES", most)
+        monkeypatch.setattr(R, "COMPACT_ROWS", rows)
+        monkeypatch.setattr(R, "best_per_task", None)  # whole vectors are not sent again
+        assert sorted(map(tuple, R.vector_search(v, "id", "v", q, "q", "w", k=3).collect())) == want
+
+
+def test_a_known_bound_leaves_most_rows_out(monkeypatch):
+    m = sparse(5, 20000, 400)
+    q = R.CompactRows(*(lambda n, at, x: (np.r_[0, np.cumsum(n)], at, x))((m[:50] != 0).sum(axis=1), np.nonzero(m[:50])[1], m[:50][m[:50] != 0]), 400)
+    plain = R.SparseRows(m[:50], R.RunningTop(50, 3))
+    plain.add(np.arange(20000), m)
+    plain.search()
+    scored, einsum = [], np.einsum
+    monkeypatch.setattr(np, "einsum", lambda how, a, b: scored.append(len(a)) or einsum(how, a, b))
+    own = R.SparseRows(q, R.RunningTop(50, 3, plain.top.least.copy()), 1 << 18, 1 << 18)
+    own.add(np.arange(20000), m)
+    own.search()
+    assert np.array_equal(own.top.ids, plain.top.ids) and np.array_equal(own.top.score, plain.top.score)
+    assert sum(scored) < 0.5 * 50 * 20000
